@@ -61,9 +61,9 @@ def format_day(text) -> Column:
         F.concat_ws("-", year.cast("string"),
                     F.lpad(F.split_part(t, F.lit("/"), F.lit(1)), 2, "0"),
                     F.lpad(F.split_part(t, F.lit("/"), F.lit(2)), 2, "0")),
-        F.lit("yyyy-MM-dd"))
+        "yyyy-MM-dd")
     iso_ok = t.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?([+-]\d{2}:?\d{2}|Z)?)?$")
-    from_iso = F.when(iso_ok, F.try_to_date(F.substring(t, 1, 10), F.lit("yyyy-MM-dd")))
+    from_iso = F.when(iso_ok, F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
     parsed = F.when(mdy, from_mdy).otherwise(from_iso)
     return F.date_format(parsed, "yyyy-MM-dd")
 

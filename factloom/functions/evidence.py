@@ -29,7 +29,7 @@ def word_regex(term, prefix: bool = False) -> Column:
 
 
 def has_word(text, term, prefix: bool = False) -> Column:
-    return _c(text).rlike(word_regex(term, prefix))
+    return F.regexp_like(_c(text), word_regex(term, prefix))
 
 
 def location_terms(location) -> Column:
@@ -101,7 +101,7 @@ def object_evidence(text, what) -> Column:
     found = F.size(F.filter(words, lambda x: has_word(text, x)))
     n = F.size(words)
     ratio = F.when(n > 0, found / n).otherwise(F.lit(0.0))
-    phrase = F.coalesce(_c(text).rlike(near_regex(w)), F.lit(False))
+    phrase = F.coalesce(F.regexp_like(_c(text), near_regex(w)), F.lit(False))
     match = F.when(w.isNull(), F.lit(False)).otherwise(phrase | ((n > 0) & (ratio >= 0.5)))
     return F.struct(found.cast("int").alias("found"), n.cast("int").alias("n_terms"),
                     ratio.alias("ratio"), match.alias("match"))

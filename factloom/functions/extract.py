@@ -79,7 +79,6 @@ def text_to_map(text) -> Column:
 
     def entry(ln):
         dash_key = F.regexp_replace(F.split_part(ln, F.lit("-"), F.lit(1)), r"^\s+|\s+$", "")
-        rest = F.substring(ln, F.length(dash_key) + 1, 1 << 30)
         rest = F.regexp_replace(F.regexp_replace(ln, r"^[^-]*-", ""), r"^\s+|\s+$", "")
         value = F.when(F.contains(rest, F.lit(":")),
                        F.regexp_replace(F.split_part(rest, F.lit(":"), F.lit(2)), r"^\s+|\s+$", "")

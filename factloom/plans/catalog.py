@@ -5,42 +5,18 @@ Every query reads whole driver tables (``documents``, ``pages``, ``part``,
 column names and types equal those of its oracle SQL. Inputs the driver
 tables lack (model responses, money text, listing cards) are composed from
 their columns with the same ``concat``/``CASE`` in both dialects.
+
+This module holds the dictionary-match queries; the other areas live in the
+``q_*`` modules, which register into the same tables on import.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .composites import label_and_gate
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-WORD = r"[\p{L}\p{N}_]+"
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as an article table (content = text)."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", F.col("text").alias("content"))
-
+from .registry import ORACLES, QUERIES, WORD, articles, register, table  # noqa: F401
 
 # ------------------------------------------------------------ SQL building blocks
 def _sql_place_dictionary(gaz: str) -> str:
@@ -133,3 +109,6 @@ def gate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = label_and_gate(articles(spark, sf_dir), fx.gazetteer(spark), fx.topics(spark))
     return out.select("doc_id", "lang", "loc_id", "matched_term", "loc_type", "lat", "lon",
                       "town_en", "topic_terms")
+
+
+from . import q_text, q_nested, q_merge, q_pages  # noqa: E402,F401  (register on import)

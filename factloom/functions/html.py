@@ -97,7 +97,7 @@ def absolute_url(base, rel) -> Column:
     tail = F.regexp_extract(joined, r"([?#].*)$", 1)
 
     def fold(acc, s):
-        return (F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+        return (F.when(s == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
                 .when(s == ".", acc).otherwise(F.array_append(acc, s)))
 
     resolved = F.aggregate(F.slice(segs, 2, 1 << 30), F.array().cast("array<string>"), fold)

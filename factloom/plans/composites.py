@@ -77,7 +77,8 @@ def label_and_gate(articles: DataFrame, gazetteer: DataFrame, topics: DataFrame,
 
 
 def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str = "location",
-            special_terms=SPECIAL_TERMS, compat: bool = False, keep: str = "all") -> DataFrame:
+            special_terms=SPECIAL_TERMS, compat: bool = False, keep: str = "all",
+            materialize: bool = True) -> DataFrame:
     """Geocode a location text column by the gazetteer.
 
     ``keep='matched'`` keeps only rows with a match (the reference's filter).
@@ -85,5 +86,48 @@ def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str =
     m = document_matches(rows, gazetteer, None, id_col=id_col, text_col=text_col,
                          special_terms=special_terms, compat=compat)
     m = m.withColumnRenamed("doc_id", id_col)
+    if materialize:
+        # one row per matched input row: checkpointed, measured, broadcast when small
+        m = checked_broadcast(cut_lineage(m))
     how = "inner" if keep == "matched" else "left"
     return rows.join(m, id_col, how)
+
+
+def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataFrame | None = None,
+                  id_col: str = "doc_id", text_col: str = "content", response_col: str = "summaries",
+                  parse: str = "dicts", compat: bool = False, keep: str = "matched") -> DataFrame:
+    """Stored responses -> one geocoded, labelled, scored row per project.
+
+    ``parse='dicts'`` reads each dict as one project (L4-L6); ``'zip'``
+    collects each field by regex and zips by position (L1-L3, the original
+    rule). Then: presence flags (T2) and evidence (T6) against ``text_col``,
+    geocoding of the location (keep only matched rows by default, P7),
+    labels (J5, or rules only without a report), completeness score (T11),
+    year (D4) and USD from the amount text (M1, null -> 0).
+    """
+    from ..functions.constants import PROJECT_FIELDS, SCORE_FIELDS
+    from ..functions.labels import category_by_rules, completeness_score
+    from ..functions.money import usd_or_zero
+    from ..operators.labels import label_map, match_labels
+    from ..operators.nested import evidence_columns, explode_projects, extract_fields, presence_flags, zip_explode
+
+    fields = [n for n, _ in PROJECT_FIELDS]
+    retain = list(articles.columns)
+    if parse == "zip":
+        rows = zip_explode(extract_fields(articles, response_col), fields, retain)
+    else:
+        rows = explode_projects(articles, response_col, retain)
+    rows = rows.withColumn("project_id", F.sha2(F.to_json(F.struct(F.col(id_col), F.col("ordinal"))), 256))
+    rows = presence_flags(rows, text_col, "location", "what_built")
+    rows = evidence_columns(rows, text_col, "location", "what_built", compat=compat)
+    rows = geocode(rows, gazetteer, id_col="project_id", text_col="location", compat=compat, keep=keep)
+    if label_report is not None:
+        rows = match_labels(rows, label_map(label_report), "category_text")
+    else:
+        rows = rows.withColumns({"category_0": category_by_rules(F.col("category_text")),
+                                 "category_1": F.lit(None).cast("string")})
+    return rows.withColumns({
+        "sort_score": completeness_score(*SCORE_FIELDS),
+        "year": F.year("published"),
+        "usd": usd_or_zero(F.col("amount_text")),
+    })

@@ -304,3 +304,80 @@ def relevant_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = replace_with_full_text(rel, pages, url_col="url")
     return out.select("doc_id", F.md5("content").alias("content_md5"))
 
+
+
+# ------------------------------------------------------------------ end to end: facts
+TOWN_GAZ = [(1, "town", 36.3, 43.1, "Town0", None, None, None, "North", None),
+            (2, "district", 33.3, 44.4, "Town1", None, "Town-One", None, "Centre", None),
+            (3, "town", 30.5, 47.8, "Town2", None, None, None, "South", None)]
+
+
+def _facts_sql() -> str:
+    from .q_nested import _sql_response
+    from .q_text import LABEL_ROWS, _sql_clean, _sql_given, _sql_has_word, _sql_norm, _sql_rules
+    from .registry import WS_SQL, sql_ustrip
+    loc_words = f"list_filter(regexp_split_to_array({sql_ustrip('location')}, '{WS_SQL}+'), lambda x: x <> '')"
+    obj_words = f"list_filter(regexp_split_to_array({sql_ustrip('what_built')}, '{WS_SQL}+'), lambda x: x <> '')"
+    return f"""
+WITH p AS (SELECT p_partkey AS doc_id, p_partkey % 4 AS k, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS sz,
+                  {_sql_response(True)} AS summaries,
+                  'Work in Town' || CAST(p_partkey % 3 AS VARCHAR) || ' on a ' || p_name || ' for ' || p_brand AS content,
+                  strftime(DATE '2024-01-01' + CAST(p_partkey % 28 AS INTEGER), '%Y-%m-%d') AS published
+           FROM part),
+proj AS (
+  SELECT doc_id, CAST(i AS INTEGER) AS ordinal, p_name AS title, published, content, summaries,
+    'https://parts.example/' || CAST(doc_id AS VARCHAR) AS url,
+    'Town' || CAST(i AS VARCHAR) || ' ' || sz AS location,
+    CASE WHEN doc_id % 6 = 0 THEN 'Al''s ' || p_name || ' ' || CAST(i AS VARCHAR)
+         ELSE p_name || ' ' || CAST(i AS VARCHAR) END AS what_built,
+    CASE WHEN doc_id % 5 = 0 AND i = 1 THEN NULL ELSE p_brand || '/' || CAST(i AS VARCHAR) END AS funder,
+    '$' || sz || ' million' AS amount_text, p_type AS category_text, '202' || CAST(i AS VARCHAR) AS expected_completion,
+    CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'note ' || CAST(i AS VARCHAR) END AS additional, sz
+  FROM (SELECT *, unnest(range(k)) AS i FROM p WHERE k > 0)),
+gaz AS (SELECT * FROM {fx.values_sql(TOWN_GAZ, fx.GAZETTEER_SCHEMA)}),
+lm AS (
+  SELECT text AS map_text, {_sql_clean('label_0')} AS l0, {_sql_clean('label_1')} AS l1 FROM (
+    SELECT *, row_number() OVER (PARTITION BY text ORDER BY ord DESC) AS rn
+    FROM {fx.values_sql(LABEL_ROWS, fx.LABEL_SCHEMA)} WHERE text IS NOT NULL) WHERE rn = 1),
+ev AS (SELECT *, {loc_words} AS lw, {obj_words} AS ow FROM proj),
+ev2 AS (SELECT *, len(list_filter(lw, lambda w: {_sql_has_word('content', 'w')})) AS lf,
+                  len(list_filter(ow, lambda w: {_sql_has_word('content', 'w')})) AS of,
+                  regexp_matches(content, '(?i)(^|[^\\p{{L}}\\p{{N}}_])\\Q' || what_built || '\\E([^\\p{{L}}\\p{{N}}_]|$)') AS phrase
+        FROM ev)
+SELECT e.doc_id, e.ordinal, e.title, e.published, e.url, md5(e.content) AS content_md5, md5(e.summaries) AS summaries_md5,
+  e.location, e.what_built, e.funder, e.amount_text, e.category_text, e.expected_completion, e.additional,
+  coalesce(contains({_sql_norm('e.content')}, {_sql_norm('e.location')}), false) AS location_terms_present,
+  (len(e.lw) > 0 AND e.lf / len(e.lw) >= 0.5) AS location_match,
+  (e.phrase OR (len(e.ow) > 0 AND e.of / len(e.ow) >= 0.5)) AS what_built_match,
+  g.loc_id, 'Town' || CAST(e.ordinal AS VARCHAR) AS matched_term, g.loc_type, g.lat, g.lon, g.town_en, g.admin2_en,
+  CAST({" + ".join(_sql_given(c) for c in ["location", "what_built", "funder", "amount_text", "category_text", "expected_completion"])} AS INTEGER) AS sort_score,
+  CAST(year(CAST(e.published AS DATE)) AS INTEGER) AS year,
+  CASE WHEN lm.map_text IS NOT NULL THEN coalesce(lm.l0, lm.l1) ELSE {_sql_rules('e.category_text')} END AS category_0,
+  CASE WHEN lm.map_text IS NOT NULL AND lm.l0 IS NOT NULL THEN lm.l1 END AS category_1,
+  CAST(e.sz AS DOUBLE) * 1e6 AS usd
+FROM ev2 e JOIN gaz g ON g.loc_id = e.ordinal + 1 LEFT JOIN lm ON lm.map_text = e.category_text"""
+
+
+@register("project_facts", _facts_sql())
+def project_facts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: stored responses -> projects -> evidence -> geocode -> labels -> score -> USD."""
+    from .composites import project_facts
+    from .q_nested import _response_column
+    from .q_text import LABEL_ROWS
+    p = table(spark, sf_dir, "part")
+    arts = p.select(
+        F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("title"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 28).cast("int")).alias("published"),
+        F.concat(F.lit("Work in Town"), (F.col("p_partkey") % 3).cast("string"), F.lit(" on a "), F.col("p_name"),
+                 F.lit(" for "), F.col("p_brand")).alias("content"),
+        F.concat(F.lit("https://parts.example/"), F.col("p_partkey").cast("string")).alias("url"),
+        _response_column(True).alias("summaries"))
+    facts = project_facts(arts, fx.frame(spark, TOWN_GAZ, fx.GAZETTEER_SCHEMA),
+                          fx.frame(spark, LABEL_ROWS, fx.LABEL_SCHEMA))
+    return facts.select(
+        "doc_id", "ordinal", "title", F.date_format("published", "yyyy-MM-dd").alias("published"), "url",
+        F.md5("content").alias("content_md5"), F.md5("summaries").alias("summaries_md5"),
+        "location", "what_built", "funder", "amount_text", "category_text", "expected_completion", "additional",
+        "location_terms_present", "location_match", "what_built_match",
+        "loc_id", "matched_term", "loc_type", "lat", "lon", "town_en", "admin2_en",
+        "sort_score", "year", "category_0", "category_1", "usd")

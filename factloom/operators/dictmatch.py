@@ -12,8 +12,8 @@ Physical plan (``match_terms``): one narrow pass per document builds, for
 every token, a struct of the token and the next ``k-1`` tokens (``k`` =
 longest term), which is probed against the dictionary by a broadcast hash
 join on the first token. Only real candidates survive the join; they are
-shuffled once by ``doc_id`` and every later step (longest-per-position,
-overlap islands, greedy fold, per-document winner) reuses that partitioning.
+shuffled once by ``doc_id`` and every later step (overlap islands, greedy
+fold, per-term / per-key / per-document aggregation) reuses that partitioning.
 The token array itself is never carried on exploded rows.
 """
 
@@ -100,13 +100,20 @@ class DictionaryInfo:
     rows: int
     max_tokens: int
     broadcast: bool
+    has_special: bool = False
 
 
-def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DictionaryInfo:
-    """Size bound and longest term of a dictionary (one small job)."""
-    n = bounded_count(dictionary, max_rows)
-    k = dictionary.agg(F.max("n_tokens")).first()[0] or 1
-    return DictionaryInfo(n, int(k), n <= max_rows)
+def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+             special_terms=SPECIAL_TERMS, dict_name: str = "place") -> DictionaryInfo:
+    """Size bound, longest term and special-term presence of a dictionary (one small job)."""
+    special = (F.col("dict") == dict_name) & F.col("term").isin(list(special_terms or ["\u0000"]))
+    row = dictionary.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("k"),
+        F.max(F.when(special, 1).otherwise(0)).alias("sp")).first()
+    n, k, sp = row["n"], row["k"] or 1, bool(row["sp"])
+    if n > max_rows:  # too big to broadcast: the longest term must come from the whole table
+        k = dictionary.agg(F.max("n_tokens")).first()[0] or 1
+    return DictionaryInfo(n, int(k), n <= max_rows, sp)
 
 
 def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str,
@@ -138,35 +145,36 @@ def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
 
     Returns ``(doc_id, dict, key, term, start, end)``; start/end are token
     ordinals (end exclusive).
+
+    Candidates sorted by ``(start, end desc)`` are cut into islands: a new
+    island starts where no earlier candidate reaches. Inside an island a
+    greedy fold keeps a candidate when it starts at or after the end of the
+    last kept one; the first candidate at a position is the longest, so
+    shorter ones there are skipped by the same rule. Islands keep the fold
+    short even for documents with very many hits.
     """
     info = info or describe(dictionary)
     cand = _candidates(docs, dictionary, id_col, text_col, info)
-    # one shuffle by document; all windows / groupings below reuse it
+    # one shuffle by document; the window and the grouping below reuse it
     cand = cand.repartition("doc_id")
-    by_pos = Window.partitionBy("doc_id", "dict", "pos").orderBy(F.col("end").desc())
-    longest = cand.withColumn("_r", F.row_number().over(by_pos)).filter("_r = 1").drop("_r")
-    w = Window.partitionBy("doc_id", "dict").orderBy("pos")
+    w = Window.partitionBy("doc_id", "dict").orderBy(F.col("pos"), F.col("end").desc())
     prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    isl = (longest.withColumn("_new", F.when(prev_end.isNull() | (F.col("pos") >= prev_end), 1).otherwise(0))
+    isl = (cand.withColumn("_new", F.when(prev_end.isNull() | (F.col("pos") >= prev_end), 1).otherwise(0))
            .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    # islands of one candidate are final; longer ones are folded greedily
-    isl = isl.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "dict", "island")))
-    single = isl.filter("_size = 1").select("doc_id", "dict", "key", "term",
-                                            F.col("pos").alias("start"), "end")
-    multi = (isl.filter("_size > 1")
-             .groupBy("doc_id", "dict", "island")
-             .agg(F.array_sort(F.collect_list(F.struct("pos", "end", "key", "term"))).alias("c")))
+    groups = (isl.groupBy("doc_id", "dict", "island")
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), (-F.col("end")).alias("neg_end"),
+                                                        "key", "term"))).alias("c")))
     init = F.struct(F.lit(-1).alias("last"),
-                    F.array().cast("array<struct<pos:int,end:int,key:string,term:string>>").alias("kept"))
-    folded = multi.select("doc_id", "dict", F.explode(F.aggregate(
+                    F.array().cast("array<struct<pos:int,neg_end:int,key:string,term:string>>").alias("kept"))
+    kept = F.aggregate(
         "c", init,
         lambda acc, x: F.when(x["pos"] >= acc["last"],
-                              F.struct(x["end"].alias("last"), F.array_append(acc["kept"], x).alias("kept")))
-        .otherwise(acc),
-        lambda acc: acc["kept"])).alias("h"))
-    chosen = folded.select("doc_id", "dict", "h.key", "h.term", F.col("h.pos").alias("start"),
-                           F.col("h.end").alias("end"))
-    return single.unionByName(chosen)
+                              F.struct((-x["neg_end"]).alias("last"),
+                                       F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc),
+        lambda acc: acc["kept"])
+    return (groups.select("doc_id", "dict", F.explode(kept).alias("h"))
+            .select("doc_id", "dict", "h.key", "h.term", F.col("h.pos").alias("start"),
+                    (-F.col("h.neg_end")).alias("end")))
 
 
 # ------------------------------------------------------------------ T7
@@ -185,31 +193,70 @@ def _char_span(text: F.Column, start: F.Column, end: F.Column):
     return c0, c1
 
 
-def suppress_ambiguous(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id",
+def per_term(hits: DataFrame, topic_dict: str = "topic") -> DataFrame:
+    """Hits folded to one row per (document, dictionary, key, term).
+
+    ``n`` hits, ``first`` = (start, end) of the first one, and for topic
+    terms every start (their labels are listed in text order). Partial
+    aggregation runs before any shuffle; the input is already partitioned
+    by document, so no new exchange is planned.
+    """
+    return (hits.groupBy("doc_id", "dict", "key", "term")
+            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end")).alias("first"),
+                 F.collect_list(F.when(F.col("dict") == topic_dict, F.col("start"))).alias("starts")))
+
+
+def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id",
                        text_col: str = "content", special_terms=SPECIAL_TERMS,
                        context: str = CONTEXT_WORD, window: int = PROXIMITY_CHARS,
                        dict_name: str = "place", compat: bool = False) -> DataFrame:
-    """Drop every hit of a special term unless its first hit has context.
+    """T7 on ``per_term`` rows: drop a special term unless its first hit has context.
 
     The first hit of each special term in a document is checked: the text
     from ``window`` characters before it to ``window`` after it must hold
-    the context word (case-insensitive). If not, all hits of that term in
-    the document are removed. ``compat=True`` keeps the original test,
-    which compares an upper-case word to lower-cased text and so always
-    removes them.
+    the context word (case-insensitive). If not, every hit of that term in
+    the document goes. ``compat=True`` keeps the original test, which
+    compares an upper-case word to lower-cased text and so always removes
+    them. Only documents with a special hit are joined to their text (a
+    small, counted, broadcast set); ``terms`` should be materialised as it
+    is read twice.
     """
-    sp = hits.filter((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms)))
-    first = sp.groupBy("doc_id", "term").agg(F.min(F.struct("start", "end")).alias("s"))
+    sp = terms.filter((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms)))
+    first = sp.select("doc_id", "term", F.col("first").alias("s"))
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    firsts = checked_broadcast(first)
-    j = text.join(firsts, "doc_id")
+    j = text.join(checked_broadcast(first), "doc_id")
     c0, c1 = _char_span(F.col("_text"), F.col("s.start"), F.col("s.end"))
     lo = F.greatest(c0 - window, F.lit(0))
     hi = F.least(c1 + window, F.length("_text"))
     around = F.lower(F.substring("_text", lo + 1, hi - lo))
     needle = F.lit(context) if compat else F.lit(context.lower())
     drop = j.filter(~F.contains(around, needle)).select("doc_id", "term", F.lit(dict_name).alias("dict"))
-    return hits.join(checked_broadcast(drop), ["doc_id", "dict", "term"], "left_anti")
+    return terms.join(checked_broadcast(drop), ["doc_id", "dict", "term"], "left_anti")
+
+
+def summarize(terms: DataFrame, place_dict: str = "place", topic_dict: str = "topic",
+              sep: str = ", ") -> DataFrame:
+    """A1 + A2 + J2 in one aggregation chain over ``per_term`` rows.
+
+    Per document: the place key with most hits (ties: first seen) and the
+    term of its first hit; and the topic labels of all topic hits in text
+    order joined by ``sep`` (null when there are none).
+    """
+    is_place = F.col("dict") == place_dict
+    is_topic = F.col("dict") == topic_dict
+    per_key = (terms.groupBy("doc_id", "dict", "key")
+               .agg(F.sum("n").alias("n"), F.min("first.start").alias("first"),
+                    F.min_by("term", F.col("first.start")).alias("term"),
+                    F.flatten(F.collect_list("starts")).alias("starts")))
+    per_doc = per_key.groupBy("doc_id").agg(
+        F.max_by(F.when(is_place, F.struct("key", "term", "n")),
+                 F.when(is_place, F.struct("n", -F.col("first")))).alias("w"),
+        F.flatten(F.collect_list(F.when(is_topic, F.transform(
+            "starts", lambda x: F.struct(x.alias("start"), F.col("key").alias("key")))))).alias("th"))
+    topic_terms = F.when(F.size("th") > 0,
+                         F.array_join(F.transform(F.array_sort("th"), lambda x: x["key"]), sep))
+    return per_doc.select("doc_id", F.col("w.key").alias("matched_key"), F.col("w.term").alias("matched_term"),
+                          F.col("w.n").alias("matched_hits"), topic_terms.alias("topic_terms"))
 
 
 # ------------------------------------------------------------------ A1/A2, J2, J3, P6

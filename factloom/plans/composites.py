@@ -21,12 +21,6 @@ LOCATION_COLUMNS = ["loc_id", "matched_term", "loc_type", "lat", "lon", "town_en
                     "admin3_en", "admin3_ar", "admin2_en", "admin2_ar"]
 
 
-def _has_special(dictionary: DataFrame, special_terms) -> bool:
-    if not special_terms:
-        return False
-    return dictionary.filter((F.col("dict") == "place") & F.col("term").isin(list(special_terms))).limit(1).count() > 0
-
-
 def document_matches(articles: DataFrame, gazetteer: DataFrame, topics: DataFrame | None,
                      id_col: str = "doc_id", text_col: str = "content",
                      special_terms=SPECIAL_TERMS, compat: bool = False,
@@ -35,23 +29,26 @@ def document_matches(articles: DataFrame, gazetteer: DataFrame, topics: DataFram
 
     Returns one row per document that has any hit:
     ``doc_id, loc_id, matched_term, loc_type, lat, lon, <6 names>, topic_terms``.
+    The documents are scanned once for matching (and once more, only for
+    documents holding a special term, by the context rule).
     """
     places = dm.place_dictionary(gazetteer, id_col=gazetteer_id, special_terms=special_terms)
     dictionary = places
     if topics is not None:
         dictionary = places.unionByName(dm.topic_dictionary(topics, keywords_col=topic_keywords))
-    info = dm.describe(dictionary)
+    info = dm.describe(dictionary, special_terms=special_terms)
     hits = dm.match_terms(articles, dictionary, id_col=id_col, text_col=text_col, info=info)
-    if _has_special(dictionary, special_terms):
-        hits = dm.suppress_ambiguous(hits, articles, id_col=id_col, text_col=text_col,
-                                     special_terms=special_terms, compat=compat)
-    winners = dm.attach_locations(dm.winner_per_doc(hits), gazetteer, id_col=gazetteer_id)
-    winners = winners.select("doc_id", F.col(gazetteer_id).alias("loc_id"), "matched_term",
-                             *[c for c in LOCATION_COLUMNS if c not in ("loc_id", "matched_term")])
+    terms = dm.per_term(hits)
+    if info.has_special:
+        terms = dm.suppress_ambiguous(cut_lineage(terms), articles, id_col=id_col, text_col=text_col,
+                                      special_terms=special_terms, compat=compat)
+    summary = dm.summarize(terms)
     if topics is None:
-        return winners
-    labels = dm.labels_in_order(hits)
-    return labels.join(winners, "doc_id", "full")
+        summary = summary.filter(F.col("matched_key").isNotNull())
+    out = dm.attach_locations(summary, gazetteer, id_col=gazetteer_id)
+    cols = ["doc_id", F.col(gazetteer_id).alias("loc_id"), "matched_term",
+            *[c for c in LOCATION_COLUMNS if c not in ("loc_id", "matched_term")]]
+    return out.select(*cols, "topic_terms") if topics is not None else out.select(*cols)
 
 
 def label_and_gate(articles: DataFrame, gazetteer: DataFrame, topics: DataFrame,

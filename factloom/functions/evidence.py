@@ -2,6 +2,8 @@
 
 Word-bounded, case-insensitive matching with explicit word classes
 (letters, numbers, underscore), so the rule is the same for every script.
+Plain words are looked up in the row's token array (no regex compiled per
+row); terms with other characters, phrases and NEAR patterns use a regex.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import CONTEXT_WORD
-from .text import WS_RUN, drop_stop_words, quote_regex, ustrip
+from .text import WS_RUN, drop_stop_words, quote_regex, tokens, ustrip
 
 W = r"[\p{L}\p{N}_]"
 NW = r"[^\p{L}\p{N}_]"
@@ -22,6 +24,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a lambda argument is
+    computed once; a repeated sub-expression would be computed each time)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _finish(b) -> Column:
+    ratio = F.when(b["n_terms"] > 0, b["found"] / b["n_terms"]).otherwise(F.lit(0.0))
+    return F.struct(b["found"].alias("found"), b["n_terms"].alias("n_terms"), ratio.alias("ratio"),
+                    (F.coalesce(b["n_terms"] > 0, F.lit(False)) & (ratio >= 0.5)).alias("match"))
+
+
 def word_regex(term, prefix: bool = False) -> Column:
     """Case-insensitive regex for ``term`` as a whole word (or word prefix)."""
     tail = F.lit(rf"{W}*{RIGHT}" if prefix else RIGHT)
@@ -32,6 +46,19 @@ def has_word(text, term, prefix: bool = False) -> Column:
     return F.regexp_like(_c(text), word_regex(term, prefix))
 
 
+def has_word_fast(text, toks, term, prefix: bool = False) -> Column:
+    """``has_word`` that looks a plain word up in the row's token array.
+
+    ``toks`` is ``tokens(text)`` computed once per row. A term made only of
+    word characters occurs as a whole word exactly when some token equals
+    it (case-insensitively); other terms fall back to the regex.
+    """
+    t = _c(term)
+    lt = F.lower(t)
+    lookup = (F.exists(toks, lambda x: x.startswith(lt)) if prefix else F.array_contains(toks, lt))
+    return F.when(t.rlike(r"^[\p{L}\p{N}_]+$"), lookup).otherwise(has_word(text, t, prefix))
+
+
 def location_terms(location) -> Column:
     """Comma parts (trimmed) when the text has a comma, else its words."""
     loc = _c(location)
@@ -42,7 +69,7 @@ def location_terms(location) -> Column:
     return F.coalesce(terms, F.array().cast("array<string>"))
 
 
-def location_evidence(text, location, compat: bool = False) -> Column:
+def location_evidence(text, location, compat: bool = False, toks=None) -> Column:
     """T3 + A8: struct(found, n_terms, ratio, match) for a location string.
 
     Terms are the comma parts (else words) with stop words removed, then
@@ -52,22 +79,23 @@ def location_evidence(text, location, compat: bool = False) -> Column:
     found / number of comma parts before stop-word removal (may exceed 1),
     and the context-word rule looks for the literal text ``Iraq.*``.
     """
+    toks = tokens(text) if toks is None else _c(toks)
     parts = location_terms(location)
     kept = drop_stop_words(parts)
     words = F.filter(F.split(F.array_join(kept, " "), WS_RUN), lambda w: w != "")
     ctx = F.lit(CONTEXT_WORD)
     if compat:
         def hit(w):
-            return F.when(F.contains(w, ctx), has_word(text, F.lit("Iraq.*"))).otherwise(has_word(text, w))
+            return F.when(F.contains(w, ctx), has_word(text, F.lit("Iraq.*"))).otherwise(has_word_fast(text, toks, w))
         denom = F.size(parts)
     else:
         def hit(w):
-            return F.when(F.contains(w, ctx), has_word(text, ctx, prefix=True)).otherwise(has_word(text, w))
+            return F.when(F.contains(w, ctx), has_word_fast(text, toks, ctx, prefix=True)).otherwise(
+                has_word_fast(text, toks, w))
         denom = F.size(words)
     found = F.size(F.filter(words, lambda w: F.coalesce(hit(w), F.lit(False))))
-    ratio = F.when(denom > 0, found / denom).otherwise(F.lit(0.0))
-    return F.struct(found.cast("int").alias("found"), denom.cast("int").alias("n_terms"),
-                    ratio.alias("ratio"), (F.coalesce(denom > 0, F.lit(False)) & (ratio >= 0.5)).alias("match"))
+    base = F.struct(found.cast("int").alias("found"), denom.cast("int").alias("n_terms"))
+    return _bind(base, _finish)
 
 
 def near_regex(spec, default_distance: int = 10) -> Column:
@@ -90,18 +118,22 @@ def near_regex(spec, default_distance: int = 10) -> Column:
                     F.array_join(F.transform(rest, step), ""))
 
 
-def object_evidence(text, what) -> Column:
+def object_evidence(text, what, toks=None) -> Column:
     """T4 + A8: struct(found, n_terms, ratio, match) for "what is being built".
 
     Match when the phrase (or NEAR pattern) occurs, or at least half of its
     words occur as whole words.
     """
+    toks = tokens(text) if toks is None else _c(toks)
     w = _c(what)
     words = F.coalesce(F.filter(F.split(ustrip(w), WS_RUN), lambda x: x != ""), F.array().cast("array<string>"))
-    found = F.size(F.filter(words, lambda x: has_word(text, x)))
-    n = F.size(words)
-    ratio = F.when(n > 0, found / n).otherwise(F.lit(0.0))
+    found = F.size(F.filter(words, lambda x: has_word_fast(text, toks, x)))
     phrase = F.coalesce(F.regexp_like(_c(text), near_regex(w)), F.lit(False))
-    match = F.when(w.isNull(), F.lit(False)).otherwise(phrase | ((n > 0) & (ratio >= 0.5)))
-    return F.struct(found.cast("int").alias("found"), n.cast("int").alias("n_terms"),
-                    ratio.alias("ratio"), match.alias("match"))
+    base = F.struct(found.cast("int").alias("found"), F.size(words).cast("int").alias("n_terms"),
+                    phrase.alias("phrase"), w.isNull().alias("missing"))
+
+    def finish(b):
+        r = _finish(b)
+        return F.struct(r["found"].alias("found"), r["n_terms"].alias("n_terms"), r["ratio"].alias("ratio"),
+                        F.when(b["missing"], F.lit(False)).otherwise(b["phrase"] | r["match"]).alias("match"))
+    return _bind(base, finish)

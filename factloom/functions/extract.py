@@ -94,14 +94,27 @@ def text_to_map(text) -> Column:
     return F.map_from_entries(last)
 
 
+def parsed_dicts(response) -> Column:
+    """L4 + L5: every dict block that parses, as a project struct, in text order."""
+    parsed = F.filter(F.transform(dict_blocks(response), parse_literal_dict), lambda m: m.isNotNull())
+    return F.transform(parsed, map_to_project)
+
+
+def with_fallback(response, projects) -> Column:
+    """L6 fallback: when no dict parsed, the ``key - value`` lines are one project."""
+    r = _c(response)
+    return (F.when(r.isNull(), F.array().cast(T.ArrayType(PROJECT_STRUCT)))
+            .when(F.size(projects) > 0, projects)
+            # bind the parsed map once (a lambda argument), not once per field
+            .otherwise(F.transform(F.array(text_to_map(r)), map_to_project)))
+
+
 def parse_projects(response) -> Column:
     """L4+L5(+L6 fallback): response text -> ``array<struct<7 fields>>``.
 
     Every dict block that parses gives one project, in text order; when no
     block parses, the ``key - value`` lines are read as one project.
+    (``operators.nested.explode_projects`` computes the parsed array once
+    in its own projection before applying the fallback.)
     """
-    parsed = F.filter(F.transform(dict_blocks(response), parse_literal_dict), lambda m: m.isNotNull())
-    projects = F.transform(parsed, map_to_project)
-    fallback = F.array(map_to_project(text_to_map(response)))
-    return (F.when(_c(response).isNull(), F.array().cast(T.ArrayType(PROJECT_STRUCT)))
-            .when(F.size(projects) > 0, projects).otherwise(fallback))
+    return with_fallback(response, parsed_dicts(response))

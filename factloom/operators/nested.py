@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import evidence as ev
 from ..functions.constants import PROJECT_FIELDS
-from ..functions.extract import field_values, parse_projects
-from ..functions.text import normalize, term_present
+from ..functions.extract import field_values, parsed_dicts, with_fallback
+from ..functions.text import normalize, term_present, tokens
 
 
 def extract_fields(df: DataFrame, response_col: str = "summaries", fields=PROJECT_FIELDS) -> DataFrame:
@@ -34,8 +34,11 @@ def explode_projects(df: DataFrame, response_col: str, retain_cols) -> DataFrame
     Unlike ``zip_explode`` a field missing in one project stays null in
     that project (no shift), and values holding apostrophes are kept.
     """
-    return (df.select(*retain_cols, F.posexplode(parse_projects(F.col(response_col))).alias("ordinal", "_p"))
-            .select(*retain_cols, "ordinal", "_p.*"))
+    keep = [c for c in retain_cols if c != response_col]
+    parsed = df.select(*keep, F.col(response_col), parsed_dicts(F.col(response_col)).alias("_d"))
+    full = parsed.select(*keep, F.col(response_col), with_fallback(F.col(response_col), F.col("_d")).alias("_all"))
+    out = full.select(*keep, F.col(response_col), F.posexplode("_all").alias("ordinal", "_p"))
+    return out.select(*retain_cols, "ordinal", "_p.*")
 
 
 def presence_flags(df: DataFrame, text_col: str = "content",
@@ -51,11 +54,12 @@ def presence_flags(df: DataFrame, text_col: str = "content",
 def evidence_columns(df: DataFrame, text_col: str = "content", location_col: str = "location",
                      what_col: str = "what_built", compat: bool = False) -> DataFrame:
     """Location and object evidence, as match flags and ratios (4 columns)."""
-    loc = ev.location_evidence(F.col(text_col), F.col(location_col), compat=compat)
-    obj = ev.object_evidence(F.col(text_col), F.col(what_col))
+    df = df.withColumn("_toks", tokens(F.col(text_col)))
+    loc = ev.location_evidence(F.col(text_col), F.col(location_col), compat=compat, toks=F.col("_toks"))
+    obj = ev.object_evidence(F.col(text_col), F.col(what_col), toks=F.col("_toks"))
     return (df.withColumn("_loc", loc).withColumn("_obj", obj)
             .withColumns({"location_match": F.col("_loc.match"),
                           "location_ratio": F.col("_loc.ratio"),
                           "what_built_match": F.col("_obj.match"),
                           "what_built_ratio": F.col("_obj.ratio")})
-            .drop("_loc", "_obj"))
+            .drop("_loc", "_obj", "_toks"))

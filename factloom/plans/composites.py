@@ -92,7 +92,8 @@ def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str =
 
 def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataFrame | None = None,
                   id_col: str = "doc_id", text_col: str = "content", response_col: str = "summaries",
-                  parse: str = "dicts", compat: bool = False, keep: str = "matched") -> DataFrame:
+                  parse: str = "dicts", compat: bool = False, keep: str = "matched",
+                  materialize: bool = True) -> DataFrame:
     """Stored responses -> one geocoded, labelled, scored row per project.
 
     ``parse='dicts'`` reads each dict as one project (L4-L6); ``'zip'``
@@ -115,6 +116,9 @@ def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataF
     else:
         rows = explode_projects(articles, response_col, retain)
     rows = rows.withColumn("project_id", F.sha2(F.to_json(F.struct(F.col(id_col), F.col("ordinal"))), 256))
+    if materialize:
+        # the project table is a stage: parsed once, read by the geocoder and the output
+        rows = cut_lineage(rows)
     rows = presence_flags(rows, text_col, "location", "what_built")
     rows = evidence_columns(rows, text_col, "location", "what_built", compat=compat)
     rows = geocode(rows, gazetteer, id_col="project_id", text_col="location", compat=compat, keep=keep)

@@ -10,7 +10,7 @@ from ..functions import evidence as ev
 from ..functions.constants import CATEGORY_RULES, FILLER_WORDS, MAX_REQUEST_WORDS, STOP_WORDS
 from ..functions.labels import completeness_score
 from ..functions.money import amount_to_usd, usd_or_zero
-from ..functions.text import normalize, term_present, word_count
+from ..functions.text import normalize, term_present, tokens, word_count
 from ..operators.enrich import request_text
 from ..operators.labels import label_map, match_labels
 from . import fixtures as fx
@@ -280,9 +280,10 @@ def evidence_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     what = F.when(F.col("doc_id") % 3 == 0,
                   F.concat(F.regexp_extract("text", r"^[^ ]+", 0), F.lit(" NEAR/5 "), sp("text", 4))
                   ).otherwise(F.concat(sp("btext", 1), F.lit(" "), sp("btext", 2), F.lit(" "), sp("text", 3)))
-    inp = j.select("doc_id", "text", location.alias("location"), what.alias("what_built"))
-    loc = ev.location_evidence(F.col("text"), F.col("location"))
-    obj = ev.object_evidence(F.col("text"), F.col("what_built"))
+    inp = j.select("doc_id", "text", location.alias("location"), what.alias("what_built"),
+                   tokens(F.col("text")).alias("toks"))
+    loc = ev.location_evidence(F.col("text"), F.col("location"), toks=F.col("toks"))
+    obj = ev.object_evidence(F.col("text"), F.col("what_built"), toks=F.col("toks"))
     return inp.select("doc_id", "location", "what_built",
                       loc["found"].alias("location_found"), loc["ratio"].alias("location_ratio"),
                       loc["match"].alias("location_match"), obj["ratio"].alias("what_built_ratio"),

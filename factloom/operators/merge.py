@@ -84,3 +84,34 @@ def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, name: str = "
     window's shuffle completes, so a huge group costs ``k`` rows, not all."""
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+
+
+def rank_within_balanced(df: DataFrame, group_col: str, order_cols, name: str = "rank",
+                         partitions: int | None = None) -> DataFrame:
+    """O2 for skewed groups: the same 1-based rank as ``rank_within``, but a
+    group holding a large share of the rows is spread over many tasks.
+
+    1. range-partitioned sort on ``(group, order...)`` (the order columns
+       must make rows distinct, so the range boundaries can split a hot
+       group), written once to the shared checkpoint folder so every later
+       step sees the same partitioning;
+    2. per ``(partition, group)``: row count and first position - a table
+       of at most partitions x groups rows;
+    3. offsets = running count of the same group in earlier partitions
+       (a window over that small table), broadcast back;
+    4. rank = offset + position inside the partition.
+    """
+    from ..session import cut_lineage
+
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(group_col)] + list(order_cols)
+    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ordered = cut_lineage(ordered.withColumn("_part", F.spark_partition_id())
+                          .withColumn("_pos", F.monotonically_increasing_id()))
+    blocks = ordered.groupBy("_part", group_col).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    w = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    ranked = ordered.join(F.broadcast(offsets.select("_part", group_col, "_offset", "_first")),
+                          ["_part", group_col])
+    rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")
+    return ranked.withColumn(name, rank).drop("_part", "_pos", "_offset", "_first")

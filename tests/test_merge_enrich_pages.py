@@ -80,3 +80,13 @@ def test_listing_cards_skip_incomplete(spark):
     out = listing_cards(pages).collect()
     assert len(out) == 1 and out[0].link == "https://site.example/n/1" and out[0].title == "One"
     assert str(out[0].published_utc) == "2024-05-01 07:00:00"
+
+
+def test_balanced_rank_equals_window_rank_on_a_hot_group(spark):
+    from factloom.operators.merge import rank_within, rank_within_balanced
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 7, F.lit(1)).otherwise(F.col("id") % 5).alias("g"),
+                                     ((F.col("id") * 7919) % 1000).alias("v"), F.col("id"))
+    order = [F.col("v").desc(), F.col("id")]
+    a = sorted(tuple(r) for r in rank_within(df, "g", order).collect())
+    b = sorted(tuple(r) for r in rank_within_balanced(df, "g", order, partitions=6).collect())
+    assert a == b

@@ -381,3 +381,57 @@ def project_facts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "location_terms_present", "location_match", "what_built_match",
         "loc_id", "matched_term", "loc_type", "lat", "lon", "town_en", "admin2_en",
         "sort_score", "year", "category_0", "category_1", "usd")
+
+
+# ------------------------------------------------------------------ compat forms of Q1, Q5, Q6
+@register("special_term_context_compat", f"""
+WITH c AS (SELECT doc_id, w1 || ' Key ' || w2 || CASE WHEN doc_id % 2 = 0 THEN ' iraq' ELSE ' basin' END AS txt
+           FROM (SELECT doc_id, regexp_extract(text, '{W1}', 1) AS w1, regexp_extract(text, '{W2}', 1) AS w2 FROM documents)),
+gaz AS (SELECT * FROM {fx.values_sql(KEY_GAZ, fx.GAZETTEER_SCHEMA)}),
+{_sql_hits("SELECT doc_id, txt FROM c", {"place": _sql_place_dictionary("gaz")})},
+hits2 AS (SELECT * FROM hits WHERE term <> 'Key'),
+pk AS (SELECT doc_id, key, count(*) AS n, min(pos) AS first FROM hits2 GROUP BY doc_id, key),
+pw AS (SELECT doc_id, key, n, first, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first ASC) AS rn FROM pk),
+win AS (SELECT w.doc_id, w.key, h.term FROM pw w JOIN hits2 h ON h.doc_id = w.doc_id AND h.pos = w.first WHERE w.rn = 1)
+SELECT c.doc_id, CAST(win.key AS BIGINT) AS loc_id, win.term AS matched_term
+FROM c LEFT JOIN win ON win.doc_id = c.doc_id""")
+def special_term_context_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 with ``compat=True`` (Q1): the original test never finds its upper-case
+    context word in lower-cased text, so every "Key" hit is dropped."""
+    d = table(spark, sf_dir, "documents")
+    txt = F.concat(F.regexp_extract("text", W1, 1), F.lit(" Key "), F.regexp_extract("text", W2, 1),
+                   F.when(F.col("doc_id") % 2 == 0, F.lit(" iraq")).otherwise(F.lit(" basin")))
+    rows = d.select("doc_id", txt.alias("txt"))
+    g = fx.frame(spark, KEY_GAZ, fx.GAZETTEER_SCHEMA)
+    return geocode(rows, g, id_col="doc_id", text_col="txt", compat=True).select("doc_id", "loc_id", "matched_term")
+
+
+def _evidence_compat_sql() -> str:
+    from .q_text import _EVIDENCE_INPUT_SQL, _STOP_SQL, _sql_has_word
+    from .registry import WS_SQL, sql_ustrip
+    parts = (f"CASE WHEN contains(location, ',') THEN list_transform(string_split(location, ','), lambda x: {sql_ustrip('x')}) "
+             f"WHEN {sql_ustrip('location')} = '' THEN [] ELSE regexp_split_to_array({sql_ustrip('location')}, '{WS_SQL}+') END")
+    return f"""
+WITH inp AS ({_EVIDENCE_INPUT_SQL}),
+e1 AS (SELECT *, {parts} AS parts FROM inp),
+e2 AS (SELECT *, list_filter(regexp_split_to_array(array_to_string(list_filter(parts, lambda x: NOT list_contains({_STOP_SQL}, lower(x))), ' '), '{WS_SQL}+'), lambda x: x <> '') AS words FROM e1),
+e3 AS (SELECT *, len(list_filter(words, lambda w: CASE WHEN contains(w, 'Iraq') THEN {_sql_has_word('text', "'Iraq.*'")} ELSE {_sql_has_word('text', 'w')} END)) AS loc_found FROM e2)
+SELECT doc_id, CAST(loc_found AS INTEGER) AS location_found, CAST(len(parts) AS INTEGER) AS n_terms,
+  CASE WHEN len(parts) > 0 THEN loc_found / len(parts) ELSE 0.0 END AS location_ratio,
+  coalesce(len(parts) > 0 AND loc_found / len(parts) >= 0.5, false) AS location_match
+FROM e3"""
+
+
+@register("evidence_checks_compat", _evidence_compat_sql())
+def evidence_checks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with ``compat=True`` (Q5, Q6): ratio over comma parts (may exceed 1),
+    and a word holding "Iraq" is searched as the literal text ``Iraq.*``."""
+    from ..functions import evidence as ev
+    from ..functions.text import tokens
+    from .q_text import evidence_checks
+    base = evidence_checks(spark, sf_dir).select("doc_id", "location")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = base.join(d, "doc_id")
+    loc = ev.location_evidence(F.col("text"), F.col("location"), compat=True, toks=tokens(F.col("text")))
+    return j.select("doc_id", loc["found"].alias("location_found"), loc["n_terms"].alias("n_terms"),
+                    loc["ratio"].alias("location_ratio"), loc["match"].alias("location_match"))

@@ -144,3 +144,15 @@ def test_near_pattern(spark):
                                 ("build a b c d school", "build NEAR/2 school")], "t string, s string")
     got = [r[0] for r in df.select(F.regexp_like(F.col("t"), ev.near_regex(F.col("s")))).collect()]
     assert got == [True, False]
+
+
+def test_zip_and_dict_routes_agree_when_all_fields_are_filled(spark):
+    from factloom.operators.nested import explode_projects, extract_fields, zip_explode
+    fields = ["location", "what_built", "funder", "amount_text", "category_text", "expected_completion", "additional"]
+    keys = ["Location of project", "What is being built", "Who is funding the project", "Amount of money being spent",
+            "Category of project that is being constructed", "Expected completion date", "Additional"]
+    resp = "[" + ", ".join("{" + ", ".join(f"'{k}': '{k[:3]}{i}'" for k in keys) + "}" for i in range(3)) + "]"
+    df = spark.createDataFrame([(1, resp), (2, None)], "id int, s string")
+    a = zip_explode(extract_fields(df, "s"), fields, ["id"]).collect()
+    b = explode_projects(df, "s", ["id"]).collect()
+    assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b) and len(a) == 3

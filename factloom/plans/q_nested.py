@@ -80,10 +80,6 @@ def _sql_response(quirks: bool) -> str:
 
 
 # ------------------------------------------------------------------ L1-L3
-def _sql_list(i_values: str) -> str:
-    return i_values
-
-
 _ZIP_SQL = """
 WITH p AS (SELECT p_partkey, p_partkey % 4 AS k, p_partkey % 6 = 1 AS alt, p_partkey % 5 = 0 AS miss,
                   p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS sz FROM part),

@@ -78,7 +78,8 @@ def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url
     Output ``(start_url, final_url, hops)``.
     """
     links = pages.select(F.col(url_col).alias("u"), absolute_url(F.col(url_col), report_link(html_col)).alias("nxt"))
-    links = links.filter(F.col("nxt").isNotNull())
+    # the link table is read once per hop: extract it from the HTML once
+    links = cut_lineage(links.filter(F.col("nxt").isNotNull()))
     state = pages.select(F.col(url_col).alias("start_url"), F.col(url_col).alias("final_url"),
                          F.array(F.col(url_col)).alias("seen"), F.lit(0).alias("hops"), F.lit(True).alias("live"))
     for _ in range(max_hops):
@@ -96,6 +97,20 @@ def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url
     return state.select("start_url", "final_url", "hops")
 
 
+def followed_text(pages: DataFrame, max_hops: int = 5, tag: str = "section", css_class: str | None = "entry",
+                  compat_not_found: bool = False) -> DataFrame:
+    """H1 + H2 + H6: the body text reached by following "full report" links.
+
+    ``(start_url, final_url, hops, body)``; ``body`` is null when the last
+    link points to a page that is not stored, or the page has no such
+    element (``compat_not_found=True``: the text ``Not found`` then).
+    """
+    chains = follow_report_links(pages, max_hops)
+    bodies = article_body(pages, tag=tag, css_class=css_class, compat_not_found=compat_not_found)
+    bodies = bodies.select(F.col("url").alias("final_url"), "body")
+    return chains.join(bodies, "final_url", "left")
+
+
 def replace_with_full_text(df: DataFrame, pages: DataFrame, url_col: str = "url",
                            check_col: str = "content_check", text_col: str = "content") -> DataFrame:
     """H8: relevant rows take the paragraph text of their stored page when it is not empty."""

@@ -12,7 +12,7 @@ from ..functions.constants import NUMBER_WORDS
 from ..functions.money import usd_from_text
 from ..operators import enrich as E
 from ..operators.grids import month_ranges, month_starts, query_grid, window_starts
-from ..operators.pages import follow_report_links, replace_with_full_text
+from ..operators.pages import followed_text, replace_with_full_text
 from ..sources.feeds import mentions_from_responses, news_from_responses
 from . import fixtures as fx
 from .catalog import _sql_hits, _sql_place_dictionary, _sql_winner
@@ -144,9 +144,14 @@ walk(start_url, final_url, seen, hops) AS (
   SELECT w.start_url, l.nxt, list_append(w.seen, l.nxt), w.hops + 1
   FROM walk w JOIN links l ON l.u = w.final_url
   WHERE NOT list_contains(w.seen, l.nxt) AND w.hops < 5)
-SELECT start_url, arg_max(final_url, hops) AS final_url, CAST(max(hops) AS INTEGER) AS hops FROM walk GROUP BY start_url""")
+SELECT w.start_url, w.final_url, w.hops,
+       'Part ' || CAST(pg.page_id AS VARCHAR) || 'Click here to read the full report.' AS body
+FROM (SELECT start_url, arg_max(final_url, hops) AS final_url, CAST(max(hops) AS INTEGER) AS hops
+      FROM walk GROUP BY start_url) w
+LEFT JOIN pg ON pg.url = w.final_url""")
 def report_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H6: follow "full report" links (relative and absolute) between stored pages; cycles stop."""
+    """H6 + H1: follow "full report" links (relative and absolute) between stored
+    pages, cycles stop; the text of the last page's ``section.entry``."""
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
     link = F.when(pid % 4 == 3, F.concat(F.lit('<a href="/p/'), (pid - 3).cast("string")))
@@ -154,7 +159,7 @@ def report_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(F.lit('<section class="entry"><p>Part '), pid.cast("string"), F.lit("</p>"), link,
                     F.lit('">Click here to read the full report.</a></section>'))
     pages = p.select(F.concat(F.lit("https://site.example/p/"), pid.cast("string")).alias("url"), html.alias("html"))
-    return follow_report_links(pages, max_hops=5)
+    return followed_text(pages, max_hops=5).select("start_url", "final_url", "hops", "body")
 
 
 # ------------------------------------------------------------------ R1-R5

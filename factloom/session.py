@@ -23,6 +23,32 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, text_heavy: bool = True) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    * shuffle partitions start high (3 x cores) and AQE coalesces them to
+      ~256 MB each, so a stage never holds more than that per task;
+    * scans split files into 256 MB pieces;
+    * text-heavy tables (documents up to tens of thousands of words) are
+      read in small columnar batches: the default 4096 rows of a long text
+      column can be hundreds of MB in one task;
+    * skew join splitting and the broadcast bound of ``operators.joins``
+      stay on; the per-document summaries are checkpointed to
+      ``spark.checkpoint.dir``, which must be a shared folder.
+    """
+    conf = dict(DEFAULT_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    })
+    if text_heavy:
+        conf["spark.sql.parquet.columnarReaderBatchSize"] = "256"
+    return conf
+
+
 def get_session(app: str = "factloom", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:

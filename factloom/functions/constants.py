@@ -148,3 +148,22 @@ DEDUPE_KEY = MASTER_COLUMNS[:13]
 # Gazetteer name columns, in the order they are read.
 GAZETTEER_NAME_COLUMNS = ["town_en", "town_ar", "admin3_en", "admin3_ar",
                           "admin2_en", "admin2_ar"]
+
+# Fixed news-API queries run for every time window, before the per-term ones
+# (8 English, 24 Arabic).
+NEWS_FIXED_QUERIES = [
+    "Iraq Reconstruction", "Reconstruction efforts in Iraq", "Reconstruction happening in Iraq",
+    "Iraq Rebuilding", "Reconstruction plans in Iraq", "Plans for rebuilding in Iraq",
+    "Renovations in Iraq", "Iraq reconstruction taking place",
+    "مشروع", "مشاريع", "المشروع", "المشاريع", "بمشروع", "بمشاريع", "بالمشروع", "بالمشاريع",
+    "لمشروع", "لمشاريع", "للمشروع", "للمشاريع", "اعمار", "الاعمار", "باعمار", "بالاعمار",
+    "لاعمار", "للاعمار", "بناء", "البناء", "ببناء", "بالبناء", "لبناء", "للبناء",
+]
+
+# Per-term query templates (each listed term gives four queries).
+QUERY_TEMPLATES = ["{ctx} NEAR {term}", "{term} NEAR {ctx}", "{ctx} AND {term}", "{term} AND {ctx}"]
+
+# News-API request limits: newest first, at most this many records per request,
+# and windows of this many days.
+NEWS_MAX_RECORDS = 250
+NEWS_WINDOW_DAYS = 2

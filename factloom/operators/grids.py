@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.constants import NEWS_FIXED_QUERIES, QUERY_TEMPLATES
+
 
 def window_starts(start: Column, end: Column, days: int = 2) -> Column:
     """``array<struct<start, end>>`` of ``days``-long windows from ``start`` while start <= end."""
@@ -44,7 +46,9 @@ def page_offsets(limit: int = 50000, page_size: int = 100) -> Column:
     return F.sequence(F.lit(0), F.lit(limit - page_size), F.lit(page_size))
 
 
-QUERY_TEMPLATES = ["{ctx} NEAR {term}", "{term} NEAR {ctx}", "{ctx} AND {term}", "{term} AND {ctx}"]
+def fixed_queries(spark) -> DataFrame:
+    """The fixed query list as a one-column DataFrame (for ``query_grid``)."""
+    return spark.createDataFrame([(q,) for q in NEWS_FIXED_QUERIES], "query string")
 
 
 def query_grid(terms: DataFrame, start: Column, end: Column, days: int = 2,

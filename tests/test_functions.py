@@ -156,3 +156,18 @@ def test_zip_and_dict_routes_agree_when_all_fields_are_filled(spark):
     a = zip_explode(extract_fields(df, "s"), fields, ["id"]).collect()
     b = explode_projects(df, "s", ["id"]).collect()
     assert sorted(tuple(r) for r in a) == sorted(tuple(r) for r in b) and len(a) == 3
+
+
+def test_date_keys_and_start(spark):
+    df = spark.createDataFrame([("2024-03-07",)], "v string").select(D.parse_start(F.col("v")).alias("t"))
+    row = df.select(D.format_key(F.col("t"), "yyyyMMddHHmmss").alias("a"), D.format_key(F.col("t"), "MMddyy").alias("b"),
+                    D.parse_start(F.lit("not a date")).alias("c")).first()
+    assert (row.a, row.b, row.c) == ("20240307000000", "030724", None)
+
+
+def test_grid_with_fixed_queries(spark):
+    from factloom.operators.grids import fixed_queries, query_grid
+    terms = spark.createDataFrame([("dam",), ("dam",), ("road",)], "term string")
+    g = query_grid(terms, F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date"), 2, fixed_queries(spark))
+    assert g.count() == (2 * 4 + 32) * 2
+    assert g.filter(F.col("query") == "dam NEAR Iraq").count() == 2

@@ -132,3 +132,60 @@ def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataF
         "year": F.year("published"),
         "usd": usd_or_zero(F.col("amount_text")),
     })
+
+
+def news_articles(responses: DataFrame, pages: DataFrame | None = None, max_records: int = 250,
+                  response_col: str = "response", source: str = "news") -> DataFrame:
+    """News load: stored API responses per (query, window) -> articles.
+
+    S1 parse; O3 newest ``max_records`` per (query, window) (a
+    ``WindowGroupLimit`` plan); A4 one article per title inside each
+    result, the newest kept; D1 date; H7 main text of the stored page with
+    the same URL (P15: a non-empty page text replaces the feed text).
+    ``responses`` holds ``query``, ``win_start`` and ``response``.
+    """
+    from ..functions.dates import seendate_to_date
+    from ..operators.merge import top_k_per_group
+    from ..operators.pages import main_text
+    from ..sources.feeds import NEWS_RESPONSE, article_id
+
+    items = (responses.select("query", "win_start", F.from_json(F.col(response_col), NEWS_RESPONSE).alias("r"))
+             .select("query", "win_start", F.explode("r.articles").alias("a"))
+             .select("query", "win_start", "a.*"))
+    newest = [F.col("seendate").desc(), F.col("url"), F.col("title")]
+    top = top_k_per_group(items, ["query", "win_start"], newest, max_records, name="_rank")
+    first_title = top_k_per_group(top, ["query", "win_start", "title"], [F.col("_rank")], 1, name="_t")
+    arts = first_title.select(
+        article_id(F.lit(source), F.col("url"), F.col("title")).alias("doc_id"), F.lit(source).alias("source"),
+        "query", "win_start", "url", "title", "content", seendate_to_date(F.col("seendate")).alias("published"))
+    if pages is None:
+        return arts
+    full = main_text(pages).select(F.col("url").alias("_u"), F.col("main_text").alias("full_content"))
+    j = arts.join(full, arts["url"] == full["_u"], "left").drop("_u")
+    return j.withColumn("content", F.coalesce(F.nullif(F.col("full_content"), F.lit("")), F.col("content"))) \
+            .drop("full_content")
+
+
+def site_articles(listings: DataFrame, pages: DataFrame, start, end, max_hops: int = 5,
+                  compat_not_found: bool = False) -> DataFrame:
+    """Site load: listing pages -> cards in the date window -> article text.
+
+    H4 cards (link, title, date; incomplete cards skipped), D2/P9 window on
+    the UTC instant, then H6 + H1: the ``section.entry`` text of the page
+    reached by following "full report" links from the card's link (null,
+    or ``Not found`` with ``compat_not_found``, when it has none). Output
+    columns follow the article table (``published`` is the wall-clock
+    time of the listing, its offset dropped).
+    """
+    from ..operators.pages import followed_text, in_window, listing_cards
+    from ..sources.feeds import article_id
+
+    cards = in_window(listing_cards(listings), start, end)
+    text = followed_text(pages, max_hops, compat_not_found=compat_not_found).select(
+        F.col("start_url").alias("link"), F.col("body").alias("content"))
+    j = cards.join(text, "link", "left")
+    if compat_not_found:
+        j = j.withColumn("content", F.coalesce(F.col("content"), F.lit("Not found")))
+    return j.select(article_id(F.lit("site"), F.col("link"), F.col("title")).alias("doc_id"),
+                    F.lit("site").alias("source"), F.col("link").alias("url"), "title", "content",
+                    F.col("published_wall").alias("published"))

@@ -440,3 +440,49 @@ def evidence_checks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     loc = ev.location_evidence(F.col("text"), F.col("location"), compat=True, toks=tokens(F.col("text")))
     return j.select("doc_id", loc["found"].alias("location_found"), loc["n_terms"].alias("n_terms"),
                     loc["ratio"].alias("location_ratio"), loc["match"].alias("location_match"))
+
+
+# ------------------------------------------------------------------ news load composite
+_NEWS_INPUT_SQL = """
+SELECT d.doc_id, 'Iraq NEAR q' || CAST(d.doc_id % 2 AS VARCHAR) AS query, '2024-01-01' AS win_start,
+       p.url, regexp_extract(d.text, '^[\\p{L}\\p{N}_]*') AS title, d.text AS feed_text,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((d.doc_id * 7) % 1000 AS BIGINT)), '%Y%m%dT%H%M%SZ') AS seendate,
+       p.html
+FROM documents d JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages)"""
+
+
+def _news_sql() -> str:
+    from .q_pages import _NOISE, _PARAS_SQL, _sql_strip
+    art = f"regexp_replace(html, '{_NOISE}', ' ', 'g')"
+    main = (f"coalesce(CASE WHEN regexp_matches({art}, '(?is)<article\\b[^>]*>.*?</article\\s*>') THEN "
+            f"{_sql_strip(f'regexp_extract({art}, ' + chr(39) + '(?is)<article\\b[^>]*>(.*?)</article\\s*>' + chr(39) + ', 1)')} END, "
+            f"nullif(array_to_string({_PARAS_SQL}, ' '), ''))")
+    return f"""
+WITH i AS ({_NEWS_INPUT_SQL}),
+top AS (SELECT *, row_number() OVER (PARTITION BY query, win_start ORDER BY seendate DESC, url, title) AS rk FROM i),
+t250 AS (SELECT * FROM top WHERE rk <= 250),
+ft AS (SELECT *, row_number() OVER (PARTITION BY query, win_start, title ORDER BY rk) AS tk FROM t250)
+SELECT query, url, title, strftime(CAST(strptime(seendate, '%Y%m%dT%H%M%SZ') AS DATE), '%Y-%m-%d') AS published,
+       md5(coalesce(nullif({main}, ''), feed_text)) AS content_md5
+FROM ft WHERE tk = 1"""
+
+
+@register("news_articles", _news_sql())
+def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News load (S1, O3, A4, D1, H7, P15, U2): one stored response per document, two
+    queries, newest 250 per (query, window), one article per title, page text as content."""
+    from .composites import news_articles
+    d = table(spark, sf_dir, "documents")
+    p = table(spark, sf_dir, "pages")
+    npages = p.count()
+    j = d.withColumn("page_id", F.col("doc_id") % F.lit(npages)).join(p.select("page_id", "url"), "page_id")
+    seendate = F.date_format(F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, "
+                                    "CAST((doc_id * 7) % 1000 AS INT), 0)"), "yyyyMMdd'T'HHmmss'Z'")
+    item = F.struct(F.col("url"), F.regexp_extract("text", r"^[\p{L}\p{N}_]*", 0).alias("title"),
+                    seendate.alias("seendate"), F.col("text").alias("content"))
+    responses = j.select(F.concat(F.lit("Iraq NEAR q"), (F.col("doc_id") % 2).cast("string")).alias("query"),
+                         F.lit("2024-01-01").alias("win_start"),
+                         F.to_json(F.struct(F.array(item).alias("articles"))).alias("response"))
+    arts = news_articles(responses, p)
+    return arts.select("query", "url", "title", F.date_format("published", "yyyy-MM-dd").alias("published"),
+                       F.md5("content").alias("content_md5"))

@@ -90,3 +90,23 @@ def test_balanced_rank_equals_window_rank_on_a_hot_group(spark):
     a = sorted(tuple(r) for r in rank_within(df, "g", order).collect())
     b = sorted(tuple(r) for r in rank_within_balanced(df, "g", order, partitions=6).collect())
     assert a == b
+
+
+def test_site_articles_follow_links_in_window(spark):
+    from factloom.plans.composites import site_articles
+    card = ('<article><a rel="bookmark" href="{}" title="{}">x</a>'
+            '<abbr class="date time published updated" title="{}">d</abbr></article>')
+    listing = (card.format("/a/1", "One", "2024-05-02T10:00:00+03:00")
+               + card.format("/a/2", "Two", "2024-04-01T10:00:00+03:00")
+               + card.format("/a/3", "Three", "2024-05-03T09:00:00+00:00"))
+    listings = spark.createDataFrame([("https://s.example/list", listing)], "url string, html string")
+    pages = spark.createDataFrame([
+        ("https://s.example/a/1", '<section class="entry">Short. <a href="/r/1">Click here to read the full report.</a></section>'),
+        ("https://s.example/r/1", '<section class="entry"><p>Full report text</p></section>'),
+        ("https://s.example/a/3", "<div>no entry section</div>")], "url string, html string")
+    start = F.lit("2024-05-01 00:00:00").cast("timestamp")
+    end = F.lit("2024-05-31 00:00:00").cast("timestamp")
+    got = {r.title: r.content for r in site_articles(listings, pages, start, end).collect()}
+    assert got == {"One": "Full report text", "Three": None}
+    got = {r.title: r.content for r in site_articles(listings, pages, start, end, compat_not_found=True).collect()}
+    assert got == {"One": "Full report text", "Three": "Not found"}

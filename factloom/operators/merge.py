@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import DEDUPE_KEY, MASTER_COLUMNS
+from .joins import checked_broadcast
 
 
 def key_hash(cols) -> F.Column:
@@ -98,7 +99,7 @@ def rank_within_balanced(df: DataFrame, group_col: str, order_cols, name: str =
     2. per ``(partition, group)``: row count and first position - a table
        of at most partitions x groups rows;
     3. offsets = running count of the same group in earlier partitions
-       (a window over that small table), broadcast back;
+       (a window over that table), joined back (broadcast when proven small);
     4. rank = offset + position inside the partition.
     """
     from ..session import cut_lineage
@@ -111,7 +112,9 @@ def rank_within_balanced(df: DataFrame, group_col: str, order_cols, name: str =
     blocks = ordered.groupBy("_part", group_col).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    ranked = ordered.join(F.broadcast(offsets.select("_part", group_col, "_offset", "_first")),
+    # partitions x groups rows: broadcast when a count proves it small; else a
+    # shuffle join on (partition, group), which still spreads a hot group
+    ranked = ordered.join(checked_broadcast(offsets.select("_part", group_col, "_offset", "_first")),
                           ["_part", group_col])
     rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")
     return ranked.withColumn(name, rank).drop("_part", "_pos", "_offset", "_first")

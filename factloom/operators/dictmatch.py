@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import (CONTEXT_WORD, GATE_LABELS, GAZETTEER_NAME_COLUMNS,
                                    PROXIMITY_CHARS, SPECIAL_TERMS, WORD_RE)
 from ..functions.text import tokens
-from .joins import MAX_BROADCAST_ROWS, bounded_count, checked_broadcast
+from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, row_bytes
 
 DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token"]
 
@@ -108,12 +108,13 @@ def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """Size bound, longest term and special-term presence of a dictionary (one small job)."""
     special = (F.col("dict") == dict_name) & F.col("term").isin(list(special_terms or ["\u0000"]))
     row = dictionary.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("k"),
+        F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("k"), F.sum(row_bytes(dictionary)).alias("b"),
         F.max(F.when(special, 1).otherwise(0)).alias("sp")).first()
     n, k, sp = row["n"], row["k"] or 1, bool(row["sp"])
+    small = n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES
     if n > max_rows:  # too big to broadcast: the longest term must come from the whole table
         k = dictionary.agg(F.max("n_tokens")).first()[0] or 1
-    return DictionaryInfo(n, int(k), n <= max_rows, sp)
+    return DictionaryInfo(n, int(k), small, sp)
 
 
 def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str,

@@ -1,8 +1,9 @@
 """Join helpers: broadcast only what is proven small.
 
-A side is broadcast only after a cheap row count (``limit(n+1).count()``
-stops early on a big input) shows it is under a bound; beyond the bound the
-join is left to Spark's shuffle join (sort-merge, AQE skew handling).
+A side is broadcast only after one cheap job over at most ``n + 1`` of its
+rows (``limit`` stops early on a big input) shows it is under a row bound
+and a byte bound; beyond them the join is left to Spark's shuffle join
+(sort-merge, AQE skew handling).
 """
 
 from __future__ import annotations
@@ -10,9 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension table may have and still be broadcast. A gazetteer of
-# "thousands of names" is far below this; 2M short rows is ~100-200 MB.
+# Rows a side may have and still be broadcast (a gazetteer of "thousands of
+# names" is far below this), and its size in bytes, estimated as the JSON
+# length of its rows.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def row_bytes(df: DataFrame) -> F.Column:
+    """Approximate in-memory size of a row: the length of its JSON form."""
+    return F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns])))
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -20,9 +28,17 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
+def bounded_size(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[int, int]:
+    """(rows, approximate bytes) of at most ``max_rows + 1`` rows, in one job."""
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven small (rows and bytes), else ``df``."""
+    n, b = bounded_size(df, max_rows)
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "left",

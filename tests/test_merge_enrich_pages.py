@@ -110,3 +110,19 @@ def test_site_articles_follow_links_in_window(spark):
     assert got == {"One": "Full report text", "Three": None}
     got = {r.title: r.content for r in site_articles(listings, pages, start, end, compat_not_found=True).collect()}
     assert got == {"One": "Full report text", "Three": "Not found"}
+
+
+def test_checked_broadcast_switches_on_rows_and_bytes(spark):
+    from factloom.operators.joins import checked_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(1000).withColumnRenamed("id", "k")
+        dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.lit("x" * 100))
+
+        def plan(d):
+            return facts.join(d, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(checked_broadcast(dim))
+        assert "BroadcastHashJoin" not in plan(checked_broadcast(dim, max_rows=5))
+        assert "BroadcastHashJoin" not in plan(checked_broadcast(dim, max_bytes=500))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import CONTEXT_WORD
-from .text import WS_RUN, drop_stop_words, quote_regex, tokens, ustrip
+from .text import WS_RUN, bind, drop_stop_words, quote_regex, tokens, ustrip
 
 W = r"[\p{L}\p{N}_]"
 NW = r"[^\p{L}\p{N}_]"
@@ -24,10 +24,7 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and pass it to ``fn`` (a lambda argument is
-    computed once; a repeated sub-expression would be computed each time)."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
+_bind = bind
 
 
 def _finish(b) -> Column:

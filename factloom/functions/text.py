@@ -59,16 +59,22 @@ def word_count(text) -> Column:
     return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, WS_RUN)))
 
 
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn``: a lambda argument is
+    computed once, while a sub-expression written twice is computed twice."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def trim_to_words(text, max_words: int) -> Column:
     """Keep the first ``max_words`` words, only when the text is longer.
 
     Shorter texts are returned unchanged (spacing kept); longer ones are
-    re-joined with single spaces.
+    re-joined with single spaces. The text is split once.
     """
     t = _c(text)
-    words = F.split(ustrip(t), WS_RUN)
-    return F.when(F.size(words) > max_words,
-                  F.array_join(F.slice(words, 1, max_words), " ")).otherwise(t)
+    return bind(F.split(ustrip(t), WS_RUN),
+                lambda words: F.when(F.size(words) > max_words,
+                                     F.array_join(F.slice(words, 1, max_words), " ")).otherwise(t))
 
 
 def tokens(text) -> Column:

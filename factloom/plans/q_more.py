@@ -55,7 +55,8 @@ def special_term_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ J1 + A1 + A11 + J3 on names from the tables
 _NATION_GAZ_SQL = """(SELECT CAST(n.n_nationkey AS BIGINT) AS loc_id, 'nation' AS loc_type,
-   n.n_nationkey * 1.5 AS lat, n.n_regionkey * 2.0 AS lon, n.n_name AS town_en, CAST(NULL AS VARCHAR) AS town_ar,
+   CAST(n.n_nationkey * 1.5 AS DOUBLE) AS lat, CAST(n.n_regionkey * 2.0 AS DOUBLE) AS lon, n.n_name AS town_en,
+   CAST(NULL AS VARCHAR) AS town_ar,
    CAST(NULL AS VARCHAR) AS admin3_en, CAST(NULL AS VARCHAR) AS admin3_ar, r.r_name AS admin2_en,
    CAST(NULL AS VARCHAR) AS admin2_ar
  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey)"""

@@ -125,12 +125,16 @@ def object_evidence(text, what, toks=None) -> Column:
     w = _c(what)
     words = F.coalesce(F.filter(F.split(ustrip(w), WS_RUN), lambda x: x != ""), F.array().cast("array<string>"))
     found = F.size(F.filter(words, lambda x: has_word_fast(text, toks, x)))
-    phrase = F.coalesce(F.regexp_like(_c(text), near_regex(w)), F.lit(False))
     base = F.struct(found.cast("int").alias("found"), F.size(words).cast("int").alias("n_terms"),
-                    phrase.alias("phrase"), w.isNull().alias("missing"))
+                    w.isNull().alias("missing"))
+    # the phrase regex scans the whole text: run it only when the word ratio
+    # does not already decide, and when its first word occurs at all
+    first = ustrip(F.element_at(F.split(w, "NEAR/"), 1))
+    phrase = F.when(has_word_fast(text, toks, first),
+                    F.coalesce(F.regexp_like(_c(text), near_regex(w)), F.lit(False))).otherwise(F.lit(False))
 
     def finish(b):
         r = _finish(b)
         return F.struct(r["found"].alias("found"), r["n_terms"].alias("n_terms"), r["ratio"].alias("ratio"),
-                        F.when(b["missing"], F.lit(False)).otherwise(b["phrase"] | r["match"]).alias("match"))
+                        F.when(b["missing"], F.lit(False)).otherwise(r["match"] | phrase).alias("match"))
     return _bind(base, finish)

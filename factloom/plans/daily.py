@@ -1,4 +1,4 @@
-"""The daily finish-and-merge run (the reference's ``process_data``), as one call.
+"""The daily finish-and-merge run, as one call.
 
 facts (one row per project) -> 29 master columns -> merged over the
 current master snapshot with the keep-first rule -> ordered -> written as a

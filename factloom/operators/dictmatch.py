@@ -29,7 +29,7 @@ from ..functions.constants import (CONTEXT_WORD, GATE_LABELS, GAZETTEER_NAME_COL
 from ..functions.text import tokens
 from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, row_bytes
 
-DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token"]
+DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token", "entry"]
 
 
 # ------------------------------------------------------------ dictionaries
@@ -45,7 +45,7 @@ def _finish_dictionary(terms: DataFrame, dict_name: str) -> DataFrame:
     return (df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
             .select(F.lit(dict_name).alias("dict"), F.col("key").cast("string").alias("key"),
                     "term", "term_norm", F.col("n_tokens").cast("int").alias("n_tokens"),
-                    "first_token"))
+                    "first_token", F.xxhash64(F.lit(dict_name), "term_norm").alias("entry")))
 
 
 def place_dictionary(gazetteer: DataFrame, id_col: str = "loc_id",
@@ -126,7 +126,7 @@ def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: s
              .select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z")))
     cols = ["doc_id", "pos"] + [F.col(f"z.t{j}").alias(f"t{j}") for j in range(k)]
     grams = grams.select(*cols)
-    d = dictionary.select("dict", "key", "term", "term_norm", "n_tokens", "first_token")
+    d = dictionary.select("dict", "entry", "term_norm", "n_tokens", "first_token")
     d = F.broadcast(d) if info.broadcast else d
     cand = grams.join(d, grams["t0"] == d["first_token"], "inner")
     # text of the n-gram starting here, for the term's own length n
@@ -136,16 +136,14 @@ def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: s
         gram = F.concat(gram, F.lit(" "), F.col(f"t{n - 1}"))
         expr = expr.when(F.col("n_tokens") == n, gram)
     return (cand.filter(expr == F.col("term_norm"))
-            .select("doc_id", "dict", "pos", (F.col("pos") + F.col("n_tokens")).alias("end"),
-                    "key", "term"))
+            .select("doc_id", "dict", "pos", (F.col("pos") + F.col("n_tokens")).alias("end"), "entry"))
 
 
-def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
-                text_col: str = "content", info: DictionaryInfo | None = None) -> DataFrame:
-    """Leftmost-longest, non-overlapping hits per document and dictionary.
-
-    Returns ``(doc_id, dict, key, term, start, end)``; start/end are token
-    ordinals (end exclusive).
+def match_entries(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "content", info: DictionaryInfo | None = None) -> DataFrame:
+    """J1 core: ``(doc_id, dict, entry, start, end)`` - leftmost-longest,
+    non-overlapping hits per document and dictionary, as dictionary entry
+    ids (only integers travel through the shuffle, the window and the fold).
 
     Candidates sorted by ``(start, end desc)`` are cut into islands: a new
     island starts where no earlier candidate reaches. Inside an island a
@@ -164,9 +162,9 @@ def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
            .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     groups = (isl.groupBy("doc_id", "dict", "island")
               .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), (-F.col("end")).alias("neg_end"),
-                                                        "key", "term"))).alias("c")))
+                                                        "entry"))).alias("c")))
     init = F.struct(F.lit(-1).alias("last"),
-                    F.array().cast("array<struct<pos:int,neg_end:int,key:string,term:string>>").alias("kept"))
+                    F.array().cast("array<struct<pos:int,neg_end:int,entry:bigint>>").alias("kept"))
     kept = F.aggregate(
         "c", init,
         lambda acc, x: F.when(x["pos"] >= acc["last"],
@@ -174,8 +172,26 @@ def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
                                        F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc),
         lambda acc: acc["kept"])
     return (groups.select("doc_id", "dict", F.explode(kept).alias("h"))
-            .select("doc_id", "dict", "h.key", "h.term", F.col("h.pos").alias("start"),
-                    (-F.col("h.neg_end")).alias("end")))
+            .select("doc_id", "dict", "h.entry", F.col("h.pos").alias("start"), (-F.col("h.neg_end")).alias("end")))
+
+
+def entry_names(dictionary: DataFrame, info: DictionaryInfo) -> DataFrame:
+    """``(dict, entry, key, term)`` of a dictionary, broadcast when it is small."""
+    d = dictionary.select("dict", "entry", "key", "term")
+    return F.broadcast(d) if info.broadcast else d
+
+
+def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
+                text_col: str = "content", info: DictionaryInfo | None = None) -> DataFrame:
+    """Leftmost-longest, non-overlapping hits per document and dictionary.
+
+    Returns ``(doc_id, dict, key, term, start, end)``; start/end are token
+    ordinals (end exclusive). See ``match_entries``.
+    """
+    info = info or describe(dictionary)
+    hits = match_entries(docs, dictionary, id_col, text_col, info)
+    return (hits.join(entry_names(dictionary, info), ["dict", "entry"])
+            .select("doc_id", "dict", "key", "term", "start", "end"))
 
 
 # ------------------------------------------------------------------ T7
@@ -194,17 +210,23 @@ def _char_span(text: F.Column, start: F.Column, end: F.Column):
     return c0, c1
 
 
-def per_term(hits: DataFrame, topic_dict: str = "topic") -> DataFrame:
+def per_term(hits: DataFrame, names: DataFrame | None = None, topic_dict: str = "topic") -> DataFrame:
     """Hits folded to one row per (document, dictionary, key, term).
 
     ``n`` hits, ``first`` = (start, end) of the first one, and for topic
     terms every start (their labels are listed in text order). Partial
     aggregation runs before any shuffle; the input is already partitioned
-    by document, so no new exchange is planned.
+    by document, so no new exchange is planned. ``hits`` may carry entry
+    ids instead of names (``match_entries``): they are aggregated first and
+    named afterwards through ``names`` (``entry_names``).
     """
-    return (hits.groupBy("doc_id", "dict", "key", "term")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end")).alias("first"),
-                 F.collect_list(F.when(F.col("dict") == topic_dict, F.col("start"))).alias("starts")))
+    key = ["doc_id", "dict", "entry"] if names is not None else ["doc_id", "dict", "key", "term"]
+    agg = (hits.groupBy(*key)
+           .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end")).alias("first"),
+                F.collect_list(F.when(F.col("dict") == topic_dict, F.col("start"))).alias("starts")))
+    if names is None:
+        return agg
+    return agg.join(names, ["dict", "entry"]).select("doc_id", "dict", "key", "term", "n", "first", "starts")
 
 
 def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id",

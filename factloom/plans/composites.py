@@ -37,8 +37,8 @@ def document_matches(articles: DataFrame, gazetteer: DataFrame, topics: DataFram
     if topics is not None:
         dictionary = places.unionByName(dm.topic_dictionary(topics, keywords_col=topic_keywords))
     info = dm.describe(dictionary, special_terms=special_terms)
-    hits = dm.match_terms(articles, dictionary, id_col=id_col, text_col=text_col, info=info)
-    terms = dm.per_term(hits)
+    hits = dm.match_entries(articles, dictionary, id_col=id_col, text_col=text_col, info=info)
+    terms = dm.per_term(hits, dm.entry_names(dictionary, info))
     if info.has_special:
         terms = dm.suppress_ambiguous(cut_lineage(terms), articles, id_col=id_col, text_col=text_col,
                                       special_terms=special_terms, compat=compat)

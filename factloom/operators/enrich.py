@@ -119,3 +119,31 @@ def all_performed(df: DataFrame, col: str = "performed") -> bool:
 def is_relevant(check_col: str = "content_check") -> Column:
     """E2 + P8: the relevance answer contains "yes" (any case); null = no."""
     return F.coalesce(F.lower(F.col(check_col)).contains("yes"), F.lit(False))
+
+
+def usd_by_model(rows: DataFrame, responder: Callable[[pd.Series], pd.Series], id_col: str,
+                 amount_col: str = "amount_text", responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """USD by model: ask for the amount in dollars, read the reply with M1.
+
+    Returns ``(rows + usd, new responses)``; pass yesterday's response table
+    as ``responses`` and only amounts never asked about are sent.
+    """
+    from ..functions.money import usd_or_zero
+    req = build_requests(rows, id_col, amount_col, "usd", USD_TEMPLATE)
+    new = run_responder(pending(req, responses), responder)
+    answered = new if responses is None else responses.unionByName(new)
+    out = attach_responses(rows, answered, id_col, "usd", out_col="usd_reply").drop("performed")
+    return out.withColumn("usd", usd_or_zero(strip_reply("usd_reply"))), new
+
+
+def relevance(rows: DataFrame, responder: Callable[[pd.Series], pd.Series], id_col: str,
+              text_col: str = "content", responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """E2 + P8: ask whether each row is relevant; keep the rows answered "yes".
+
+    Returns ``(relevant rows with content_check, new responses)``.
+    """
+    req = build_requests(rows, id_col, text_col, "relevance", RELEVANCE_TEMPLATE)
+    new = run_responder(pending(req, responses), responder)
+    answered = new if responses is None else responses.unionByName(new)
+    out = attach_responses(rows, answered, id_col, "relevance", out_col="content_check")
+    return out.filter(is_relevant("content_check")), new

@@ -126,3 +126,34 @@ def test_checked_broadcast_switches_on_rows_and_bytes(spark):
         assert "BroadcastHashJoin" not in plan(checked_broadcast(dim, max_bytes=500))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_usd_by_model_and_relevance(spark):
+    rows = spark.createDataFrame([(1, "2 billion dinars", "about Iraq"), (2, "n/a", "weather")],
+                                 "id long, amount_text string, content string")
+
+    def money(prompts):
+        return prompts.map(lambda p: ' "$1540000" ' if "billion" in p else "0")
+
+    def judge(prompts):
+        return prompts.map(lambda p: "Yes, Iraq" if "Iraq" in p.rsplit("\n", 1)[1] else "no")
+
+    out, asked = E.usd_by_model(rows, money, "id")
+    assert {r.id: r.usd for r in out.collect()} == {1: 1540000.0, 2: 0.0}
+    _, again = E.usd_by_model(rows, money, "id", responses=asked)
+    assert again.count() == 0
+    rel, _ = E.relevance(rows, judge, "id")
+    assert [r.id for r in rel.collect()] == [1]
+    full = spark.createDataFrame([(1, "", "c1"), (2, "full", "c2")], "id long, full_content string, content string")
+    assert [r[0] for r in full.select(E.prefer_full_text(full)).orderBy("id").collect()] == ["c1", "full"]
+
+
+def test_read_html_files(spark):
+    import tempfile
+    from factloom.sources.pages import read_html_files
+    root = tempfile.mkdtemp(prefix="factloom-html-")
+    for name, body in [("a.html", "<p>A</p>"), ("b.html", "<p>B</p>")]:
+        with open(f"{root}/{name}", "w") as f:
+            f.write(body)
+    got = {r.url: r.html for r in read_html_files(spark, f"{root}/*.html", base_url="https://s.example/").collect()}
+    assert got == {"https://s.example/a.html": "<p>A</p>", "https://s.example/b.html": "<p>B</p>"}

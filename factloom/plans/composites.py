@@ -70,7 +70,9 @@ def label_and_gate(articles: DataFrame, gazetteer: DataFrame, topics: DataFrame,
     if materialize:
         gated = cut_lineage(gated)
         gated = checked_broadcast(gated)
-    return arts.join(gated, id_col, "inner")
+    # gated ids all have text, so the join needs no second look at the text
+    # column: the scan reads only the columns the caller keeps
+    return articles.join(gated, id_col, "inner")
 
 
 def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str = "location",

@@ -67,7 +67,7 @@ def report_link(html_col: str = "html", link_text: str = FULL_REPORT_TEXT) -> F.
 
 
 def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url",
-                        html_col: str = "html") -> DataFrame:
+                        html_col: str = "html", starts: DataFrame | None = None) -> DataFrame:
     """H6 + J10: follow "full report" links through the stored pages.
 
     Each start page walks ``link -> page`` by a self-join, one hop per
@@ -75,13 +75,16 @@ def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url
     the text comes from the last page reached. Rounds stop when no chain
     moves or after ``max_hops``; each round is checkpointed to the shared
     folder so the plan stays short and survives executor loss.
-    Output ``(start_url, final_url, hops)``.
+    ``starts`` (one column of URLs) limits the walks to those start pages;
+    by default every stored page starts one. Output ``(start_url, final_url, hops)``.
     """
     links = pages.select(F.col(url_col).alias("u"), absolute_url(F.col(url_col), report_link(html_col)).alias("nxt"))
     # the link table is read once per hop: extract it from the HTML once
     links = cut_lineage(links.filter(F.col("nxt").isNotNull()))
-    state = pages.select(F.col(url_col).alias("start_url"), F.col(url_col).alias("final_url"),
-                         F.array(F.col(url_col)).alias("seen"), F.lit(0).alias("hops"), F.lit(True).alias("live"))
+    first = pages.select(F.col(url_col).alias("u0")) if starts is None else \
+        starts.select(F.col(starts.columns[0]).alias("u0")).distinct()
+    state = first.select(F.col("u0").alias("start_url"), F.col("u0").alias("final_url"),
+                         F.array(F.col("u0")).alias("seen"), F.lit(0).alias("hops"), F.lit(True).alias("live"))
     for _ in range(max_hops):
         moved = (state.join(links, state["final_url"] == links["u"], "left")
                  .withColumn("go", F.col("live") & F.col("nxt").isNotNull() & ~F.array_contains("seen", F.col("nxt"))))
@@ -98,24 +101,28 @@ def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url
 
 
 def followed_text(pages: DataFrame, max_hops: int = 5, tag: str = "section", css_class: str | None = "entry",
-                  compat_not_found: bool = False) -> DataFrame:
+                  compat_not_found: bool = False, starts: DataFrame | None = None) -> DataFrame:
     """H1 + H2 + H6: the body text reached by following "full report" links.
 
     ``(start_url, final_url, hops, body)``; ``body`` is null when the last
     link points to a page that is not stored, or the page has no such
     element (``compat_not_found=True``: the text ``Not found`` then).
     """
-    chains = follow_report_links(pages, max_hops)
-    bodies = article_body(pages, tag=tag, css_class=css_class, compat_not_found=compat_not_found)
-    bodies = bodies.select(F.col("url").alias("final_url"), "body")
-    return chains.join(bodies, "final_url", "left")
+    chains = follow_report_links(pages, max_hops, starts=starts)
+    # join the pages reached first, then extract: only those pages are parsed
+    reached = chains.join(pages.select(F.col("url").alias("final_url"), "html"), "final_url", "left")
+    return article_body(reached, tag=tag, css_class=css_class, compat_not_found=compat_not_found).drop("html")
 
 
 def replace_with_full_text(df: DataFrame, pages: DataFrame, url_col: str = "url",
                            check_col: str = "content_check", text_col: str = "content") -> DataFrame:
-    """H8: relevant rows take the paragraph text of their stored page when it is not empty."""
-    full = pages.select(F.col("url").alias("_u"), paragraphs_text(F.col("html")).alias("full_content"))
-    j = df.join(full, df[url_col] == full["_u"], "left").drop("_u")
+    """H8: relevant rows take the paragraph text of their stored page when it is not empty.
+
+    Pages are joined first and parsed after, so only the pages of these rows are parsed.
+    """
+    stored = pages.select(F.col("url").alias("_u"), F.col("html").alias("_html"))
+    j = (df.join(stored, df[url_col] == stored["_u"], "left").drop("_u")
+         .withColumn("full_content", paragraphs_text(F.col("_html"))).drop("_html"))
     relevant = F.coalesce(F.lower(F.col(check_col)).contains("yes"), F.lit(False))
     use = relevant & F.coalesce(F.col("full_content") != "", F.lit(False))
     return j.withColumn(text_col, F.when(use, F.col("full_content")).otherwise(F.col(text_col)))

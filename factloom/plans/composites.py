@@ -162,10 +162,11 @@ def news_articles(responses: DataFrame, pages: DataFrame | None = None, max_reco
         "query", "win_start", "url", "title", "content", seendate_to_date(F.col("seendate")).alias("published"))
     if pages is None:
         return arts
-    full = main_text(pages).select(F.col("url").alias("_u"), F.col("main_text").alias("full_content"))
-    j = arts.join(full, arts["url"] == full["_u"], "left").drop("_u")
-    return j.withColumn("content", F.coalesce(F.nullif(F.col("full_content"), F.lit("")), F.col("content"))) \
-            .drop("full_content")
+    # join the stored pages first, then extract: only the pages of these articles are parsed
+    stored = pages.select(F.col("url").alias("_u"), "html")
+    j = main_text(arts.join(stored, arts["url"] == stored["_u"], "left").drop("_u"))
+    return (j.withColumn("content", F.coalesce(F.nullif(F.col("main_text"), F.lit("")), F.col("content")))
+            .drop("main_text", "html"))
 
 
 def site_articles(listings: DataFrame, pages: DataFrame, start, end, max_hops: int = 5,
@@ -183,7 +184,8 @@ def site_articles(listings: DataFrame, pages: DataFrame, start, end, max_hops: i
     from ..sources.feeds import article_id
 
     cards = in_window(listing_cards(listings), start, end)
-    text = followed_text(pages, max_hops, compat_not_found=compat_not_found).select(
+    text = followed_text(pages, max_hops, compat_not_found=compat_not_found,
+                         starts=cards.select("link")).select(
         F.col("start_url").alias("link"), F.col("body").alias("content"))
     j = cards.join(text, "link", "left")
     if compat_not_found:

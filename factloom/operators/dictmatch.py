@@ -109,8 +109,10 @@ def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     special = (F.col("dict") == dict_name) & F.col("term").isin(list(special_terms or ["\u0000"]))
     row = dictionary.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("k"), F.sum(row_bytes(dictionary)).alias("b"),
-        F.max(F.when(special, 1).otherwise(0)).alias("sp")).first()
+        F.max(F.when(special, 1).otherwise(0)).alias("sp"), F.count_distinct("entry").alias("ids")).first()
     n, k, sp = row["n"], row["k"] or 1, bool(row["sp"])
+    if n <= max_rows and row["ids"] != n:
+        raise ValueError("two dictionary terms share an entry id (64-bit hash collision); rename one term")
     small = n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES
     if n > max_rows:  # too big to broadcast: the longest term must come from the whole table
         k = dictionary.agg(F.max("n_tokens")).first()[0] or 1

@@ -81,7 +81,10 @@ def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str =
     """Geocode a location text column by the gazetteer.
 
     ``keep='matched'`` keeps only rows with a match (the reference's filter).
+    Location columns already on ``rows`` (e.g. the article-level match of
+    the pre-filter) are replaced by this match.
     """
+    rows = rows.drop(*[c for c in LOCATION_COLUMNS if c in rows.columns])
     m = document_matches(rows, gazetteer, None, id_col=id_col, text_col=text_col,
                          special_terms=special_terms, compat=compat)
     m = m.withColumnRenamed("doc_id", id_col)

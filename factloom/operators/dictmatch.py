@@ -249,14 +249,16 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     sp = terms.filter((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms)))
     first = sp.select("doc_id", "term", F.col("first").alias("s"))
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    j = text.join(checked_broadcast(first), "doc_id")
+    first_b = checked_broadcast(first)
+    small = first_b is not first          # the drop list below is a subset: same decision
+    j = text.join(first_b, "doc_id")
     c0, c1 = _char_span(F.col("_text"), F.col("s.start"), F.col("s.end"))
     lo = F.greatest(c0 - window, F.lit(0))
     hi = F.least(c1 + window, F.length("_text"))
     around = F.lower(F.substring("_text", lo + 1, hi - lo))
     needle = F.lit(context) if compat else F.lit(context.lower())
     drop = j.filter(~F.contains(around, needle)).select("doc_id", "term", F.lit(dict_name).alias("dict"))
-    return terms.join(checked_broadcast(drop), ["doc_id", "dict", "term"], "left_anti")
+    return terms.join(F.broadcast(drop) if small else drop, ["doc_id", "dict", "term"], "left_anti")
 
 
 def summarize(terms: DataFrame, place_dict: str = "place", topic_dict: str = "topic",

@@ -65,3 +65,28 @@ def test_keep_first_one_row_per_key_and_the_smallest_order(spark, rows):
     assert keep_first(keep_first(df, ["k"], ["p", "seq"]), ["k"], ["p", "seq"]).count() == len(out)
     assert df.select("k").distinct().count() == len(out)
     assert df.filter(F.col("k").isNull()).count() == 0 or None in keys
+
+
+def test_gate_does_not_depend_on_order_or_partitions(spark):
+    from factloom.plans import catalog as c
+    from factloom.plans import fixtures as fx
+    from factloom.plans.composites import label_and_gate
+    docs = c.articles(spark, "/root/testdata/sf0.001")
+    a = label_and_gate(docs, fx.gazetteer(spark), fx.topics(spark)).select("doc_id", "loc_id", "matched_term",
+                                                                           "topic_terms")
+    shuffled = docs.repartition(7, F.rand(3)).orderBy(F.rand(5))
+    b = label_and_gate(shuffled, fx.gazetteer(spark), fx.topics(spark)).select("doc_id", "loc_id", "matched_term",
+                                                                              "topic_terms")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.one_of(st.none(), st.sampled_from([" n/a", "Basra", "", "unknown ", "x"])),
+                         min_size=6, max_size=6), min_size=1, max_size=20))
+def test_score_between_zero_and_six(spark, rows):
+    from factloom.functions.labels import completeness_score
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string")
+    scores = [r[0] for r in df.select(completeness_score("a", "b", "c", "d", "e", "f")).collect()]
+    fillers = {"n/a", "unknown"}
+    want = [sum(1 for v in r if v is not None and v.strip().lower() not in fillers) for r in rows]
+    assert scores == want and all(0 <= s <= 6 for s in scores)

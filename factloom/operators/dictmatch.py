@@ -8,13 +8,15 @@ Semantics (one rule for every dictionary):
   taken and the scan resumes after it (leftmost-longest, no overlaps);
 * a term added twice keeps its last payload (``ord`` order).
 
-Physical plan (``match_terms``): one narrow pass per document builds, for
+Physical plan (``match_entries``): one narrow pass per document builds, for
 every token, a struct of the token and the next ``k-1`` tokens (``k`` =
 longest term), which is probed against the dictionary by a broadcast hash
-join on the first token. Only real candidates survive the join; they are
-shuffled once by ``doc_id`` and every later step (overlap islands, greedy
-fold, per-term / per-key / per-document aggregation) reuses that partitioning.
-The token array itself is never carried on exploded rows.
+join on the first token (broadcast only when ``describe`` proved the
+dictionary small). Only real candidates survive the join, as integers
+(document, position, end, entry id); they are shuffled once by ``doc_id``
+and every later step (overlap islands, greedy fold, per-term / per-key /
+per-document aggregation) reuses that partitioning. Names are joined back
+after aggregation. The token array itself is never carried on exploded rows.
 """
 
 from __future__ import annotations

@@ -1,10 +1,12 @@
-"""Composite operators: the reference's multi-step functions as one call.
-
-* ``label_and_gate`` - news / social / file pre-filter (dictionary match,
-  context rule, winner, gazetteer attributes, topic labels, gate);
-* ``geocode`` - the same machinery on the extracted location text;
-* ``facts`` - zip/parse projects, evidence, geocode, labels, score, USD;
-* ``merge_master`` lives in ``operators.merge``.
+"""Composite operators: the multi-step flows as one call each.
+
+* ``document_matches`` - per document: winning place with attributes and
+  topic labels (dictionary match, context rule, winner, gazetteer join);
+* ``label_and_gate`` - news / social / file pre-filter (the above + gate);
+* ``geocode`` - the same machinery on an extracted location text;
+* ``project_facts`` - parse projects, evidence, geocode, labels, score, USD;
+* ``news_articles`` / ``site_articles`` - the two source loaders;
+* the daily merge lives in ``plans.daily``, the merge rule in ``operators.merge``.
 """
 
 from __future__ import annotations

@@ -8,6 +8,10 @@ the keep-first rule, then published as a new snapshot. The dictionary
 match needs joins, windows and aggregations over the batch, so it runs in
 ``foreachBatch`` (batch semantics per epoch). The merge is idempotent, so a
 re-run epoch after a failure writes the same result again.
+
+Each epoch publishes a complete new snapshot of the master table (the
+dated-copy rule), so the trigger should follow the merge cadence: run with
+``available_now=True`` once per period rather than every few seconds.
 """
 
 from __future__ import annotations

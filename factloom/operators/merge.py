@@ -22,10 +22,14 @@ def key_hash(cols) -> F.Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}), 256)
 
 
-def keep_first(df: DataFrame, key_cols, order_cols) -> DataFrame:
-    """One row per key, the first by ``order_cols``; map-side combined."""
+def keep_first(df: DataFrame, key_cols, order_cols, hashed_key: str | None = None) -> DataFrame:
+    """One row per key, the first by ``order_cols``; map-side combined.
+
+    ``hashed_key`` names a column that already holds ``key_hash(key_cols)``.
+    """
     cols = df.columns
-    packed = (df.withColumn("_k", key_hash(key_cols))
+    keyed = df.withColumn("_k", F.col(hashed_key)) if hashed_key else df.withColumn("_k", key_hash(key_cols))
+    packed = (keyed
               .groupBy("_k")
               .agg(F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order_cols])).alias("_r")))
     return packed.select("_r.*")
@@ -56,12 +60,28 @@ def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
     Both inputs carry ``columns`` and ``seq_col``. New rows win over master
     rows; within one side the smaller ``seq_col`` wins. The result has
     ``columns`` plus ``priority`` (0 = from the new batch).
+
+    Only keys present in the new batch can change. When the batch's key
+    hashes are proven small they are broadcast, master rows with other keys
+    pass through untouched (no shuffle of the master), and only the batch
+    plus the master rows sharing its keys go through the keep-first
+    aggregation. Otherwise everything goes through it in one shuffle.
     """
-    n = distinct_rows(new.select(*columns, seq_col)).withColumn("priority", F.lit(0))
-    m = master.select(*columns, seq_col).withColumn("priority", F.lit(1))
-    both = n.unionByName(m)
-    kept = keep_first(both, key_cols, ["priority", seq_col])
-    return kept.select(*columns, "priority", seq_col)
+    from ..session import cut_lineage
+    # the batch is read for its keys and for the merge: materialise it once
+    n = cut_lineage(new.select(*columns, seq_col).withColumn("priority", F.lit(0))
+                    .withColumn("_h", key_hash(key_cols)))
+    m = master.select(*columns, seq_col).withColumn("priority", F.lit(1)).withColumn("_h", key_hash(key_cols))
+    keys = n.select("_h").distinct()
+    keys_b = checked_broadcast(keys)
+    out = columns + ["priority", seq_col]
+    order = ["priority", seq_col]
+    if keys_b is keys:          # too many new keys to broadcast: one shuffle of everything
+        return keep_first(n.unionByName(m), key_cols, order, hashed_key="_h").select(*out)
+    touched = m.join(keys_b, "_h", "left_semi")
+    untouched = m.join(keys_b, "_h", "left_anti")
+    merged = keep_first(n.unionByName(touched), key_cols, order, hashed_key="_h")
+    return merged.select(*out).unionByName(untouched.select(*out))
 
 
 def master_order(df: DataFrame, year_col: str = "year", score_col: str = "sort_score",

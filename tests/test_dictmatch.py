@@ -100,3 +100,17 @@ def test_topic_labels_in_text_order_and_gate(spark):
     assert [(r.doc_id, r.topic_terms) for r in lab] == [(1, "Build, Project")]
     row = lab[0]
     assert spark.createDataFrame([(row.topic_terms,)], "t string").select(dm.passes_gate(F.col("t"))).first()[0]
+
+
+def test_shuffle_join_path_gives_the_same_hits(spark):
+    texts = ["new york city is new", "a b c d e", "york city new york"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
+    g = gaz(spark, [(1, "t", 0.0, 0.0, "New York"), (2, "t", 0.0, 0.0, "York City"), (3, "t", 0.0, 0.0, "New"),
+                    (4, "t", 0.0, 0.0, "b c"), (5, "t", 0.0, 0.0, "c d e")])
+    d = dm.place_dictionary(g)
+    small = dm.describe(d)
+    big = dm.describe(d, max_rows=1)
+    assert small.broadcast and not big.broadcast and big.max_tokens == small.max_tokens == 3
+    a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=small).collect())
+    b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=big).collect())
+    assert a == b and len(a) == 5          # "c d e" overlaps the earlier "b c"

@@ -53,30 +53,42 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
     return out
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a plan (file sizes for scans; no job runs)."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
 def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
-                 columns=MASTER_COLUMNS, seq_col: str = "ingest_seq") -> DataFrame:
+                 columns=MASTER_COLUMNS, seq_col: str = "ingest_seq",
+                 split_untouched: bool | None = None) -> DataFrame:
     """U3 + A5 + A6: new rows, then master rows; one row per identity key.
 
     Both inputs carry ``columns`` and ``seq_col``. New rows win over master
     rows; within one side the smaller ``seq_col`` wins. The result has
     ``columns`` plus ``priority`` (0 = from the new batch).
 
-    Only keys present in the new batch can change. When the batch's key
-    hashes are proven small they are broadcast, master rows with other keys
-    pass through untouched (no shuffle of the master), and only the batch
-    plus the master rows sharing its keys go through the keep-first
-    aggregation. Otherwise everything goes through it in one shuffle.
+    Only keys present in the new batch can change. When the batch is much
+    smaller than the master (optimizer estimates, or ``split_untouched``)
+    and its key hashes are proven small, they are broadcast: master rows
+    with other keys pass through untouched (no shuffle of the master), and
+    only the batch plus the master rows sharing its keys go through the
+    keep-first aggregation. Otherwise everything goes through it in one
+    shuffle.
     """
-    from ..session import cut_lineage
-    # the batch is read for its keys and for the merge: materialise it once
-    n = cut_lineage(new.select(*columns, seq_col).withColumn("priority", F.lit(0))
-                    .withColumn("_h", key_hash(key_cols)))
+    n = new.select(*columns, seq_col).withColumn("priority", F.lit(0)).withColumn("_h", key_hash(key_cols))
     m = master.select(*columns, seq_col).withColumn("priority", F.lit(1)).withColumn("_h", key_hash(key_cols))
-    keys = n.select("_h").distinct()
-    keys_b = checked_broadcast(keys)
     out = columns + ["priority", seq_col]
     order = ["priority", seq_col]
-    if keys_b is keys:          # too many new keys to broadcast: one shuffle of everything
+    if split_untouched is None:
+        split_untouched = estimated_bytes(new) * 10 <= estimated_bytes(master)
+    keys_b = None
+    if split_untouched:
+        keys = n.select("_h").distinct()
+        keys_b = checked_broadcast(keys)
+        if keys_b is keys:
+            keys_b = None
+    if keys_b is None:          # one shuffle of everything
         return keep_first(n.unionByName(m), key_cols, order, hashed_key="_h").select(*out)
     touched = m.join(keys_b, "_h", "left_semi")
     untouched = m.join(keys_b, "_h", "left_anti")

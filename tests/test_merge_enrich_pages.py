@@ -157,3 +157,11 @@ def test_read_html_files(spark):
             f.write(body)
     got = {r.url: r.html for r in read_html_files(spark, f"{root}/*.html", base_url="https://s.example/").collect()}
     assert got == {"https://s.example/a.html": "<p>A</p>", "https://s.example/b.html": "<p>B</p>"}
+
+
+def test_merge_paths_agree(spark):
+    master = rows(spark, [(f"u{i}", "a", 1, i) for i in range(50)])
+    new = rows(spark, [("u3", "a", 9, 100), ("u70", "b", 9, 101), ("u3", "a", 8, 99)])
+    a = as_set(merge_master(new, master, KEY, COLS, split_untouched=True))
+    b = as_set(merge_master(new, master, KEY, COLS, split_untouched=False))
+    assert a == b and ("u3", "a", 8, 0) in a and len(a) == 51

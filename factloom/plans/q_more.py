@@ -201,15 +201,18 @@ def order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("query_grid", """
-WITH t AS (SELECT DISTINCT p_name AS term FROM part),
+WITH t AS (SELECT DISTINCT regexp_extract(text, '^[\\p{L}\\p{N}_]+') AS term FROM documents
+           WHERE regexp_extract(text, '^[\\p{L}\\p{N}_]+') <> ''),
 q AS (SELECT unnest(['Iraq NEAR ' || term, term || ' NEAR Iraq', 'Iraq AND ' || term, term || ' AND Iraq']) AS query FROM t
       UNION ALL SELECT r_name FROM region)
 SELECT query, strftime(DATE '2024-01-01' + CAST(2 * i AS INTEGER), '%Y-%m-%d') AS win_start,
        strftime(DATE '2024-01-01' + CAST(2 * i + 2 AS INTEGER), '%Y-%m-%d') AS win_end
 FROM q, (SELECT unnest(range(4)) AS i)""")
 def query_grid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct part names x 4 templates, plus region names as fixed queries, x 2-day windows."""
-    terms = table(spark, sf_dir, "part").select(F.col("p_name").alias("term"))
+    """Distinct terms (the first word of each document) x 4 templates, plus region
+    names as fixed queries, x 2-day windows."""
+    first = F.regexp_extract("text", r"^[\p{L}\p{N}_]+", 0)
+    terms = table(spark, sf_dir, "documents").select(first.alias("term")).filter(F.col("term") != "")
     fixed = table(spark, sf_dir, "region").select("r_name")
     g = query_grid(terms, F.lit("2024-01-01").cast("date"), F.lit("2024-01-07").cast("date"), 2, fixed)
     return g.select("query", F.date_format("win_start", "yyyy-MM-dd").alias("win_start"),

@@ -100,7 +100,7 @@ def geocode(rows: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str =
 def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataFrame | None = None,
                   id_col: str = "doc_id", text_col: str = "content", response_col: str = "summaries",
                   parse: str = "dicts", compat: bool = False, keep: str = "matched",
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, usd_from: str = "amount_text") -> DataFrame:
     """Stored responses -> one geocoded, labelled, scored row per project.
 
     ``parse='dicts'`` reads each dict as one project (L4-L6); ``'zip'``
@@ -108,11 +108,14 @@ def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataF
     rule). Then: presence flags (T2) and evidence (T6) against ``text_col``,
     geocoding of the location (keep only matched rows by default, P7),
     labels (J5, or rules only without a report), completeness score (T11),
-    year (D4) and USD from the amount text (M1, null -> 0).
+    year (D4) and USD (null -> 0): ``usd_from='amount_text'`` reads the
+    amount text with M1, a column name (e.g. ``usd_reply`` from
+    ``enrich.usd_by_model``) reads that column with M1, and ``'spans'``
+    takes the largest converted amount in the amount text (M2-M5).
     """
     from ..functions.constants import PROJECT_FIELDS, SCORE_FIELDS
     from ..functions.labels import category_by_rules, completeness_score
-    from ..functions.money import usd_or_zero
+    from ..functions.money import usd_from_text, usd_or_zero
     from ..operators.labels import label_map, match_labels
     from ..operators.nested import evidence_columns, explode_projects, extract_fields, presence_flags, zip_explode
 
@@ -137,7 +140,8 @@ def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataF
     return rows.withColumns({
         "sort_score": completeness_score(*SCORE_FIELDS),
         "year": F.year("published"),
-        "usd": usd_or_zero(F.col("amount_text")),
+        "usd": (F.coalesce(usd_from_text(F.col("amount_text")), F.lit(0.0)) if usd_from == "spans"
+                else usd_or_zero(F.col(usd_from))),
     })
 
 

@@ -144,3 +144,14 @@ def test_golden_pipeline(spark):
     # merging the same facts again changes nothing
     daily_merge(facts, base, "2024-05-02")
     assert read_master(spark, base).count() == 8
+
+
+def test_usd_sources(spark):
+    arts = spark.createDataFrame(
+        [(1, "u", "T", "Build in Basra", D, "[{'Location of project': 'Basra', "
+          "'Amount of money being spent': 'two billion Iraqi dinars'}]", "$1540000")],
+        "doc_id long, url string, title string, content string, published date, summaries string, usd_reply string")
+    gaz = spark.createDataFrame(GAZ, GAZ_SCHEMA)
+    assert project_facts(arts, gaz).first().usd == 0.0                       # M1 cannot read words
+    assert project_facts(arts, gaz, usd_from="spans").first().usd == 2e9 * 0.00077
+    assert project_facts(arts, gaz, usd_from="usd_reply").first().usd == 1540000.0

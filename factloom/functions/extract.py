@@ -41,6 +41,33 @@ def dict_blocks(text) -> Column:
                       F.array().cast("array<string>"))
 
 
+def balanced_blocks(s: str | None) -> list[str]:
+    """Every balanced ``{...}`` substring, in the order it closes (inner before outer)."""
+    if s is None:
+        return []
+    opened, out = [], []
+    for i, ch in enumerate(s):
+        if ch == "{":
+            opened.append(i)
+        elif ch == "}" and opened:
+            out.append(s[opened.pop():i + 1])
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nested_blocks_udf(texts):
+    return texts.map(balanced_blocks)
+
+
+def dict_blocks_nested(text) -> Column:
+    """L4 (nested form): balanced blocks with nesting, inner before outer.
+
+    Java regex cannot match nested braces, so this is an Arrow-batched
+    pandas UDF (a stack scan per text); the flat form needs no Python.
+    """
+    return _nested_blocks_udf(_c(text))
+
+
 def literal_to_json(block) -> Column:
     """Rewrite a Python-literal dict to JSON text (quotes stay for Jackson).
 
@@ -94,9 +121,11 @@ def text_to_map(text) -> Column:
     return F.map_from_entries(last)
 
 
-def parsed_dicts(response) -> Column:
-    """L4 + L5: every dict block that parses, as a project struct, in text order."""
-    parsed = F.filter(F.transform(dict_blocks(response), parse_literal_dict), lambda m: m.isNotNull())
+def parsed_dicts(response, nested: bool = False) -> Column:
+    """L4 + L5: every dict block that parses, as a project struct, in text order
+    (``nested=True``: balanced blocks with nesting, inner before outer)."""
+    blocks = dict_blocks_nested(response) if nested else dict_blocks(response)
+    parsed = F.filter(F.transform(blocks, parse_literal_dict), lambda m: m.isNotNull())
     return F.transform(parsed, map_to_project)
 
 

@@ -28,14 +28,14 @@ def zip_explode(df: DataFrame, list_cols, retain_cols) -> DataFrame:
             .select(*retain_cols, "ordinal", *[F.col(f"_z.{c}").alias(c) for c in list_cols]))
 
 
-def explode_projects(df: DataFrame, response_col: str, retain_cols) -> DataFrame:
+def explode_projects(df: DataFrame, response_col: str, retain_cols, nested: bool = False) -> DataFrame:
     """L4 + L5 (+ L6): parse each dict of the response as its own project.
 
     Unlike ``zip_explode`` a field missing in one project stays null in
     that project (no shift), and values holding apostrophes are kept.
     """
     keep = [c for c in retain_cols if c != response_col]
-    parsed = df.select(*keep, F.col(response_col), parsed_dicts(F.col(response_col)).alias("_d"))
+    parsed = df.select(*keep, F.col(response_col), parsed_dicts(F.col(response_col), nested).alias("_d"))
     full = parsed.select(*keep, F.col(response_col), with_fallback(F.col(response_col), F.col("_d")).alias("_all"))
     out = full.select(*keep, F.col(response_col), F.posexplode("_all").alias("ordinal", "_p"))
     return out.select(*retain_cols, "ordinal", "_p.*")

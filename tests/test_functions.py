@@ -171,3 +171,11 @@ def test_grid_with_fixed_queries(spark):
     g = query_grid(terms, F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date"), 2, fixed_queries(spark))
     assert g.count() == (2 * 4 + 32) * 2
     assert g.filter(F.col("query") == "dam NEAR Iraq").count() == 2
+
+
+def test_nested_blocks(spark):
+    s = "x {'a': {'b': 'c'}} y {'d': 'e'}"
+    assert X.balanced_blocks(s) == ["{'b': 'c'}", "{'a': {'b': 'c'}}", "{'d': 'e'}"]
+    assert one(spark, X.dict_blocks_nested, s) == X.balanced_blocks(s)
+    assert one(spark, X.dict_blocks, s) == ["{'b': 'c'}", "{'d': 'e'}"]
+    assert one(spark, X.dict_blocks_nested, None) == []

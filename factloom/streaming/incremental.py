@@ -62,3 +62,42 @@ def start_incremental_merge(spark: SparkSession, source_path: str, gazetteer: Da
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+RESPONSE_ROW_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.StringType()), T.StructField("url", T.StringType()),
+    T.StructField("title", T.StringType()), T.StructField("content", T.StringType()),
+    T.StructField("published", T.DateType()), T.StructField("summaries", T.StringType()),
+])
+
+
+def project_rows(responses: DataFrame, label_report: DataFrame | None = None) -> DataFrame:
+    """Row-level part of the facts flow, valid on a streaming DataFrame:
+    parse each stored response into projects, evidence flags, labels (a
+    stream-static join with the label map), completeness score, year, USD."""
+    from ..functions.constants import SCORE_FIELDS
+    from ..functions.labels import category_by_rules, completeness_score
+    from ..functions.money import usd_or_zero
+    from ..operators.labels import label_map, match_labels
+    from ..operators.nested import evidence_columns, explode_projects, presence_flags
+
+    rows = explode_projects(responses, "summaries", responses.columns)
+    rows = evidence_columns(presence_flags(rows))
+    if label_report is not None:
+        rows = match_labels(rows, label_map(label_report))
+    else:
+        rows = rows.withColumns({"category_0": category_by_rules(F.col("category_text")),
+                                 "category_1": F.lit(None).cast("string")})
+    return rows.withColumns({"sort_score": completeness_score(*SCORE_FIELDS), "year": F.year("published"),
+                             "usd": usd_or_zero(F.col("amount_text"))})
+
+
+def start_project_stream(spark: SparkSession, responses_path: str, out_path: str, checkpoint_location: str,
+                         label_report: DataFrame | None = None, fmt: str = "parquet",
+                         available_now: bool = True):
+    """Stream stored responses (files) into project rows, appended to ``out_path``."""
+    stream = spark.readStream.schema(RESPONSE_ROW_SCHEMA).format(fmt).load(responses_path)
+    writer = (project_rows(stream, label_report).writeStream.format("parquet").outputMode("append")
+              .option("path", out_path).option("checkpointLocation", checkpoint_location))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

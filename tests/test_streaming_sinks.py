@@ -56,3 +56,21 @@ def test_export_names_and_unknown(spark):
     df = spark.createDataFrame([("T", None, 2.5)], "title string, lat double, lon double")
     row = export_columns(df).first().asDict()
     assert len(row) == 29 and row["Matched Lat"] == "Unknown" and row["Matched Lon"] == "2.5" and row["title"] == "T"
+
+
+def test_project_stream_appends_parsed_rows(spark):
+    from factloom.streaming.incremental import RESPONSE_ROW_SCHEMA, start_project_stream
+    root = tempfile.mkdtemp(prefix="factloom-pstream-")
+    d = datetime.date(2024, 5, 1)
+    resp = ("[{'Location of project': 'Basra', 'What is being built': 'port', "
+            "'Category of project that is being constructed': 'Commercial', 'Amount of money being spent': '$2 million'}, "
+            "{'Location of project': 'Mosul', 'What is being built': 'school', 'Amount of money being spent': 'n/a'}]")
+    spark.createDataFrame([("1", "u1", "t", "A port in Basra", d, resp)], RESPONSE_ROW_SCHEMA) \
+        .write.parquet(f"{root}/in/a")
+    labels = spark.createDataFrame([(1, "Commercial", "['Commercial Construction']", None)],
+                                   "ord int, text string, label_0 string, label_1 string")
+    q = start_project_stream(spark, f"{root}/in/*", f"{root}/out", f"{root}/ckpt", labels)
+    q.awaitTermination()
+    got = sorted((r.location, r.category_0, r.usd, r.sort_score, r.location_match)
+                 for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [("Basra", "Commercial Construction", 2e6, 4, True), ("Mosul", None, 0.0, 2, False)]

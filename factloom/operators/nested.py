@@ -42,9 +42,13 @@ def explode_projects(df: DataFrame, response_col: str, retain_cols, nested: bool
 
 
 def presence_flags(df: DataFrame, text_col: str = "content",
-                   location_col: str = "location", what_col: str = "what_built") -> DataFrame:
-    """Normalised location / object text is a substring of the normalised article."""
-    norm = normalize(F.col(text_col))
+                   location_col: str = "location", what_col: str = "what_built",
+                   norm_col: str | None = None) -> DataFrame:
+    """Normalised location / object text is a substring of the normalised article.
+
+    ``norm_col`` names a column already holding ``normalize(text)``.
+    """
+    norm = F.col(norm_col) if norm_col else normalize(F.col(text_col))
     return df.withColumns({
         "location_terms_present": term_present(F.col(location_col), norm),
         "what_built_terms_present": term_present(F.col(what_col), norm),
@@ -52,9 +56,13 @@ def presence_flags(df: DataFrame, text_col: str = "content",
 
 
 def evidence_columns(df: DataFrame, text_col: str = "content", location_col: str = "location",
-                     what_col: str = "what_built", compat: bool = False) -> DataFrame:
-    """Location and object evidence, as match flags and ratios (4 columns)."""
-    df = df.withColumn("_toks", tokens(F.col(text_col)))
+                     what_col: str = "what_built", compat: bool = False,
+                     toks_col: str | None = None) -> DataFrame:
+    """Location and object evidence, as match flags and ratios (4 columns).
+
+    ``toks_col`` names a column already holding ``tokens(text)``.
+    """
+    df = df.withColumn("_toks", F.col(toks_col) if toks_col else tokens(F.col(text_col)))
     loc = ev.location_evidence(F.col(text_col), F.col(location_col), compat=compat, toks=F.col("_toks"))
     obj = ev.object_evidence(F.col(text_col), F.col(what_col), toks=F.col("_toks"))
     return (df.withColumn("_loc", loc).withColumn("_obj", obj)

@@ -66,11 +66,13 @@ def pending(requests: DataFrame, responses: DataFrame | None) -> DataFrame:
 
 
 def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Series],
-                  retries: int = 3) -> DataFrame:
+                  retries: int = 3, materialize: bool = True) -> DataFrame:
     """Answer requests with ``responder`` (prompts -> replies, None = failed).
 
     Runs per Arrow batch in ``mapInPandas``; failed rows are retried up to
-    ``retries`` times inside the task and stored with ``ok = false``.
+    ``retries`` times inside the task and stored with ``ok = false``. The
+    answers are materialised once in the shared checkpoint folder, so later
+    uses (accepting, attaching, writing) never ask the model again.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -89,7 +91,11 @@ def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Serie
             yield pd.DataFrame({"request_id": b["request_id"], "doc_id": b["doc_id"],
                                 "stage": b["stage"], "raw": raw, "ok": raw.notna(),
                                 "attempts": attempts})
-    return requests.mapInPandas(run, RESPONSE_SCHEMA)
+    out = requests.mapInPandas(run, RESPONSE_SCHEMA)
+    if materialize:
+        from ..session import cut_lineage
+        out = cut_lineage(out)
+    return out
 
 
 def strip_reply(col: str = "raw") -> Column:

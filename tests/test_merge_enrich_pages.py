@@ -165,3 +165,24 @@ def test_merge_paths_agree(spark):
     a = as_set(merge_master(new, master, KEY, COLS, split_untouched=True))
     b = as_set(merge_master(new, master, KEY, COLS, split_untouched=False))
     assert a == b and ("u3", "a", 8, 0) in a and len(a) == 51
+
+
+def test_responder_is_called_once_per_request(spark):
+    import tempfile
+    calls = tempfile.mkdtemp(prefix="factloom-calls-")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, content string")
+    req = E.build_requests(docs, "doc_id", "content", "summaries", "{text}")
+
+    def counting(prompts):
+        import os
+        import uuid
+        for _ in range(len(prompts)):
+            open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+        return prompts.map(lambda p: "1. x")
+
+    r = E.run_responder(req, counting)
+    for _ in range(3):
+        E.accepted(r).count()
+        E.attach_responses(docs, r, "doc_id", "summaries").count()
+    import os
+    assert len(os.listdir(calls)) == 6

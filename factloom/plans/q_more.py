@@ -490,3 +490,60 @@ def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = news_articles(responses, p)
     return arts.select("query", "url", "title", F.date_format("published", "yyyy-MM-dd").alias("published"),
                        F.md5("content").alias("content_md5"))
+
+
+# ------------------------------------------------------------------ site load composite
+def _site_sql() -> str:
+    return f"""
+WITH RECURSIVE pg AS {_CHAIN_HTML_SQL},
+links AS (SELECT url AS u, 'https://site.example/p/' || CAST(CASE WHEN page_id % 4 = 3 THEN page_id - 3 ELSE page_id + 1 END AS VARCHAR) AS nxt FROM pg),
+cards AS (
+  SELECT d.doc_id, 'https://site.example/p/' || CAST(d.doc_id % (SELECT count(*) FROM pages) AS VARCHAR) AS link,
+         nullif(replace(split_part(d.text, '.', 1), '"', ''), '') AS title,
+         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id AS BIGINT)) AS wall,
+         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id AS BIGINT))
+           + CASE WHEN d.doc_id % 2 = 0 THEN to_hours(-3) ELSE to_hours(5) END AS utc
+  FROM documents d WHERE d.doc_id % 3 <> 0),
+inwin AS (SELECT * FROM cards WHERE utc BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-02-15 00:00:00'),
+walk(start_url, final_url, seen, hops) AS (
+  SELECT DISTINCT link, link, [link], 0 FROM inwin
+  UNION ALL
+  SELECT w.start_url, l.nxt, list_append(w.seen, l.nxt), w.hops + 1
+  FROM walk w JOIN links l ON l.u = w.final_url
+  WHERE NOT list_contains(w.seen, l.nxt) AND w.hops < 5),
+fin AS (SELECT start_url, arg_max(final_url, hops) AS final_url FROM walk GROUP BY start_url)
+SELECT c.link AS url, c.title, strftime(c.wall, '%Y-%m-%d %H:%M:%S') AS published,
+       'Part ' || CAST(pg.page_id AS VARCHAR) || 'Click here to read the full report.' AS content
+FROM inwin c JOIN fin ON fin.start_url = c.link LEFT JOIN pg ON pg.url = fin.final_url"""
+
+
+@register("site_articles", _site_sql())
+def site_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site load (H4, H5, D2, P9, P16, H6, H1): listing cards composed from the documents link
+    into the chain pages composed from ``pages``; cards in the window follow their links."""
+    from .composites import site_articles
+    d = table(spark, sf_dir, "documents")
+    p = table(spark, sf_dir, "pages")
+    npages = p.count()
+    title = F.replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), F.lit('"'), F.lit(""))
+    ts = F.expr("TIMESTAMP '2024-01-01 08:30:00' + make_interval(0, 0, 0, 0, CAST(doc_id AS INT), 0, 0)")
+    date = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(F.col("doc_id") % 2 == 0, F.lit("+03:00")).otherwise(F.lit("-05:00")))
+    abbr = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('<abbr class="date time published updated" title="'), date, F.lit('">d</abbr>')))
+    html = F.concat(F.lit('<article class="post"><h2><a rel="bookmark" href="/p/'),
+                    (F.col("doc_id") % F.lit(npages)).cast("string"), F.lit('" title="'), title,
+                    F.lit('">x</a></h2>'), abbr, F.lit("</article>"))
+    listings = d.select(F.concat(F.lit("https://site.example/list/"), F.col("lang")).alias("url"), html.alias("html"))
+    pid = F.col("page_id")
+    link = F.when(pid % 4 == 3, F.concat(F.lit('<a href="/p/'), (pid - 3).cast("string")))
+    link = link.otherwise(F.concat(F.lit('<a href="'), (pid + 1).cast("string")))
+    chain_html = F.concat(F.lit('<section class="entry"><p>Part '), pid.cast("string"), F.lit("</p>"), link,
+                          F.lit('">Click here to read the full report.</a></section>'))
+    pages = p.select(F.concat(F.lit("https://site.example/p/"), pid.cast("string")).alias("url"),
+                     chain_html.alias("html"))
+    start = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    end = F.lit("2024-02-15 00:00:00").cast("timestamp")
+    arts = site_articles(listings, pages, start, end)
+    return arts.select("url", "title", F.date_format("published", "yyyy-MM-dd HH:mm:ss").alias("published"),
+                       "content")

@@ -69,7 +69,9 @@ def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Serie
                   retries: int = 3, materialize: bool = True) -> DataFrame:
     """Answer requests with ``responder`` (prompts -> replies, None = failed).
 
-    Runs per Arrow batch in ``mapInPandas``; failed rows are retried up to
+    Each distinct prompt (``request_id``) is asked once, however many rows
+    share it; the answer is joined back to every requesting row. Runs per
+    Arrow batch in ``mapInPandas``; failed prompts are retried up to
     ``retries`` times inside the task and stored with ``ok = false``. The
     answers are materialised once in the shared checkpoint folder, so later
     uses (accepting, attaching, writing) never ask the model again.
@@ -88,14 +90,15 @@ def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Serie
                 except Exception:  # noqa: BLE001 - a failing call is an answer of "no reply"
                     got = pd.Series([None] * int(todo.sum()), index=b.index[todo], dtype=object)
                 raw[todo] = got
-            yield pd.DataFrame({"request_id": b["request_id"], "doc_id": b["doc_id"],
-                                "stage": b["stage"], "raw": raw, "ok": raw.notna(),
-                                "attempts": attempts})
-    out = requests.mapInPandas(run, RESPONSE_SCHEMA)
+            yield pd.DataFrame({"request_id": b["request_id"], "stage": b["stage"], "raw": raw,
+                                "ok": raw.notna(), "attempts": attempts})
+    unique = requests.select("request_id", "stage", "prompt").dropDuplicates(["request_id"])
+    answers = unique.mapInPandas(run, "request_id string, stage string, raw string, ok boolean, attempts int")
     if materialize:
         from ..session import cut_lineage
-        out = cut_lineage(out)
-    return out
+        answers = cut_lineage(answers)
+    out = requests.select("request_id", "doc_id").join(answers, "request_id")
+    return out.select("request_id", "doc_id", "stage", "raw", "ok", "attempts")
 
 
 def strip_reply(col: str = "raw") -> Column:

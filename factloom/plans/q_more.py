@@ -547,3 +547,29 @@ def site_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     arts = site_articles(listings, pages, start, end)
     return arts.select("url", "title", F.date_format("published", "yyyy-MM-dd HH:mm:ss").alias("published"),
                        "content")
+
+
+# ------------------------------------------------------------------ USD by model
+def _usd_responder(prompts: pd.Series) -> pd.Series:
+    """A pure stand-in for the model: the first number of the amount, times 1000, quoted."""
+    import re
+
+    def answer(p: str) -> str:
+        m = re.search(r"\d+", p.rsplit("\n", 1)[-1])
+        return f' "${int(m.group(0)) * 1000}" ' if m else "0"
+    return prompts.map(answer)
+
+
+@register("usd_by_model", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 0.0
+                        ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) * 1000 AS DOUBLE) END AS usd
+FROM orders""")
+def usd_by_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """USD by model (T13, E1, J6, T14, M1): one request per amount text, a pure
+    responder, its quoted dollar reply read with M1 (no number -> 0)."""
+    o = table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 13 == 0, F.lit("not disclosed")).otherwise(
+        F.concat(F.lit("about "), F.floor("o_totalprice").cast("bigint").cast("string"), F.lit(" thousand dollars")))
+    rows = o.select("o_orderkey", text.alias("amount_text"))
+    out, _ = E.usd_by_model(rows, _usd_responder, "o_orderkey")
+    return out.select("o_orderkey", "usd")

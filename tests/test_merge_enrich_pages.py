@@ -186,3 +186,22 @@ def test_responder_is_called_once_per_request(spark):
         E.attach_responses(docs, r, "doc_id", "summaries").count()
     import os
     assert len(os.listdir(calls)) == 6
+
+
+def test_identical_prompts_are_asked_once(spark):
+    import os
+    import tempfile
+    calls = tempfile.mkdtemp(prefix="factloom-dup-")
+    docs = spark.createDataFrame([(1, "same text"), (2, "same text"), (3, "other")], "doc_id long, content string")
+    req = E.build_requests(docs, "doc_id", "content", "summaries", "{text}")
+
+    def counting(prompts):
+        import uuid
+        for _ in range(len(prompts)):
+            open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+        return prompts.map(lambda p: "1. " + p.split("\n", 1)[1])
+
+    r = E.run_responder(req, counting)
+    assert sorted((x.doc_id, x.raw) for x in r.collect()) == [("1", "1. same text"), ("2", "1. same text"),
+                                                             ("3", "1. other")]
+    assert len(os.listdir(calls)) == 2

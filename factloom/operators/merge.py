@@ -53,9 +53,13 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan (file sizes for scans; no job runs)."""
-    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of a plan (file sizes for scans; no job
+    runs), or None where the session does not expose it (Spark Connect)."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # noqa: BLE001
+        return None
     return int(v) if isinstance(v, int) else int(v.toString())
 
 
@@ -81,7 +85,8 @@ def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
     out = columns + ["priority", seq_col]
     order = ["priority", seq_col]
     if split_untouched is None:
-        split_untouched = estimated_bytes(new) * 10 <= estimated_bytes(master)
+        new_b, master_b = estimated_bytes(new), estimated_bytes(master)
+        split_untouched = new_b is not None and master_b is not None and new_b * 10 <= master_b
     keys_b = None
     if split_untouched:
         keys = n.select("_h").distinct()

@@ -65,7 +65,10 @@ def get_session(app: str = "factloom", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    try:
+        spark.sparkContext.setLogLevel("WARN")
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        pass
     checkpoint_dir(spark)
     return spark
 
@@ -77,7 +80,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is used as is. Only when nothing is configured (local tests) a fresh
     temporary folder is taken.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -103,6 +103,12 @@ class DictionaryInfo:
     max_tokens: int
     broadcast: bool
     has_special: bool = False
+    # most entries sharing one first token; above max_tokens the exact n-gram join is cheaper
+    max_fanout: int = 1
+
+    @property
+    def join_on(self) -> str:
+        return "ngram" if self.max_fanout > self.max_tokens else "first_token"
 
 
 def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -118,7 +124,8 @@ def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     small = n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES
     if n > max_rows:  # too big to broadcast: the longest term must come from the whole table
         k = dictionary.agg(F.max("n_tokens")).first()[0] or 1
-    return DictionaryInfo(n, int(k), small, sp)
+    fanout = (dictionary.groupBy("dict", "first_token").count().agg(F.max("count")).first()[0] or 1)
+    return DictionaryInfo(n, int(k), small, sp, int(fanout))
 
 
 def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str,
@@ -132,6 +139,18 @@ def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: s
     grams = grams.select(*cols)
     d = dictionary.select("dict", "entry", "term_norm", "n_tokens", "first_token")
     d = F.broadcast(d) if info.broadcast else d
+    if info.join_on == "ngram":
+        # many entries share a first token: join every 1..k-gram exactly on (length, text),
+        # k rows per token and no fan-out
+        gram, texts = F.col("t0"), []
+        for n in range(1, k + 1):
+            if n > 1:
+                gram = F.concat(gram, F.lit(" "), F.col(f"t{n - 1}"))
+            texts.append(F.struct(F.lit(n).alias("n"), gram.alias("g")))
+        ng = (grams.select("doc_id", "pos", F.explode(F.array(*texts)).alias("x"))
+              .select("doc_id", "pos", "x.n", "x.g").filter(F.col("g").isNotNull()))
+        cand = ng.join(d, (ng["n"] == d["n_tokens"]) & (ng["g"] == d["term_norm"]), "inner")
+        return cand.select("doc_id", "dict", "pos", (F.col("pos") + F.col("n_tokens")).alias("end"), "entry")
     cand = grams.join(d, grams["t0"] == d["first_token"], "inner")
     # text of the n-gram starting here, for the term's own length n
     gram = F.col("t0")

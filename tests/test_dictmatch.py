@@ -114,3 +114,20 @@ def test_shuffle_join_path_gives_the_same_hits(spark):
     a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=small).collect())
     b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=big).collect())
     assert a == b and len(a) == 5          # "c d e" overlaps the earlier "b c"
+
+
+def test_ngram_join_when_first_tokens_fan_out(spark):
+    names = ["Al Basra", "Al Kut", "Al Amarah", "Al Hillah", "Al Najaf", "Kut"]
+    texts = ["al kut and al basra near kut", "al al najaf al", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
+    g = gaz(spark, [(i + 1, "t", 0.0, 0.0, n) for i, n in enumerate(names)])
+    d = dm.place_dictionary(g)
+    info = dm.describe(d)
+    assert info.max_fanout == 5 and info.join_on == "ngram"
+    forced = dm.DictionaryInfo(info.rows, info.max_tokens, info.broadcast, info.has_special, 1)
+    assert forced.join_on == "first_token"
+    a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=info).collect())
+    b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=forced).collect())
+    assert a == b
+    assert sorted((r[0], r[4], r[5], r[3]) for r in a) == [(0, 0, 2, "Al Kut"), (0, 3, 5, "Al Basra"),
+                                                           (0, 6, 7, "Kut"), (1, 1, 3, "Al Najaf")]

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from check_oracle import TABLES, normalise  # noqa: E402
+from check_oracle import SPARK_TO_DUCK, TABLES, normalise  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,9 +24,13 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
+    df = entry.queries()[name](spark, SF)
+    got = df.toPandas()
+    rel = con.sql(entry.oracle_sql()[name])
+    want = rel.df()
     assert sorted(got.columns) == sorted(want.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields} == duck_types
     assert len(got) == len(want)
     assert normalise(got) == normalise(want)
 

@@ -41,3 +41,28 @@ def test_observed_counts(spark):
     out, obs = with_counts(df, "stage1", ["even"])
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 10, "even_true": 5}
+
+
+def test_snapshot_stage_and_file_news_reader(spark):
+    import json
+    from factloom.sources.feeds import read_news
+    from factloom.sources.sinks import snapshot_stage
+    root = tempfile.mkdtemp(prefix="factloom-s8-")
+    df = spark.range(3).withColumnRenamed("id", "k")
+    assert snapshot_stage(df, None, "x") is df
+    back = snapshot_stage(df, f"{root}/stages", "step1")
+    assert sorted(r.k for r in back.collect()) == [0, 1, 2]
+    lines = [json.dumps({"articles": [{"url": "u1", "title": "A", "seendate": "20240105T101500Z"}]}),
+             json.dumps({"results": []}), "not json"]
+    with open(f"{root}/news.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    arts = read_news(spark, f"{root}/news.json").collect()
+    assert [(a.url, a.title, str(a.published)) for a in arts] == [("u1", "A", "2024-01-05")]
+
+
+def test_cluster_conf():
+    from factloom.session import cluster_conf
+    c = cluster_conf(3000)
+    assert c["spark.sql.shuffle.partitions"] == "9000" and c["spark.sql.adaptive.enabled"] == "true"
+    assert c["spark.sql.parquet.columnarReaderBatchSize"] == "256"
+    assert "spark.sql.parquet.columnarReaderBatchSize" not in cluster_conf(10, text_heavy=False)

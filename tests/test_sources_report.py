@@ -66,3 +66,25 @@ def test_cluster_conf():
     assert c["spark.sql.shuffle.partitions"] == "9000" and c["spark.sql.adaptive.enabled"] == "true"
     assert c["spark.sql.parquet.columnarReaderBatchSize"] == "256"
     assert "spark.sql.parquet.columnarReaderBatchSize" not in cluster_conf(10, text_heavy=False)
+
+
+def test_small_public_helpers(spark):
+    from factloom.operators import dictmatch as dm
+    from factloom.operators.joins import bounded_count, lookup_join
+    from factloom.operators.merge import distinct_rows, union_sources
+    from factloom.sources.pages import read_pages
+    hits = spark.createDataFrame([(1, "place", "7", "Basra", 0, 1), (1, "place", "8", "Kut", 2, 3),
+                                  (1, "place", "8", "Al Kut", 5, 7), (1, "topic", "Build", "build", 9, 10)],
+                                 "doc_id long, dict string, key string, term string, start int, end int")
+    w = dm.winner_per_doc(hits).first()
+    assert (w.matched_key, w.matched_term, w.matched_hits) == ("8", "Kut", 2)
+    df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a int, b string")
+    assert distinct_rows(df).count() == 2
+    u = union_sources(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([("y",)], "b string"))
+    assert sorted(u.columns) == ["a", "b"] and u.count() == 2
+    dim = spark.createDataFrame([(1, "one")], "a int, name string")
+    assert lookup_join(df, dim, "a").filter("name = 'one'").count() == 2
+    assert bounded_count(spark.range(100), 10) == 11
+    root = tempfile.mkdtemp(prefix="factloom-pages-")
+    spark.createDataFrame([("u", "<p>x</p>", 1)], "url string, html string, extra int").write.parquet(f"{root}/p")
+    assert read_pages(spark, f"{root}/p").columns == ["url", "html"]

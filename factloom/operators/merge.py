@@ -65,20 +65,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
                  columns=MASTER_COLUMNS, seq_col: str = "ingest_seq",
-                 split_untouched: bool | None = None) -> DataFrame:
+                 split_untouched: bool | None = None, master_keys_unique: bool = False) -> DataFrame:
     """U3 + A5 + A6: new rows, then master rows; one row per identity key.
 
     Both inputs carry ``columns`` and ``seq_col``. New rows win over master
     rows; within one side the smaller ``seq_col`` wins. The result has
     ``columns`` plus ``priority`` (0 = from the new batch).
 
-    Only keys present in the new batch can change. When the batch is much
-    smaller than the master (optimizer estimates, or ``split_untouched``)
-    and its key hashes are proven small, they are broadcast: master rows
-    with other keys pass through untouched (no shuffle of the master), and
-    only the batch plus the master rows sharing its keys go through the
-    keep-first aggregation. Otherwise everything goes through it in one
-    shuffle.
+    When the master's keys are already unique (``master_keys_unique``; true
+    for any master written by this merge), only keys present in the new
+    batch can change. Then, if the batch is much smaller than the master
+    (optimizer estimates) and its key hashes are proven small, they are
+    broadcast: master rows with other keys pass through untouched (no
+    shuffle of the master), and only the batch plus the master rows sharing
+    its keys go through the keep-first aggregation. Otherwise everything
+    goes through it in one shuffle. ``split_untouched`` forces the choice.
     """
     n = new.select(*columns, seq_col).withColumn("priority", F.lit(0)).withColumn("_h", key_hash(key_cols))
     m = master.select(*columns, seq_col).withColumn("priority", F.lit(1)).withColumn("_h", key_hash(key_cols))
@@ -86,7 +87,8 @@ def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
     order = ["priority", seq_col]
     if split_untouched is None:
         new_b, master_b = estimated_bytes(new), estimated_bytes(master)
-        split_untouched = new_b is not None and master_b is not None and new_b * 10 <= master_b
+        split_untouched = (master_keys_unique and new_b is not None and master_b is not None
+                           and new_b * 10 <= master_b)
     keys_b = None
     if split_untouched:
         keys = n.select("_h").distinct()

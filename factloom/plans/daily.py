@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.constants import DEDUPE_KEY, MASTER_COLUMNS
 from ..operators.merge import master_order, merge_master
-from ..sources.sinks import read_master, write_csv_export, write_master
+from ..sources.sinks import current_keys_unique, read_master, write_csv_export, write_master
 
 MASTER_TYPES = {
     "title": T.StringType(), "published": T.DateType(), "content": T.StringType(), "url": T.StringType(),
@@ -49,9 +49,10 @@ def daily_merge(facts: DataFrame, master_base: str, snapshot_date: str, csv_path
     new = to_master_rows(facts)
     master = read_master(spark, master_base, empty_schema=MASTER_SCHEMA)
     master = master.select(*[f.name for f in MASTER_SCHEMA.fields])
-    merged = merge_master(new, master, DEDUPE_KEY, MASTER_COLUMNS).drop("priority")
+    merged = merge_master(new, master, DEDUPE_KEY, MASTER_COLUMNS,
+                          master_keys_unique=current_keys_unique(spark, master_base)).drop("priority")
     ordered = master_order(merged, "year", "sort_score", tie_cols=("url", "ingest_seq"))
-    key = write_master(ordered, master_base, snapshot_date)
+    key = write_master(ordered, master_base, snapshot_date, keys_unique=True)
     if csv_path:
         write_csv_export(read_master(spark, master_base), csv_path)
     return key

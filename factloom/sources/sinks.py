@@ -25,11 +25,14 @@ def snapshot_stage(df: DataFrame, stage_dir: str | None, name: str) -> DataFrame
     return df.sparkSession.read.parquet(path)
 
 
-def write_master(df: DataFrame, base: str, snapshot_date: str, partitions: int | None = None) -> str:
+def write_master(df: DataFrame, base: str, snapshot_date: str, partitions: int | None = None,
+                 keys_unique: bool = False) -> str:
     """Write ``df`` as a new snapshot, then point ``current`` at it.
 
     The snapshot key is the date plus a run id, so a second run on the
-    same day writes beside the first instead of over it. Returns the key.
+    same day writes beside the first instead of over it. ``keys_unique``
+    records in the pointer that the snapshot holds one row per identity key
+    (set by the merge, which guarantees it). Returns the key.
     """
     key = f"{snapshot_date}_{uuid.uuid4().hex[:8]}"
     out = df.withColumn("snapshot", F.lit(key))
@@ -37,11 +40,22 @@ def write_master(df: DataFrame, base: str, snapshot_date: str, partitions: int |
         out = out.repartition(partitions)
     out.write.mode("append").partitionBy("snapshot").parquet(f"{base.rstrip('/')}/snapshots")
     spark = df.sparkSession
-    spark.createDataFrame([(key, snapshot_date)], "snapshot string, snapshot_date string") \
+    spark.createDataFrame([(key, snapshot_date, keys_unique)],
+                          "snapshot string, snapshot_date string, keys_unique boolean") \
         .coalesce(1).write.mode("overwrite").json(f"{base.rstrip('/')}/current")
     return key
 
 
+def current_keys_unique(spark: SparkSession, base: str) -> bool:
+    """Whether the current snapshot was written with one row per identity key."""
+    try:
+        row = spark.read.schema("snapshot string, snapshot_date string, keys_unique boolean") \
+            .json(f"{base.rstrip('/')}/current").first()
+    except Exception:  # noqa: BLE001
+        return False
+    return bool(row and row["keys_unique"])
+
+
 def current_snapshot(spark: SparkSession, base: str) -> str | None:
     """Key of the current snapshot (a one-row pointer file), or None."""
     try:

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import licenses, packing, quality, suffix_dedup  # noqa: F401  (register on import)
+from . import licenses, near_dups, packing, quality, suffix_dedup  # noqa: F401  (register on import)
 from .common import ORACLES, QUERIES  # noqa: F401

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, near_dups, packing, quality, suffix_dedup  # noqa: F401  (register on import)
+from . import (  # noqa: F401  (register on import)
+    decontamination, licenses, line_dedup, near_dups, packing, quality, suffix_dedup,
+)
 from .common import ORACLES, QUERIES  # noqa: F401

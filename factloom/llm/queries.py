@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401  (register on import)
-    decontamination, licenses, line_dedup, near_dups, packing, quality, suffix_dedup,
+    decontamination, html_main, licenses, line_dedup, near_dups, packing, quality, suffix_dedup,
 )
 from .common import ORACLES, QUERIES  # noqa: F401

@@ -34,7 +34,7 @@ def words(text: Column) -> Column:
 
 
 def _over_shingles(ws: str, of) -> Column:
-    """``of`` the five words of each shingle; an empty array for fewer than five words."""
+    """``of`` the five words of each shingle; null for fewer than five words."""
     at = F.sequence(F.lit(0), F.size(ws) - WIDTH)
     return F.when(F.size(ws) >= WIDTH, F.transform(at, lambda i: of([F.get(F.col(ws), i + j) for j in range(WIDTH)])))
 
@@ -82,11 +82,12 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     wanted = staged(texts(items, item_id, item_text).select(F.col("key").alias("item_key"), F.col("doc_id").alias("item_id"),
                                                             words(F.col("text")).alias("ws")).dropDuplicates(["item_key"])
                     .withColumn("hashes", shingle_hashes("ws")).withColumn("shingles", shingle_texts("ws"))
-                    .where(F.size("hashes") > 0).select("item_key", "item_id", "hashes", "shingles"), "items")
+                    .drop("ws"), "items").where("hashes IS NOT NULL")
     classes = F.explode(F.sequence(F.lit(0), F.lit(MAX_CLASS))).alias("class")
     item_sketch = checked_broadcast(_coordinates(wanted.select("item_key", "hashes", classes), "item_key"))
+    # no filter on these columns: it would move below them and compute them twice
     sketched = (src.select("key", words(F.col("text")).alias("ws")).select("key", shingle_hashes("ws").alias("hashes"))
-                .where(F.size("hashes") > 0).withColumn("class", size_class("hashes")))
+                .withColumn("class", size_class("hashes")))
     candidates = staged(_coordinates(sketched, "key").join(item_sketch, "coordinate").select("key", "item_key").distinct(),
                         "candidates")
     asked = candidates.groupBy("key").agg(F.collect_set("item_key").alias("asked"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401  (register on import)
+    ann,
     decontamination, html_main, licenses, line_dedup, near_dups, packing, quality, suffix_dedup,
 )
 from .common import ORACLES, QUERIES  # noqa: F401

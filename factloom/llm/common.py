@@ -52,3 +52,19 @@ def row_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> F.
     """The ``key`` of ``texts`` as a column of ``df``."""
     return F.xxhash64(F.coalesce(df[id_col].cast("string"), F.lit("\u0000")),
                       F.coalesce(df[text_col].cast("string"), F.lit("")))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def only(docs: DataFrame, keys: DataFrame, kept: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose row key is in ``keys`` (column key), or is not."""
+    name = fresh(docs, "_key")
+    keyed = docs.withColumn(name, row_key(docs, id_col, text_col))
+    wanted = keys.select(F.col("key").alias(name)).distinct()
+    return keyed.join(wanted, name, "left_semi" if kept else "left_anti").select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.joins import checked_broadcast
 
-from .common import register, row_key, staged, table, texts
+from .common import only, register, staged, table, texts
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -120,6 +120,4 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go; the others keep all their columns."""
-    hit = contained_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("key").alias("_hit")).distinct()
-    keyed = docs.withColumn("_key", row_key(docs))
-    return keyed.join(hit, keyed["_key"] == hit["_hit"], "left_anti").drop("_key")
+    return only(docs, contained_items(docs, table(spark, sf_dir, "benchmark")), kept=False)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import register, row_key, staged, table, texts
+from .common import fresh, register, row_key, staged, table, texts
 
 MIN_WORDS = 50
 
@@ -103,23 +103,28 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one empty line. Rows that repeat both id and text count as one place and get the same result. Input
     columns named n_lines or n_removed are replaced.
     """
-    removed = (repeated_lines(docs, id_col, text_col, min_words).groupBy("key")
-               .agg(F.collect_list("n").alias("gone")).select(F.col("key").alias("_gone_key"), F.array_sort("gone").alias("_gone")))
-    keyed = docs.drop("n_lines", "n_removed").withColumn("_key", row_key(docs, id_col, text_col))
-    joined = keyed.join(removed, keyed["_key"] == removed["_gone_key"], "left").drop("_key", "_gone_key")
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: F.get(F.col("_flags"), i) == 0), "\n"))
-    # one flag per line, from the gaps between deleted lines, so that filtering needs one look per line
-    gap = F.col("_gone")
-    zeros = F.flatten(F.transform(F.sequence(F.lit(0), F.size(gap)), lambda i: F.concat(
-        F.array_repeat(F.lit(0), (F.when(i == F.size(gap), F.size(lines)).otherwise(F.get(gap, i))
-                                  - F.when(i == 0, 0).otherwise(F.get(gap, i - 1) + 1)).cast("int")),
-        F.when(i == F.size(gap), F.array().cast("array<int>")).otherwise(F.array(F.lit(1))))))
-    return (joined.withColumn("_flags", F.when(F.col("_gone").isNotNull(), zeros))
+    docs = docs.drop("n_lines", "n_removed")
+    key, gone, flags = (fresh(docs, x) for x in ("_key", "_gone", "_flags"))
+    removed = (repeated_lines(docs, id_col, text_col, min_words).groupBy(F.col("key").alias(key))
+               .agg(F.array_sort(F.collect_list("n")).alias(gone)))
+    joined = docs.withColumn(key, row_key(docs, id_col, text_col)).join(removed, key, "left")
+    lines, gap = F.split(F.col(text_col), "\n"), F.col(gone)
+
+    def stretch(i):
+        """Zeros for the kept lines before the i-th deleted one (or up to the end), then a one for it."""
+        begin = F.when(i == 0, 0).otherwise(F.get(gap, i - 1) + 1)
+        last = i == F.size(gap)
+        zeros = F.array_repeat(F.lit(0), (F.when(last, F.size(lines)).otherwise(F.get(gap, i)) - begin).cast("int"))
+        return F.when(last, zeros).otherwise(F.concat(zeros, F.array(F.lit(1))))
+
+    # one flag per line, so that filtering needs one look per line
+    marked = F.flatten(F.transform(F.sequence(F.lit(0), F.size(gap)), stretch))
+    kept = F.array_join(F.filter(lines, lambda _, i: F.get(F.col(flags), i) == 0), "\n")
+    return (joined.withColumn(flags, F.when(gap.isNotNull(), marked))
             .withColumn("n_lines", F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
-            .withColumn("n_removed", F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"))
-            .withColumn(text_col, kept).drop("_gone", "_flags"))
+            .withColumn("n_removed", F.when(gap.isNull(), 0).otherwise(F.size(gap)).cast("long"))
+            .withColumn(text_col, F.when(gap.isNull(), F.col(text_col)).otherwise(kept))
+            .select(*docs.columns, "n_lines", "n_removed"))
 
 
 @register("op6_line_dedup")
@@ -130,8 +135,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: later copies of repeated line runs are deleted; n_chars follows the text. A document
     of which nothing is left stays as an empty text, so that later stages see it."""
-    out = line_dedup(docs)
+    out = line_dedup(docs.select("doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_removed"))))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return out.select(*docs.columns)
+    return out.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.joins import checked_broadcast
 
-from .common import register, staged, table, texts
+from .common import fresh, only, register, row_key, staged, table, texts
 from .components import components
 from .shingles import mix, shingles
 
@@ -204,9 +204,7 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays, with all its columns."""
-    from .common import row_key
-    keep = near_dup_classes(docs).where("kept").select(F.col("key").alias("_kept")).distinct()
-    keyed = docs.withColumn("_key", row_key(docs))
-    stays = keyed.join(keep, keyed["_key"] == keep["_kept"], "left_semi")
-    # rows that repeat id and text share a key; one of them stays
-    return stays.dropDuplicates(["_key"]).drop("_key")
+    stays = only(docs, near_dup_classes(docs).where("kept"), kept=True)
+    # rows that repeat id and text were kept together; one of them stays
+    name = fresh(docs, "_key")
+    return stays.withColumn(name, row_key(stays)).dropDuplicates([name]).select(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import register, row_key, staged, table
+from .common import only, register, row_key, staged, table
 
 FEATURES = ("log_words", "log_chars", "upper", "digit", "white", "high", "control", "bang", "pipe",
             "common_mark", "other_mark", "marked_words", "upper_words", "digit_words", "word_len", "long_words",
@@ -207,6 +207,4 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go; the others keep all their columns."""
     verdicts = classify(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.where("predicted = 0").select(F.col("key").alias("_rejected")).distinct()
-    keyed = docs.withColumn("_key", row_key(docs))
-    return keyed.join(rejected, keyed["_key"] == rejected["_rejected"], "left_anti").drop("_key")
+    return only(docs, verdicts.where("predicted = 0"), kept=False)

@@ -1,21 +1,17 @@
 """HTML text extraction as Column expressions (H1-H3, H5).
 
-Regex-based, not a DOM: tags are removed, a small entity table is decoded,
+Regex-based, not a DOM: tags are removed, character references are decoded,
 and element bounds follow the rules stated on each function.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
-# Named entities decoded in page text (``&amp;`` last, so it is decoded once).
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
-    ("&amp;", "&"),
-]
 # Closing tags that end an unclosed paragraph.
 PARAGRAPH_ENDS = ["p", "article", "section", "div", "body"]
 
@@ -27,11 +23,36 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _code_point(number: Column) -> Column:
+    """The character with a code point, U+FFFD for numbers that are none."""
+    bad = number.isNull() | (number <= 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    n = F.when(bad, F.lit(0xFFFD)).otherwise(number).cast("int")
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
 def unescape(text) -> Column:
-    t = _c(text)
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    """Decode character references, each once: ``&name;`` of HTML 4 (and ``&apos;``),
+    ``&#n;`` and ``&#xh;``. Anything else stays as written."""
+    named = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
+    table = F.create_map(*[F.lit(x) for kv in sorted(named.items()) for x in kv])
+
+    def decoded(piece, i):
+        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        return F.when(i == 0, piece).otherwise(bind(name, lambda n: spelled(piece, n)))
+
+    def spelled(piece, name):
+        char = (F.when(name.rlike("^#[xX]"), _code_point(F.conv(F.substring(name, 3, 6), 16, 10).try_cast("bigint")))
+                .when(name.startswith("#"), _code_point(F.substring(name, 2, 7).try_cast("bigint")))
+                .when(name != "", F.try_element_at(table, name)))
+        rest = F.substring(piece, F.length(name) + 2, 1 << 30)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    return bind(_c(text), lambda t: F.when(F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), decoded), "")).otherwise(t))
 
 
 def drop_noise(html) -> Column:
@@ -59,19 +80,51 @@ def paragraphs_text(html) -> Column:
     return F.array_join(texts, " ")
 
 
-def element_text(html, tag: str, css_class: str | None = None) -> Column:
-    """H1: text of the first ``<tag class="... css_class ...">`` element, else null.
+def attribute(tag, name: str) -> Column:
+    """Value of an attribute in the text of a tag, up to the same kind of quote, its
+    character references decoded; null without the attribute."""
+    pattern = rf"(?is)[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+    def read(t):
+        return F.when(t.rlike(pattern), unescape(F.concat(*(F.regexp_extract(t, pattern, i) for i in (1, 2, 3)))))
+
+    return bind(_c(tag), read)
 
-    The element ends at the first matching close tag (same-tag nesting is
-    not tracked).
+
+def element_html(html, tag: str, css_class: str | None = None) -> Column:
+    """Markup inside the first ``<tag class="... css_class ...">``, else null.
+
+    Elements of the same name may nest: the element ends at its own close
+    tag, or with the page if there is none.
     """
     cls = "" if css_class is None else (
-        rf"""[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["']""")
-    pattern = rf"(?is)<{tag}\b{cls}[^>]*>(.*?)</{tag}\s*>"
-    clean = drop_noise(html)
-    found = F.regexp_extract(clean, pattern, 1)
-    has = clean.rlike(rf"(?is)<{tag}\b{cls}[^>]*>.*?</{tag}\s*>")
-    return F.when(has, strip_tags(found))
+        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"|'(?:[^']*\s)?{css_class}(?:\s[^']*)?'|{css_class}[\s>]))""")
+    opening = rf"(?is)<{tag}(?=[\s>]){cls}[^>]*>"
+    own = rf"(?is)</?{tag}(?=[\s>])[^>]*>"
+
+    def walk(acc, t):
+        """Depth, and how many tags of this name were passed, up to the close tag that ends the element."""
+        step = F.when(t.startswith("</"), -1).otherwise(1)
+        return F.when(acc["depth"] == 0, acc).otherwise(
+            F.struct((acc["depth"] + step).alias("depth"), (acc["n"] + 1).alias("n")))
+
+    def inner(rest):
+        tags = F.regexp_extract_all(rest, F.lit(own), 0)
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+        before_end = F.aggregate(tags, start, walk, lambda acc: acc["n"] - F.when(acc["depth"] == 0, 1).otherwise(0))
+        parts = F.arrays_zip(tags.alias("t"), F.slice(F.split(rest, own), 2, 1 << 30).alias("p"))
+        return F.concat(F.regexp_replace(rest, own + r".*\z", ""), F.array_join(
+            F.transform(F.slice(parts, 1, before_end), lambda z: F.concat(z["t"], z["p"])), ""))
+
+    def found(clean):
+        return F.when(clean.rlike(opening), bind(F.regexp_extract(clean, opening + r"(.*)\z", 1), inner))
+
+    return bind(drop_noise(html), found)
+
+
+def element_text(html, tag: str, css_class: str | None = None) -> Column:
+    """H1: text of the first ``<tag class="... css_class ...">`` element, else null."""
+    return strip_tags(element_html(html, tag, css_class))
 
 
 def first_element_text(html, selectors) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.html import absolute_url, drop_noise, element_text, first_element_text, paragraphs_text
+from ..functions.html import (
+    absolute_url, attribute, drop_noise, element_html, element_text, first_element_text, paragraphs_text,
+)
 from ..session import cut_lineage
 
 MAIN_SELECTORS = [("article", None), ("main", None), ("section", "entry")]
@@ -27,9 +29,7 @@ def listing_cards(pages: DataFrame, url_col: str = "url", html_col: str = "html"
                                                         F.lit(r"(?is)<article\b.*?</article\s*>"), 0)).alias("card"))
     a_tag = F.regexp_extract("card", r"""(?is)(<a\s[^>]*\brel\s*=\s*["']bookmark["'][^>]*>)""", 1)
     abbr = F.regexp_extract("card", r"""(?is)(<abbr\s[^>]*\bclass\s*=\s*["']date time published updated["'][^>]*>)""", 1)
-    href = F.regexp_extract(a_tag, r"""\bhref\s*=\s*["']([^"']*)["']""", 1)
-    title = F.regexp_extract(a_tag, r"""\btitle\s*=\s*["']([^"']*)["']""", 1)
-    when = F.regexp_extract(abbr, r"""\btitle\s*=\s*["']([^"']*)["']""", 1)
+    href, title, when = attribute(a_tag, "href"), attribute(a_tag, "title"), attribute(abbr, "title")
     out = cards.select("listing_url", F.nullif(href, F.lit("")).alias("href"),
                        F.nullif(title, F.lit("")).alias("title"), F.nullif(when, F.lit("")).alias("date_text"))
     out = out.dropna(how="any", subset=["href", "date_text"])
@@ -46,10 +46,11 @@ def in_window(cards: DataFrame, start, end, col: str = "published_utc") -> DataF
 def article_body(pages: DataFrame, html_col: str = "html", tag: str = "section", css_class: str | None = "entry",
                  compat_not_found: bool = False) -> DataFrame:
     """H1 + H2: text of the first ``tag.class`` element; missing -> null
-    (``compat_not_found=True``: the text ``Not found``)."""
+    (``compat_not_found=True``: the text ``Not found``). A page that is not
+    stored (null HTML) gives null either way."""
     body = element_text(F.col(html_col), tag, css_class)
     if compat_not_found:
-        body = F.coalesce(body, F.lit("Not found"))
+        body = F.coalesce(body, F.when(F.col(html_col).isNotNull(), F.lit("Not found")))
     return pages.withColumn("body", body)
 
 
@@ -60,57 +61,73 @@ def main_text(pages: DataFrame, html_col: str = "html", selectors=MAIN_SELECTORS
     return pages.withColumn("main_text", F.coalesce(t, p))
 
 
-def report_link(html_col: str = "html", link_text: str = FULL_REPORT_TEXT) -> F.Column:
-    """href of the anchor whose text is the "full report" sentence, else null."""
-    pat = r"""(?is)<a\s[^>]*\bhref\s*=\s*["']([^"']*)["'][^>]*>\s*""" + link_text.replace(".", r"\.") + r"\s*</a>"
-    return F.nullif(F.regexp_extract(F.col(html_col), pat, 1), F.lit(""))
+def report_link(html_col: str = "html", link_text: str = FULL_REPORT_TEXT, tag: str = "section",
+                css_class: str | None = "entry") -> F.Column:
+    """href of the anchor, inside the body element, whose text is the "full report" sentence, else null."""
+    pat = r"(?is)(<a\s[^>]*>)\s*" + link_text.replace(".", r"\.") + r"\s*</a>"
+    return F.nullif(attribute(F.regexp_extract(element_html(F.col(html_col), tag, css_class), pat, 1), "href"), F.lit(""))
 
 
-def follow_report_links(pages: DataFrame, max_hops: int = 5, url_col: str = "url",
-                        html_col: str = "html", starts: DataFrame | None = None) -> DataFrame:
-    """H6 + J10: follow "full report" links through the stored pages.
+def one_per_url(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(url, html)``, one row per URL: of several stored copies the one with the smallest content hash."""
+    pick = F.min_by(F.col(html_col), F.xxhash64(html_col))
+    return pages.filter(F.col(url_col).isNotNull()).groupBy(F.col(url_col).alias("url")).agg(pick.alias("html"))
 
-    Each start page walks ``link -> page`` by a self-join, one hop per
-    round, never revisiting a URL of its own chain (a cycle stops there);
-    the text comes from the last page reached. Rounds stop when no chain
-    moves or after ``max_hops``; each round is checkpointed to the shared
-    folder so the plan stays short and survives executor loss.
-    ``starts`` (one column of URLs) limits the walks to those start pages;
-    by default every stored page starts one. Output ``(start_url, final_url, hops)``.
-    """
-    links = pages.select(F.col(url_col).alias("u"), absolute_url(F.col(url_col), report_link(html_col)).alias("nxt"))
-    # the link table is read once per hop: extract it from the HTML once
-    links = cut_lineage(links.filter(F.col("nxt").isNotNull()))
-    first = pages.select(F.col(url_col).alias("u0")) if starts is None else \
-        starts.select(F.col(starts.columns[0]).alias("u0")).distinct()
-    state = first.select(F.col("u0").alias("start_url"), F.col("u0").alias("final_url"),
-                         F.array(F.col("u0")).alias("seen"), F.lit(0).alias("hops"), F.lit(True).alias("live"))
-    for _ in range(max_hops):
-        moved = (state.join(links, state["final_url"] == links["u"], "left")
-                 .withColumn("go", F.col("live") & F.col("nxt").isNotNull() & ~F.array_contains("seen", F.col("nxt"))))
-        state = moved.select(
-            "start_url",
-            F.when(F.col("go"), F.col("nxt")).otherwise(F.col("final_url")).alias("final_url"),
-            F.when(F.col("go"), F.array_append("seen", F.col("nxt"))).otherwise(F.col("seen")).alias("seen"),
-            (F.col("hops") + F.col("go").cast("int")).alias("hops"),
-            F.col("go").alias("live"))
-        state = cut_lineage(state)
-        if state.filter("live").limit(1).count() == 0:
-            break
-    return state.select("start_url", "final_url", "hops")
 
+def follow_report_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
+                        starts: DataFrame | None = None) -> DataFrame:
+    """H6 + J10: follow "full report" links through the stored pages, however long the chain.
 
-def followed_text(pages: DataFrame, max_hops: int = 5, tag: str = "section", css_class: str | None = "entry",
+    The links of the stored pages form a table ``url -> next``. Pointer
+    doubling: each round replaces every pointer by its target's pointer, so
+    ``r`` rounds follow ``2**r`` links; it ends when no pointer moves, after
+    log2 of the longest chain. A chain that comes back to one of its own
+    URLs has no text: its pointers never reach an end, and after as many
+    links as there are pages they are known to run in a cycle and become
+    null. ``starts`` (one column of URLs) limits the output to those start
+    pages; by default every stored page starts one. Output ``(start_url,
+    final_url, hops)``; ``final_url`` is null for a cycle (``hops`` too) and
+    is not a stored page where a link leads outside the table. Each round is
+    checkpointed to the shared folder.
+    """
+    found = pages.select(F.col(url_col).alias("u"), report_link(html_col).alias("rel"))
+    # a URL that is stored twice keeps one link; the HTML is parsed once, for all rounds
+    links = cut_lineage(found.groupBy("u").agg(F.min("rel").alias("rel")).filter("u IS NOT NULL AND rel IS NOT NULL"))
+    links = links.select("u", absolute_url(F.col("u"), F.col("rel")).alias("nxt"))
+    state = cut_lineage(links.select("u", F.col("nxt").alias("to"), F.lit(1).cast("bigint").alias("hops")))
+    n_links, reach = state.count(), 1
+    while reach <= n_links:
+        ahead = state.select(F.col("u").alias("to"), F.col("to").alias("further"), F.col("hops").alias("more"))
+        moved = state.join(ahead, "to", "left")
+        if moved.filter("further IS NOT NULL").isEmpty():
+            break
+        state = cut_lineage(moved.select("u", F.coalesce("further", "to").alias("to"),
+                                         (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops")))
+        reach *= 2
+    # whatever still points at a page with a link has gone round
+    ends = state.join(links.select(F.col("u").alias("to"), F.lit(True).alias("cycle")).distinct(), "to", "left")
+    first = (pages.select(F.col(url_col).alias("start_url")) if starts is None
+             else starts.select(F.col(starts.columns[0]).alias("start_url"))).filter("start_url IS NOT NULL").distinct()
+    out = first.join(ends.withColumnRenamed("u", "start_url"), "start_url", "left")
+    cycle = F.coalesce("cycle", F.lit(False))
+    return out.select("start_url", F.when(~cycle, F.coalesce("to", "start_url")).alias("final_url"),
+                      F.when(~cycle, F.coalesce("hops", F.lit(0))).cast("bigint").alias("hops"))
+
+
+def followed_text(pages: DataFrame, tag: str = "section", css_class: str | None = "entry",
                   compat_not_found: bool = False, starts: DataFrame | None = None) -> DataFrame:
     """H1 + H2 + H6: the body text reached by following "full report" links.
 
-    ``(start_url, final_url, hops, body)``; ``body`` is null when the last
-    link points to a page that is not stored, or the page has no such
-    element (``compat_not_found=True``: the text ``Not found`` then).
+    ``(start_url, final_url, hops, body)``; ``body`` is null for a cycle and
+    when the last link points to a page that is not stored; a stored page
+    without such an element gives null (``compat_not_found=True``: the text
+    ``Not found``).
     """
-    chains = follow_report_links(pages, max_hops, starts=starts)
+    chains = follow_report_links(pages, starts=starts)
     # join the pages reached first, then extract: only those pages are parsed
-    reached = chains.join(pages.select(F.col("url").alias("final_url"), "html"), "final_url", "left")
+    wanted = chains.filter("final_url IS NOT NULL").select(F.col("final_url").alias("url")).distinct()
+    stored = one_per_url(pages.join(wanted, "url", "left_semi")).withColumnRenamed("url", "final_url")
+    reached = chains.join(stored, "final_url", "left").select("start_url", "final_url", "hops", "html")
     return article_body(reached, tag=tag, css_class=css_class, compat_not_found=compat_not_found).drop("html")
 
 
@@ -120,7 +137,7 @@ def replace_with_full_text(df: DataFrame, pages: DataFrame, url_col: str = "url"
 
     Pages are joined first and parsed after, so only the pages of these rows are parsed.
     """
-    stored = pages.select(F.col("url").alias("_u"), F.col("html").alias("_html"))
+    stored = one_per_url(pages).select(F.col("url").alias("_u"), F.col("html").alias("_html"))
     j = (df.join(stored, df[url_col] == stored["_u"], "left").drop("_u")
          .withColumn("full_content", paragraphs_text(F.col("_html"))).drop("_html"))
     relevant = F.coalesce(F.lower(F.col(check_col)).contains("yes"), F.lit(False))

@@ -157,7 +157,7 @@ def news_articles(responses: DataFrame, pages: DataFrame | None = None, max_reco
     """
     from ..functions.dates import seendate_to_date
     from ..operators.merge import top_k_per_group
-    from ..operators.pages import main_text
+    from ..operators.pages import main_text, one_per_url
     from ..sources.feeds import NEWS_RESPONSE, article_id
 
     items = (responses.select("query", "win_start", F.from_json(F.col(response_col), NEWS_RESPONSE).alias("r"))
@@ -172,20 +172,21 @@ def news_articles(responses: DataFrame, pages: DataFrame | None = None, max_reco
     if pages is None:
         return arts
     # join the stored pages first, then extract: only the pages of these articles are parsed
-    stored = pages.select(F.col("url").alias("_u"), "html")
+    stored = one_per_url(pages).select(F.col("url").alias("_u"), "html")
     j = main_text(arts.join(stored, arts["url"] == stored["_u"], "left").drop("_u"))
     return (j.withColumn("content", F.coalesce(F.nullif(F.col("main_text"), F.lit("")), F.col("content")))
             .drop("main_text", "html"))
 
 
-def site_articles(listings: DataFrame, pages: DataFrame, start, end, max_hops: int = 5,
+def site_articles(listings: DataFrame, pages: DataFrame, start, end,
                   compat_not_found: bool = False) -> DataFrame:
     """Site load: listing pages -> cards in the date window -> article text.
 
     H4 cards (link, title, date; incomplete cards skipped), D2/P9 window on
     the UTC instant, then H6 + H1: the ``section.entry`` text of the page
-    reached by following "full report" links from the card's link (null,
-    or ``Not found`` with ``compat_not_found``, when it has none). Output
+    reached by following "full report" links from the card's link (null when
+    the page is not stored or the links run in a cycle; a stored page without
+    the section gives null, or ``Not found`` with ``compat_not_found``). Output
     columns follow the article table (``published`` is the wall-clock
     time of the listing, its offset dropped).
     """
@@ -193,12 +194,9 @@ def site_articles(listings: DataFrame, pages: DataFrame, start, end, max_hops: i
     from ..sources.feeds import article_id
 
     cards = in_window(listing_cards(listings), start, end)
-    text = followed_text(pages, max_hops, compat_not_found=compat_not_found,
-                         starts=cards.select("link")).select(
+    text = followed_text(pages, compat_not_found=compat_not_found, starts=cards.select("link")).select(
         F.col("start_url").alias("link"), F.col("body").alias("content"))
     j = cards.join(text, "link", "left")
-    if compat_not_found:
-        j = j.withColumn("content", F.coalesce(F.col("content"), F.lit("Not found")))
     return j.select(article_id(F.lit("site"), F.col("link"), F.col("title")).alias("doc_id"),
                     F.lit("site").alias("source"), F.col("link").alias("url"), "title", "content",
                     F.col("published_wall").alias("published"))

@@ -17,23 +17,32 @@ from ..sources.feeds import mentions_from_responses, news_from_responses
 from . import fixtures as fx
 from .catalog import _sql_hits, _sql_place_dictionary, _sql_winner
 from .composites import geocode
-from .q_pages import _PARAS_SQL
+from .q_pages import _PARAS_SQL, _sql_strip
 from .registry import register, table
 
-W1 = r"^[^\p{L}\p{N}_]*([\p{L}\p{N}_]+)"
-W2 = r"^[^\p{L}\p{N}_]*[\p{L}\p{N}_]+[^\p{L}\p{N}_]+([\p{L}\p{N}_]+)"
-
 # ------------------------------------------------------------------ T7
 KEY_GAZ = [(1, "market", 33.0, 44.0, "Key", None, None, None, None, None),
            (2, "town", 31.0, 45.0, "Basin", None, None, None, None, None)]
 
 
+# "Key" and a word after it stand inside the whole text, before its word number doc_id % words.
+_KEY_TEXT_SQL = """SELECT doc_id, array_to_string(list_concat(list_concat(w[1:p], ['Key', CASE WHEN doc_id % 2 = 0 THEN 'iraq' ELSE 'basin' END]), w[p + 1:]), ' ') AS txt
+           FROM (SELECT doc_id, string_split(text, ' ') AS w, doc_id % len(string_split(text, ' ')) AS p FROM documents)"""
+
+
+def _key_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.split("text", " ")
+    at = (F.col("doc_id") % F.size("w")).cast("int")
+    added = F.array(F.lit("Key"), F.when(F.col("doc_id") % 2 == 0, F.lit("iraq")).otherwise(F.lit("basin")))
+    return (table(spark, sf_dir, "documents").select("doc_id", w.alias("w"))
+            .select("doc_id", F.array_join(F.concat(F.slice("w", 1, at), added, F.slice(F.col("w"), at + 1, 1 << 30)), " ").alias("txt")))
+
+
 @register("special_term_context", f"""
-WITH c AS (SELECT doc_id, w1 || ' Key ' || w2 || CASE WHEN doc_id % 2 = 0 THEN ' iraq' ELSE ' basin' END AS txt
-           FROM (SELECT doc_id, regexp_extract(text, '{W1}', 1) AS w1, regexp_extract(text, '{W2}', 1) AS w2 FROM documents)),
+WITH c AS ({_KEY_TEXT_SQL}),
 gaz AS (SELECT * FROM {fx.values_sql(KEY_GAZ, fx.GAZETTEER_SCHEMA)}),
 {_sql_hits("SELECT doc_id, txt FROM c", {"place": _sql_place_dictionary("gaz")})},
-ks AS (SELECT doc_id, length(regexp_extract(txt, '(?i)^(.*?(?:^|[^\\p{{L}}\\p{{N}}_]))key(?:[^\\p{{L}}\\p{{N}}_]|$)', 1)) AS s,
+ks AS (SELECT doc_id, length(regexp_extract(txt, '(?is)^(.*?(?:^|[^\\p{{L}}\\p{{N}}_]))key(?:[^\\p{{L}}\\p{{N}}_]|$)', 1)) AS s,
               length(txt) AS len, txt FROM c),
 bad AS (SELECT doc_id FROM ks
         WHERE NOT contains(lower(substr(txt, greatest(s - 15, 0) + 1, least(s + 3 + 15, len) - greatest(s - 15, 0))), 'iraq')),
@@ -45,10 +54,7 @@ SELECT c.doc_id, c.txt, CAST(win.key AS BIGINT) AS loc_id, win.term AS matched_t
 FROM c LEFT JOIN win ON win.doc_id = c.doc_id""")
 def special_term_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7: "Key" counts only with "iraq" within 15 characters of its first hit."""
-    d = table(spark, sf_dir, "documents")
-    txt = F.concat(F.regexp_extract("text", W1, 1), F.lit(" Key "), F.regexp_extract("text", W2, 1),
-                   F.when(F.col("doc_id") % 2 == 0, F.lit(" iraq")).otherwise(F.lit(" basin")))
-    rows = d.select("doc_id", txt.alias("txt"))
+    rows = _key_texts(spark, sf_dir)
     g = fx.frame(spark, KEY_GAZ, fx.GAZETTEER_SCHEMA)
     return geocode(rows, g, id_col="doc_id", text_col="txt").select("doc_id", "txt", "loc_id", "matched_term")
 
@@ -129,38 +135,48 @@ def usd_from_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H6, J10
-_CHAIN_HTML_SQL = """(SELECT page_id, 'https://site.example/p/' || CAST(page_id AS VARCHAR) AS url,
-   '<section class="entry"><p>Part ' || CAST(page_id AS VARCHAR) || '</p>' ||
-   CASE WHEN page_id % 4 = 3 THEN '<a href="/p/' || CAST(page_id - 3 AS VARCHAR) || '">Click here to read the full report.</a>'
-        ELSE '<a href="' || CAST(page_id + 1 AS VARCHAR) || '">Click here to read the full report.</a>' END ||
-   '</section>' AS html FROM pages)"""
+# Chains of twelve pages: 0 -> 1 -> ... -> 10; in every fifth chain page 10 leads back to page 4; page 11 has
+# the link outside its section. The section, with the page's own heading, is put into the stored HTML.
+_LINKED_SQL = """page_id % 12 < 10 OR (page_id % 12 = 10 AND (page_id // 12) % 5 = 0)"""
+_NEXT_SQL = "CASE WHEN page_id % 12 = 10 THEN page_id - 6 ELSE page_id + 1 END"
+_CHAIN_SQL = f"""(SELECT page_id, 'https://site.example/p/' || CAST(page_id AS VARCHAR) AS url,
+   'Part ' || CAST(page_id AS VARCHAR) || {_sql_strip("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}
+     || CASE WHEN {_LINKED_SQL} THEN 'Click here to read the full report.' ELSE '' END AS body,
+   CASE WHEN {_LINKED_SQL} THEN 'https://site.example/p/' || CAST({_NEXT_SQL} AS VARCHAR) END AS nxt FROM pages)"""
+_WALK_SQL = """
+  UNION ALL
+  SELECT w.start_url, pg.nxt, list_append(w.seen, pg.nxt), w.hops + 1, list_contains(w.seen, pg.nxt)
+  FROM walk w JOIN pg ON pg.url = w.final_url WHERE pg.nxt IS NOT NULL AND NOT w.round),
+fin AS (SELECT start_url, arg_max(final_url, hops) AS final_url, max(hops) AS hops, bool_or(round) AS round FROM walk GROUP BY start_url)"""
+
+
+def _chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pid = F.col("page_id")
+    anchor = F.concat(F.lit("<a href='"), F.when(pid % 12 == 10, F.concat(F.lit("/p/"), (pid - 6).cast("string")))
+                      .otherwise((pid + 1).cast("string")), F.lit("'>Click here to read the full report.</a>"))
+    linked = (pid % 12 < 10) | ((pid % 12 == 10) & (F.floor(pid / 12) % 5 == 0))
+    heading = F.regexp_extract("html", "<h1>(.*?)</h1>", 1)
+    section = F.concat(F.lit('<section class="post entry"><section>Part '), pid.cast("string"), F.lit("</section><p>"), heading,
+                       F.lit("</p>"), F.when(linked, anchor).otherwise(F.lit("")), F.lit("</section>"),
+                       F.when(pid % 12 == 11, anchor).otherwise(F.lit("")))
+    p = table(spark, sf_dir, "pages")
+    rows = p.select("page_id", F.concat(F.lit("https://site.example/p/"), pid.cast("string")).alias("url"),
+                    F.concat(section, F.col("html")).alias("html"))
+    # some pages are stored twice
+    return rows.unionByName(rows.filter(pid % 7 == 0)).drop("page_id")
 
 
 @register("report_chains", f"""
-WITH RECURSIVE pg AS {_CHAIN_HTML_SQL},
-links AS (SELECT url AS u, 'https://site.example/p/' || CAST(CASE WHEN page_id % 4 = 3 THEN page_id - 3 ELSE page_id + 1 END AS VARCHAR) AS nxt FROM pg),
-walk(start_url, final_url, seen, hops) AS (
-  SELECT url, url, [url], 0 FROM pg
-  UNION ALL
-  SELECT w.start_url, l.nxt, list_append(w.seen, l.nxt), w.hops + 1
-  FROM walk w JOIN links l ON l.u = w.final_url
-  WHERE NOT list_contains(w.seen, l.nxt) AND w.hops < 5)
-SELECT w.start_url, w.final_url, w.hops,
-       'Part ' || CAST(pg.page_id AS VARCHAR) || 'Click here to read the full report.' AS body
-FROM (SELECT start_url, arg_max(final_url, hops) AS final_url, CAST(max(hops) AS INTEGER) AS hops
-      FROM walk GROUP BY start_url) w
-LEFT JOIN pg ON pg.url = w.final_url""")
+WITH RECURSIVE pg AS {_CHAIN_SQL},
+walk(start_url, final_url, seen, hops, round) AS (
+  SELECT url, url, [url], 0, false FROM pg{_WALK_SQL}
+SELECT w.start_url, CASE WHEN NOT w.round THEN w.final_url END AS final_url,
+       CASE WHEN NOT w.round THEN CAST(w.hops AS BIGINT) END AS hops, CASE WHEN NOT w.round THEN pg.body END AS body
+FROM fin w LEFT JOIN pg ON pg.url = w.final_url""")
 def report_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H6 + H1: follow "full report" links (relative and absolute) between stored
-    pages, cycles stop; the text of the last page's ``section.entry``."""
-    p = table(spark, sf_dir, "pages")
-    pid = F.col("page_id")
-    link = F.when(pid % 4 == 3, F.concat(F.lit('<a href="/p/'), (pid - 3).cast("string")))
-    link = link.otherwise(F.concat(F.lit('<a href="'), (pid + 1).cast("string")))
-    html = F.concat(F.lit('<section class="entry"><p>Part '), pid.cast("string"), F.lit("</p>"), link,
-                    F.lit('">Click here to read the full report.</a></section>'))
-    pages = p.select(F.concat(F.lit("https://site.example/p/"), pid.cast("string")).alias("url"), html.alias("html"))
-    return followed_text(pages, max_hops=5).select("start_url", "final_url", "hops", "body")
+    """H6 + H1: follow "full report" links inside the section (relative and absolute) between stored pages,
+    through chains of any length; chains that run in a cycle have no text."""
+    return followed_text(_chain_pages(spark, sf_dir)).select("start_url", "final_url", "hops", "body")
 
 
 # ------------------------------------------------------------------ R1-R5
@@ -394,8 +410,7 @@ def project_facts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ compat forms of Q1, Q5, Q6
 @register("special_term_context_compat", f"""
-WITH c AS (SELECT doc_id, w1 || ' Key ' || w2 || CASE WHEN doc_id % 2 = 0 THEN ' iraq' ELSE ' basin' END AS txt
-           FROM (SELECT doc_id, regexp_extract(text, '{W1}', 1) AS w1, regexp_extract(text, '{W2}', 1) AS w2 FROM documents)),
+WITH c AS ({_KEY_TEXT_SQL}),
 gaz AS (SELECT * FROM {fx.values_sql(KEY_GAZ, fx.GAZETTEER_SCHEMA)}),
 {_sql_hits("SELECT doc_id, txt FROM c", {"place": _sql_place_dictionary("gaz")})},
 hits2 AS (SELECT * FROM hits WHERE term <> 'Key'),
@@ -407,10 +422,7 @@ FROM c LEFT JOIN win ON win.doc_id = c.doc_id""")
 def special_term_context_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 with ``compat=True`` (Q1): the original test never finds its upper-case
     context word in lower-cased text, so every "Key" hit is dropped."""
-    d = table(spark, sf_dir, "documents")
-    txt = F.concat(F.regexp_extract("text", W1, 1), F.lit(" Key "), F.regexp_extract("text", W2, 1),
-                   F.when(F.col("doc_id") % 2 == 0, F.lit(" iraq")).otherwise(F.lit(" basin")))
-    rows = d.select("doc_id", txt.alias("txt"))
+    rows = _key_texts(spark, sf_dir)
     g = fx.frame(spark, KEY_GAZ, fx.GAZETTEER_SCHEMA)
     return geocode(rows, g, id_col="doc_id", text_col="txt", compat=True).select("doc_id", "loc_id", "matched_term")
 
@@ -448,7 +460,7 @@ def evidence_checks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ news load composite
 _NEWS_INPUT_SQL = """
-SELECT d.doc_id, 'Iraq NEAR q' || CAST(d.doc_id % 2 AS VARCHAR) AS query, '2024-01-01' AS win_start,
+SELECT d.doc_id, d.lang || ' NEAR ' || d.source AS query, strftime(DATE '2024-01-01' + CAST(2 * (d.doc_id // 400) AS INTEGER), '%Y-%m-%d') AS win_start,
        p.url, regexp_extract(d.text, '^[\\p{L}\\p{N}_]*') AS title, d.text AS feed_text,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((d.doc_id * 7) % 1000 AS BIGINT)), '%Y%m%dT%H%M%SZ') AS seendate,
        p.html
@@ -466,15 +478,16 @@ WITH i AS ({_NEWS_INPUT_SQL}),
 top AS (SELECT *, row_number() OVER (PARTITION BY query, win_start ORDER BY seendate DESC, url, title) AS rk FROM i),
 t250 AS (SELECT * FROM top WHERE rk <= 250),
 ft AS (SELECT *, row_number() OVER (PARTITION BY query, win_start, title ORDER BY rk) AS tk FROM t250)
-SELECT query, url, title, strftime(CAST(strptime(seendate, '%Y%m%dT%H%M%SZ') AS DATE), '%Y-%m-%d') AS published,
+SELECT query, win_start, url, title, strftime(CAST(strptime(seendate, '%Y%m%dT%H%M%SZ') AS DATE), '%Y-%m-%d') AS published,
        md5(coalesce(nullif({main}, ''), feed_text)) AS content_md5
 FROM ft WHERE tk = 1"""
 
 
 @register("news_articles", _news_sql())
 def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News load (S1, O3, A4, D1, H7, P15, U2): one stored response per document, two
-    queries, newest 250 per (query, window), one article per title, page text as content."""
+    """News load (S1, O3, A4, D1, H7, P15, U2): one stored response per document, a query per
+    language and source and windows of two days, newest 250 per (query, window), one article per title,
+    page text as content."""
     from .composites import news_articles
     d = table(spark, sf_dir, "documents")
     p = table(spark, sf_dir, "pages")
@@ -484,49 +497,42 @@ def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "CAST((doc_id * 7) % 1000 AS INT), 0)"), "yyyyMMdd'T'HHmmss'Z'")
     item = F.struct(F.col("url"), F.regexp_extract("text", r"^[\p{L}\p{N}_]*", 0).alias("title"),
                     seendate.alias("seendate"), F.col("text").alias("content"))
-    responses = j.select(F.concat(F.lit("Iraq NEAR q"), (F.col("doc_id") % 2).cast("string")).alias("query"),
-                         F.lit("2024-01-01").alias("win_start"),
+    window = F.expr("date_add(DATE '2024-01-01', CAST(2 * (doc_id div 400) AS INT))")
+    responses = j.select(F.concat(F.col("lang"), F.lit(" NEAR "), F.col("source")).alias("query"),
+                         F.date_format(window, "yyyy-MM-dd").alias("win_start"),
                          F.to_json(F.struct(F.array(item).alias("articles"))).alias("response"))
     arts = news_articles(responses, p)
-    return arts.select("query", "url", "title", F.date_format("published", "yyyy-MM-dd").alias("published"),
+    return arts.select("query", "win_start", "url", "title", F.date_format("published", "yyyy-MM-dd").alias("published"),
                        F.md5("content").alias("content_md5"))
 
 
 # ------------------------------------------------------------------ site load composite
 def _site_sql() -> str:
     return f"""
-WITH RECURSIVE pg AS {_CHAIN_HTML_SQL},
-links AS (SELECT url AS u, 'https://site.example/p/' || CAST(CASE WHEN page_id % 4 = 3 THEN page_id - 3 ELSE page_id + 1 END AS VARCHAR) AS nxt FROM pg),
+WITH RECURSIVE pg AS {_CHAIN_SQL},
 cards AS (
   SELECT d.doc_id, 'https://site.example/p/' || CAST(d.doc_id % (SELECT count(*) FROM pages) AS VARCHAR) AS link,
-         nullif(replace(split_part(d.text, '.', 1), '"', ''), '') AS title,
-         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id AS BIGINT)) AS wall,
-         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id AS BIGINT))
+         nullif(replace(split_part(d.text, '.', 1), '"', '') || ' it''s', '') AS title,
+         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id * 7919 % 2000 AS BIGINT)) AS wall,
+         TIMESTAMP '2024-01-01 08:30:00' + to_hours(CAST(d.doc_id * 7919 % 2000 AS BIGINT))
            + CASE WHEN d.doc_id % 2 = 0 THEN to_hours(-3) ELSE to_hours(5) END AS utc
   FROM documents d WHERE d.doc_id % 3 <> 0),
 inwin AS (SELECT * FROM cards WHERE utc BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-02-15 00:00:00'),
-walk(start_url, final_url, seen, hops) AS (
-  SELECT DISTINCT link, link, [link], 0 FROM inwin
-  UNION ALL
-  SELECT w.start_url, l.nxt, list_append(w.seen, l.nxt), w.hops + 1
-  FROM walk w JOIN links l ON l.u = w.final_url
-  WHERE NOT list_contains(w.seen, l.nxt) AND w.hops < 5),
-fin AS (SELECT start_url, arg_max(final_url, hops) AS final_url FROM walk GROUP BY start_url)
-SELECT c.link AS url, c.title, strftime(c.wall, '%Y-%m-%d %H:%M:%S') AS published,
-       'Part ' || CAST(pg.page_id AS VARCHAR) || 'Click here to read the full report.' AS content
+walk(start_url, final_url, seen, hops, round) AS (
+  SELECT DISTINCT link, link, [link], 0, false FROM inwin{_WALK_SQL}
+SELECT c.link AS url, c.title, strftime(c.wall, '%Y-%m-%d %H:%M:%S') AS published, CASE WHEN NOT fin.round THEN pg.body END AS content
 FROM inwin c JOIN fin ON fin.start_url = c.link LEFT JOIN pg ON pg.url = fin.final_url"""
 
 
 @register("site_articles", _site_sql())
 def site_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site load (H4, H5, D2, P9, P16, H6, H1): listing cards composed from the documents link
-    into the chain pages composed from ``pages``; cards in the window follow their links."""
+    into the stored pages, which hold chains of links; cards in the window follow them."""
     from .composites import site_articles
     d = table(spark, sf_dir, "documents")
-    p = table(spark, sf_dir, "pages")
-    npages = p.count()
-    title = F.replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), F.lit('"'), F.lit(""))
-    ts = F.expr("TIMESTAMP '2024-01-01 08:30:00' + make_interval(0, 0, 0, 0, CAST(doc_id AS INT), 0, 0)")
+    npages = table(spark, sf_dir, "pages").count()
+    title = F.concat(F.replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), F.lit('"'), F.lit("")), F.lit(" it's"))
+    ts = F.expr("TIMESTAMP '2024-01-01 08:30:00' + make_interval(0, 0, 0, 0, CAST(doc_id * 7919 % 2000 AS INT), 0, 0)")
     date = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
                     F.when(F.col("doc_id") % 2 == 0, F.lit("+03:00")).otherwise(F.lit("-05:00")))
     abbr = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
@@ -535,16 +541,9 @@ def site_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("doc_id") % F.lit(npages)).cast("string"), F.lit('" title="'), title,
                     F.lit('">x</a></h2>'), abbr, F.lit("</article>"))
     listings = d.select(F.concat(F.lit("https://site.example/list/"), F.col("lang")).alias("url"), html.alias("html"))
-    pid = F.col("page_id")
-    link = F.when(pid % 4 == 3, F.concat(F.lit('<a href="/p/'), (pid - 3).cast("string")))
-    link = link.otherwise(F.concat(F.lit('<a href="'), (pid + 1).cast("string")))
-    chain_html = F.concat(F.lit('<section class="entry"><p>Part '), pid.cast("string"), F.lit("</p>"), link,
-                          F.lit('">Click here to read the full report.</a></section>'))
-    pages = p.select(F.concat(F.lit("https://site.example/p/"), pid.cast("string")).alias("url"),
-                     chain_html.alias("html"))
     start = F.lit("2024-01-02 00:00:00").cast("timestamp")
     end = F.lit("2024-02-15 00:00:00").cast("timestamp")
-    arts = site_articles(listings, pages, start, end)
+    arts = site_articles(listings, _chain_pages(spark, sf_dir), start, end)
     return arts.select("url", "title", F.date_format("published", "yyyy-MM-dd HH:mm:ss").alias("published"),
                        "content")
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.html import ENTITIES, absolute_url, paragraphs_text
+from ..functions.html import absolute_url, paragraphs_text
 from ..operators.pages import listing_cards, main_text
 from .registry import register, table
 
+# The character references that occur in the stored pages, for the SQL side (``&amp;`` last, so that each is decoded once).
+_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 _NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 
 
 def _sql_unescape(expr: str) -> str:
-    for ent, ch in ENTITIES:
+    for ent, ch in _REFERENCES:
         expr = f"replace({expr}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return expr
 

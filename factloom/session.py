@@ -8,6 +8,7 @@ find the shared checkpoint folder the cluster names in
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,8 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3) folder and
-    is used as is. Only when nothing is configured (local tests) a fresh
-    temporary folder is taken.
+    is used as is. Only a local master may run without one: it gets a fresh
+    temporary folder. On a cluster each executor would write to its own disk,
+    so a missing setting is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -89,6 +91,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="factloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

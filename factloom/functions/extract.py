@@ -1,8 +1,8 @@
 """Semi-structured extraction from stored model responses.
 
 Responses are text holding one or more Python-literal dicts. Everything
-here is a built-in Column expression: regex extraction, a literal-to-JSON
-rewrite and ``from_json``; nothing is evaluated as code.
+here is a built-in Column expression: regex extraction, a fold over braces,
+a literal-to-JSON rewrite and ``from_json``; nothing is evaluated as code.
 """
 
 from __future__ import annotations
@@ -35,55 +35,55 @@ def field_values(text, names) -> Column:
     return F.coalesce(arr, F.array().cast("array<string>"))
 
 
-def dict_blocks(text) -> Column:
-    """L4 (flat form): every innermost ``{...}`` block, left to right."""
-    return F.coalesce(F.regexp_extract_all(_c(text), F.lit(r"\{[^{}]*\}"), 0),
-                      F.array().cast("array<string>"))
-
-
-def balanced_blocks(s: str | None) -> list[str]:
-    """Every balanced ``{...}`` substring, in the order it closes (inner before outer)."""
-    if s is None:
-        return []
-    opened, out = [], []
-    for i, ch in enumerate(s):
-        if ch == "{":
-            opened.append(i)
-        elif ch == "}" and opened:
-            out.append(s[opened.pop():i + 1])
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _nested_blocks_udf(texts):
-    return texts.map(balanced_blocks)
+def _closed_blocks(text) -> Column:
+    """``array<struct<block, inner>>``: every balanced ``{...}`` block, in the order it closes, and whether
+    it lies in another block.
 
+    The text is cut at its braces; a fold over the pieces keeps the texts of the open blocks. A brace
+    without a partner is ignored.
+    """
+    piece_type = "array<struct<b:string,p:string>>"
+    none = F.array().cast("array<struct<block:string,inner:boolean>>")
+    state = F.struct(F.array().cast("array<string>").alias("open"), none.alias("out"))
+
+    def step(acc, x):
+        depth, top = F.size(acc["open"]), F.element_at(acc["open"], -1)
+        opened = F.struct(F.array_append(acc["open"], F.concat(F.lit("{"), x["p"])).alias("open"), acc["out"].alias("out"))
+        # the closed text goes on in the block around it
+        around = F.array_append(F.slice(acc["open"], 1, F.greatest(depth - 2, F.lit(0))),
+                                F.concat(F.get(acc["open"], depth - 2), top, F.lit("}"), x["p"]))
+        closed = F.struct(
+            F.when(depth > 1, around).otherwise(F.array().cast("array<string>")).alias("open"),
+            F.array_append(acc["out"], F.struct(F.concat(top, F.lit("}")).alias("block"), (depth > 1).alias("inner"))).alias("out"))
+        return F.when(x["b"] == "{", opened).when(depth > 0, closed).otherwise(acc)
+
+    t = _c(text)
+    cut = F.arrays_zip(F.regexp_extract_all(t, F.lit(r"[{}]"), 0).alias("b"), F.slice(F.split(t, r"[{}]"), 2, 1 << 30).alias("p"))
+    return F.coalesce(F.aggregate(cut.cast(piece_type), state, step, lambda acc: acc["out"]), none)
 
-def dict_blocks_nested(text) -> Column:
-    """L4 (nested form): balanced blocks with nesting, inner before outer.
 
-    Java regex cannot match nested braces, so this is an Arrow-batched
-    pandas UDF (a stack scan per text); the flat form needs no Python.
-    """
-    return _nested_blocks_udf(_c(text))
+def dict_blocks(text) -> Column:
+    """L4: every balanced ``{...}`` block, in the order it closes (inner before outer)."""
+    return F.transform(_closed_blocks(text), lambda b: b["block"])
 
 
 def literal_to_json(block) -> Column:
     """Rewrite a Python-literal dict to JSON text (quotes stay for Jackson).
 
-    Bare ``None``/``True``/``False`` values become ``null``/``true``/``false``.
+    Bare ``None``/``True``/``False`` after a quoted key become
+    ``null``/``true``/``false``; ``\\xNN`` escapes become ``\\u00NN``.
     """
     b = _c(block)
-    b = F.regexp_replace(b, r"(:\s*)None(\s*[,}])", "$1null$2")
-    b = F.regexp_replace(b, r"(:\s*)True(\s*[,}])", "$1true$2")
-    b = F.regexp_replace(b, r"(:\s*)False(\s*[,}])", "$1false$2")
-    return b
+    key = r"""((?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")\s*:\s*)"""
+    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+        b = F.regexp_replace(b, rf"(?s){key}{word}(?=\s*[,}}])", f"$1{json_word}")
+    return F.regexp_replace(b, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
 
 
 def parse_literal_dict(block) -> Column:
     """One dict block -> ``map<string,string>`` (null when it does not parse)."""
     return F.from_json(literal_to_json(block), T.MapType(T.StringType(), T.StringType()),
-                       {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+                       {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"})
 
 
 def map_to_project(m) -> Column:
@@ -121,12 +121,15 @@ def text_to_map(text) -> Column:
     return F.map_from_entries(last)
 
 
-def parsed_dicts(response, nested: bool = False) -> Column:
-    """L4 + L5: every dict block that parses, as a project struct, in text order
-    (``nested=True``: balanced blocks with nesting, inner before outer)."""
-    blocks = dict_blocks_nested(response) if nested else dict_blocks(response)
-    parsed = F.filter(F.transform(blocks, parse_literal_dict), lambda m: m.isNotNull())
-    return F.transform(parsed, map_to_project)
+def parsed_dicts(response) -> Column:
+    """L4 + L5: every dict block that parses, as a project struct, in the order the blocks close.
+
+    A dict inside another one that has none of the project fields is no project.
+    """
+    names = F.array(*[F.lit(a) for _, alts in PROJECT_FIELDS for a in alts])
+    maps = F.transform(_closed_blocks(response), lambda b: F.struct(parse_literal_dict(b["block"]).alias("m"), b["inner"].alias("inner")))
+    kept = F.filter(maps, lambda x: x["m"].isNotNull() & (~x["inner"] | F.arrays_overlap(F.map_keys(x["m"]), names)))
+    return F.transform(kept, lambda x: map_to_project(x["m"]))
 
 
 def with_fallback(response, projects) -> Column:

@@ -113,19 +113,23 @@ class DictionaryInfo:
 
 def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
              special_terms=SPECIAL_TERMS, dict_name: str = "place") -> DictionaryInfo:
-    """Size bound, longest term and special-term presence of a dictionary (one small job)."""
+    """Longest term, special terms, fan-out and size of a dictionary, always of all its rows.
+
+    Two aggregations (the second over one row per first token). ``max_rows``
+    decides about broadcasting and nothing else.
+    """
     special = (F.col("dict") == dict_name) & F.col("term").isin(list(special_terms or ["\u0000"]))
-    row = dictionary.limit(max_rows + 1).agg(
+    per_entry = dictionary.groupBy("entry").agg(
         F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("k"), F.sum(row_bytes(dictionary)).alias("b"),
-        F.max(F.when(special, 1).otherwise(0)).alias("sp"), F.count_distinct("entry").alias("ids")).first()
-    n, k, sp = row["n"], row["k"] or 1, bool(row["sp"])
-    if n <= max_rows and row["ids"] != n:
+        F.max(F.when(special, 1).otherwise(0)).alias("sp"))
+    row = per_entry.agg(F.sum("n").alias("n"), F.max("k").alias("k"), F.sum("b").alias("b"), F.max("sp").alias("sp"),
+                        F.max("n").alias("same_id")).first()
+    n = int(row["n"] or 0)
+    if (row["same_id"] or 1) > 1:
         raise ValueError("two dictionary terms share an entry id (64-bit hash collision); rename one term")
     small = n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES
-    if n > max_rows:  # too big to broadcast: the longest term must come from the whole table
-        k = dictionary.agg(F.max("n_tokens")).first()[0] or 1
     fanout = (dictionary.groupBy("dict", "first_token").count().agg(F.max("count")).first()[0] or 1)
-    return DictionaryInfo(n, int(k), small, sp, int(fanout))
+    return DictionaryInfo(n, int(row["k"] or 1), small, bool(row["sp"]), int(fanout))
 
 
 def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str,
@@ -307,27 +311,7 @@ def summarize(terms: DataFrame, place_dict: str = "place", topic_dict: str = "to
                           F.col("w.n").alias("matched_hits"), topic_terms.alias("topic_terms"))
 
 
-# ------------------------------------------------------------------ A1/A2, J2, J3, P6
-def winner_per_doc(hits: DataFrame, dict_name: str = "place") -> DataFrame:
-    """A1 + A2: most frequent key per document (ties: first seen) and its first term."""
-    per_key = (hits.filter(F.col("dict") == dict_name)
-               .groupBy("doc_id", "key")
-               .agg(F.count(F.lit(1)).alias("n"), F.min_by("term", "start").alias("term"),
-                    F.min("start").alias("first")))
-    best = per_key.groupBy("doc_id").agg(
-        F.max_by(F.struct("key", "term", "n"), F.struct("n", -F.col("first"))).alias("w"))
-    return best.select("doc_id", F.col("w.key").alias("matched_key"),
-                       F.col("w.term").alias("matched_term"), F.col("w.n").alias("matched_hits"))
-
-
-def labels_in_order(hits: DataFrame, dict_name: str = "topic", sep: str = ", ") -> DataFrame:
-    """J2 + A10: labels of all topic hits, in text order, joined by ``sep``."""
-    return (hits.filter(F.col("dict") == dict_name)
-            .groupBy("doc_id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "key"))),
-                                          lambda x: x["key"]), sep).alias("topic_terms")))
-
-
+# ------------------------------------------------------------------ P6, J3
 def passes_gate(topic_terms, labels=GATE_LABELS, sep: str = ", ") -> F.Column:
     """Some element of the joined label text equals a gate label."""
     gate = F.array(*[F.lit(x) for x in labels])

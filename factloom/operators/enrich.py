@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.constants import MAX_REQUEST_WORDS, PROMPT_CATEGORIES, PROJECT_FIELDS
 from ..functions.text import trim_to_words, ustrip
 
-RESPONSE_SCHEMA = "request_id string, doc_id string, stage string, raw string, ok boolean, attempts int"
+RESPONSE_SCHEMA = ("request_id string, doc_id string, stage string, raw string, ok boolean, attempts int, "
+                   "answered_at timestamp")
 
 # Request templates; ``{text}`` is replaced by the (trimmed) input text.
 SUMMARY_TEMPLATE = (
@@ -59,14 +60,27 @@ def prefer_full_text(df: DataFrame, full_col: str = "full_content", text_col: st
 
 
 def pending(requests: DataFrame, responses: DataFrame | None) -> DataFrame:
-    """Requests without an answer yet (anti-join on ``request_id``)."""
+    """Requests without a good answer yet (anti-join on ``request_id``);
+    a request that failed before is asked again."""
     if responses is None:
         return requests
-    return requests.join(responses.select("request_id").distinct(), "request_id", "left_anti")
+    return requests.join(responses.filter("ok").select("request_id").distinct(), "request_id", "left_anti")
+
+
+def ask(responder: Callable[[pd.Series], pd.Series], prompts: pd.Series) -> pd.Series:
+    """Replies to ``prompts``; where a call fails, its prompts are asked in halves, so that one bad
+    prompt costs its own reply only (None)."""
+    try:
+        return pd.Series(list(responder(prompts)), index=prompts.index, dtype=object)
+    except Exception:  # noqa: BLE001 - a prompt that fails alone has no reply
+        if len(prompts) == 1:
+            return pd.Series([None], index=prompts.index, dtype=object)
+        half = len(prompts) // 2
+        return pd.concat([ask(responder, prompts.iloc[:half]), ask(responder, prompts.iloc[half:])])
 
 
 def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Series],
-                  retries: int = 3, materialize: bool = True) -> DataFrame:
+                  retries: int = 3, materialize: bool = True, answered_at=None) -> DataFrame:
     """Answer requests with ``responder`` (prompts -> replies, None = failed).
 
     Each distinct prompt (``request_id``) is asked once, however many rows
@@ -75,6 +89,7 @@ def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Serie
     ``retries`` times inside the task and stored with ``ok = false``. The
     answers are materialised once in the shared checkpoint folder, so later
     uses (accepting, attaching, writing) never ask the model again.
+    ``answered_at`` (a timestamp column, default now) marks the run.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -85,20 +100,20 @@ def run_responder(requests: DataFrame, responder: Callable[[pd.Series], pd.Serie
                 if not todo.any():
                     break
                 attempts[todo] += 1
-                try:
-                    got = pd.Series(responder(b.loc[todo, "prompt"]), index=b.index[todo])
-                except Exception:  # noqa: BLE001 - a failing call is an answer of "no reply"
-                    got = pd.Series([None] * int(todo.sum()), index=b.index[todo], dtype=object)
-                raw[todo] = got
+                raw[todo] = ask(responder, b.loc[todo, "prompt"])
             yield pd.DataFrame({"request_id": b["request_id"], "stage": b["stage"], "raw": raw,
                                 "ok": raw.notna(), "attempts": attempts})
-    unique = requests.select("request_id", "stage", "prompt").dropDuplicates(["request_id"])
+    # one row per prompt is chosen on the ids alone; only its own text goes on to the responder
+    first = requests.groupBy("request_id").agg(F.min("doc_id").alias("doc_id"))
+    unique = (requests.join(first, ["request_id", "doc_id"], "left_semi")
+              .select("request_id", "stage", "prompt").dropDuplicates(["request_id"]))
     answers = unique.mapInPandas(run, "request_id string, stage string, raw string, ok boolean, attempts int")
+    answers = answers.withColumn("answered_at", F.current_timestamp() if answered_at is None else answered_at)
     if materialize:
         from ..session import cut_lineage
         answers = cut_lineage(answers)
     out = requests.select("request_id", "doc_id").join(answers, "request_id")
-    return out.select("request_id", "doc_id", "stage", "raw", "ok", "attempts")
+    return out.select("request_id", "doc_id", "stage", "raw", "ok", "attempts", "answered_at")
 
 
 def strip_reply(col: str = "raw") -> Column:
@@ -111,12 +126,20 @@ def accepted(responses: DataFrame) -> DataFrame:
     return responses.filter(F.col("ok") & F.col("raw").startswith("1"))
 
 
-def attach_responses(df: DataFrame, responses: DataFrame, id_col: str, stage: str,
+def attach_responses(df: DataFrame, responses: DataFrame, requests: DataFrame, id_col: str,
                      out_col: str = "summaries") -> DataFrame:
-    """The latest ok answer of ``stage`` per document, plus ``performed``."""
-    r = (responses.filter((F.col("stage") == stage) & F.col("ok"))
-         .groupBy("doc_id").agg(F.max_by("raw", "request_id").alias(out_col)))
-    j = df.join(r, df[id_col].cast("string") == r["doc_id"], "left").drop(r["doc_id"])
+    """The latest good answer to each row's own request, plus ``performed``.
+
+    ``requests`` is the request table of ``df`` (``build_requests``): answers
+    belong to prompts, so a row whose prompt was answered for another
+    document, or on another day, gets that answer too. Rows without a
+    request (null text) and rows whose request has no good answer get null.
+    """
+    good = responses.filter("ok").groupBy("request_id").agg(
+        F.max_by("raw", F.struct("answered_at", "raw")).alias(out_col))
+    mine = (requests.select(F.col("doc_id").alias("_id"), "request_id").distinct().join(good, "request_id")
+            .groupBy("_id").agg(F.max(out_col).alias(out_col)))
+    j = df.join(mine, df[id_col].cast("string") == mine["_id"], "left").drop("_id")
     return j.withColumn("performed", F.col(out_col).isNotNull())
 
 
@@ -141,7 +164,7 @@ def usd_by_model(rows: DataFrame, responder: Callable[[pd.Series], pd.Series], i
     req = build_requests(rows, id_col, amount_col, "usd", USD_TEMPLATE)
     new = run_responder(pending(req, responses), responder)
     answered = new if responses is None else responses.unionByName(new)
-    out = attach_responses(rows, answered, id_col, "usd", out_col="usd_reply").drop("performed")
+    out = attach_responses(rows, answered, req, id_col, out_col="usd_reply").drop("performed")
     return out.withColumn("usd", usd_or_zero(strip_reply("usd_reply"))), new
 
 
@@ -154,5 +177,25 @@ def relevance(rows: DataFrame, responder: Callable[[pd.Series], pd.Series], id_c
     req = build_requests(rows, id_col, text_col, "relevance", RELEVANCE_TEMPLATE)
     new = run_responder(pending(req, responses), responder)
     answered = new if responses is None else responses.unionByName(new)
-    out = attach_responses(rows, answered, id_col, "relevance", out_col="content_check")
-    return out.filter(is_relevant("content_check")), new
+    out = attach_responses(rows, answered, req, id_col, out_col="content_check")
+    return out.filter(is_relevant("content_check")).drop("performed"), new
+
+
+def summaries(rows: DataFrame, responder: Callable[[pd.Series], pd.Series], id_col: str, text_col: str = "content",
+              full_col: str = "full_content", responses: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two-stage summaries of each row, as ``summaries`` (null = not performed).
+
+    The full text where present, else the content (P15), cut to the first
+    12,000 words (T12), is asked for a numbered list (T13); lists that start
+    with 1 are accepted (P13) and asked for one dict per project. Answers
+    stored in ``responses`` are used and not asked for again (P12, J7).
+    Returns ``(rows + summaries + performed, new responses of both stages)``.
+    """
+    first = build_requests(rows.withColumn("_text", prefer_full_text(rows, full_col, text_col)), id_col, "_text", "summaries", SUMMARY_TEMPLATE)
+    new_first = run_responder(pending(first, responses), responder)
+    known = new_first if responses is None else responses.unionByName(new_first)
+    listed = attach_responses(rows.select(id_col), known, first, id_col, out_col="raw").filter(F.col("raw").startswith("1"))
+    second = build_requests(listed, id_col, "raw", "fields", FIELDS_TEMPLATE)
+    new_second = run_responder(pending(second, responses), responder)
+    known = new_second if responses is None else responses.unionByName(new_second)
+    return attach_responses(rows, known, second, id_col, out_col="summaries"), new_first.unionByName(new_second)

@@ -1,8 +1,8 @@
 """Join helpers: broadcast only what is proven small.
 
-A side is broadcast only after one cheap job over at most ``n + 1`` of its
-rows (``limit`` stops early on a big input) shows it is under a row bound
-and a byte bound; beyond them the join is left to Spark's shuffle join
+A side is broadcast only after one aggregation over it (pass a side that is
+written or checkpointed, so that this is a scan) shows it is under a row
+bound and a byte bound; beyond them the join is left to Spark's shuffle join
 (sort-merge, AQE skew handling).
 """
 
@@ -23,21 +23,16 @@ def row_bytes(df: DataFrame) -> F.Column:
     return F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns])))
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count, capped at ``bound + 1`` (so a huge input stops early)."""
-    return df.limit(bound + 1).count()
-
-
-def bounded_size(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[int, int]:
-    """(rows, approximate bytes) of at most ``max_rows + 1`` rows, in one job."""
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """(rows, approximate bytes), by one aggregation that is partial in every task."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return int(row["n"]), int(row["b"] or 0)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` when ``df`` is proven small (rows and bytes), else ``df``."""
-    n, b = bounded_size(df, max_rows)
+    n, b = size_of(df)
     return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 

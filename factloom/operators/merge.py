@@ -113,11 +113,6 @@ def master_order(df: DataFrame, year_col: str = "year", score_col: str = "sort_s
     return df.orderBy(F.col(year_col).desc_nulls_last(), F.col(score_col).desc_nulls_last(), *ties)
 
 
-def rank_within(df: DataFrame, group_col: str, order_cols, name: str = "rank") -> DataFrame:
-    """O2: 1-based rank inside each group (``row_number``, explicit ties)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group_col).orderBy(*order_cols)))
-
-
 def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, name: str = "rank") -> DataFrame:
     """O3: first ``k`` rows of each group; Spark plans a WindowGroupLimit,
     which keeps only ``k`` rows per group inside each task before the
@@ -126,10 +121,10 @@ def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, name: str = "
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
 
 
-def rank_within_balanced(df: DataFrame, group_col: str, order_cols, name: str = "rank",
+def rank_within(df: DataFrame, group_col: str, order_cols, name: str = "rank",
                          partitions: int | None = None) -> DataFrame:
-    """O2 for skewed groups: the same 1-based rank as ``rank_within``, but a
-    group holding a large share of the rows is spread over many tasks.
+    """O2: 1-based rank inside each group; a group that holds a large share of
+    the rows is spread over many tasks.
 
     1. range-partitioned sort on ``(group, order...)`` (the order columns
        must make rows distinct, so the range boundaries can split a hot
@@ -155,5 +150,5 @@ def rank_within_balanced(df: DataFrame, group_col: str, order_cols, name: str =
     # shuffle join on (partition, group), which still spreads a hot group
     ranked = ordered.join(checked_broadcast(offsets.select("_part", group_col, "_offset", "_first")),
                           ["_part", group_col])
-    rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("int")
+    rank = (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint")
     return ranked.withColumn(name, rank).drop("_part", "_pos", "_offset", "_first")

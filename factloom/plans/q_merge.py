@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import dedupe_within_group, merge_master, rank_within_balanced, top_k_per_group
+from ..operators.merge import dedupe_within_group, merge_master, rank_within, top_k_per_group
 from .registry import register, table
 
 KEY = ["title", "published", "content", "url", "performed", "summaries", "location", "what_built",
@@ -73,12 +73,12 @@ def dedupe_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("rank_in_year", """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
-  CAST(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank
+  CAST(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rank
 FROM orders""")
 def rank_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: rank within year by value (explicit tie-break); a hot year is split over tasks."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), "o_totalprice")
-    return rank_within_balanced(o, "year", [F.col("o_totalprice").desc(), F.col("o_orderkey")]).drop("o_totalprice")
+    return rank_within(o, "year", [F.col("o_totalprice").desc(), F.col("o_orderkey")]).drop("o_totalprice")
 
 
 @register("top_orders_per_customer", """

@@ -1,9 +1,10 @@
 """Sinks: stage snapshots, the master table and its CSV export.
 
 The master table is never overwritten in place: each run writes a new
-snapshot partition and only then moves a one-row ``current`` pointer to it,
-so a reader (including this run's own merge input) never sees a path that
-is being rewritten, and yesterday's snapshot stays as the dated copy.
+snapshot partition and only then adds a one-row pointer file that names it;
+the pointer with the highest run number is the current one. Nothing is
+overwritten, so a reader (including this run's own merge input) always finds
+a complete master, and yesterday's snapshot stays as the dated copy.
 """
 
 from __future__ import annotations
@@ -34,34 +35,63 @@ def write_master(df: DataFrame, base: str, snapshot_date: str, partitions: int |
     records in the pointer that the snapshot holds one row per identity key
     (set by the merge, which guarantees it). Returns the key.
     """
+    spark = df.sparkSession
+    row = current_pointer(spark, base)
+    run = (row["run"] if row else 0) + 1
     key = f"{snapshot_date}_{uuid.uuid4().hex[:8]}"
     out = df.withColumn("snapshot", F.lit(key))
     if partitions:
         out = out.repartition(partitions)
     out.write.mode("append").partitionBy("snapshot").parquet(f"{base.rstrip('/')}/snapshots")
-    spark = df.sparkSession
-    spark.createDataFrame([(key, snapshot_date, keys_unique)],
-                          "snapshot string, snapshot_date string, keys_unique boolean") \
-        .coalesce(1).write.mode("overwrite").json(f"{base.rstrip('/')}/current")
+    (spark.createDataFrame([(run, key, snapshot_date, keys_unique)], POINTER_SCHEMA)
+     .coalesce(1).write.mode("append").json(f"{base.rstrip('/')}/current"))
     return key
 
 
+POINTER_SCHEMA = "run bigint, snapshot string, snapshot_date string, keys_unique boolean"
+
+
+def _read_if_there(spark: SparkSession, read):
+    """The DataFrame that ``read`` gives, or None if its path does not exist; other errors are raised."""
+    from pyspark.errors import AnalysisException
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def current_pointer(spark: SparkSession, base: str):
+    """The pointer row with the highest run number, None for a base that holds no master.
+
+    Only a base without a pointer and without snapshots is empty. Snapshots
+    without a pointer, or a pointer that cannot be read, are errors: a merge
+    that took them for an empty master would publish today's rows alone.
+    """
+    root = base.rstrip("/")
+    pointers = _read_if_there(spark, lambda: spark.read.schema(POINTER_SCHEMA).option("mode", "FAILFAST").json(f"{root}/current"))
+    row = None
+    if pointers is not None:
+        row = pointers.orderBy(F.desc("run"), F.desc("snapshot_date"), F.desc("snapshot")).first()
+    if row is not None:
+        if row["run"] is None or row["snapshot"] is None:
+            raise ValueError(f"the pointer of the master under {root} is broken")
+        return row
+    if _read_if_there(spark, lambda: spark.read.parquet(f"{root}/snapshots")) is not None:
+        raise ValueError(f"the master under {root} has snapshots but no pointer to the current one")
+    return None
+
+
 def current_keys_unique(spark: SparkSession, base: str) -> bool:
     """Whether the current snapshot was written with one row per identity key."""
-    try:
-        row = spark.read.schema("snapshot string, snapshot_date string, keys_unique boolean") \
-            .json(f"{base.rstrip('/')}/current").first()
-    except Exception:  # noqa: BLE001
-        return False
+    row = current_pointer(spark, base)
     return bool(row and row["keys_unique"])
 
 
 def current_snapshot(spark: SparkSession, base: str) -> str | None:
-    """Key of the current snapshot (a one-row pointer file), or None."""
-    try:
-        row = spark.read.schema("snapshot string, snapshot_date string").json(f"{base.rstrip('/')}/current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet means no master yet
-        return None
+    """Key of the current snapshot, or None for a base without a master."""
+    row = current_pointer(spark, base)
     return row["snapshot"] if row else None
 
 
@@ -88,4 +118,4 @@ def export_columns(df: DataFrame) -> DataFrame:
 
 def write_csv_export(df: DataFrame, path: str) -> None:
     """CSV export with a header (one folder of part files)."""
-    export_columns(df).write.mode("overwrite").option("header", "true").csv(path)
+    export_columns(df).write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)

@@ -1,4 +1,4 @@
-"""Dimension tables and the master table (S3-S6): declared schemas, no inference.
+"""Dimension tables and the master table (S3-S6): columns by name, declared types, no inference.
 
 Spreadsheets are not a Spark source; these read CSV (with the original
 column names in the header) or Parquet and map the names to ours.
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.constants import MASTER_COLUMNS, MASTER_EXPORT_COLUMNS
 
@@ -24,36 +23,49 @@ LABEL_NAMES = {"text": "text", "label_0": "label_0", "label_1": "label_1"}
 _DOUBLE_COLS = {"lat", "lon"}
 
 
-def _csv_schema(names: dict) -> T.StructType:
-    return T.StructType([T.StructField(src, T.DoubleType() if dst in _DOUBLE_COLS else T.StringType())
-                         for src, dst in names.items()])
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file as text columns named by its own header, quotes doubled inside quoted values.
 
+    Multi-line values make a file one task; convert large inputs to Parquet once.
+    """
+    return (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+            .option("inferSchema", "false").csv(path))
 
-def _read(spark: SparkSession, path: str, names: dict, fmt: str) -> DataFrame:
-    if fmt == "csv":
-        df = spark.read.schema(_csv_schema(names)).option("header", "true").option("multiLine", "true").csv(path)
-    else:
-        df = spark.read.format(fmt).load(path)
-    df = df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in names.items() if src in df.columns])
-    # File order decides the last-wins rule of the dictionaries; it is fixed
-    # for a given file and split size. Pass an explicit order column instead
-    # when the input has one.
-    return df.withColumn("ord", F.monotonically_increasing_id())
 
+def by_name(df: DataFrame, names: dict, order_col: str | None = None) -> DataFrame:
+    """The named columns of ``df`` (wherever they stand; missing ones are null) under our names and types,
+    plus ``ord``: the order of the rows for last-wins rules.
 
-def read_gazetteer(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    ``order_col`` names a column that holds the order; without one it is the
+    position in the input, which is only known for a single file.
+    """
+    have = set(df.columns)
+    cols = [(F.col(f"`{src}`") if src in have else F.lit(None)).try_cast("double" if dst in _DOUBLE_COLS else "string").alias(dst)
+            for src, dst in names.items()]
+    order = F.col(f"`{order_col}`").try_cast("bigint") if order_col else F.monotonically_increasing_id()
+    return df.select(*cols, order.alias("ord"))
+
+
+def _read(spark: SparkSession, path: str, names: dict, fmt: str, order_col: str | None) -> DataFrame:
+    df = read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    if order_col is None and fmt == "csv" and len(df.inputFiles()) > 1:
+        raise ValueError("several files have no common row order; name an order column")
+    return by_name(df, names, order_col)
+
+
+def read_gazetteer(spark: SparkSession, path: str, fmt: str = "csv", order_col: str | None = None) -> DataFrame:
     """S3: place names; ``loc_id`` kept as text (ids may be codes)."""
-    return _read(spark, path, GAZETTEER_NAMES, fmt)
+    return _read(spark, path, GAZETTEER_NAMES, fmt, order_col)
 
 
-def read_topics(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_topics(spark: SparkSession, path: str, fmt: str = "csv", order_col: str | None = None) -> DataFrame:
     """Topic list (``'a OR b'`` keywords, English label, type)."""
-    return _read(spark, path, TOPIC_NAMES, fmt)
+    return _read(spark, path, TOPIC_NAMES, fmt, order_col)
 
 
-def read_label_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_label_report(spark: SparkSession, path: str, fmt: str = "csv", order_col: str | None = None) -> DataFrame:
     """Category text -> up to two labels."""
-    return _read(spark, path, LABEL_NAMES, fmt)
+    return _read(spark, path, LABEL_NAMES, fmt, order_col)
 
 
 def master_from_export(df: DataFrame) -> DataFrame:
@@ -73,6 +85,4 @@ def master_from_export(df: DataFrame) -> DataFrame:
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read yesterday's master table exported as CSV (all text)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in MASTER_EXPORT_COLUMNS])
-    raw = spark.read.schema(schema).option("header", "true").option("multiLine", "true").csv(path)
-    return master_from_export(raw)
+    return master_from_export(read_csv(spark, path))

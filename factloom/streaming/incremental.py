@@ -25,7 +25,7 @@ from ..plans.composites import label_and_gate
 from ..sources.sinks import read_master, write_master
 
 STREAM_ARTICLE_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()),
+    T.StructField("doc_id", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("url", T.StringType()), T.StructField("title", T.StringType()),
     T.StructField("content", T.StringType()), T.StructField("published", T.DateType()),
 ])
@@ -43,7 +43,9 @@ def merge_batch(batch: DataFrame, epoch_id: int, gazetteer: DataFrame, topics: D
         both = new.unionByName(master.withColumn("priority", F.lit(1)))
     else:
         both = new
-    merged = keep_first(both, ["doc_id"], ["priority", "epoch"]).drop("priority")
+    # within a batch the copy with the smallest content hash stays, whatever order the rows came in
+    both = both.withColumn("_tie", F.xxhash64(*[f.name for f in STREAM_ARTICLE_SCHEMA.fields]))
+    merged = keep_first(both, ["doc_id"], ["priority", "epoch", "_tie"]).drop("priority", "_tie")
     write_master(merged, master_base, snapshot_date)
 
 

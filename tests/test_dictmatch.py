@@ -96,7 +96,7 @@ def test_topic_labels_in_text_order_and_gate(spark):
                                    "ord int, keywords string, label string, topic_type string")
     d = dm.topic_dictionary(topics)
     h = dm.match_terms(docs, d)
-    lab = dm.labels_in_order(h).collect()
+    lab = dm.summarize(dm.per_term(h)).collect()
     assert [(r.doc_id, r.topic_terms) for r in lab] == [(1, "Build, Project")]
     row = lab[0]
     assert spark.createDataFrame([(row.topic_terms,)], "t string").select(dm.passes_gate(F.col("t"))).first()[0]
@@ -110,6 +110,10 @@ def test_shuffle_join_path_gives_the_same_hits(spark):
     d = dm.place_dictionary(g)
     small = dm.describe(d)
     big = dm.describe(d, max_rows=1)
+    # the bound decides about broadcasting and nothing else
+    assert (big.rows, big.max_tokens, big.has_special, big.max_fanout) == (small.rows, small.max_tokens, small.has_special, small.max_fanout)
+    key = dm.place_dictionary(gaz(spark, [(i, "t", 0.0, 0.0, n) for i, n in enumerate(["Aa", "Bb", "Key", "Cc"])]))
+    assert dm.describe(key, max_rows=1).has_special and dm.describe(key).has_special
     assert small.broadcast and not big.broadcast and big.max_tokens == small.max_tokens == 3
     a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=small).collect())
     b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=big).collect())

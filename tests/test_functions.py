@@ -175,7 +175,14 @@ def test_grid_with_fixed_queries(spark):
 
 def test_nested_blocks(spark):
     s = "x {'a': {'b': 'c'}} y {'d': 'e'}"
-    assert X.balanced_blocks(s) == ["{'b': 'c'}", "{'a': {'b': 'c'}}", "{'d': 'e'}"]
-    assert one(spark, X.dict_blocks_nested, s) == X.balanced_blocks(s)
-    assert one(spark, X.dict_blocks, s) == ["{'b': 'c'}", "{'d': 'e'}"]
-    assert one(spark, X.dict_blocks_nested, None) == []
+    assert one(spark, X.dict_blocks, s) == ["{'b': 'c'}", "{'a': {'b': 'c'}}", "{'d': 'e'}"]
+    assert one(spark, X.dict_blocks, "} {a {b} c} { {d {e} f}") == ["{b}", "{a {b} c}", "{e}", "{d {e} f}"]
+    assert one(spark, X.dict_blocks, "none") == [] and one(spark, X.dict_blocks, None) == []
+
+
+def test_projects_with_nested_dicts_and_escapes(spark):
+    text = "{'Location of project': 'Basra\\xa0city', 'Additional': {'note': 'x'}, 'What is being built': None}"
+    got = one(spark, X.parse_projects, text)
+    assert [(p["location"], p["what_built"]) for p in got] == [("Basra\xa0city", None)]
+    got = one(spark, X.parse_projects, "{'Location of project': 'said: None, then', 'What is being built': 'a \\'b\\''}")
+    assert [(p["location"], p["what_built"]) for p in got] == [("said: None, then", "a 'b'")]

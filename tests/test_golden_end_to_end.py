@@ -97,7 +97,7 @@ def test_golden_pipeline(spark):
     r2 = E.run_responder(E.pending(req2, None), responder)
     assert E.pending(req2, r2).count() == 0                                  # a second run asks nothing
     with_summaries = E.attach_responses(gated.select("doc_id", "source", "url", "title", "content", "published"),
-                                        r2, "doc_id", "fields")
+                                        r2, req2, "doc_id")
     assert E.all_performed(with_summaries)
 
     labels = spark.createDataFrame(LABELS, "ord int, text string, label_0 string, label_1 string")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators import enrich as E
 from factloom.operators.merge import keep_first, merge_master, top_k_per_group
-from factloom.operators.pages import follow_report_links, listing_cards
+from factloom.operators.pages import follow_report_links, followed_text, listing_cards
 
 KEY = ["url", "title"]
 COLS = ["url", "title", "score"]
@@ -56,20 +56,32 @@ def test_requests_resume_and_pure_responder(spark):
     stored = first.filter("ok")
     assert E.pending(req, stored).count() == 1          # only the failed one is asked again
     assert E.accepted(first).count() == 1
-    attached = E.attach_responses(docs, stored, "doc_id", "summaries")
+    attached = E.attach_responses(docs, stored, req, "doc_id")
     assert {r.doc_id: r.performed for r in attached.collect()} == {1: True, 2: False, 3: False}
     assert E.all_performed(attached) is False
 
 
 def test_follow_report_links_chain_and_cycle(spark):
     link = '<a href="{}">Click here to read the full report.</a>'
+    body = '<section class="post entry">{}</section>'
     pages = spark.createDataFrame([
-        ("http://s/a", link.format("/b")), ("http://s/b", link.format("c")), ("http://s/c", "<p>end</p>"),
-        ("http://s/x", link.format("/y")), ("http://s/y", link.format("/x"))], "url string, html string")
-    out = {r.start_url: (r.final_url, r.hops) for r in follow_report_links(pages, max_hops=5).collect()}
+        ("http://s/a", body.format(link.format("/b"))), ("http://s/b", body.format(link.format("c"))), ("http://s/c", body.format("end")),
+        ("http://s/b", body.format(link.format("c"))), ("http://s/z", body.format(link.format("/x"))),
+        ("http://s/x", body.format(link.format("/y"))), ("http://s/y", body.format(link.format("/x"))),
+        ("http://s/o", body.format("short") + link.format("/a")), ("http://s/away", body.format(link.format("http://t/none"))),
+        ("http://s/none", "<p>other</p>")], "url string, html string")
+    long_chain = spark.createDataFrame([(f"http://l/{i}", body.format(link.format(i + 1) if i < 20 else "end")) for i in range(21)],
+                                       "url string, html string")
+    out = {r.start_url: (r.final_url, r.hops) for r in follow_report_links(pages.unionByName(long_chain)).collect()}
     assert out["http://s/a"] == ("http://s/c", 2)
-    assert out["http://s/x"] == ("http://s/y", 1)       # the cycle stops before revisiting x
+    assert out["http://s/x"] == out["http://s/y"] == out["http://s/z"] == (None, None)     # a cycle, and a way into it
     assert out["http://s/c"] == ("http://s/c", 0)
+    assert out["http://s/o"] == ("http://s/o", 0)       # the link stands outside the section
+    assert out["http://s/away"] == ("http://t/none", 1)
+    assert out["http://l/0"] == ("http://l/20", 20) and out["http://l/13"] == ("http://l/20", 7)
+    text = {r.start_url: r.body for r in followed_text(pages, compat_not_found=True).collect()}
+    assert text["http://s/c"] == "end" and text["http://s/away"] is None and text["http://s/x"] is None
+    assert text["http://s/o"] == "short" and len(text) == 9 and text["http://s/none"] == "Not found"
 
 
 def test_listing_cards_skip_incomplete(spark):
@@ -83,12 +95,14 @@ def test_listing_cards_skip_incomplete(spark):
 
 
 def test_balanced_rank_equals_window_rank_on_a_hot_group(spark):
-    from factloom.operators.merge import rank_within, rank_within_balanced
+    from pyspark.sql import Window
+
+    from factloom.operators.merge import rank_within
     df = spark.range(0, 3000).select(F.when(F.col("id") % 10 < 7, F.lit(1)).otherwise(F.col("id") % 5).alias("g"),
                                      ((F.col("id") * 7919) % 1000).alias("v"), F.col("id"))
     order = [F.col("v").desc(), F.col("id")]
-    a = sorted(tuple(r) for r in rank_within(df, "g", order).collect())
-    b = sorted(tuple(r) for r in rank_within_balanced(df, "g", order, partitions=6).collect())
+    a = sorted(tuple(r) for r in df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect())
+    b = sorted(tuple(r) for r in rank_within(df, "g", order, partitions=6).collect())
     assert a == b
 
 
@@ -183,11 +197,75 @@ def test_responder_is_called_once_per_request(spark):
     r = E.run_responder(req, counting)
     for _ in range(3):
         E.accepted(r).count()
-        E.attach_responses(docs, r, "doc_id", "summaries").count()
+        E.attach_responses(docs, r, req, "doc_id").count()
     import os
     assert len(os.listdir(calls)) == 6
 
 
+def test_answers_belong_to_prompts_and_failures_are_asked_again(spark):
+    """Day 2: a new document with an answered prompt gets the answer; a failed prompt is retried; the
+    latest answer wins; one bad prompt does not cost its batch."""
+    day1 = spark.createDataFrame([(1, "five"), (2, "bad"), (3, "six")], "doc_id long, content string")
+
+    def model(prompts):
+        if any("bad" in p for p in prompts):
+            raise RuntimeError("no")
+        return prompts.map(lambda p: "1. " + p.split("\n", 1)[1])
+
+    def build(df):
+        return E.build_requests(df, "doc_id", "content", "summaries", "{text}")
+
+    old = E.run_responder(E.pending(build(day1), None), model, answered_at=F.lit("2024-01-01").cast("timestamp"))
+    assert {r.doc_id: (r.ok, r.raw) for r in old.collect()} == {"1": (True, "1. five"), "2": (False, None), "3": (True, "1. six")}
+    day2 = spark.createDataFrame([(2, "bad"), (4, "five"), (5, "seven"), (6, None)], "doc_id long, content string")
+    req = build(day2)
+    todo = E.pending(req, old)
+    assert sorted(r.doc_id for r in todo.collect()) == ["2", "5"]
+    new = E.run_responder(todo, lambda prompts: prompts.map(lambda p: "1. again"), answered_at=F.lit("2024-01-02").cast("timestamp"))
+    got = {r.doc_id: r.summaries for r in E.attach_responses(day2, old.unionByName(new), req, "doc_id").collect()}
+    assert got == {2: "1. again", 4: "1. five", 5: "1. again", 6: None}
+    newer = old.filter("doc_id = '1'").withColumn("raw", F.lit("0. latest")).withColumn("answered_at", F.lit("2024-01-03").cast("timestamp"))
+    got = {r.doc_id: r.summaries for r in E.attach_responses(day1, old.unionByName(newer), build(day1), "doc_id").collect()}
+    assert got[1] == "0. latest" and got[3] == "1. six"
+
+
+def test_summaries_in_one_call(spark):
+    rows = spark.createDataFrame([(1, "build a port", "full text of a port"), (2, "nothing", ""), (3, None, None)],
+                                 "doc_id long, content string, full_content string")
+
+    def model(prompts):
+        def answer(p):
+            stage, text = p.split("\n", 1)
+            if stage == "fields":
+                return "{'Location of project': 'Basra'}"
+            return "1. a port" if text.endswith("full text of a port") else "none"
+        return prompts.map(answer)
+
+    out, new = E.summaries(rows, model, "doc_id")
+    assert {r.doc_id: (r.summaries, r.performed) for r in out.collect()} == {
+        1: ("{'Location of project': 'Basra'}", True), 2: (None, False), 3: (None, False)}
+    asked: list = []
+    again, more = E.summaries(rows, lambda p: asked.append(1), "doc_id", responses=new)
+    assert more.count() == 0 and {r.doc_id: r.performed for r in again.collect()} == {1: True, 2: False, 3: False}
+
+
+def test_listing_attributes_keep_apostrophes_and_decode(spark):
+    html = ("<article><a rel='bookmark' title=\"Iraq's new port &amp; more\" href='/n?a=1&amp;b=2'>x</a>"
+            '<abbr title="2024-05-01T10:00:00+03:00" class="date time published updated">d</abbr></article>')
+    pages = spark.createDataFrame([("https://site.example/list/1", html)], "url string, html string")
+    row = listing_cards(pages).first()
+    assert row.title == "Iraq's new port & more" and row.link == "https://site.example/n?a=1&b=2"
+
+
+def test_nested_elements_and_character_references(spark):
+    from factloom.functions.html import element_text, unescape
+    html = '<section class="a entry b">one<section>two</section>three</section><section>four</section>'
+    rows = spark.createDataFrame([(html,), ("<section class='entry'>open end",), ("<section class='entryx'>x</section>",), (None,)], "h string")
+    assert [r[0] for r in rows.select(element_text("h", "section", "entry")).collect()] == ["onetwothree", "open end", None, None]
+    refs = spark.createDataFrame([("caf&eacute; &#8212;&#x1F600; &amp;lt; &nope; & &#0; a&b;",)], "t string")
+    assert refs.select(unescape("t")).first()[0] == "café —\U0001f600 &lt; &nope; & \ufffd a&b;"
+
+
 def test_identical_prompts_are_asked_once(spark):
     import os
     import tempfile

@@ -55,10 +55,10 @@ def test_readme_daily_run(spark):
     old = spark.createDataFrame([], E.RESPONSE_SCHEMA)
     r1 = E.run_responder(E.pending(E.build_requests(gated, "doc_id", "content", "summaries", E.SUMMARY_TEMPLATE),
                                    old), my_model)
-    r2 = E.run_responder(E.pending(E.build_requests(E.accepted(r1), "doc_id", "raw", "fields", E.FIELDS_TEMPLATE),
-                                   old), my_model)
+    asked = E.build_requests(E.accepted(r1), "doc_id", "raw", "fields", E.FIELDS_TEMPLATE)
+    r2 = E.run_responder(E.pending(asked, old), my_model)
     r1.unionByName(r2).write.mode("append").parquet(f"{root}/answers")
-    facts = project_facts(E.attach_responses(gated, old.unionByName(r2), "doc_id", "fields"), gaz, labels)
+    facts = project_facts(E.attach_responses(gated, old.unionByName(r2), asked, "doc_id"), gaz, labels)
     got = sorted((r.location, r.loc_id, r.category_0, r.usd) for r in facts.collect())
     assert got == [("Basra", "1", "Commercial Construction", 2e6), ("Mosul", "2", "Commercial Construction", 2e6)]
     daily_merge(facts, f"{root}/master", "2024-05-01", csv_path=f"{root}/export")

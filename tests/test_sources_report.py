@@ -1,5 +1,7 @@
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from factloom.operators.dictmatch import place_dictionary, topic_dictionary
@@ -27,6 +29,19 @@ def test_csv_readers_map_original_names(spark):
     assert read_label_report(spark, f"{root}/labels.csv").first().label_0 == "['Commercial Construction']"
 
 
+def test_csv_readers_go_by_header_and_read_doubled_quotes(spark):
+    root = tempfile.mkdtemp(prefix="factloom-csv2-")
+    write(f"{root}/gaz.csv", 'Lat,Town EN,Extra,ID\n30.5,"Al ""Basra"", old",x,IQ1\nbad,"two\nlines",y,IQ2\n')
+    rows = {r.loc_id: r for r in read_gazetteer(spark, f"{root}/gaz.csv").collect()}
+    assert (rows["IQ1"].town_en, rows["IQ1"].lat, rows["IQ1"].town_ar) == ('Al "Basra", old', 30.5, None)
+    assert (rows["IQ2"].town_en, rows["IQ2"].lat) == ("two\nlines", None)
+    write(f"{root}/t/a.csv", "ARABIC String,English,row\nx,Second,2\n") if os.makedirs(f"{root}/t") is None else None
+    write(f"{root}/t/b.csv", "ARABIC String,English,row\nx,First,1\n")
+    with pytest.raises(ValueError, match="order column"):
+        read_topics(spark, f"{root}/t")
+    assert {r.label: r.ord for r in read_topics(spark, f"{root}/t", order_col="row").collect()} == {"Second": 2, "First": 1}
+
+
 def test_master_csv_round_trip(spark):
     root = tempfile.mkdtemp(prefix="factloom-mcsv-")
     df = spark.createDataFrame([("T", True, None, 2.5, 4, 1.5e9)],
@@ -70,21 +85,22 @@ def test_cluster_conf():
 
 def test_small_public_helpers(spark):
     from factloom.operators import dictmatch as dm
-    from factloom.operators.joins import bounded_count, lookup_join
+    from factloom.operators.joins import lookup_join, size_of
     from factloom.operators.merge import distinct_rows, union_sources
     from factloom.sources.pages import read_pages
     hits = spark.createDataFrame([(1, "place", "7", "Basra", 0, 1), (1, "place", "8", "Kut", 2, 3),
                                   (1, "place", "8", "Al Kut", 5, 7), (1, "topic", "Build", "build", 9, 10)],
                                  "doc_id long, dict string, key string, term string, start int, end int")
-    w = dm.winner_per_doc(hits).first()
-    assert (w.matched_key, w.matched_term, w.matched_hits) == ("8", "Kut", 2)
+    w = dm.summarize(dm.per_term(hits)).first()
+    assert (w.matched_key, w.matched_term, w.matched_hits, w.topic_terms) == ("8", "Kut", 2, "Build")
     df = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a int, b string")
     assert distinct_rows(df).count() == 2
     u = union_sources(spark.createDataFrame([(1,)], "a int"), spark.createDataFrame([("y",)], "b string"))
     assert sorted(u.columns) == ["a", "b"] and u.count() == 2
     dim = spark.createDataFrame([(1, "one")], "a int, name string")
     assert lookup_join(df, dim, "a").filter("name = 'one'").count() == 2
-    assert bounded_count(spark.range(100), 10) == 11
+    n, size = size_of(spark.range(100))
+    assert n == 100 and size > 100
     root = tempfile.mkdtemp(prefix="factloom-pages-")
     spark.createDataFrame([("u", "<p>x</p>", 1)], "url string, html string, extra int").write.parquet(f"{root}/p")
     assert read_pages(spark, f"{root}/p").columns == ["url", "html"]

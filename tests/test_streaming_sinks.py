@@ -1,6 +1,7 @@
 import datetime
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from factloom.plans import fixtures as fx
@@ -11,7 +12,7 @@ from factloom.streaming.incremental import STREAM_ARTICLE_SCHEMA, start_incremen
 
 def articles(spark, rows):
     d = datetime.date(2024, 1, 1)
-    return spark.createDataFrame([(i, "news", f"u{i}", f"t{i}", text, d) for i, text in rows], STREAM_ARTICLE_SCHEMA)
+    return spark.createDataFrame([(str(i), "news", f"u{i}", f"t{i}", text, d) for i, text in rows], STREAM_ARTICLE_SCHEMA)
 
 
 def test_stream_gates_and_merges_idempotently(spark):
@@ -22,13 +23,13 @@ def test_stream_gates_and_merges_idempotently(spark):
     q = start_incremental_merge(spark, f"{src}/*", gaz, topics, master, ckpt, "2024-01-02")
     q.awaitTermination()
     first = {r.doc_id for r in read_master(spark, master).collect()}
-    assert first == {1}
+    assert first == {"1"}
     key1 = current_snapshot(spark, master)
     articles(spark, [(1, "this is changed"), (3, "that one")]).write.parquet(f"{src}/b")
     q = start_incremental_merge(spark, f"{src}/*", gaz, topics, master, ckpt, "2024-01-03")
     q.awaitTermination()
     rows = {r.doc_id: r.content for r in read_master(spark, master).collect()}
-    assert rows == {1: "this is changed", 3: "that one"}
+    assert rows == {"1": "this is changed", "3": "that one"}
     assert current_snapshot(spark, master) != key1
     # the first snapshot is still there, untouched
     old = spark.read.parquet(f"{master}/snapshots").filter(F.col("snapshot") == key1).count()
@@ -43,6 +44,26 @@ def test_master_snapshots_never_overwrite(spark):
     assert k1 != k2 and [r.v for r in read_master(spark, base).collect()] == ["b"]
 
 
+def test_broken_master_pointers_raise(spark):
+    """Only a base without pointer and snapshots is empty; a lost or broken pointer is an error."""
+    import pathlib
+    import shutil
+
+    base = tempfile.mkdtemp(prefix="factloom-master-")
+    assert read_master(spark, base) is None and current_snapshot(spark, f"{base}/none") is None
+    write_master(spark.createDataFrame([(1, "a")], "id int, v string"), base, "2024-01-01")
+    lost = tempfile.mkdtemp(prefix="factloom-lost-")
+    shutil.copytree(f"{base}/snapshots", f"{lost}/snapshots")
+    with pytest.raises(ValueError, match="no pointer"):
+        read_master(spark, lost)
+    for part in pathlib.Path(f"{base}/current").glob("part-*"):
+        part.write_text("{not json\n")
+    for crc in pathlib.Path(f"{base}/current").glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception):
+        read_master(spark, base)
+
+
 def test_sources_helpers(spark):
     e = empty_articles(spark)
     assert e.count() == 0 and e.schema == ARTICLE_SCHEMA

@@ -111,4 +111,4 @@ def gate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "town_en", "topic_terms")
 
 
-from . import q_text, q_nested, q_merge, q_pages, q_more  # noqa: E402,F401  (register on import)
+from . import q_text, q_nested, q_merge, q_pages, q_more, q_flows  # noqa: E402,F401  (register on import)

@@ -200,3 +200,39 @@ def site_articles(listings: DataFrame, pages: DataFrame, start, end,
     return j.select(article_id(F.lit("site"), F.col("link"), F.col("title")).alias("doc_id"),
                     F.lit("site").alias("source"), F.col("link").alias("url"), "title", "content",
                     F.col("published_wall").alias("published"))
+
+
+def social_articles(grid: DataFrame, responses: DataFrame, response_col: str = "response", source: str = "social") -> DataFrame:
+    """C13, social load: stored responses of a request grid -> articles.
+
+    ``grid`` holds the requests (topic, range_start, page_offset; see
+    ``grids.day_ranges`` and ``page_offsets``), ``responses`` the same keys
+    and the stored text. S2 parse, P4 mentions without content dropped; the
+    keys stay on the rows. Order by date (O4) with ``orderBy`` or
+    ``merge.rank_within`` on the columns.
+    """
+    from ..sources.feeds import MENTION_RESPONSE, article_id
+
+    keys = ["topic", "range_start", "page_offset"]
+    asked = responses.join(grid.select(*keys).distinct(), keys, "left_semi")
+    items = (asked.select(*keys, F.from_json(F.col(response_col), MENTION_RESPONSE).alias("r"))
+             .select(*keys, F.inline("r.data")).filter("content IS NOT NULL"))
+    src = F.lit(source)
+    return items.select(*keys, article_id(src, F.col("url"), F.col("title")).alias("doc_id"), src.alias("source"), "url", "title", "content",
+                        F.to_date(F.try_to_timestamp(F.col("date"))).alias("published"))
+
+
+def score(rows: DataFrame, date_col: str = "published", tie_cols=("url", "ordinal")) -> DataFrame:
+    """Completeness score (T11) over the fields that ``rows`` has, the date read leniently (D3), its year
+    (D4), and ``position``: the place in the order by year, then score, both falling, nulls last (O1)."""
+    from ..functions.constants import SCORE_FIELDS
+    from ..functions.dates import lenient_timestamp
+    from ..functions.labels import completeness_score
+    from ..operators.merge import rank_within
+
+    fields = [c for c in SCORE_FIELDS if c in rows.columns]
+    out = rows.withColumn(date_col, lenient_timestamp(F.col(date_col).cast("string"))).withColumns(
+        {"sort_score": completeness_score(*fields), "year": F.year(date_col)})
+    ties = [F.col(c).asc_nulls_last() for c in tie_cols if c in rows.columns]
+    order = [F.col("year").desc_nulls_last(), F.col("sort_score").desc_nulls_last(), *ties]
+    return rank_within(out.withColumn("_all", F.lit(1)), "_all", order, name="position").drop("_all")

@@ -103,9 +103,10 @@ def read_master(spark: SparkSession, base: str, empty_schema=None) -> DataFrame
     return spark.read.parquet(f"{base.rstrip('/')}/snapshots").filter(F.col("snapshot") == key).drop("snapshot")
 
 
-def export_columns(df: DataFrame) -> DataFrame:
-    """The 29 columns under their export names, as text; missing coordinates read ``Unknown``."""
-    cols = []
+def export_columns(df: DataFrame, keep=()) -> DataFrame:
+    """The 29 columns under their export names, as text; missing coordinates read ``Unknown``.
+    Columns in ``keep`` go along unchanged."""
+    cols = [F.col(c) for c in keep]
     for ours, exp in zip(MASTER_COLUMNS, MASTER_EXPORT_COLUMNS):
         c = F.col(ours) if ours in df.columns else F.lit(None)
         if ours in ("lat", "lon"):

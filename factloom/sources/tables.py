@@ -68,11 +68,12 @@ def read_label_report(spark: SparkSession, path: str, fmt: str = "csv", order_co
     return _read(spark, path, LABEL_NAMES, fmt, order_col)
 
 
-def master_from_export(df: DataFrame) -> DataFrame:
-    """A master table in the 29-column export form -> typed internal columns."""
+def master_from_export(df: DataFrame, keep=()) -> DataFrame:
+    """A master table in the 29-column export form -> typed internal columns.
+    Columns in ``keep`` go along unchanged."""
     typed = {"performed": "boolean", "lat": "double", "lon": "double", "sort_score": "int",
              "year": "int", "usd": "double", "published": "date"}
-    cols = []
+    cols = [F.col(f"`{c}`") for c in keep]
     for exp, ours in zip(MASTER_EXPORT_COLUMNS, MASTER_COLUMNS):
         c = F.nullif(F.col(f"`{exp}`"), F.lit("Unknown")) if ours in ("lat", "lon") else F.col(f"`{exp}`")
         if ours == "performed":

@@ -11,6 +11,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import bind
+
 # ---------------------------------------------------------------- fixed values
 # Closing tags that end an unclosed paragraph.
 PARAGRAPH_ENDS = ["p", "article", "section", "div", "body"]
@@ -23,11 +25,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def bind(value, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _code_point(number: Column) -> Column:
     """The character with a code point, U+FFFD for numbers that are none."""
     bad = number.isNull() | (number <= 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)

@@ -1,23 +1,19 @@
 """Money text to numbers.
 
-``amount_to_usd`` (M1) is a pure Column expression. ``usd_from_text``
-(M2-M5, J9, A7) needs regex match *positions* to pick the nearest currency
-mention, which Spark's regex functions do not return, so it is an
-Arrow-batched pandas UDF: one vectorised call per batch, no per-row JVM
-round trip.
+Everything is a Column expression. Spark's regex functions return no match
+positions, which the nearest currency mention (J9) needs; they follow from
+the lengths of the matches and of the text between them.
 """
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .constants import CURRENCY_WORDS, NUMBER_WORDS, UNIT_SCALE, USD_RATES
-from .text import ustrip
+from .text import bind, ustrip
 
 
 def _c(c) -> Column:
@@ -48,80 +44,85 @@ def usd_or_zero(text) -> Column:
 
 
 # --------------------------------------------------------------- span reader
-_UNITS = {w: s for w, s in UNIT_SCALE}
-_NUM = r"(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d{1,2})?"
-_UNIT_WORDS = r"thousand|million|billion|trillion"
-_UNIT_ANY = rf"{_UNIT_WORDS}|[KkMmBbTt]"
-_PERCENT = re.compile(rf"(?<![\w.])({_NUM})%\s*of\s*({_NUM})\s*({_UNIT_WORDS}|USD|dollars)?\b", re.I)
-_WORDNUM = re.compile(rf"\b({'|'.join(NUMBER_WORDS)})\s*({_UNIT_WORDS})\b", re.I)
-_PLAIN = re.compile(rf"(?<![\w.])({_NUM})(?:\s*({_UNIT_ANY})\b)?", re.I)
-_CURRENCY = re.compile(
-    r"(?<!\w)(" + "|".join(re.escape(w) for w, _ in CURRENCY_WORDS) + r")(?!\w)", re.I)
-_CURRENCY_CODE = {w.lower(): code for w, code in CURRENCY_WORDS}
-_NUMBER_VALUE = {w: i + 1 for i, w in enumerate(NUMBER_WORDS)}
-
-
-def _num(s: str) -> float:
-    return float(s.replace(",", ""))
-
-
-def _scale(unit) -> float:
-    if not unit:
-        return 1.0
-    u = unit.lower()
-    if u in ("usd", "dollars"):
-        return 1.0
-    return _UNITS.get(u, 1.0)
-
-
-def money_spans(text: str):
-    """All amounts in a text as (start, end, amount) in the text's currency.
-
-    Percent phrases (``5% of 2 million``) are read first; plain numbers
-    inside a percent phrase are not read again; number words (``two
-    million``) and plain numbers with an optional unit follow.
+_NUM = r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]+)?"
+_UNIT_WORDS = "thousand|million|billion|trillion"
+_PERCENT = rf"(?<![\w.])({_NUM})%\s*of\s*({_NUM})(?:\s*({_UNIT_WORDS})\b)?"
+_WORDNUM = rf"\b({'|'.join(NUMBER_WORDS)})\s*({_UNIT_WORDS})\b"
+_CURRENCY = r"(?<!\w)(" + "|".join(re.escape(w) for w, _ in CURRENCY_WORDS) + r")(?!\w)"
+_PLAIN = rf"(?<![\w.])({_NUM})(?:\s*({_UNIT_WORDS}|[kmbt])\b)?"
+_FLAGS = "(?iuU)"
+# Everything that counts, tried in this order at each place, so that a percent phrase is read as a whole.
+_ANY = _FLAGS + "|".join((_PERCENT, _WORDNUM, _CURRENCY, _PLAIN))
+
+
+def _lookup(pairs, key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in pairs for x in kv]), key)
+
+
+def _scale(unit: Column) -> Column:
+    return F.coalesce(_lookup([(w, float(s)) for w, s in UNIT_SCALE], F.lower(unit)), F.lit(1.0))
+
+
+def _number(text: Column) -> Column:
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+
+
+def _amount(token: Column) -> Column:
+    """Value of an amount phrase in its own currency."""
+    def part(pattern, i):
+        # the phrase is known; looking behind it is not possible any more
+        return F.regexp_extract(token, _FLAGS + "^" + pattern.replace(r"(?<![\w.])", ""), i)
+
+    percent = _number(part(_PERCENT, 2)) * _scale(part(_PERCENT, 3)) * _number(part(_PERCENT, 1)) / 100
+    word = _lookup([(w, float(i + 1)) for i, w in enumerate(NUMBER_WORDS)], F.lower(part(_WORDNUM, 1))) * _scale(part(_WORDNUM, 2))
+    plain = _number(part(_PLAIN, 1)) * _scale(part(_PLAIN, 2))
+    return F.when(F.contains(token, F.lit("%")), percent).when(token.rlike("^[0-9]"), plain).otherwise(word)
+
+
+def money_spans(text) -> Column:
+    """M2-M4: ``array<struct<pos, amount, code>>`` of the amounts (``code`` null) and currency mentions
+    (``amount`` null) of a text, in text order, with their character positions.
+
+    Percent phrases (``5% of 2 million``), number words (``two million``) and
+    numbers with an optional unit, with any number of decimals. Positions come
+    from the lengths of the pieces between the matches and of the matches.
     """
-    spans = []
-    taken = []
-    for m in _PERCENT.finditer(text):
-        spans.append((m.start(), m.end(), _num(m.group(2)) * _scale(m.group(3)) * _num(m.group(1)) / 100))
-        taken.append((m.start(), m.end()))
-    for m in _WORDNUM.finditer(text):
-        spans.append((m.start(), m.end(), _NUMBER_VALUE[m.group(1).lower()] * _scale(m.group(2))))
-    for m in _PLAIN.finditer(text):
-        if any(s <= m.start() < e for s, e in taken):
-            continue
-        spans.append((m.start(), m.end(), _num(m.group(1)) * _scale(m.group(2))))
-    return spans
-
-
-def nearest_currency(pos: int, mentions) -> str:
-    """Code of the currency mention whose start is closest; first wins ties."""
-    best, best_d = "USD", None
-    for start, code in mentions:
-        d = abs(pos - start)
-        if best_d is None or d < best_d:
-            best, best_d = code, d
-    return best
-
-
-def max_usd(text):
-    """M5 + A7: largest amount converted to USD, None when none is found."""
-    if text is None:
-        return None
-    mentions = [(m.start(), _CURRENCY_CODE[m.group(1).lower()]) for m in _CURRENCY.finditer(text)]
-    best = None
-    for start, _end, amount in money_spans(text):
-        usd = amount * USD_RATES.get(nearest_currency(start, mentions), 1.0)
-        best = usd if best is None or usd > best else best
-    return best
-
-
-@F.pandas_udf(T.DoubleType())
-def _usd_from_text_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(max_usd).astype("float64")
+    digits = F.translate(_c(text), "٠١٢٣٤٥٦٧٨٩", "0123456789")
+    codes = [(w.lower(), code) for w, code in CURRENCY_WORDS]
+
+    def spans(t):
+        tokens, between = F.regexp_extract_all(t, F.lit(_ANY), 0), F.split(t, _ANY)
+        none = F.array().cast("array<struct<pos:int,tok:string>>")
+
+        def step(acc, z):
+            pos = acc["end"] + F.length(z["gap"])
+            return F.struct((pos + F.length(z["tok"])).alias("end"),
+                            F.array_append(acc["out"], F.struct(pos.alias("pos"), z["tok"].alias("tok"))).alias("out"))
+
+        pairs = F.slice(F.arrays_zip(between.alias("gap"), tokens.alias("tok")), 1, F.size(tokens))
+        placed = F.aggregate(pairs, F.struct(F.lit(0).alias("end"), none.alias("out")), step, lambda acc: acc["out"])
+        return F.transform(placed, lambda x: bind(_lookup(codes, F.lower(x["tok"])), lambda code: F.struct(
+            x["pos"].alias("pos"), F.when(code.isNull(), _amount(x["tok"])).alias("amount"), code.alias("code"))))
+
+    return bind(digits, spans)
 
 
 def usd_from_text(text) -> Column:
-    """M2-M5: largest money amount in free text, in USD (null if none)."""
-    return _usd_from_text_udf(_c(text))
+    """M5 + J9 + A7: largest money amount in free text, in USD (null if none).
+
+    An amount is in the currency whose mention starts nearest to it (the first
+    of two equally near), USD without any mention.
+    """
+    rates = [(code, float(rate)) for code, rate in USD_RATES.items()]
+
+    def largest(spans):
+        mentions = F.filter(spans, lambda x: x["code"].isNotNull())
+
+        def usd(x):
+            near = F.array_min(F.transform(mentions, lambda m, i: F.struct(
+                F.abs(x["pos"] - m["pos"]).alias("far"), i.alias("i"), m["code"].alias("code"))))
+            return x["amount"] * F.coalesce(_lookup(rates, near["code"]), F.lit(1.0))
+
+        return F.array_max(F.transform(F.filter(spans, lambda x: x["amount"].isNotNull()), usd))
+
+    return bind(money_spans(text), largest)

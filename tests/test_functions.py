@@ -44,15 +44,23 @@ def test_amount_to_usd(spark, value, want):
     ("1,500,000 GBP", 1.5e6 * 1.25),
     ("he said 5", 5.0),
     ("EUR 3M and USD 1M", 3e6 * 1.07),
-    ("no numbers", None),
+    ("no numbers", None), (None, None), ("", None),
+    ("ten million USD", 1e7),
+    ("1.125 million USD", 1.125e6),
+    ("7.5% of 2,000 million and 3 k EUR", 1.5e8 * 1.07),
+    ("GBP 5 then 6 ID", 6.25),
+    ("v2.5 x3 in 2024 for 10 dinars", 2024 * 0.00077),
+    ("٥ million USD", 5e6),
 ])
-def test_usd_from_text(value, want):
-    got = M.max_usd(value)
+def test_usd_from_text(spark, value, want):
+    got = one(spark, M.usd_from_text, value)
     assert (got is None and want is None) or got == pytest.approx(want)
 
 
-def test_usd_from_text_udf(spark):
-    assert one(spark, M.usd_from_text, "ten million USD") == 1e7
+def test_money_spans_have_positions(spark):
+    got = one(spark, M.money_spans, "paid 5% of 2 million USD, two billion dinars")
+    assert [(s["pos"], s["amount"], s["code"]) for s in got] == [
+        (5, 100000.0, None), (21, None, "USD"), (26, 2e9, None), (38, None, "IQD")]
 
 
 @pytest.mark.parametrize("value,want", [

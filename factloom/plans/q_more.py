@@ -448,12 +448,9 @@ def evidence_checks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3 with ``compat=True`` (Q5, Q6): ratio over comma parts (may exceed 1),
     and a word holding "Iraq" is searched as the literal text ``Iraq.*``."""
     from ..functions import evidence as ev
-    from ..functions.text import tokens
-    from .q_text import evidence_checks
-    base = evidence_checks(spark, sf_dir).select("doc_id", "location")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    j = base.join(d, "doc_id")
-    loc = ev.location_evidence(F.col("text"), F.col("location"), compat=True, toks=tokens(F.col("text")))
+    from .q_text import _evidence_input
+    j = _evidence_input(spark, sf_dir)
+    loc = ev.location_evidence(F.col("text"), F.col("location"), compat=True, toks=F.col("toks"))
     return j.select("doc_id", loc["found"].alias("location_found"), loc["n_terms"].alias("n_terms"),
                     loc["ratio"].alias("location_ratio"), loc["match"].alias("location_match"))
 

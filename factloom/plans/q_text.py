@@ -266,6 +266,17 @@ SELECT doc_id, location, what_built,
   (phrase OR (len(owords) > 0 AND obj_found / len(owords) >= 0.5)) AS what_built_match
 FROM o2""")
 def evidence_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = _evidence_input(spark, sf_dir)
+    loc = ev.location_evidence(F.col("text"), F.col("location"), toks=F.col("toks"))
+    obj = ev.object_evidence(F.col("text"), F.col("what_built"), toks=F.col("toks"))
+    return inp.select("doc_id", "location", "what_built",
+                      loc["found"].alias("location_found"), loc["ratio"].alias("location_ratio"),
+                      loc["match"].alias("location_match"), obj["ratio"].alias("what_built_ratio"),
+                      obj["match"].alias("what_built_match"))
+
+
+def _evidence_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a location and an object taken from their own and from benchmark words."""
     d = table(spark, sf_dir, "documents")
     bench = table(spark, sf_dir, "benchmark")
     nb = bench.count()
@@ -280,11 +291,5 @@ def evidence_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     what = F.when(F.col("doc_id") % 3 == 0,
                   F.concat(F.regexp_extract("text", r"^[^ ]+", 0), F.lit(" NEAR/5 "), sp("text", 4))
                   ).otherwise(F.concat(sp("btext", 1), F.lit(" "), sp("btext", 2), F.lit(" "), sp("text", 3)))
-    inp = j.select("doc_id", "text", location.alias("location"), what.alias("what_built"),
-                   tokens(F.col("text")).alias("toks"))
-    loc = ev.location_evidence(F.col("text"), F.col("location"), toks=F.col("toks"))
-    obj = ev.object_evidence(F.col("text"), F.col("what_built"), toks=F.col("toks"))
-    return inp.select("doc_id", "location", "what_built",
-                      loc["found"].alias("location_found"), loc["ratio"].alias("location_ratio"),
-                      loc["match"].alias("location_match"), obj["ratio"].alias("what_built_ratio"),
-                      obj["match"].alias("what_built_match"))
+    return j.select("doc_id", "text", location.alias("location"), what.alias("what_built"),
+                    tokens(F.col("text")).alias("toks"))

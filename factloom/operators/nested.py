@@ -41,6 +41,40 @@ def explode_projects(df: DataFrame, response_col: str, retain_cols) -> DataFrame
     return out.select(*retain_cols, "ordinal", "_p.*")
 
 
+def project_arrays(df: DataFrame, response_col: str = "summaries", parse: str = "dicts") -> DataFrame:
+    """Adds ``_projects``: the projects of each response as an array of structs (the field names of L2),
+    read dict by dict (L4-L6) or, with ``parse="zip"``, field by field and zipped by position (L1-L3)."""
+    names = [n for n, _ in PROJECT_FIELDS]
+    if parse == "zip":
+        lists = extract_fields(df.select(*df.columns), response_col)
+        return lists.withColumn("_projects", F.arrays_zip(*[F.col(n) for n in names])).drop(*names)
+    parsed = df.withColumn("_dicts", parsed_dicts(F.col(response_col)))
+    return parsed.withColumn("_projects", with_fallback(F.col(response_col), F.col("_dicts"))).drop("_dicts")
+
+
+def projects_with_evidence(df: DataFrame, id_col: str, text_col: str = "content", compat: bool = False) -> DataFrame:
+    """(id, ordinal, project fields, presence flags (T2), evidence (T6)): one thin row per project.
+
+    The text of an article is normalised and cut into words once, and all of its projects are tested
+    against that before they become rows; no row carries the text.
+    """
+    names = [n for n, _ in PROJECT_FIELDS]
+    once = df.select(id_col, text_col, "_projects", normalize(F.col(text_col)).alias("_norm"), tokens(F.col(text_col)).alias("_toks"))
+
+    def tested(p):
+        loc = ev.location_evidence(F.col(text_col), p["location"], compat=compat, toks=F.col("_toks"))
+        obj = ev.object_evidence(F.col(text_col), p["what_built"], toks=F.col("_toks"))
+        return F.struct(*[p[n].alias(n) for n in names],
+                        term_present(p["location"], F.col("_norm")).alias("location_terms_present"),
+                        term_present(p["what_built"], F.col("_norm")).alias("what_built_terms_present"),
+                        loc.alias("_loc"), obj.alias("_obj"))
+
+    rows = once.select(id_col, F.posexplode(F.transform("_projects", tested)).alias("ordinal", "_p")).select(id_col, "ordinal", "_p.*")
+    return rows.select(id_col, "ordinal", *names, "location_terms_present", "what_built_terms_present",
+                       F.col("_loc.match").alias("location_match"), F.col("_loc.ratio").alias("location_ratio"),
+                       F.col("_obj.match").alias("what_built_match"), F.col("_obj.ratio").alias("what_built_ratio"))
+
+
 def presence_flags(df: DataFrame, text_col: str = "content",
                    location_col: str = "location", what_col: str = "what_built",
                    norm_col: str | None = None) -> DataFrame:

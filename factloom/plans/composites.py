@@ -113,30 +113,28 @@ def project_facts(articles: DataFrame, gazetteer: DataFrame, label_report: DataF
     ``enrich.usd_by_model``) reads that column with M1, and ``'spans'``
     takes the largest converted amount in the amount text (M2-M5).
     """
-    from ..functions.constants import PROJECT_FIELDS, SCORE_FIELDS
+    from ..functions.constants import SCORE_FIELDS
     from ..functions.labels import category_by_rules, completeness_score
     from ..functions.money import usd_from_text, usd_or_zero
     from ..operators.labels import label_map, match_labels
-    from ..operators.nested import evidence_columns, explode_projects, extract_fields, presence_flags, zip_explode
+    from ..operators.nested import project_arrays, projects_with_evidence
 
-    fields = [n for n, _ in PROJECT_FIELDS]
-    retain = list(articles.columns)
-    if parse == "zip":
-        rows = zip_explode(extract_fields(articles, response_col), fields, retain)
-    else:
-        rows = explode_projects(articles, response_col, retain)
+    rows = projects_with_evidence(project_arrays(articles, response_col, parse), id_col, text_col, compat)
     rows = rows.withColumn("project_id", F.sha2(F.to_json(F.struct(F.col(id_col), F.col("ordinal"))), 256))
     if materialize:
-        # the project table is a stage: parsed once, read by the geocoder and the output
+        # the project table is a stage without texts: parsed once, read by the geocoder and the output
         rows = cut_lineage(rows)
-    rows = presence_flags(rows, text_col, "location", "what_built")
-    rows = evidence_columns(rows, text_col, "location", "what_built", compat=compat)
-    rows = geocode(rows, gazetteer, id_col="project_id", text_col="location", compat=compat, keep=keep)
+    rows = geocode(rows, gazetteer, id_col="project_id", text_col="location", compat=compat, keep=keep, materialize=materialize)
     if label_report is not None:
         rows = match_labels(rows, label_map(label_report), "category_text")
     else:
         rows = rows.withColumns({"category_0": category_by_rules(F.col("category_text")),
                                  "category_1": F.lit(None).cast("string")})
+    # the article columns are joined last; the articles stay where they are if the projects are proven small
+    if materialize:
+        rows = checked_broadcast(cut_lineage(rows))
+    kept = [c for c in articles.columns if c == id_col or c not in rows.columns]
+    rows = articles.select(*kept).join(rows, id_col)
     return rows.withColumns({
         "sort_score": completeness_score(*SCORE_FIELDS),
         "year": F.year("published"),

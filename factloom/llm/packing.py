@@ -9,10 +9,12 @@ open partitions, and are packed again, until everything is certified or a single
 
 from __future__ import annotations
 
+import functools
+import json
+import os
 import re
 import unicodedata
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,63 +28,97 @@ END_ID = 1
 # Pieces that one partition packs at a time, and open partitions that meet in a round.
 PIECES_PER_PARTITION = 100_000
 FAN_IN = 8
-# Words whose ids a worker remembers; beyond it the memory starts anew.
+# Words whose ids a worker remembers, before the memory turns over.
 CACHE_WORDS = 600_000
 
 # Texts of these characters only can be cut at white space before tokenising: lower case, white space and
 # composition of each of them is the same everywhere. Any other text goes through the tokenizer whole.
+_UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ž]*")
 
 
 class TokenIds:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    The tokenizer drops white space and never joins tokens across it, so ids are remembered by word.
+    The tokenizer drops white space and never joins tokens across it, so ids are remembered by word:
+    in the current memory, and in the one before it, from which words in use move on.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self._tokenizer.to_str())
+        steps = [x["type"] for key, part in (("normalizers", "normalizer"), ("pretokenizers", "pre_tokenizer"))
+                 for x in (spec[part] or {}).get(key, [])]
+        patterns = [x["pattern"]["Regex"] for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if "pattern" in x]
+        # words are only remembered for tokenizers of this make; others take all texts whole
+        self._by_word = steps == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"] and patterns == [_UNITS]
+        # the same model for words that are normalised and cut already
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = None
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         got = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in got]
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only: each is one unit of the tokenizer, so they can share a text."""
+        got = self._plain.encode(" ".join(words), add_special_tokens=False)
+        ids = np.asarray(got.ids, dtype="<u4").tobytes()
+        cuts = (np.searchsorted(np.asarray(got.word_ids), np.arange(len(words) + 1)) * 4).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, unknown: set[str]) -> None:
+        known, before = self._known, self._before
+        letters, other, joined = set(), [], []
+        for w in unknown:
+            if w in before:
+                known[w] = before[w]
+            elif w.isalpha():
+                letters.add(w)
+            elif w[-1] in ".," and w[:-1].isalpha():
+                # a letter run before a full stop or comma: the ids of both parts
+                joined.append(w)
+                if w[:-1] not in known:
+                    letters.add(w[:-1])
+            else:
+                other.append(w)
+        letters = list(letters)
+        for at in range(0, len(letters), 1000):
+            part = letters[at:at + 1000]
+            known.update(zip(part, self._encode_letters(part)))
+        known.update(zip(other, self._encode(other)))
+        if joined:
+            marks = dict(zip(".,", self._encode([".", ","])))
+            known.update((w, known[w[:-1]] + marks[w[-1]]) for w in joined)
+
     def batch(self, texts: list[str]) -> list[bytes]:
+        if len(self._known) > CACHE_WORDS:
+            self._before, self._known = self._known, {}
         known = self._known
-        cut: list[list[str] | None] = []
-        unknown: set[str] = set()
-        for t in texts:
-            if _PLAIN.fullmatch(t) is None:
-                cut.append(None)
-                continue
-            words = unicodedata.normalize("NFC", t).lower().split()
-            cut.append(words)
-            unknown.update(w for w in words if w not in known)
+        cut = [unicodedata.normalize("NFC", t).lower().split() if self._by_word and _PLAIN.fullmatch(t) else None
+               for t in texts]
+        unknown = set().union(*(words for words in cut if words is not None)).difference(known)
         if unknown:
-            if len(known) + len(unknown) > CACHE_WORDS:
-                known.clear()
-                unknown = set(chain.from_iterable(w for w in cut if w is not None))
-            # a letter run followed by a full stop or comma is the letter run's ids and the mark's
-            todo, joined = [], {}
-            for w in unknown:
-                if w[-1] in ".," and w[:-1].isalpha():
-                    joined[w] = (w[:-1], w[-1])
-                else:
-                    todo.append(w)
-            extra = {x for pair in joined.values() for x in pair if x not in known}
-            todo = list(extra.union(todo))
-            known.update(zip(todo, self._encode(todo)))
-            for w, (a, b) in joined.items():
-                known[w] = known[a] + known[b]
-        out = [b"" if w is None else b"".join([known[x] for x in w]) for w in cut]
-        whole = [i for i, w in enumerate(cut) if w is None]
+            self._learn(unknown)
+        out = [b"" if words is None else b"".join(map(known.__getitem__, words)) for words in cut]
+        whole = [i for i, words in enumerate(cut) if words is None]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
         return out
 
 
+@functools.cache
+def encoder(path: str) -> TokenIds:
+    """One per Python worker, so that what it remembers serves all tasks of the worker."""
+    return TokenIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, key, piece, start, length, ids_crc32): token pieces of every row.
@@ -93,12 +129,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     end = np.asarray([END_ID], dtype="<u4").tobytes()
 
     def cut(batches):
-        encoder = TokenIds(tokenizer_path)
+        ids_of = encoder(tokenizer_path).batch
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
                 rows: list[tuple] = []
-                for n, ids in enumerate(encoder.batch(part.column("text").to_pylist())):
+                for n, ids in enumerate(ids_of(part.column("text").to_pylist())):
                     ids += end
                     for p, start in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[start:start + 4 * capacity]

@@ -18,11 +18,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from factloom.operators.joins import checked_broadcast
+
 from .common import fresh, register, row_key, staged, table, texts
 
 MIN_WORDS = 50
 
 
+def _count(text, char: str):
+    """How often an ASCII character occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def word_count(line):
+    """Runs of characters other than ASCII white space. Lines whose words stand one space apart, as most do,
+    are counted without a regular expression."""
+    odd = F.contains(line, F.lit("  ")) | line.startswith(" ") | line.endswith(" ")
+    for char in "\t\r\x0b\x0c":
+        odd = odd | F.contains(line, F.lit(char))
+    return F.when(line == "", 0).when(odd, F.size(F.array_remove(F.split(line, r"\s+"), ""))).otherwise(_count(line, " ") + 1)
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """(key, n): the lines (numbers from 0) that are later copies."""
@@ -31,7 +47,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     doc_order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit((1 << 63) - 1).cast("decimal(20,0)"))
     lines = (src.select("key", doc_order.alias("d"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
              .select("key", "n", F.xxhash64("line").alias("label"),
-                     F.when(F.trim("line") == "", 0).otherwise(F.size(F.split(F.trim("line"), r"\s+"))).alias("words"),
+                     word_count(F.col("line")).alias("words"),
                      (F.col("d") * F.lit(1 << 62).cast("decimal(19,0)")
                       + (F.pmod("key", F.lit(1 << 31)) * F.lit(1 << 31) + F.col("n")).cast("decimal(20,0)"))
                      .cast("decimal(38,0)").alias("place")))
@@ -43,7 +59,6 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     lines = staged(lines, "line-ids")
     level = staged(lines.join(twice(lines).select("label"), "label").select("key", "n", "label", "place").distinct(), "runs")
-    words = lines.join(level.select("key").distinct(), "key", "left_semi").select("key", "n", "words").distinct()
     levels = []
     while not level.isEmpty():
         levels.append(level)
@@ -81,7 +96,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if runs is None:
         return spark.createDataFrame([], "key long, n int")
 
-    longest = runs.groupBy("key", "n").agg(F.max("size").alias("size"))
+    longest = staged(runs.groupBy("key", "n").agg(F.max("size").alias("size")), "longest-runs")
+    words = lines.join(longest.select("key").distinct(), "key", "left_semi").select("key", "n", "words").distinct()
     per_doc = Window.partitionBy("key").orderBy("n")
     upto = words.select("key", "n", F.sum("words").over(per_doc).alias("upto"), "words")
     begin = longest.join(upto, ["key", "n"]).select("key", "n", (F.col("n") + F.col("size") - 1).alias("end"),
@@ -97,7 +113,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every input row and column, with the kept text, and (n_lines, n_removed).
 
     A line is deleted if it lies in a run of lines of its document that holds at least ``min_words``
-    words (runs of characters other than white space) and occurs at an earlier place: in a document with
+    words (runs of characters other than ASCII white space) and occurs at an earlier place: in a document with
     a smaller doc_id (nulls last), or further up in the same one. Lines are compared byte by byte and
     split at \\n; kept lines are joined by \\n. A null text stays null and has no lines; an empty one has
     one empty line. Rows that repeat both id and text count as one place and get the same result. Input
@@ -107,6 +123,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key, gone, flags = (fresh(docs, x) for x in ("_key", "_gone", "_flags"))
     removed = (repeated_lines(docs, id_col, text_col, min_words).groupBy(F.col("key").alias(key))
                .agg(F.array_sort(F.collect_list("n")).alias(gone)))
+    # line numbers of the documents that lose some: broadcast if that is proven small, so that texts stay in place
+    removed = checked_broadcast(staged(removed, "removed-lines"))
     joined = docs.withColumn(key, row_key(docs, id_col, text_col)).join(removed, key, "left")
     lines, gap = F.split(F.col(text_col), "\n"), F.col(gone)
 
@@ -121,7 +139,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = F.flatten(F.transform(F.sequence(F.lit(0), F.size(gap)), stretch))
     kept = F.array_join(F.filter(lines, lambda _, i: F.get(F.col(flags), i) == 0), "\n")
     return (joined.withColumn(flags, F.when(gap.isNotNull(), marked))
-            .withColumn("n_lines", F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
+            .withColumn("n_lines", F.coalesce(_count(F.col(text_col), "\n") + 1, F.lit(0)).cast("long"))
             .withColumn("n_removed", F.when(gap.isNull(), 0).otherwise(F.size(gap)).cast("long"))
             .withColumn(text_col, F.when(gap.isNull(), F.col(text_col)).otherwise(kept))
             .select(*docs.columns, "n_lines", "n_removed"))

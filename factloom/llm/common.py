@@ -27,12 +27,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of one Arrow batch: rows are whole texts, and the default of 10,000 can be hundreds of MB of them.
+ARROW_ROWS = "1000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches small, unless the session names a size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, ARROW_ROWS)
+
+
 def staged(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Compressed and columnar, so a stage that is read several times costs little disk and later reads
     fetch only their columns; an executor lost afterwards takes nothing with it.
     """
+    bounded_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,9 +8,12 @@ probability equal to their weighted Jaccard similarity. Ranks are only looked at
 yields about k ln k + 2k darts, so a signature costs time in proportion to the text plus k log k.
 
 Signatures are cut into bands; texts that share a band are candidates. In each bucket every text is
-compared with the smallest one; verified pairs make classes, and only members of one bucket that are
-still in different classes are compared with each other. So no pair that shares a band is left out, and
-no group of copies is expanded into pairs.
+compared with the one that has most copies, and verified pairs make classes. Members of buckets that still hold
+several classes go on: while that finds many similar pairs, another member of each bucket meets all
+members of other classes; then the pairs that are left are found by an exact join on their rarest
+shingles, which texts that share a frequent passage and little else do not have in common. Two texts
+of one class need no comparison, so no pair that shares a band is lost, and no group is expanded into
+pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +33,10 @@ from .shingles import mix, shingles
 
 BANDS, ROWS = 30, 5
 THRESHOLD = 0.8
+# Further members of the buckets meet the others while at least this share of the comparisons finds a similar
+# pair, and at most so often; all pairs that are then left are searched by their rarest shingles.
+WORTHWHILE = 0.1
+MAX_TURNS = 8
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
 _UNIT = 1.0 / (1 << 53)
 
@@ -89,12 +96,20 @@ def weighted_set(raw: bytes, counted: bool) -> tuple[np.ndarray, np.ndarray]:
     return s, n.astype(np.float64) if counted else np.ones(len(s))
 
 
-def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two weighted sets."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][i], b[1][j]).sum()
-    whole = a[1].sum() + b[1].sum() - low
-    return float(low / whole) if whole else 0.0
+def elements_of(weighted: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A weighted set as a plain one, sorted: an item of count c becomes c elements. The Jaccard similarity
+    of such sets is the weighted one."""
+    items, counts = weighted[0], weighted[1].astype(np.int64)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    items = np.repeat(items, counts)
+    return np.sort(np.where(nth > 0, mix(items + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)), items))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of distinct elements."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    whole = len(a) + len(b) - both
+    return both / whole if whole else 0.0
 
 
 def _bands(bands: int, rows: int, counted: bool):
@@ -124,23 +139,47 @@ def _sets(counted: bool):
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
-                got = [weighted_set(r.as_py(), counted) for r in part.column("raw")]
+                got = [elements_of(weighted_set(r.as_py(), counted)).view(np.int64) for r in part.column("raw")]
+                offsets = np.concatenate([[0], np.cumsum([len(g) for g in got])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("tkey"), pa.array([s.tobytes() for s, _ in got], pa.binary()),
-                     pa.array([w.astype("<i4").tobytes() for _, w in got], pa.binary())], names=["tkey", "items", "counts"])
+                    [part.column("tkey"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got)))],
+                    names=["tkey", "elements"])
     return run
 
 
 def _similarities(batches):
-    def unpack(items, counts):
-        return np.frombuffer(items, dtype=np.uint64), np.frombuffer(counts, dtype="<i4").astype(np.float64)
-
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in ("ai", "ac", "bi", "bc")]
-        sim = [jaccard(unpack(ai, ac), unpack(bi, bc)) for ai, ac, bi, bc in zip(*cols)]
+        left, right = (b.column(c) for c in ("left", "right"))
+        sim = [jaccard(left[i].values.to_numpy(), right[i].values.to_numpy()) for i in range(b.num_rows)]
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sim, pa.float64())], names=["a", "b", "sim"])
 
 
+def sharing_rare(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of texts of different roots that can be similar enough. ``sets`` has (tkey, root, elements).
+
+    Of n elements, two sets of similarity t share at least one of their n - ceil(t n) + 1 rarest, by one order
+    of all elements (how many texts hold them), their sizes differ by no more than t, and enough elements come
+    after the first one they share. No such pair is lost.
+    """
+    rows = sets.select("tkey", "root", F.size("elements").alias("size"), F.explode("elements").alias("e"))
+    held = rows.groupBy("e").agg(F.count(F.lit(1)).alias("texts"))
+    ranked = rows.join(held, "e").groupBy("tkey", "root", "size").agg(
+        F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("by_texts"))
+    first = F.slice("by_texts", F.lit(1), (F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).cast("int"))
+    prefix = staged(ranked.select("tkey", "root", "size", F.posexplode(first).alias("at", "x")).where("x.texts > 1")
+                    .select("tkey", "root", "size", "at", "x.e"), "rare-shingles")
+    # of two sets that are similar enough, the smaller one shares one of its first n - ceil(2t / (1 + t) n) + 1
+    short = F.col("size") - F.ceil(F.col("size") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
+    x, y = prefix.where(F.col("at") < short).alias("x"), prefix.alias("y")
+    smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.tkey") < F.col("y.tkey")))
+    # at the first shingle that two sets share, all others they share come later in both
+    most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    like = ((F.col("x.e") == F.col("y.e")) & smaller & (F.col("x.root") != F.col("y.root"))
+            & (F.col("x.size") >= threshold * F.col("y.size") - 1e-9)
+            & (most >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - 1e-9))
+    return x.join(y, like).select(F.least("x.tkey", "y.tkey").alias("a"), F.greatest("x.tkey", "y.tkey").alias("b"))
+
+
 def near_dup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                      bands: int = BANDS, rows: int = ROWS, counted: bool = False) -> DataFrame:
     """(doc_id, key, class_id, class_size, kept): one row per input row.
@@ -156,37 +195,60 @@ def near_dup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                                  F.xxhash64("text").alias("tkey"), F.col("text").cast("binary").alias("raw"))
     banded = staged(base.select("tkey", "raw").mapInArrow(_bands(bands, rows, counted), "tkey long, band long"), "bands")
     # copies of a text fall together here, before anything is shuffled
-    buckets = banded.groupBy("band").agg(F.min("tkey").alias("low"), F.max("tkey").alias("high")).where("low <> high")
-    members = staged(banded.join(buckets.select("band", "low"), "band").distinct(), "buckets")
-    star = members.where("tkey <> low").select(F.col("low").alias("a"), F.col("tkey").alias("b")).distinct()
+    buckets = banded.groupBy("band").agg(F.min("tkey").alias("x"), F.max("tkey").alias("y")).where("x <> y").select("band")
+    within = banded.join(buckets, "band").distinct()
+    # the text that all others of a bucket meet is the one with most copies: an original is like all its variants
+    copies = base.groupBy("tkey").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    within = staged(within.join(checked_broadcast(copies), "tkey", "left").select("band", "tkey", F.coalesce("copies", F.lit(1)).alias("copies")), "buckets")
+    low = within.groupBy("band").agg(F.max_by("tkey", F.struct("copies", "tkey")).alias("low"))
+    members = staged(within.select("band", "tkey").join(low, "band"), "members")
+    star = members.where("tkey <> low").select(F.least("low", "tkey").alias("a"), F.greatest("low", "tkey").alias("b")).distinct()
     involved = checked_broadcast(members.select("tkey").distinct())
     sets = staged(base.select("tkey", "raw").join(involved, "tkey", "left_semi")
-                  .mapInArrow(_sets(counted), "tkey long, items binary, counts binary").dropDuplicates(["tkey"]), "shingle-sets")
+                  .mapInArrow(_sets(counted), "tkey long, elements array<long>").dropDuplicates(["tkey"]), "shingle-sets")
 
     def compared(pairs):
-        left = sets.select(F.col("tkey").alias("a"), F.col("items").alias("ai"), F.col("counts").alias("ac"))
-        right = sets.select(F.col("tkey").alias("b"), F.col("items").alias("bi"), F.col("counts").alias("bc"))
-        return staged(pairs.join(left, "a").join(right, "b").select("a", "b", "ai", "ac", "bi", "bc")
+        left = sets.select(F.col("tkey").alias("a"), F.col("elements").alias("left"))
+        right = sets.select(F.col("tkey").alias("b"), F.col("elements").alias("right"))
+        return staged(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
                       .mapInArrow(_similarities, "a long, b long, sim double"), "similarities")
 
     first = compared(star)
-    links = first.where(F.col("sim") >= threshold).select("a", "b")
-    roots = components(links)
+    roots = components(first.where(F.col("sim") >= threshold).select("a", "b"))
     placed = members.join(roots, members["tkey"] == roots["node"], "left").select(
         "band", "low", "tkey", F.coalesce("root", "tkey").alias("root"))
-    split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-    apart = (placed.join(split, "band", "left_semi")
-             .join(first.select(F.col("a").alias("low"), F.col("b").alias("tkey"), "sim"), ["low", "tkey"], "left")
-             .select("band", "root", "tkey", F.coalesce("sim", F.lit(1.0)).alias("sim")))
-    # 1 - similarity is a metric: two texts whose distances to the bucket's smallest differ by more than
-    # 1 - threshold cannot be similar enough
-    others = apart.select("band", F.col("root").alias("root2"), F.col("tkey").alias("b"), F.col("sim").alias("sim2"))
-    rest = (apart.join(others, "band").where(F.col("root") != F.col("root2"))
-            .where((F.col("tkey") < F.col("b")) & (F.abs(F.col("sim") - F.col("sim2")) <= 1 - threshold + 1e-9))
-            .select(F.col("tkey").alias("a"), "b").distinct().join(star, ["a", "b"], "left_anti"))
-    second = compared(rest).where(F.col("sim") >= threshold).select("a", "b")
-    if not second.isEmpty():
-        roots = components(links.unionByName(second))
+    tested = first.select("a", "b")
+    last = False
+    for turn in range(MAX_TURNS + 1):
+        placed = staged(placed, "placed")
+        split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+        apart = placed.join(split, "band", "left_semi")
+        if apart.isEmpty():
+            break
+        if last or turn == MAX_TURNS:
+            last = True
+            pairs = sharing_rare(sets.join(apart.select("tkey", "root").distinct(), "tkey"), threshold)
+        else:
+            # another member of each bucket, picked by a hash, against all members of other classes
+            draw = F.xxhash64("tkey", F.lit(turn))
+            picked = apart.groupBy("band").agg(F.min_by("tkey", draw).alias("pick"), F.min_by("root", draw).alias("root2"))
+            pairs = (apart.join(picked, "band").where(F.col("root") != F.col("root2"))
+                     .select(F.least("tkey", "pick").alias("a"), F.greatest("tkey", "pick").alias("b")))
+        found = compared(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(found.select("a", "b"))
+        # classes that turned out to belong together
+        of = placed.select("tkey", "root").distinct()
+        merged = components(found.where(F.col("sim") >= threshold)
+                            .join(of.select(F.col("tkey").alias("a"), F.col("root").alias("ra")), "a")
+                            .join(of.select(F.col("tkey").alias("b"), F.col("root").alias("rb")), "b")
+                            .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        placed = placed.join(merged, placed["root"] == merged["node"], "left").select(
+            "band", "low", "tkey", F.coalesce(merged["root"], placed["root"]).alias("root"))
+        if last:
+            break
+        got = found.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("sim") >= threshold).cast("long")).alias("ok")).first()
+        last = (got["ok"] or 0) < WORTHWHILE * got["n"] or not got["n"]
+    roots = placed.select(F.col("tkey").alias("node"), "root").distinct()
     ids = staged(base.select("key", "doc_id", "tkey"), "ids")
     named = ids.join(roots, ids["tkey"] == roots["node"], "left").select(
         "key", "doc_id", F.coalesce("root", "tkey").alias("root"))

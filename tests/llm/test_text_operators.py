@@ -55,7 +55,7 @@ def test_signatures_agree_like_weighted_jaccard():
     e = np.unique(rng.integers(0, 1 << 63, size=500).astype(np.uint64))
     w = rng.integers(1, 4, size=len(e)).astype(float)
     a, b = (e[:400], w[:400]), (e[60:], w[60:].copy())
-    want = near_dups.jaccard(a, b)
+    want = near_dups.jaccard(near_dups.elements_of(a), near_dups.elements_of(b))
     same = near_dups.dart_minhash(*a, 3000) == near_dups.dart_minhash(*b, 3000)
     assert abs(same.mean() - want) < 0.04
 
@@ -64,7 +64,7 @@ def test_signatures_agree_like_weighted_jaccard():
 def test_near_dup_classes_match_brute_force(docs, counted):
     got = by_id(near_dups.near_dup_classes(docs, counted=counted), "class_id", "kept")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    sets = [near_dups.weighted_set(t.encode(), counted) for _, t in rows]
+    sets = [near_dups.elements_of(near_dups.weighted_set(t.encode(), counted)) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -74,7 +74,7 @@ def test_near_dup_classes_match_brute_force(docs, counted):
 
     for i in range(len(rows)):
         for j in range(i):
-            if rows[i][1] == rows[j][1] or len(sets[i][0]) and near_dups.jaccard(sets[i], sets[j]) >= 0.8:
+            if rows[i][1] == rows[j][1] or len(sets[i]) and near_dups.jaccard(sets[i], sets[j]) >= 0.8:
                 parent[root(i)] = root(j)
     classes = defaultdict(list)
     for i, (d, _) in enumerate(rows):
@@ -101,6 +101,25 @@ def test_near_dup_chain_and_hot_group(make):
     assert sum(k for *_, k in got.values()) == 3
 
 
+def test_near_dups_of_texts_that_share_a_passage(make):
+    """Many texts around one passage, at similarities on both sides of the bound, by brute force."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(120)]
+    rows = [(i, " ".join([*passage, *(f"t{rng.randrange(9)}x{j}" for j in range(rng.randrange(10, 60)))])) for i in range(150)]
+    got = by_id(near_dups.near_dup_classes(make(rows)), "class_id")
+    sets = [near_dups.elements_of(near_dups.weighted_set(t.encode(), False)) for _, t in rows]
+    low = list(range(len(rows)))
+    for _ in range(len(rows)):
+        before = low.copy()
+        for i in range(len(rows)):
+            for j in range(i):
+                if low[i] != low[j] and near_dups.jaccard(sets[i], sets[j]) >= 0.8:
+                    low[i] = low[j] = min(low[i], low[j])
+        if low == before:
+            break
+    assert {d: c for d, (c,) in got.items()} == dict(enumerate(low)) and 1 < len(set(low)) < 150
+
+
 def test_near_dups_odd_rows(spark, odd, empty):
     out = near_dups.near_dup_classes(odd)
     assert out.count() == odd.count() and near_dups.near_dup_classes(empty).count() == 0

@@ -29,7 +29,7 @@ END_ID = 1
 PIECES_PER_PARTITION = 100_000
 FAN_IN = 8
 # Words whose ids a worker remembers, before the memory turns over.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 # Texts of these characters only can be cut at white space before tokenising: lower case, white space and
 # composition of each of them is the same everywhere. Any other text goes through the tokenizer whole.
@@ -97,6 +97,10 @@ class TokenIds:
             marks = dict(zip(".,", self._encode([".", ","])))
             known.update((w, known[w[:-1]] + marks[w[-1]]) for w in joined)
 
+    def rest(self) -> None:
+        """Called between tasks: the worker may serve another operator next."""
+        self._before = {}
+
     def batch(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > CACHE_WORDS:
             self._before, self._known = self._known, {}
@@ -129,7 +133,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     end = np.asarray([END_ID], dtype="<u4").tobytes()
 
     def cut(batches):
-        ids_of = encoder(tokenizer_path).batch
+        remembered = encoder(tokenizer_path)
+        ids_of = remembered.batch
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
@@ -145,6 +150,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
                      pa.array(p, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())],
                     names=["doc_id", "key", "piece", "start", "length", "ids_crc32"])
+        remembered.rest()
 
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), row_key(docs, id_col, text_col).alias("key"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))

@@ -354,6 +354,18 @@ def test_lm_predictions_of_all_symbols_sum_to_one():
         assert (0.5 ** code.size.astype(float)).sum() == pytest.approx(1.0)
 
 
+def test_lm_byte_tree_weighs_all_tokens(make):
+    """Bytes weigh as often as they occur in all training tokens, also in frequent words and in words seen once."""
+    train = make([(i, "zzzz common " + "q" * (i + 3)) for i in range(40)]).select(F.col("text").cast("binary").alias("raw"))
+    counts = lm_score.count_tokens(train)
+    want = Counter(b"".join(t + b" " for r in train.collect() for t in bytes(r.raw).split()))
+    assert {i: n for i, n in enumerate(lm_score.count_bytes(counts).tolist()) if n} == want
+    tree = lm_score.learn_trees(counts, 160, 40).byte_tree
+    size = lm_score.Code(*tree).size
+    # the words of q are seen once each, and q is the most frequent byte
+    assert size[ord("q")] == size.min() < size[ord("z")] < size[ord("!")]
+
+
 def test_lm_odd_rows(odd, empty):
     out = lm_score.score_texts(odd).collect()
     assert len(out) == odd.count() and all(math.isfinite(r.score) for r in out)

@@ -366,6 +366,31 @@ def test_lm_byte_tree_weighs_all_tokens(make):
     assert size[ord("q")] == size.min() < size[ord("z")] < size[ord("!")]
 
 
+def test_lm_plain_predictor_learns_too(monkeypatch):
+    """With the map off and nothing seen in the contexts, only the plain counts' weight can adapt to a document."""
+    monkeypatch.setattr(lm_score, "MAP_RATE", 0.0)
+    coder = lm_score.Coder([b"a", b"b"], lm_score.huffman(np.array([8, 4, 2, 1])), lm_score.huffman(np.ones(256)))
+    odds = np.zeros(lm_score.first_table(2) + 2 * (1 << lm_score.SLOT_BITS), dtype=np.float16)
+    odds[:lm_score.first_table(2)] = 1
+    start = {k: np.full((5, 3), 1 / 3, dtype=np.float32) for k in ("words", "bytes")}
+    mixer = lm_score.Mixer(coder, odds, np.zeros(len(odds), dtype=np.uint8), start)
+    block = lm_score.BLOCK
+
+    def per_token(blocks):
+        return mixer.score([[b"a"] * (block * blocks - 1)], np.zeros(4))[0][0] / blocks
+
+    assert abs(per_token(20) - per_token(1)) > 1e-3 * abs(per_token(1))
+
+
+def test_lm_start_weights_are_fitted():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, (40_000, 3)).astype(float)
+    want = np.array([0.1, 0.7, 0.4])
+    outcome = (rng.random(len(x)) < 1 / (1 + np.exp(-x @ want))).astype(np.int64)
+    assert lm_score.fit_weights(x, outcome, np.ones(len(x))) == pytest.approx(want, abs=0.05)
+    assert lm_score.fit_weights(x[:0], outcome[:0], np.ones(0)) == pytest.approx(np.full(3, 1 / 3))
+
+
 def test_lm_odd_rows(odd, empty):
     out = lm_score.score_texts(odd).collect()
     assert len(out) == odd.count() and all(math.isfinite(r.score) for r in out)

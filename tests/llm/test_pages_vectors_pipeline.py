@@ -54,6 +54,16 @@ def test_template_text_and_main_element(spark):
         assert r.text == "\n".join(f"Story {i} part {j} with its own words {i * 31 + j}" for j in range(6))
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    body = "".join(f"<p>Paragraph {j} of the story</p>" for j in range(6))
+    own = [(i, "all.example.org", body) for i in range(12)] + [(i, "most.example.org", body) for i in range(100, 118)]
+    own += [(i, "most.example.org", f"<p>Another story, number {i}</p>") for i in range(118, 120)]
+    rows = [(i, f"https://{host}/{i}", f"<html><body><article>{text}</article></body></html>") for i, host, text in own]
+    out = html_main.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    copied = "\n".join(f"Paragraph {j} of the story" for j in range(6))
+    assert {r.page_id: r.text for r in out} == {i: f"Another story, number {i}" if i in (118, 119) else copied for i, _, _ in own}
+
+
 def test_pages_odd_rows(spark):
     schema = "page_id long, url string, html string, host string, token string, text string"
     rows = [(1, None, None, "h", "t", "x"), (None, "u", "<p>a", None, None, None), (2, "http://x/", "", "h", "t", "x"),

@@ -5,8 +5,8 @@ preference times a factor of its source, at most ``MOST``, and the factors are s
 words of each source equal its target. The whole part of that number is allocated for certain. The rest is an
 inclusion probability, so it differs from document to document: documents are ranked by random odds divided
 by inclusion odds (Pareto order sampling), and the first of that order are taken, up to the number of words
-that is still missing. The sample is of a fixed size in words, not in documents; the gap that the last
-document would overshoot is filled by at most ``FITS`` documents that fit it best.
+that is still missing. The sample is of a fixed size in words, not in documents. What the last document would overshoot is a gap;
+at most ``FITS`` documents a source are then added to the sample, or taken out of it, each the one that brings the total nearest.
 
 The place in the order where a source is cut is found by counting words in ever narrower ranges of the
 order, so nothing is sorted, and a source that holds most of the rows is only ever counted in parts.
@@ -172,29 +172,33 @@ def _by_rank() -> F.Column:
 
 
 def fitted(rows: DataFrame, cut: DataFrame, near, fits: int = FITS) -> DataFrame:
-    """``cut`` with the places (array ``extra``) that fill a source's gap: the largest that fits it, again and again."""
-    state = staged(cut.withColumn("extra", F.array().cast("array<double>")), "mix-fits")
+    """``cut`` with the places (array ``turned``) whose documents are added to the sample or taken out of it: in each
+    turn the one that leaves the smallest gap, if that is smaller than the gap before."""
+    state = staged(cut.withColumn("turned", F.array().cast("array<double>")), "mix-fits")
     for _ in range(fits):
-        left = rows.join(near(state.where("gap >= 1")), "source").where(
-            ~_by_rank() & (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~F.array_contains("extra", F.col("place")))
-        units = left.groupBy("source", "place", "gap").agg(F.sum("size").alias("words")).where("words <= gap")
-        best = units.groupBy("source").agg(F.max(F.struct(F.col("words"), (-F.col("place")).alias("back"))).alias("best"))
+        signed = F.when(_by_rank(), -F.col("size")).otherwise(F.col("size"))
+        units = rows.join(near(state.where("abs(gap) >= 1")), "source").where(
+            (F.abs(F.col("gap") - signed) < F.abs("gap")) & ~F.array_contains("turned", F.col("place"))
+        ).groupBy("source", "place", "gap").agg(F.sum(signed).alias("words"))
+        left = F.col("gap") - F.col("words")
+        best = units.where(F.abs(left) < F.abs("gap")).groupBy("source").agg(
+            F.min(F.struct(F.abs(left).alias("off"), F.col("place"), F.col("words"))).alias("best"))
         none = F.col("best").isNull()
         state = staged(state.join(best, "source", "left").select(
             "source", "cut", "open", (F.col("gap") - F.when(none, 0).otherwise(F.col("best.words"))).alias("gap"),
-            F.when(none, F.col("extra")).otherwise(F.concat("extra", F.array(-F.col("best.back")))).alias("extra")), "mix-fits")
+            F.when(none, F.col("turned")).otherwise(F.concat("turned", F.array("best.place"))).alias("turned")), "mix-fits")
     return state
 
 
 def decide(rows: DataFrame, plan: DataFrame, most: int = MOST) -> DataFrame:
     """``rows`` (of ``sized``) with source_size, target and copies."""
-    taken = _by_rank() | F.coalesce(F.array_contains("extra", F.col("place")), F.lit(False))
+    taken = _by_rank() != F.coalesce(F.array_contains("turned", F.col("place")), F.lit(False))
     return (placed(rows, checked_broadcast(plan), most)
             .withColumn("copies", F.col("whole") + F.when(taken, 1).otherwise(0)))
 
 
 def mix_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
-    """(source, source_size, target, factor, missing, cut, open, gap, extra): what decides the copies of every row of ``sized``."""
+    """(source, source_size, target, factor, missing, cut, open, gap, turned): what decides the copies of every row of ``sized``."""
     classes = staged(rows.groupBy("source", "likes").agg(F.sum("size").cast("long").alias("words")), "mix-classes")
     plan = staged(factors(classes, targets(classes, weights, most), most), "mix-plan")
     # the tables of a row per source, a few numbers each, are broadcast while the sources are few
@@ -231,15 +235,16 @@ def op11_rows(docs: DataFrame) -> DataFrame:
 
 
 def _fit_sql(n: int) -> str:
-    """One turn of ``fitted``: the largest document that fits a source's gap."""
+    """One turn of ``fitted``."""
     return f"""
-u{n} AS (SELECT r.source, r.place, sum(r.size) AS words, any_value(f.gap) AS gap
+u{n} AS (SELECT r.source, r.place, sum(CASE WHEN r.by_rank THEN -r.size ELSE r.size END) AS words, any_value(f.gap) AS gap
         FROM ranked r JOIN f{n - 1} f USING (source)
-        WHERE r.size > 0 AND r.size <= f.gap AND NOT r.by_rank AND NOT list_contains(f.extra, r.place)
-        GROUP BY r.source, r.place HAVING sum(r.size) <= any_value(f.gap)),
-b{n} AS (SELECT source, max(words) AS words, arg_min(place, (-words, place)) AS place FROM u{n} GROUP BY source),
+        WHERE r.place IS NOT NULL AND abs(f.gap) >= 1 AND NOT list_contains(f.turned, r.place)
+          AND abs(f.gap - CASE WHEN r.by_rank THEN -r.size ELSE r.size END) < abs(f.gap)
+        GROUP BY r.source, r.place HAVING abs(any_value(f.gap) - sum(CASE WHEN r.by_rank THEN -r.size ELSE r.size END)) < abs(any_value(f.gap))),
+b{n} AS (SELECT source, arg_min(words, (abs(gap - words), place)) AS words, arg_min(place, (abs(gap - words), place)) AS place FROM u{n} GROUP BY source),
 f{n} AS (SELECT f.source, f.gap - coalesce(b.words, 0) AS gap,
-               CASE WHEN b.words IS NULL THEN f.extra ELSE list_append(f.extra, b.place) END AS extra
+               CASE WHEN b.words IS NULL THEN f.turned ELSE list_append(f.turned, b.place) END AS turned
         FROM f{n - 1} f LEFT JOIN b{n} b USING (source))"""
 
 
@@ -273,10 +278,10 @@ first AS (SELECT run.source, max(upto) FILTER (WHERE upto <= missing) AS words,
                  bool_or(upto > missing) AS reached, any_value(missing) AS missing FROM run JOIN m USING (source) GROUP BY run.source),
 ranked AS (SELECT q.*, first.source IS NOT NULL AND q.place IS NOT NULL AND (NOT reached OR coalesce(place <= cut, false)) AS by_rank
            FROM q LEFT JOIN first USING (source)),
-f0 AS (SELECT m.source, CASE WHEN reached THEN m.missing - coalesce(words, 0) ELSE 0 END AS gap, []::DOUBLE[] AS extra
+f0 AS (SELECT m.source, CASE WHEN reached THEN m.missing - coalesce(words, 0) ELSE 0 END AS gap, []::DOUBLE[] AS turned
        FROM m LEFT JOIN first USING (source)),{",".join(_fit_sql(n + 1) for n in range(FITS))}
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies
-FROM (SELECT ranked.*, whole + CASE WHEN place IS NOT NULL AND (by_rank OR list_contains(extra, place)) THEN 1 ELSE 0 END AS copies
+FROM (SELECT ranked.*, whole + CASE WHEN place IS NOT NULL AND by_rank <> list_contains(turned, place) THEN 1 ELSE 0 END AS copies
       FROM ranked JOIN f{FITS} USING (source))
 """
 

@@ -221,7 +221,7 @@ def test_alignment_equals_brute_force(spark, plain_tokenizers):
     got = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in TA.align(df, *PATHS).collect()}
     want = _brute_alignment(texts, plain_tokenizers)
     assert [got[i] for i in range(len(texts))] == want
-    assert sum(w[0] > 0 for w in want) > 100 and sum(w[0] == 0 for w in want) >= 3
+    assert sum(w[0] > 0 for w in want) > 60 and sum(w[0] == 0 for w in want) >= 3
 
 
 def test_alignment_of_the_given_documents(spark, docs, plain_tokenizers):

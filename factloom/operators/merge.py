@@ -103,14 +103,16 @@ def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
     return merged.select(*out).unionByName(untouched.select(*out))
 
 
+def order_columns(df: DataFrame, year_col: str = "year", score_col: str = "sort_score", tie_cols=("url", "ingest_seq")) -> list:
+    """O1: year desc, score desc, nulls last, then explicit tie-breakers, as far as ``df`` has them."""
+    falling = [F.col(c).desc_nulls_last() for c in (year_col, score_col) if c in df.columns]
+    return falling + [F.col(c).asc_nulls_last() for c in tie_cols if c in df.columns]
+
+
 def master_order(df: DataFrame, year_col: str = "year", score_col: str = "sort_score",
                  tie_cols=("url", "ordinal")) -> DataFrame:
-    """O1: year desc, score desc, nulls last, then explicit tie-breakers.
-
-    A distributed range sort (no single-partition step).
-    """
-    ties = [F.col(c).asc_nulls_last() for c in tie_cols if c in df.columns]
-    return df.orderBy(F.col(year_col).desc_nulls_last(), F.col(score_col).desc_nulls_last(), *ties)
+    """O1: the rows sorted by ``order_columns``; a distributed range sort (no single-partition step)."""
+    return df.orderBy(*order_columns(df, year_col, score_col, tie_cols))
 
 
 def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, name: str = "rank") -> DataFrame:
@@ -122,7 +124,7 @@ def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int, name: str = "
 
 
 def rank_within(df: DataFrame, group_col: str, order_cols, name: str = "rank",
-                         partitions: int | None = None) -> DataFrame:
+                         partitions: int | None = None, keep=None) -> DataFrame:
     """O2: 1-based rank inside each group; a group that holds a large share of
     the rows is spread over many tasks.
 
@@ -141,6 +143,8 @@ def rank_within(df: DataFrame, group_col: str, order_cols, name: str = "rank",
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group_col)] + list(order_cols)
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if keep is not None:        # columns that go on; the others are only sorted by
+        ordered = ordered.select(group_col, *keep)
     ordered = cut_lineage(ordered.withColumn("_part", F.spark_partition_id())
                           .withColumn("_pos", F.monotonically_increasing_id()))
     blocks = ordered.groupBy("_part", group_col).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))

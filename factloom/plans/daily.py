@@ -1,8 +1,8 @@
 """The daily finish-and-merge run, as one call.
 
-facts (one row per project) -> 29 master columns -> merged over the
-current master snapshot with the keep-first rule -> ordered -> written as a
-new snapshot (+ optional CSV export under the original column names).
+facts (one row per project) -> 29 master columns -> merged into the key
+buckets they touch with the keep-first rule -> published as a new snapshot
+(+ optional CSV export, in order, under the original column names).
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import DEDUPE_KEY, MASTER_COLUMNS
-from ..operators.merge import master_order, merge_master
-from ..sources.sinks import current_keys_unique, read_master, write_csv_export, write_master
+from ..sources.master import BUCKETS, export_ordered, merge_into_master
 
 MASTER_TYPES = {
     "title": T.StringType(), "published": T.DateType(), "content": T.StringType(), "url": T.StringType(),
@@ -31,28 +30,23 @@ MASTER_SCHEMA = T.StructType([T.StructField(c, MASTER_TYPES[c]) for c in MASTER_
 
 
 def to_master_rows(facts: DataFrame, seq_cols=("doc_id", "ordinal")) -> DataFrame:
-    """The 29 typed master columns plus an ``ingest_seq`` (stable: a hash of the
-    project identity, never a generated row number)."""
+    """The 29 typed master columns plus an ``ingest_seq``: the facts' own, else a hash of the project identity
+    (stable, never a generated row number)."""
     cols = [(F.col(c) if c in facts.columns else F.lit(None)).cast(MASTER_TYPES[c]).alias(c) for c in MASTER_COLUMNS]
-    seq = F.xxhash64(*[F.col(c) for c in seq_cols if c in facts.columns])
-    return facts.select(*cols, seq.alias("ingest_seq"))
+    seq = F.col("ingest_seq") if "ingest_seq" in facts.columns else F.xxhash64(*[F.col(c) for c in seq_cols if c in facts.columns])
+    return facts.select(*cols, seq.cast("long").alias("ingest_seq"))
 
 
-def daily_merge(facts: DataFrame, master_base: str, snapshot_date: str, csv_path: str | None = None) -> str:
+def daily_merge(facts: DataFrame, master_base: str, snapshot_date: str, csv_path: str | None = None,
+                buckets: int = BUCKETS) -> str:
     """Merge today's facts into the master table; returns the new snapshot key.
 
-    The current snapshot is read (partition-pruned), merged (new rows win,
-    one row per 13-column identity), ordered (year desc, score desc, then
-    URL), and written beside it; the pointer moves only after the write.
+    New rows win, one row per 13-column identity; only the key buckets that
+    today's rows touch are read and written (``sources.master``). The order
+    (year desc, score desc, then URL) is a position of its own, kept beside
+    the snapshot (``read_ordered``); the CSV export is written in it.
     """
-    spark = facts.sparkSession
-    new = to_master_rows(facts)
-    master = read_master(spark, master_base, empty_schema=MASTER_SCHEMA)
-    master = master.select(*[f.name for f in MASTER_SCHEMA.fields])
-    merged = merge_master(new, master, DEDUPE_KEY, MASTER_COLUMNS,
-                          master_keys_unique=current_keys_unique(spark, master_base)).drop("priority")
-    ordered = master_order(merged, "year", "sort_score", tie_cols=("url", "ingest_seq"))
-    key = write_master(ordered, master_base, snapshot_date, keys_unique=True)
+    key = merge_into_master(to_master_rows(facts), master_base, snapshot_date, DEDUPE_KEY, MASTER_COLUMNS, buckets=buckets)
     if csv_path:
-        write_csv_export(read_master(spark, master_base), csv_path)
+        export_ordered(facts.sparkSession, master_base, csv_path, key)
     return key

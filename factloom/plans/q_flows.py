@@ -4,7 +4,7 @@ A5, A9, A12, R2, R5, S6, S8, S10, U1, D7, T8)."""
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_start
 from ..functions.text import double_to_single_quotes
 from ..operators import enrich as E
+from ..operators.answers import ask_stored
 from ..operators.grids import day_ranges, page_offsets
 from ..operators.merge import distinct_rows, merge_master, rank_within
 from ..operators.report import with_counts
 from ..sources.feeds import drop_sentinel_rows, empty_articles, union_articles
+from ..sources.master import read_ordered
 from ..sources.sinks import export_columns, snapshot_stage
 from ..sources.tables import master_from_export
 from ..session import checkpoint_dir
 from .composites import score, social_articles
-from .daily import MASTER_TYPES
+from .daily import MASTER_TYPES, daily_merge
 from .q_merge import COLUMNS, KEY, _rows, _sql_rows
 from .registry import WS_SQL, register, table
 
@@ -123,7 +125,7 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEYS = ", ".join(KEY)
 _FINISH_SQL = f"""
 WITH m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY ingest_seq) AS k FROM ({_sql_rows('master')})) WHERE k = 1),
-b AS (SELECT * EXCLUDE k, 1 AS priority FROM m UNION ALL SELECT *, 0 FROM ({_sql_rows('new')}) WHERE ingest_seq % 10 = 3),
+b AS (SELECT * EXCLUDE k, 1 AS priority FROM m UNION ALL SELECT *, 0 FROM ({_sql_rows('new')})),
 r AS (SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY priority, ingest_seq) AS rn FROM b),
 w AS (SELECT *, CAST(left(published, 4) AS INTEGER) AS year FROM r WHERE rn = 1)
 SELECT ingest_seq, title, published, url, performed, CAST(sort_score AS INTEGER) AS sort_score, year, 'Unknown' AS lat_text,
@@ -131,7 +133,7 @@ SELECT ingest_seq, title, published, url, performed, CAST(sort_score AS INTEGER)
 
 
 def _finished(spark: SparkSession, sf_dir: str, split: bool) -> DataFrame:
-    new = _rows(spark, sf_dir, "new").filter(F.col("ingest_seq") % 10 == 3)
+    new = _rows(spark, sf_dir, "new")
     # yesterday's master holds one row per key, as every merge writes it
     rows = _rows(spark, sf_dir, "master")
     master = merge_master(rows, rows.limit(0), KEY, COLUMNS).drop("priority")
@@ -160,6 +162,43 @@ def finish_master_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, sf_dir, split=True)
 
 
+@register("daily_merge", f"""
+WITH f AS ({_FINISH_SQL})
+SELECT ingest_seq, title, published, url, performed, sort_score, year, position, sort_score = 6 AS is_new FROM f""")
+def daily_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 + S9 + O1: two days of the daily finish over a master in key buckets, read back with its position."""
+    base = f"{checkpoint_dir(spark)}/master-{uuid.uuid4().hex}"
+    for day, side in (("2024-02-01", "master"), ("2024-02-02", "new")):
+        facts = _rows(spark, sf_dir, side)
+        daily_merge(facts.withColumn("year", F.year("published")), base, day, buckets=16)
+    return read_ordered(spark, base).select(
+        "ingest_seq", "title", F.date_format("published", "yyyy-MM-dd").alias("published"), "url", "performed", "sort_score", "year",
+        "position", (F.col("sort_score") == 6).alias("is_new"))
+
+
+# ------------------------------------------------------------------ E1 in chunks
+def _numbered_model(reply: str):
+    """A pure stand-in for the model whose replies name the run."""
+    return lambda prompts: prompts.map(lambda p: reply)
+
+
+@register("responses_resumed", f"""
+WITH t AS {_TRIMMED},
+p AS (SELECT prompt, ('0x' || substr(sha256('summaries' || chr(10) || prompt), 1, 8))::BIGINT % 1000 AS slot FROM (SELECT DISTINCT prompt FROM t)),
+n AS (SELECT least(1000, (count(*) + 299) // 300) AS chunks FROM p)
+SELECT t.doc_id, CASE WHEN slot * chunks // 1000 < 2 THEN 'first run' ELSE 'second run' END AS answer
+FROM t JOIN p USING (prompt), n""")
+def responses_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that ends after two chunks, and a second run that asks what the store does not know."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    req = E.build_requests(docs, "doc_id", "content", "summaries", "{text}")
+    store = f"{checkpoint_dir(spark)}/answers-{uuid.uuid4().hex}"
+    ask_stored(req, _numbered_model("first run"), store, chunk_rows=300, stop_after=2)
+    answers = ask_stored(req, _numbered_model("second run"), store, chunk_rows=300_000)
+    out = E.attach_responses(docs, answers, req, "doc_id", out_col="answer")
+    return out.select("doc_id", "answer")
+
+
 # ------------------------------------------------------------------ small operators
 @register("source_union", """
 WITH a AS (SELECT doc_id, 'news' AS source, 'https://n.example/' || CAST(doc_id AS VARCHAR) AS url, lang AS title,
@@ -181,6 +220,6 @@ def source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = drop_sentinel_rows(d.filter("doc_id % 50 = 0").select(*[F.lit("none").alias(c) for c in news.columns]))
     rows = distinct_rows(union_articles(news, social, empty_articles(spark), nothing, social))
     rows, _ = with_counts(rows, "source_union")
-    rows = snapshot_stage(rows, f"{checkpoint_dir(spark)}/stages", f"source_union-{zlib.crc32(sf_dir.encode())}")
+    rows = snapshot_stage(rows, f"{checkpoint_dir(spark)}/stages", f"source_union-{uuid.uuid4().hex}")
     return rows.select("doc_id", "source", "url", F.coalesce("title", F.lit("Unknown")).alias("title"), F.md5("content").alias("content_md5"),
                        F.unix_timestamp(parse_start(F.lit("2024-02-03"))).alias("start_epoch"))

@@ -28,30 +28,36 @@ def snapshot_stage(df: DataFrame, stage_dir: str | None, name: str) -> DataFrame
 
 def write_master(df: DataFrame, base: str, snapshot_date: str, partitions: int | None = None,
                  keys_unique: bool = False) -> str:
-    """Write ``df`` as a new snapshot, then point ``current`` at it.
+    """Write ``df`` as a new whole snapshot, then point ``current`` at it.
 
     The snapshot key is the date plus a run id, so a second run on the
     same day writes beside the first instead of over it. ``keys_unique``
     records in the pointer that the snapshot holds one row per identity key
-    (set by the merge, which guarantees it). Returns the key.
+    (set by the merge, which guarantees it). Returns the key. A master that
+    only changes in part is better kept in buckets (``sources/master.py``).
     """
-    spark = df.sparkSession
-    row = current_pointer(spark, base)
-    run = (row["run"] if row else 0) + 1
     key = f"{snapshot_date}_{uuid.uuid4().hex[:8]}"
     out = df.withColumn("snapshot", F.lit(key))
     if partitions:
         out = out.repartition(partitions)
     out.write.mode("append").partitionBy("snapshot").parquet(f"{base.rstrip('/')}/snapshots")
-    (spark.createDataFrame([(run, key, snapshot_date, keys_unique)], POINTER_SCHEMA)
-     .coalesce(1).write.mode("append").json(f"{base.rstrip('/')}/current"))
+    publish(df.sparkSession, base, key, snapshot_date, keys_unique)
     return key
 
 
-POINTER_SCHEMA = "run bigint, snapshot string, snapshot_date string, keys_unique boolean"
+def publish(spark: SparkSession, base: str, key: str, snapshot_date: str, keys_unique: bool, buckets: int | None = None) -> None:
+    """Adds the pointer row that makes ``key`` the current snapshot."""
+    row = current_pointer(spark, base, check=False)
+    run = (row["run"] if row else 0) + 1
+    (spark.createDataFrame([(run, key, snapshot_date, keys_unique, buckets)], POINTER_SCHEMA)
+     .coalesce(1).write.mode("append").json(f"{base.rstrip('/')}/current"))
+
 
+# buckets: null for a whole snapshot, else the number of key buckets of the master
+POINTER_SCHEMA = "run bigint, snapshot string, snapshot_date string, keys_unique boolean, buckets int"
 
-def _read_if_there(spark: SparkSession, read):
+
+def read_if_there(spark: SparkSession, read):
     """The DataFrame that ``read`` gives, or None if its path does not exist; other errors are raised."""
     from pyspark.errors import AnalysisException
     try:
@@ -62,7 +68,7 @@ def _read_if_there(spark: SparkSession, read):
         raise
 
 
-def current_pointer(spark: SparkSession, base: str):
+def current_pointer(spark: SparkSession, base: str, check: bool = True):
     """The pointer row with the highest run number, None for a base that holds no master.
 
     Only a base without a pointer and without snapshots is empty. Snapshots
@@ -70,7 +76,7 @@ def current_pointer(spark: SparkSession, base: str):
     that took them for an empty master would publish today's rows alone.
     """
     root = base.rstrip("/")
-    pointers = _read_if_there(spark, lambda: spark.read.schema(POINTER_SCHEMA).option("mode", "FAILFAST").json(f"{root}/current"))
+    pointers = read_if_there(spark, lambda: spark.read.schema(POINTER_SCHEMA).option("mode", "FAILFAST").json(f"{root}/current"))
     row = None
     if pointers is not None:
         row = pointers.orderBy(F.desc("run"), F.desc("snapshot_date"), F.desc("snapshot")).first()
@@ -78,7 +84,9 @@ def current_pointer(spark: SparkSession, base: str):
         if row["run"] is None or row["snapshot"] is None:
             raise ValueError(f"the pointer of the master under {root} is broken")
         return row
-    if _read_if_there(spark, lambda: spark.read.parquet(f"{root}/snapshots")) is not None:
+    # a manifest is written just before the pointer; versions without one are what a run left that died before
+    folders = ("snapshots", "manifests/*") if check else ()
+    if any(read_if_there(spark, lambda f=f: spark.read.text(f"{root}/{f}")) is not None for f in folders):
         raise ValueError(f"the master under {root} has snapshots but no pointer to the current one")
     return None
 
@@ -96,11 +104,15 @@ def current_snapshot(spark: SparkSession, base: str) -> str | None:
 
 
 def read_master(spark: SparkSession, base: str, empty_schema=None) -> DataFrame | None:
-    """The current master snapshot; the filter on the partition column prunes all others."""
-    key = current_snapshot(spark, base)
-    if key is None:
+    """The current master snapshot, in whole or in buckets; files of other snapshots are not read."""
+    row = current_pointer(spark, base)
+    if row is None:
         return None if empty_schema is None else spark.createDataFrame([], empty_schema)
-    return spark.read.parquet(f"{base.rstrip('/')}/snapshots").filter(F.col("snapshot") == key).drop("snapshot")
+    if row["buckets"]:
+        from .master import read_snapshot
+        rows = read_snapshot(spark, base, row["snapshot"])
+        return spark.createDataFrame([], empty_schema) if rows is None and empty_schema is not None else rows
+    return spark.read.parquet(f"{base.rstrip('/')}/snapshots").filter(F.col("snapshot") == row["snapshot"]).drop("snapshot")
 
 
 def export_columns(df: DataFrame, keep=()) -> DataFrame:

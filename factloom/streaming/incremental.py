@@ -9,9 +9,9 @@ match needs joins, windows and aggregations over the batch, so it runs in
 ``foreachBatch`` (batch semantics per epoch). The merge is idempotent, so a
 re-run epoch after a failure writes the same result again.
 
-Each epoch publishes a complete new snapshot of the master table (the
-dated-copy rule), so the trigger should follow the merge cadence: run with
-``available_now=True`` once per period rather than every few seconds.
+Each epoch publishes a new snapshot of the master table (the dated-copy
+rule), of which only the key buckets that the batch touches are written
+(``sources.master``); the others are carried over by name.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import keep_first
 from ..plans.composites import label_and_gate
-from ..sources.sinks import read_master, write_master
+from ..sources.master import BUCKETS, merge_into_master
 
 STREAM_ARTICLE_SCHEMA = T.StructType([
     T.StructField("doc_id", T.StringType()), T.StructField("source", T.StringType()),
@@ -32,21 +31,15 @@ STREAM_ARTICLE_SCHEMA = T.StructType([
 
 
 def merge_batch(batch: DataFrame, epoch_id: int, gazetteer: DataFrame, topics: DataFrame,
-                master_base: str, snapshot_date: str) -> None:
-    """Gate one micro-batch and merge it into the master article table."""
-    spark = batch.sparkSession
+                master_base: str, snapshot_date: str, buckets: int = BUCKETS) -> None:
+    """Gate one micro-batch and merge it into the master article table, bucket by bucket."""
     gated = label_and_gate(batch, gazetteer, topics, materialize=False)
     new = gated.select(*[f.name for f in STREAM_ARTICLE_SCHEMA.fields], "loc_id", "matched_term", "topic_terms")
-    new = new.withColumns({"priority": F.lit(0), "epoch": F.lit(epoch_id).cast("long")})
-    master = read_master(spark, master_base)
-    if master is not None:
-        both = new.unionByName(master.withColumn("priority", F.lit(1)))
-    else:
-        both = new
     # within a batch the copy with the smallest content hash stays, whatever order the rows came in
-    both = both.withColumn("_tie", F.xxhash64(*[f.name for f in STREAM_ARTICLE_SCHEMA.fields]))
-    merged = keep_first(both, ["doc_id"], ["priority", "epoch", "_tie"]).drop("priority", "_tie")
-    write_master(merged, master_base, snapshot_date)
+    tie = F.xxhash64(*[f.name for f in STREAM_ARTICLE_SCHEMA.fields])
+    new = new.withColumns({"epoch": F.lit(epoch_id).cast("long"), "tie": tie})
+    columns = [c for c in new.columns if c not in ("epoch", "tie")]
+    merge_into_master(new, master_base, snapshot_date, ["doc_id"], columns, ("epoch", "tie"), buckets)
 
 
 def start_incremental_merge(spark: SparkSession, source_path: str, gazetteer: DataFrame, topics: DataFrame,

@@ -77,9 +77,14 @@ def trim_to_words(text, max_words: int) -> Column:
                                      F.array_join(F.slice(words, 1, max_words), " ")).otherwise(t))
 
 
+def lower_in_place(text) -> Column:
+    """Lower case, character for character: the capital dotted I, the one letter that would become two, becomes i."""
+    return F.lower(F.replace(_c(text), F.lit("\u0130"), F.lit("i")))
+
+
 def tokens(text) -> Column:
     """Lower-cased word tokens of a text (the unit of dictionary matching)."""
-    return F.regexp_extract_all(F.lower(_c(text)), F.lit(WORD_RE), 0)
+    return F.regexp_extract_all(lower_in_place(text), F.lit(WORD_RE), 0)
 
 
 def drop_stop_words(words) -> Column:

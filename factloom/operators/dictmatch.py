@@ -8,15 +8,14 @@ Semantics (one rule for every dictionary):
   taken and the scan resumes after it (leftmost-longest, no overlaps);
 * a term added twice keeps its last payload (``ord`` order).
 
-Physical plan (``match_entries``): one narrow pass per document builds, for
-every token, a struct of the token and the next ``k-1`` tokens (``k`` =
-longest term), which is probed against the dictionary by a broadcast hash
-join on the first token (broadcast only when ``describe`` proved the
-dictionary small). Only real candidates survive the join, as integers
-(document, position, end, entry id); they are shuffled once by ``doc_id``
-and every later step (overlap islands, greedy fold, per-term / per-key /
-per-document aggregation) reuses that partitioning. Names are joined back
-after aggregation. The token array itself is never carried on exploded rows.
+Physical plan (``match_entries``): every term is indexed by its rarest token (``index_terms``), so "the green
+zone" is looked up by "zone" and the many names that begin with "al" by what follows. One narrow pass per document
+gives a row per token with the few tokens before and after it that a term can need, which is probed against the
+index by a broadcast hash join (broadcast only when the dictionary is proven small) and verified to both sides. Only
+real candidates survive, as integers (document, position, end, entry id, and character offsets where they are asked
+for); they are shuffled once by ``doc_id`` and every later step (overlap islands, greedy fold, per-term / per-key /
+per-document aggregation) reuses that partitioning. Names are joined back after aggregation. The token array itself
+is never carried on exploded rows.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (CONTEXT_WORD, GATE_LABELS, GAZETTEER_NAME_COLUMNS,
                                    PROXIMITY_CHARS, SPECIAL_TERMS, WORD_RE)
-from ..functions.text import tokens
+from ..functions.text import bind, lower_in_place, tokens
 from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, row_bytes
 
 DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token", "entry"]
@@ -96,27 +95,39 @@ def topic_dictionary(topics: DataFrame, keywords_col: str = "keywords", label_co
     return _finish_dictionary(entries, dict_name)
 
 
-# ------------------------------------------------------------------ J1 match
+# ------------------------------------------------------------------ J1 index
+# Texts, and characters of each, that are looked at to tell common tokens from rare ones. They decide which token
+# a term is looked up by, never what is found.
+SAMPLE_TEXTS = 200
+SAMPLE_CHARS = 20_000
+
+
 @dataclass
 class DictionaryInfo:
     rows: int
     max_tokens: int
     broadcast: bool
     has_special: bool = False
-    # most entries sharing one first token; above max_tokens the exact n-gram join is cheaper
-    max_fanout: int = 1
+    # tokens before and after the looked-up one that a term can need
+    before: int = 0
+    after: int = 0
 
-    @property
-    def join_on(self) -> str:
-        return "ngram" if self.max_fanout > self.max_tokens else "first_token"
 
+def sample_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(token, seen): how often tokens occur in a few texts of ``docs`` (those that Spark reads first)."""
+    rows = docs.select(F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("text")).limit(SAMPLE_TEXTS).collect()
+    some = docs.sparkSession.createDataFrame([(r["text"],) for r in rows], "text string")
+    return some.select(F.explode(tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
 
-def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-             special_terms=SPECIAL_TERMS, dict_name: str = "place") -> DictionaryInfo:
-    """Longest term, special terms, fan-out and size of a dictionary, always of all its rows.
 
-    Two aggregations (the second over one row per first token). ``max_rows``
-    decides about broadcasting and nothing else.
+def index_terms(dictionary: DataFrame, docs: DataFrame | None = None, text_col: str = "content",
+                max_rows: int = MAX_BROADCAST_ROWS, special_terms=SPECIAL_TERMS,
+                dict_name: str = "place") -> tuple[DataFrame, DictionaryInfo]:
+    """The dictionary with the token each term is looked up by (``probe``, its place ``probe_at``, all ``toks``), and its facts.
+
+    The probe is the term's rarest token: the one seen least in a few texts of ``docs`` (when given), then the one that
+    the fewest terms share, then the first. ``max_rows`` decides about broadcasting and nothing else. Dictionaries of
+    one-token terms need neither counts nor a stored index.
     """
     special = (F.col("dict") == dict_name) & F.col("term").isin(list(special_terms or ["\u0000"]))
     per_entry = dictionary.groupBy("entry").agg(
@@ -124,53 +135,99 @@ def describe(dictionary: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
         F.max(F.when(special, 1).otherwise(0)).alias("sp"))
     row = per_entry.agg(F.sum("n").alias("n"), F.max("k").alias("k"), F.sum("b").alias("b"), F.max("sp").alias("sp"),
                         F.max("n").alias("same_id")).first()
-    n = int(row["n"] or 0)
+    n, k = int(row["n"] or 0), int(row["k"] or 1)
     if (row["same_id"] or 1) > 1:
         raise ValueError("two dictionary terms share an entry id (64-bit hash collision); rename one term")
-    small = n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES
-    fanout = (dictionary.groupBy("dict", "first_token").count().agg(F.max("count")).first()[0] or 1)
-    return DictionaryInfo(n, int(row["k"] or 1), small, bool(row["sp"]), int(fanout))
-
-
-def _candidates(docs: DataFrame, dictionary: DataFrame, id_col: str, text_col: str,
-                info: DictionaryInfo) -> DataFrame:
-    k = info.max_tokens
-    t = tokens(F.col(text_col))
-    shifted = [F.slice(F.col("_t"), j + 1, 1 << 30).alias(f"t{j}") for j in range(k)]
-    grams = (docs.select(F.col(id_col).alias("doc_id"), t.alias("_t"))
-             .select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z")))
-    cols = ["doc_id", "pos"] + [F.col(f"z.t{j}").alias(f"t{j}") for j in range(k)]
-    grams = grams.select(*cols)
-    d = dictionary.select("dict", "entry", "term_norm", "n_tokens", "first_token")
+    info = DictionaryInfo(n, k, n <= max_rows and (row["b"] or 0) <= MAX_BROADCAST_BYTES, bool(row["sp"]))
+    if k == 1:
+        return dictionary.withColumns({"probe": F.col("first_token"), "probe_at": F.lit(0), "toks": F.array("first_token")}), info
+    from ..session import cut_lineage
+    each = dictionary.select("entry", F.posexplode(F.split("term_norm", " ")).alias("at", "token"))
+    shared = each.groupBy("token").agg(F.count(F.lit(1)).alias("shared"))
+    costs = each.join(shared, "token")
+    seen = F.lit(0)
+    if docs is not None:
+        costs = costs.join(sample_counts(docs, text_col), "token", "left")
+        seen = F.coalesce(F.col("seen"), F.lit(0))
+    probe = costs.groupBy("entry").agg(F.min(F.struct(seen.alias("seen"), F.col("shared"), F.col("at"), F.col("token"))).alias("p"))
+    indexed = cut_lineage(dictionary.join(probe, "entry").select(
+        *dictionary.columns, F.col("p.token").alias("probe"), F.col("p.at").alias("probe_at"), F.split("term_norm", " ").alias("toks")))
+    sides = indexed.agg(F.max("probe_at").alias("before"), F.max(F.col("n_tokens") - 1 - F.col("probe_at")).alias("after")).first()
+    info.before, info.after = int(sides["before"] or 0), int(sides["after"] or 0)
+    return indexed, info
+
+
+# ------------------------------------------------------------------ J1 match
+def running_total(numbers: F.Column, part: int = 128) -> F.Column:
+    """Running totals of an array of integers.
+
+    A fold that appends to an array copies it each time, so it runs over parts of ``part`` numbers, and then over the
+    totals of the parts: the work grows with the length, not with its square.
+    """
+    def totals(xs):
+        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["all"], acc["sum"] + x).alias("all")),
+                           lambda acc: acc["all"])
+
+    def joined(parts):
+        ends = totals(F.transform(parts, lambda xs: F.element_at(xs, -1)))
+        return F.flatten(F.transform(parts, lambda xs, i: F.transform(
+            xs, lambda x: x + F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)))))
+
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / part).cast("int")),
+                      lambda c: totals(F.slice(numbers, c * part + 1, part)))
+    return F.when(F.size(numbers) == 0, F.array().cast("array<int>")).otherwise(bind(cut, joined))
+
+
+def token_spans(text: F.Column) -> F.Column:
+    """Tokens with their character offsets in the text: array of (tok, at, to), end exclusive; the tokens of ``tokens``."""
+    def spans(words, gaps):
+        # the end of a token: all gaps and tokens up to it
+        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda g, w: F.length(g) + F.length(w))
+        return F.zip_with(words, running_total(steps), lambda w, to: F.struct(w.alias("tok"), (to - F.length(w)).alias("at"), to.alias("to")))
+    return bind(lower_in_place(text), lambda low: bind(F.regexp_extract_all(low, F.lit(WORD_RE), 0),
+                                                       lambda words: spans(words, F.split(low, WORD_RE))))
+
+
+def probed(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, info: DictionaryInfo, spans: bool = False) -> DataFrame:
+    """Every occurrence of a term's probe token, with the tokens around it (``around``) and the term's own, unverified."""
+    text = F.col(text_col)
+    base = docs.select(F.col(id_col).alias("doc_id"), (token_spans(text) if spans else tokens(text)).alias("_t"))
+    kind = "struct<tok:string,at:int,to:int>" if spans else "string"
+
+    def shifted(j):
+        if j >= 0:
+            return F.slice(F.col("_t"), j + 1, 1 << 30)
+        return F.concat(F.array_repeat(F.lit(None).cast(kind), -j), F.col("_t"))
+
+    places = range(-info.before, info.after + 1)
+    rows = base.select("doc_id", F.posexplode(F.arrays_zip(*[shifted(j).alias(f"t{j + info.before}") for j in places])).alias("pos", "z"))
+    here = F.col(f"z.t{info.before}")
+    around = [F.col(f"z.t{j + info.before}") for j in places]
+    rows = rows.select("doc_id", "pos", (here["tok"] if spans else here).alias("_here"), F.array(*around).alias("around")) \
+        .filter(F.col("_here").isNotNull())
+    d = index.select("dict", "entry", "n_tokens", "probe", "probe_at", "toks")
     d = F.broadcast(d) if info.broadcast else d
-    if info.join_on == "ngram":
-        # many entries share a first token: join every 1..k-gram exactly on (length, text),
-        # k rows per token and no fan-out
-        gram, texts = F.col("t0"), []
-        for n in range(1, k + 1):
-            if n > 1:
-                gram = F.concat(gram, F.lit(" "), F.col(f"t{n - 1}"))
-            texts.append(F.struct(F.lit(n).alias("n"), gram.alias("g")))
-        ng = (grams.select("doc_id", "pos", F.explode(F.array(*texts)).alias("x"))
-              .select("doc_id", "pos", "x.n", "x.g").filter(F.col("g").isNotNull()))
-        cand = ng.join(d, (ng["n"] == d["n_tokens"]) & (ng["g"] == d["term_norm"]), "inner")
-        return cand.select("doc_id", "dict", "pos", (F.col("pos") + F.col("n_tokens")).alias("end"), "entry")
-    cand = grams.join(d, grams["t0"] == d["first_token"], "inner")
-    # text of the n-gram starting here, for the term's own length n
-    gram = F.col("t0")
-    expr = F.when(F.col("n_tokens") == 1, gram)
-    for n in range(2, k + 1):
-        gram = F.concat(gram, F.lit(" "), F.col(f"t{n - 1}"))
-        expr = expr.when(F.col("n_tokens") == n, gram)
-    return (cand.filter(expr == F.col("term_norm"))
-            .select("doc_id", "dict", "pos", (F.col("pos") + F.col("n_tokens")).alias("end"), "entry"))
-
-
-def match_entries(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "content", info: DictionaryInfo | None = None) -> DataFrame:
+    return rows.join(d, rows["_here"] == d["probe"]).drop("_here")
+
+
+def _candidates(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, info: DictionaryInfo, spans: bool) -> DataFrame:
+    rows = probed(docs, index, id_col, text_col, info, spans)
+    mine = F.slice("around", F.lit(info.before + 1) - F.col("probe_at"), F.col("n_tokens"))
+    same = (F.transform(mine, lambda x: x["tok"]) if spans else mine) == F.col("toks")
+    offsets = [F.get(mine, F.lit(0))["at"].alias("from_char"), F.element_at(mine, -1)["to"].alias("to_char")] if spans else []
+    start = F.col("pos") - F.col("probe_at")
+    return rows.filter(same).select("doc_id", "dict", start.alias("pos"), (start + F.col("n_tokens")).alias("end"), "entry", *offsets)
+
+
+def match_entries(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id", text_col: str = "content",
+                  info: DictionaryInfo | None = None, spans: bool = False) -> DataFrame:
     """J1 core: ``(doc_id, dict, entry, start, end)`` - leftmost-longest,
     non-overlapping hits per document and dictionary, as dictionary entry
-    ids (only integers travel through the shuffle, the window and the fold).
+    ids (only integers travel through the shuffle, the window and the fold);
+    with ``spans`` also ``from_char`` and ``to_char``, the hit's characters
+    in the text (from 0, end exclusive). ``dictionary`` and ``info`` are
+    those of ``index_terms``; without ``info`` they are made here.
 
     Candidates sorted by ``(start, end desc)`` are cut into islands: a new
     island starts where no earlier candidate reaches. Inside an island a
@@ -179,19 +236,21 @@ def match_entries(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id"
     shorter ones there are skipped by the same rule. Islands keep the fold
     short even for documents with very many hits.
     """
-    info = info or describe(dictionary)
-    cand = _candidates(docs, dictionary, id_col, text_col, info)
+    if info is None:
+        dictionary, info = index_terms(dictionary, docs, text_col)
+    cand = _candidates(docs, dictionary, id_col, text_col, info, spans)
     # one shuffle by document; the window and the grouping below reuse it
     cand = cand.repartition("doc_id")
     w = Window.partitionBy("doc_id", "dict").orderBy(F.col("pos"), F.col("end").desc())
     prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     isl = (cand.withColumn("_new", F.when(prev_end.isNull() | (F.col("pos") >= prev_end), 1).otherwise(0))
            .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    offsets = ["from_char", "to_char"] if spans else []
     groups = (isl.groupBy("doc_id", "dict", "island")
               .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), (-F.col("end")).alias("neg_end"),
-                                                        "entry"))).alias("c")))
-    init = F.struct(F.lit(-1).alias("last"),
-                    F.array().cast("array<struct<pos:int,neg_end:int,entry:bigint>>").alias("kept"))
+                                                        "entry", *offsets))).alias("c")))
+    kind = "pos:int,neg_end:int,entry:bigint" + "".join(f",{c}:int" for c in offsets)
+    init = F.struct(F.lit(-1).alias("last"), F.array().cast(f"array<struct<{kind}>>").alias("kept"))
     kept = F.aggregate(
         "c", init,
         lambda acc, x: F.when(x["pos"] >= acc["last"],
@@ -199,7 +258,8 @@ def match_entries(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id"
                                        F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc),
         lambda acc: acc["kept"])
     return (groups.select("doc_id", "dict", F.explode(kept).alias("h"))
-            .select("doc_id", "dict", "h.entry", F.col("h.pos").alias("start"), (-F.col("h.neg_end")).alias("end")))
+            .select("doc_id", "dict", "h.entry", F.col("h.pos").alias("start"), (-F.col("h.neg_end")).alias("end"),
+                    *[F.col(f"h.{c}").alias(c) for c in offsets]))
 
 
 def entry_names(dictionary: DataFrame, info: DictionaryInfo) -> DataFrame:
@@ -208,40 +268,36 @@ def entry_names(dictionary: DataFrame, info: DictionaryInfo) -> DataFrame:
     return F.broadcast(d) if info.broadcast else d
 
 
-def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id",
-                text_col: str = "content", info: DictionaryInfo | None = None) -> DataFrame:
+def match_terms(docs: DataFrame, dictionary: DataFrame, id_col: str = "doc_id", text_col: str = "content",
+                info: DictionaryInfo | None = None, spans: bool = False) -> DataFrame:
     """Leftmost-longest, non-overlapping hits per document and dictionary.
 
     Returns ``(doc_id, dict, key, term, start, end)``; start/end are token
-    ordinals (end exclusive). See ``match_entries``.
+    ordinals (end exclusive); with ``spans`` also ``from_char`` and
+    ``to_char``. See ``match_entries``.
     """
-    info = info or describe(dictionary)
-    hits = match_entries(docs, dictionary, id_col, text_col, info)
+    if info is None:
+        dictionary, info = index_terms(dictionary, docs, text_col)
+    hits = match_entries(docs, dictionary, id_col, text_col, info, spans)
     return (hits.join(entry_names(dictionary, info), ["dict", "entry"])
-            .select("doc_id", "dict", "key", "term", "start", "end"))
+            .select("doc_id", "dict", "key", "term", "start", "end", *(["from_char", "to_char"] if spans else [])))
 
 
-# ------------------------------------------------------------------ T7
-def _char_span(text: F.Column, start: F.Column, end: F.Column):
-    """Character offsets (0-based, end exclusive) of tokens ``start..end-1``."""
-    seps = F.split(text, WORD_RE)
-    toks = F.regexp_extract_all(text, F.lit(WORD_RE), 0)
-
-    def offset(i):  # start of token i = separators 0..i + tokens 0..i-1
-        s = F.aggregate(F.slice(seps, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x))
-        t = F.aggregate(F.slice(toks, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-        return s + t
+def with_spelling(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "content", name: str = "spelling") -> DataFrame:
+    """Hits with ``from_char`` and ``to_char`` as the text spells them (``Al-Hillah`` where the term reads ``Al Hillah``).
 
-    c0 = offset(start)
-    c1 = offset(end - 1) + F.length(F.element_at(toks, end))
-    return c0, c1
+    Texts are not shuffled while the hits are small enough to be broadcast (pass a stored table: they are measured)."""
+    text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    found = text.join(checked_broadcast(hits), "doc_id")
+    return found.withColumn(name, F.substring("_text", F.col("from_char") + 1, F.col("to_char") - F.col("from_char"))).select(*hits.columns, name)
 
 
+# ------------------------------------------------------------------ T7
 def per_term(hits: DataFrame, names: DataFrame | None = None, topic_dict: str = "topic") -> DataFrame:
     """Hits folded to one row per (document, dictionary, key, term).
 
-    ``n`` hits, ``first`` = (start, end) of the first one, and for topic
-    terms every start (their labels are listed in text order). Partial
+    ``n`` hits, ``first`` = (start, end) of the first one, with its characters
+    where the hits have them, and for topic terms every start (their labels are listed in text order). Partial
     aggregation runs before any shuffle; the input is already partitioned
     by document, so no new exchange is planned. ``hits`` may carry entry
     ids instead of names (``match_entries``): they are aggregated first and
@@ -249,7 +305,8 @@ def per_term(hits: DataFrame, names: DataFrame | None = None, topic_dict: str =
     """
     key = ["doc_id", "dict", "entry"] if names is not None else ["doc_id", "dict", "key", "term"]
     agg = (hits.groupBy(*key)
-           .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end")).alias("first"),
+           .agg(F.count(F.lit(1)).alias("n"),
+                F.min(F.struct("start", "end", *[c for c in ("from_char", "to_char") if c in hits.columns])).alias("first"),
                 F.collect_list(F.when(F.col("dict") == topic_dict, F.col("start"))).alias("starts")))
     if names is None:
         return agg
@@ -267,17 +324,20 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     the context word (case-insensitive). If not, every hit of that term in
     the document goes. ``compat=True`` keeps the original test, which
     compares an upper-case word to lower-cased text and so always removes
-    them. Only documents with a special hit are joined to their text (a
-    small, counted, broadcast set); ``terms`` should be materialised as it
-    is read twice.
+    them, without a look at the text. Only documents with a special hit are
+    joined to their text (a small, counted, broadcast set), of which one
+    substring is read: the hits carry their characters (``spans``).
+    ``terms`` should be materialised as it is read twice.
     """
+    if compat and context != context.lower():
+        return terms.filter(~((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms))))
     sp = terms.filter((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms)))
     first = sp.select("doc_id", "term", F.col("first").alias("s"))
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     first_b = checked_broadcast(first)
     small = first_b is not first          # the drop list below is a subset: same decision
     j = text.join(first_b, "doc_id")
-    c0, c1 = _char_span(F.col("_text"), F.col("s.start"), F.col("s.end"))
+    c0, c1 = F.col("s.from_char"), F.col("s.to_char")
     lo = F.greatest(c0 - window, F.lit(0))
     hi = F.least(c1 + window, F.length("_text"))
     around = F.lower(F.substring("_text", lo + 1, hi - lo))

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import dictmatch as dm
+from ..session import staged
 from . import fixtures as fx
 from .composites import label_and_gate
 from .registry import ORACLES, QUERIES, WORD, articles, register, table  # noqa: F401
@@ -111,4 +113,26 @@ def gate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "town_en", "topic_terms")
 
 
+# ------------------------------------------------------------ J1 with character spans
+@register("match_spans", f"""
+WITH gaz AS (SELECT * FROM {GAZ_SQL}),
+topics AS (SELECT * FROM {TOPIC_SQL}),
+{_sql_hits("SELECT doc_id, text AS txt FROM documents",
+           {"place": _sql_place_dictionary("gaz"), "topic": _sql_topic_dictionary("topics")})},
+pieces AS (SELECT doc_id, unnest(w) AS tok, unnest(g[1:len(w)]) AS gap, unnest(range(len(w))) AS pos
+           FROM (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS w, regexp_split_to_array(text, '{WORD}') AS g FROM documents)),
+ends AS (SELECT doc_id, pos, length(tok) AS n, sum(length(gap) + length(tok)) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM pieces)
+SELECT h.doc_id, h.dict, h.key, h.term, CAST(h.pos AS INTEGER) AS start, CAST(h.pos + h.n AS INTEGER) AS "end",
+       CAST(a.upto - a.n AS INTEGER) AS from_char, CAST(b.upto AS INTEGER) AS to_char,
+       substr(d.text, CAST(a.upto - a.n AS BIGINT) + 1, CAST(b.upto - a.upto + a.n AS BIGINT)) AS spelling
+FROM hits h JOIN documents d ON d.doc_id = h.doc_id
+JOIN ends a ON a.doc_id = h.doc_id AND a.pos = h.pos JOIN ends b ON b.doc_id = h.doc_id AND b.pos = h.pos + h.n - 1""")
+def match_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hit of both dictionaries with its characters and the spelling found there."""
+    docs = articles(spark, sf_dir).select("doc_id", "content")
+    dictionary = dm.place_dictionary(fx.gazetteer(spark)).unionByName(dm.topic_dictionary(fx.topics(spark)))
+    hits = staged(dm.match_terms(docs, dictionary, spans=True), "match-spans")
+    return dm.with_spelling(hits, docs)
+
+
 from . import q_text, q_nested, q_merge, q_pages, q_more, q_flows  # noqa: E402,F401  (register on import)

@@ -38,8 +38,9 @@ def document_matches(articles: DataFrame, gazetteer: DataFrame, topics: DataFram
     dictionary = places
     if topics is not None:
         dictionary = places.unionByName(dm.topic_dictionary(topics, keywords_col=topic_keywords))
-    info = dm.describe(dictionary, special_terms=special_terms)
-    hits = dm.match_entries(articles, dictionary, id_col=id_col, text_col=text_col, info=info)
+    dictionary, info = dm.index_terms(dictionary, articles, text_col, special_terms=special_terms)
+    # the context rule reads the characters around a hit
+    hits = dm.match_entries(articles, dictionary, id_col=id_col, text_col=text_col, info=info, spans=info.has_special and not compat)
     terms = dm.per_term(hits, dm.entry_names(dictionary, info))
     if info.has_special:
         terms = dm.suppress_ambiguous(cut_lineage(terms), articles, id_col=id_col, text_col=text_col,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,3 +103,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read back: like ``cut_lineage``, but compressed, and later
+    reads fetch only the columns they need."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -108,30 +108,69 @@ def test_shuffle_join_path_gives_the_same_hits(spark):
     g = gaz(spark, [(1, "t", 0.0, 0.0, "New York"), (2, "t", 0.0, 0.0, "York City"), (3, "t", 0.0, 0.0, "New"),
                     (4, "t", 0.0, 0.0, "b c"), (5, "t", 0.0, 0.0, "c d e")])
     d = dm.place_dictionary(g)
-    small = dm.describe(d)
-    big = dm.describe(d, max_rows=1)
+    index, small = dm.index_terms(d)
+    index1, big = dm.index_terms(d, max_rows=1)
     # the bound decides about broadcasting and nothing else
-    assert (big.rows, big.max_tokens, big.has_special, big.max_fanout) == (small.rows, small.max_tokens, small.has_special, small.max_fanout)
+    assert (big.rows, big.max_tokens, big.has_special, big.before, big.after) == (small.rows, small.max_tokens, small.has_special, small.before, small.after)
     key = dm.place_dictionary(gaz(spark, [(i, "t", 0.0, 0.0, n) for i, n in enumerate(["Aa", "Bb", "Key", "Cc"])]))
-    assert dm.describe(key, max_rows=1).has_special and dm.describe(key).has_special
+    assert dm.index_terms(key, max_rows=1)[1].has_special and dm.index_terms(key)[1].has_special
     assert small.broadcast and not big.broadcast and big.max_tokens == small.max_tokens == 3
-    a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=small).collect())
-    b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=big).collect())
+    a = sorted(tuple(r) for r in dm.match_terms(docs, index, info=small).collect())
+    b = sorted(tuple(r) for r in dm.match_terms(docs, index1, info=big).collect())
     assert a == b and len(a) == 5          # "c d e" overlaps the earlier "b c"
 
 
-def test_ngram_join_when_first_tokens_fan_out(spark):
-    names = ["Al Basra", "Al Kut", "Al Amarah", "Al Hillah", "Al Najaf", "Kut"]
-    texts = ["al kut and al basra near kut", "al al najaf al", "nothing"]
+def test_terms_are_looked_up_by_their_rarest_token(spark):
+    names = ["Al Basra", "Al Kut", "Al Amarah", "Al Hillah", "Al Najaf", "Kut", "the green zone"]
+    texts = ["al kut and al basra near kut", "al al najaf al", "nothing", "the the the the green the green zone", "green " * 50]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
-    g = gaz(spark, [(i + 1, "t", 0.0, 0.0, n) for i, n in enumerate(names)])
-    d = dm.place_dictionary(g)
-    info = dm.describe(d)
-    assert info.max_fanout == 5 and info.join_on == "ngram"
-    forced = dm.DictionaryInfo(info.rows, info.max_tokens, info.broadcast, info.has_special, 1)
-    assert forced.join_on == "first_token"
-    a = sorted(tuple(r) for r in dm.match_terms(docs, d, info=info).collect())
-    b = sorted(tuple(r) for r in dm.match_terms(docs, d, info=forced).collect())
-    assert a == b
-    assert sorted((r[0], r[4], r[5], r[3]) for r in a) == [(0, 0, 2, "Al Kut"), (0, 3, 5, "Al Basra"),
-                                                           (0, 6, 7, "Kut"), (1, 1, 3, "Al Najaf")]
+    d = dm.place_dictionary(gaz(spark, [(i + 1, "t", 0.0, 0.0, n) for i, n in enumerate(names)]))
+    index, info = dm.index_terms(d, docs)
+    probes = {r.term_norm: (r.probe, r.probe_at) for r in index.collect()}
+    assert probes == {"al basra": ("basra", 1), "al kut": ("kut", 1), "al amarah": ("amarah", 1), "al hillah": ("hillah", 1),
+                      "al najaf": ("najaf", 1), "kut": ("kut", 0), "the green zone": ("zone", 2)}
+    # a row per occurrence of a rare token, whatever the 60 times that "al", "the" and "green" stand in the texts
+    assert dm.probed(docs, index, "doc_id", "content", info).count() == 7
+    a = sorted(tuple(r) for r in dm.match_terms(docs, index, info=info).collect())
+    assert sorted((r[0], r[4], r[5], r[3]) for r in a) == [
+        (0, 0, 2, "Al Kut"), (0, 3, 5, "Al Basra"), (0, 6, 7, "Kut"), (1, 1, 3, "Al Najaf"), (3, 5, 8, "the green zone")]
+    # without a look at the texts the choice may differ, the hits may not
+    assert sorted(tuple(r) for r in dm.match_terms(docs, d).collect()) == a
+    first, blind = dm.index_terms(d)
+    assert sorted(tuple(r) for r in dm.match_terms(docs, first, info=blind).collect()) == a
+
+
+def test_random_dictionaries_agree_with_plain_scan_both_ways(spark):
+    rnd = random.Random(11)
+    vocab = ["al", "the", "x", "y", "z", "w"]
+    terms = sorted({tuple(rnd.choice(vocab) for _ in range(rnd.randint(1, 4))) for _ in range(14)})
+    texts = ["  ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 60))) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
+    d = dm.place_dictionary(gaz(spark, [(i + 1, "t", 0.0, 0.0, " ".join(t)) for i, t in enumerate(terms)]))
+    want = sorted((i, s, e, t) for i, x in enumerate(texts) for s, e, t in greedy(x.split(), terms))
+    for max_rows in (1, 1000):
+        index, info = dm.index_terms(d, docs, max_rows=max_rows)
+        got = dm.match_terms(docs, index, info=info, spans=True).collect()
+        assert sorted((r.doc_id, r.start, r.end, r.term) for r in got) == want
+        assert all(" ".join(texts[r.doc_id][r.from_char:r.to_char].split()) == r.term for r in got)
+
+
+def test_character_spans_and_spelling(spark):
+    texts = ["Visit AL-HILLAH, then Al  Hillah.", "\u0130n Al.Hillah \u00dcber al/hillah", "x" * 300 + " " + "word " * 400 + "al-hillah", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, content string")
+    d = dm.place_dictionary(gaz(spark, [(1, "t", 0.0, 0.0, "Al-Hillah")]))
+    hits = dm.match_terms(docs, d, spans=True)
+    got = sorted((r.doc_id, r.from_char, r.spelling, r.term) for r in dm.with_spelling(hits, docs).collect())
+    assert got == [(0, 6, "AL-HILLAH", "Al Hillah"), (0, 22, "Al  Hillah", "Al Hillah"), (1, 3, "Al.Hillah", "Al Hillah"),
+                   (1, 18, "al/hillah", "Al Hillah"), (2, 2301, "al-hillah", "Al Hillah")]
+
+
+def test_running_totals_of_long_arrays(spark):
+    for n in (0, 1, 127, 128, 129, 1000, 40_000):
+        row = spark.range(1).select(F.when(F.lit(n) == 0, F.array().cast("array<int>")).otherwise(
+            F.transform(F.sequence(F.lit(1), F.lit(max(n, 1))), lambda x: (x % 7).cast("int"))).alias("a")).select("a", dm.running_total(F.col("a")).alias("t")).first()
+        total, want = 0, []
+        for x in row.a:
+            total += x
+            want.append(total)
+        assert row.t == want

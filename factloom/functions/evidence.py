@@ -3,7 +3,8 @@
 Word-bounded, case-insensitive matching with explicit word classes
 (letters, numbers, underscore), so the rule is the same for every script.
 Plain words are looked up in the row's token array (no regex compiled per
-row); terms with other characters, phrases and NEAR patterns use a regex.
+row), and NEAR patterns of plain words by the places of their words in it;
+terms with other characters and phrases use a regex.
 """
 
 from __future__ import annotations
@@ -115,6 +116,51 @@ def near_regex(spec, default_distance: int = 10) -> Column:
                     F.array_join(F.transform(rest, step), ""))
 
 
+def near_terms(spec, default_distance: int = 10) -> Column:
+    """T5: the terms of ``a NEAR/n b NEAR/m c`` in lower case, each with the words that may stand before it."""
+    def term(part, i):
+        part = ustrip(part)
+        words = F.coalesce(F.regexp_extract(part, r"^(\d+)", 1).try_cast("int"), F.lit(default_distance))
+        return F.struct(F.lower(F.when(i == 0, part).otherwise(ustrip(F.regexp_replace(part, r"^\d+", "")))).alias("term"), words.alias("words"))
+
+    return F.transform(F.split(_c(spec), "NEAR/"), term)
+
+
+def near_by_position(toks, terms) -> Column:
+    """Whether the terms (plain words) stand in this order, each at most its ``words`` words after the one before.
+
+    One pass over the places of the words asked for. For each term the last place is kept to which the pattern
+    holds up to it: the last is the best for what follows, so the work grows with the places, however often words repeat.
+    """
+    def walk(places, wanted):
+        none = F.transform(wanted, lambda t: F.lit(None).cast("int"))
+
+        def step(held, x):
+            return F.transform(wanted, lambda t, k: F.when(
+                (t["term"] == x["tok"]) & ((k == 0) | F.coalesce(x["at"] - F.get(held, k - 1) <= t["words"] + 1, F.lit(False))),
+                x["at"]).otherwise(F.get(held, k)))
+
+        return F.aggregate(places, none, step, lambda held: F.element_at(held, -1).isNotNull())
+
+    def located(wanted):
+        words = F.transform(wanted, lambda t: t["term"])
+        places = F.filter(F.transform(toks, lambda x, i: F.struct(x.alias("tok"), i.alias("at"))), lambda x: F.array_contains(words, x["tok"]))
+        return F.when(F.forall(words, lambda w: F.array_contains(toks, w)), walk(places, wanted)).otherwise(F.lit(False))
+
+    return bind(terms, located)
+
+
+def near_evidence(text, spec, toks=None) -> Column:
+    """T5: whether a phrase or NEAR pattern occurs in a text; false where the text or the pattern is null.
+
+    Patterns of plain words are decided by positions; a term that is no plain word, and a phrase, by ``near_regex``.
+    """
+    toks = tokens(text) if toks is None else _c(toks)
+    plain = rf"^\s*{W}+\s*(?:NEAR/\s*(?:[0-9]+\s+|(?![0-9])){W}+\s*)*$"
+    by_regex = F.regexp_like(_c(text), near_regex(spec))
+    return F.coalesce(F.when(_c(spec).rlike(plain), near_by_position(toks, near_terms(spec))).otherwise(by_regex), F.lit(False))
+
+
 def object_evidence(text, what, toks=None) -> Column:
     """T4 + A8: struct(found, n_terms, ratio, match) for "what is being built".
 
@@ -127,11 +173,9 @@ def object_evidence(text, what, toks=None) -> Column:
     found = F.size(F.filter(words, lambda x: has_word_fast(text, toks, x)))
     base = F.struct(found.cast("int").alias("found"), F.size(words).cast("int").alias("n_terms"),
                     w.isNull().alias("missing"))
-    # the phrase regex scans the whole text: run it only when the word ratio
-    # does not already decide, and when its first word occurs at all
+    # looked for only when its first word occurs at all (a phrase's regex scans the whole text)
     first = ustrip(F.element_at(F.split(w, "NEAR/"), 1))
-    phrase = F.when(has_word_fast(text, toks, first),
-                    F.coalesce(F.regexp_like(_c(text), near_regex(w)), F.lit(False))).otherwise(F.lit(False))
+    phrase = F.when(has_word_fast(text, toks, first), near_evidence(text, w, toks)).otherwise(F.lit(False))
 
     def finish(b):
         r = _finish(b)

@@ -1,8 +1,11 @@
 """Semi-structured extraction from stored model responses.
 
 Responses are text holding one or more Python-literal dicts. Everything
-here is a built-in Column expression: regex extraction, a fold over braces,
-a literal-to-JSON rewrite and ``from_json``; nothing is evaluated as code.
+here is a built-in Column expression: regex extraction, a literal-to-JSON
+rewrite and ``from_json``; nothing is evaluated as code. Most responses hold
+flat dicts, which one regex cuts out; where braces nest or stand inside
+quotes, a pattern of the literal grammar reads the dicts, and only what it
+leaves over goes through a fold over braces.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .constants import PROJECT_FIELDS
-from .text import WS
+from .text import WS, bind, split_at
 
 PROJECT_STRUCT = T.StructType([T.StructField(name, T.StringType()) for name, _ in PROJECT_FIELDS])
 
@@ -67,23 +70,125 @@ def dict_blocks(text) -> Column:
     return F.transform(_closed_blocks(text), lambda b: b["block"])
 
 
-def literal_to_json(block) -> Column:
-    """Rewrite a Python-literal dict to JSON text (quotes stay for Jackson).
+# A quoted string of a literal; the loops never give back, so a long value costs no stack.
+_STRING = r"""(?:'[^'\\\n]*+(?:\\[\s\S][^'\\\n]*+)*+'|"[^"\\\n]*+(?:\\[\s\S][^"\\\n]*+)*+")"""
+_SCALAR = rf"(?:{_STRING}(?:\s*+{_STRING})*+|[-+]?[0-9][0-9.eE+_-]*+|None|True|False|null|true|false)"
+
+
+def _listed(item: str) -> str:
+    return rf"(?:{item}\s*+(?:,\s*+{item}\s*+)*+,?+\s*+)?+"
+
+
+def _value_pattern(depth: int) -> str:
+    """A value of the literal grammar that holds lists, tuples and dicts up to ``depth`` deep."""
+    if depth == 0:
+        return _SCALAR
+    inner = _value_pattern(depth - 1)
+    return rf"(?:{_SCALAR}|[\[(]\s*+{_listed(inner)}[\])]|{_dict_pattern(depth - 1)})"
+
+
+def _dict_pattern(depth: int) -> str:
+    return rf"\{{\s*+{_listed(rf'{_STRING}' + r'\s*+:\s*+' + _value_pattern(depth))}\}}"
+
+
+# Dicts that hold dicts that hold dicts; deeper ones are found by their braces.
+DEPTH = 2
+
+
+def literal_blocks(text) -> Column:
+    """``array<struct<block, inner>>`` like ``_closed_blocks``, by the grammar of literals: braces inside quotes belong to
+    their string, and a dict inside another comes before it. What is no literal is cut by its braces alone."""
+    def inside(block, depth):
+        if depth < 0:
+            return F.array().cast("array<struct<block:string,inner:boolean>>")
+        found = F.regexp_extract_all(F.substring(block, 2, 1 << 30), F.lit(_dict_pattern(depth)), 0)
+        return F.flatten(F.transform(found, lambda b: F.concat(inside(b, depth - 1), F.array(F.struct(b.alias("block"), F.lit(True).alias("inner"))))))
+
+    def with_gap(gap, top):
+        rest = F.when(gap.rlike("[{}]"), _closed_blocks(gap)).otherwise(F.array().cast("array<struct<block:string,inner:boolean>>"))
+        mine = F.concat(inside(top, DEPTH - 1), F.array(F.struct(top.alias("block"), F.lit(False).alias("inner"))))
+        return F.when(top.isNull(), rest).otherwise(F.concat(rest, mine))
+
+    whole = _dict_pattern(DEPTH)
+    t = _c(text)
+    return F.flatten(F.zip_with(split_at(t, whole), F.regexp_extract_all(t, F.lit(whole), 0), with_gap))
+
+
+# Marks a list, so that it can be told from text that begins with a bracket.
+_LIST_MARK = "\\u0002"
+
+
+def simple_to_json(block) -> Column:
+    """Rewrite a dict of plain values to JSON text (quotes stay for Jackson).
 
     Bare ``None``/``True``/``False`` after a quoted key become
     ``null``/``true``/``false``; ``\\xNN`` escapes become ``\\u00NN``.
     """
-    b = _c(block)
-    key = r"""((?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")\s*:\s*)"""
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        b = F.regexp_replace(b, rf"(?s){key}{word}(?=\s*[,}}])", f"$1{json_word}")
-    return F.regexp_replace(b, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    def worded(b):
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            b = F.regexp_replace(b, rf"({_STRING}\s*+:\s*+){word}(?=\s*[,}}])", f"$1{json_word}")
+        return b
+
+    words = F.when(_c(block).rlike("None|True|False"), worded(_c(block))).otherwise(_c(block))
+    return bind(words, lambda b: F.when(F.contains(b, F.lit(r"\x")), F.regexp_replace(
+        b, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")).otherwise(b))
+
+
+def literal_to_json(block) -> Column:
+    """Rewrite a Python-literal dict to JSON text, piece by piece: quoted strings, and what stands between them.
+
+    Strings get double quotes (``\\xNN`` escapes become ``\\u00NN``), neighbouring strings become one. Between strings
+    ``None``/``True``/``False`` become ``null``/``true``/``false``, tuples become lists, and a list gets a mark as its first element.
+    """
+    def string(x):
+        body = F.substring(x, F.lit(2), F.length(x) - 2)
+        body = F.regexp_replace(body, r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        return F.when(x.startswith("'"), F.regexp_replace(body, r'(?<!\\)((?:\\\\)*+)"', r'$1\\"')).otherwise(body)
+
+    def between(x):
+        x = F.regexp_replace(x, r",\s*([\])}])", "$1")
+        x = F.regexp_replace(x, r"[\[(]", '["' + _LIST_MARK.replace("\\", "\\\\") + '",')
+        x = F.regexp_replace(F.replace(x, F.lit(")"), F.lit("]")), r",\]", "]")
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            x = F.replace(x, F.lit(word), F.lit(json_word))
+        return x
+
+    def quoted(x):
+        return x.startswith("'") | x.startswith('"')
+
+    def piece(all_, x, i):
+        before, after = F.coalesce(quoted(F.get(all_, i - 1)), F.lit(False)), F.coalesce(quoted(F.get(all_, i + 1)), F.lit(False))
+        text = F.concat(F.when(before, F.lit("")).otherwise(F.lit('"')), string(x), F.when(after, F.lit("")).otherwise(F.lit('"')))
+        return F.when(quoted(x), text).otherwise(between(x))
+
+    pieces = F.filter(F.regexp_extract_all(_c(block), F.lit(_STRING + r"|[^'\"]++|['\"]"), 0), lambda x: ~x.rlike(r"^\s*$"))
+    return bind(pieces, lambda all_: F.array_join(F.transform(all_, lambda x, i: piece(all_, x, i)), ""))
 
 
 def parse_literal_dict(block) -> Column:
-    """One dict block -> ``map<string,string>`` (null when it does not parse)."""
-    return F.from_json(literal_to_json(block), T.MapType(T.StringType(), T.StringType()),
-                       {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"})
+    """One dict block -> ``map<string,string>`` (null when it does not parse). The values of a list or tuple are
+    joined by ``, ``; a dict as a value stays as JSON text.
+
+    Most dicts hold plain values, which Jackson reads nearly as they stand; others, and what it does not read, are
+    rewritten piece by piece.
+    """
+    kind = T.MapType(T.StringType(), T.StringType())
+    head = '["' + _LIST_MARK + '"'
+
+    def value(v):
+        items = F.slice(F.from_json(v, "array<string>", {"mode": "PERMISSIVE"}), 2, 1 << 30)
+        listed = F.array_join(F.transform(items, lambda x: F.coalesce(x, F.lit("None"))), ", ")
+        return F.when(v.startswith(head), listed).otherwise(F.replace(F.replace(v, F.lit(head + ","), F.lit("[")), F.lit(head), F.lit("[")))
+
+    def rewritten(b):
+        parsed = F.from_json(literal_to_json(b), kind, {"allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"})
+        return F.transform_values(parsed, lambda k, v: F.when(F.contains(v, F.lit(head)), value(v)).otherwise(v))
+
+    def read(b):
+        plain = F.from_json(simple_to_json(b), kind, {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"})
+        return bind(F.when(~b.rlike(r":\s*[\[(]"), plain), lambda m: F.when(m.isNull(), rewritten(b)).otherwise(m))
+
+    return bind(_c(block), read)
 
 
 def map_to_project(m) -> Column:
@@ -114,11 +219,13 @@ def text_to_map(text) -> Column:
         return (F.when(F.contains(ln, F.lit("Project:")), F.struct(F.lit("Project").alias("k"), project.alias("v")))
                 .when(F.contains(ln, F.lit("-")), F.struct(dash_key.alias("k"), value.alias("v"))))
 
-    entries = F.filter(F.transform(lines, entry), lambda e: e.isNotNull())
-    # keep the last entry of each key (a later line overwrites an earlier one)
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, 1 << 30),
-                                                     lambda x: x["k"] == e["k"]))
-    return F.map_from_entries(last)
+    def last(entries):
+        # the last entry of each key stays (a later line overwrites an earlier one)
+        keys = F.transform(entries, lambda e: e["k"])
+        return bind(keys, lambda ks: F.map_from_entries(F.filter(
+            entries, lambda e, i: ~F.array_contains(F.slice(ks, i + 2, 1 << 30), e["k"]))))
+
+    return bind(lines, lambda all_: bind(F.filter(F.transform(all_, entry), lambda e: e.isNotNull()), last))
 
 
 def parsed_dicts(response) -> Column:
@@ -127,18 +234,30 @@ def parsed_dicts(response) -> Column:
     A dict inside another one that has none of the project fields is no project.
     """
     names = F.array(*[F.lit(a) for _, alts in PROJECT_FIELDS for a in alts])
-    maps = F.transform(_closed_blocks(response), lambda b: F.struct(parse_literal_dict(b["block"]).alias("m"), b["inner"].alias("inner")))
-    kept = F.filter(maps, lambda x: x["m"].isNotNull() & (~x["inner"] | F.arrays_overlap(F.map_keys(x["m"]), names)))
-    return F.transform(kept, lambda x: map_to_project(x["m"]))
+    parse = (lambda blocks: F.transform(blocks, parse_literal_dict))
+
+    def nested(r):
+        maps = F.transform(literal_blocks(r), lambda b: F.struct(parse_literal_dict(b["block"]).alias("m"), b["inner"].alias("inner")))
+        kept = F.filter(maps, lambda x: x["m"].isNotNull() & (~x["inner"] | F.arrays_overlap(F.map_keys(x["m"]), names)))
+        return F.transform(kept, lambda x: x["m"])
+
+    def read(r):
+        flat = F.regexp_extract_all(r, F.lit(r"\{[^{}]*+\}"), 0)
+        braces = F.length(r) - F.length(F.translate(r, "{}", ""))
+        # flat blocks account for every brace and all of them parse: nothing nests, nothing is quoted
+        return bind(flat, lambda blocks: F.when(braces == 2 * F.size(blocks), bind(parse(blocks), lambda maps: F.when(
+            F.exists(maps, lambda m: m.isNull()), nested(r)).otherwise(maps))).otherwise(nested(r)))
+
+    return F.transform(bind(_c(response), read), map_to_project)
 
 
 def with_fallback(response, projects) -> Column:
     """L6 fallback: when no dict parsed, the ``key - value`` lines are one project."""
     r = _c(response)
-    return (F.when(r.isNull(), F.array().cast(T.ArrayType(PROJECT_STRUCT)))
-            .when(F.size(projects) > 0, projects)
-            # bind the parsed map once (a lambda argument), not once per field
-            .otherwise(F.transform(F.array(text_to_map(r)), map_to_project)))
+    none = F.array().cast(T.ArrayType(PROJECT_STRUCT))
+    lines = F.transform(F.array(text_to_map(r)), map_to_project)
+    # lambda arguments are computed once, whatever projections Spark folds into one
+    return F.when(r.isNull(), none).otherwise(bind(projects, lambda p: F.when(F.size(p) > 0, p).otherwise(lines)))
 
 
 def parse_projects(response) -> Column:

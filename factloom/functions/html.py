@@ -39,12 +39,15 @@ def unescape(text) -> Column:
     table = F.create_map(*[F.lit(x) for kv in sorted(named.items()) for x in kv])
 
     def decoded(piece, i):
-        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        name = F.regexp_extract(piece, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)
         return F.when(i == 0, piece).otherwise(bind(name, lambda n: spelled(piece, n)))
 
     def spelled(piece, name):
-        char = (F.when(name.rlike("^#[xX]"), _code_point(F.conv(F.substring(name, 3, 6), 16, 10).try_cast("bigint")))
-                .when(name.startswith("#"), _code_point(F.substring(name, 2, 7).try_cast("bigint")))
+        # leading zeros say nothing; more digits than a code point has are no code point
+        digits = F.regexp_replace(name, "^#[xX]?0*", "")
+        hexed = F.when(F.length(digits) <= 6, F.conv(F.concat(F.lit("0"), digits), 16, 10).try_cast("bigint"))
+        char = (F.when(name.rlike("^#[xX]"), _code_point(hexed))
+                .when(name.startswith("#"), _code_point(F.when(F.length(digits) <= 7, F.concat(F.lit("0"), digits).try_cast("bigint"))))
                 .when(name != "", F.try_element_at(table, name)))
         rest = F.substring(piece, F.length(name) + 2, 1 << 30)
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import CURRENCY_WORDS, NUMBER_WORDS, UNIT_SCALE, USD_RATES
-from .text import bind, ustrip
+from .text import bind, running_total, split_at, ustrip
 
 
 def _c(c) -> Column:
@@ -68,15 +68,23 @@ def _number(text: Column) -> Column:
 
 
 def _amount(token: Column) -> Column:
-    """Value of an amount phrase in its own currency."""
-    def part(pattern, i):
-        # the phrase is known; looking behind it is not possible any more
-        return F.regexp_extract(token, _FLAGS + "^" + pattern.replace(r"(?<![\w.])", ""), i)
+    """Value of an amount phrase in its own currency. The phrase is known to be one of the three forms, so its parts
+    are what its first number or word leaves over."""
+    low = F.lower(token)
+    number = F.regexp_extract(low, f"^{_NUM}", 0)
 
-    percent = _number(part(_PERCENT, 2)) * _scale(part(_PERCENT, 3)) * _number(part(_PERCENT, 1)) / 100
-    word = _lookup([(w, float(i + 1)) for i, w in enumerate(NUMBER_WORDS)], F.lower(part(_WORDNUM, 1))) * _scale(part(_WORDNUM, 2))
-    plain = _number(part(_PLAIN, 1)) * _scale(part(_PLAIN, 2))
-    return F.when(F.contains(token, F.lit("%")), percent).when(token.rlike("^[0-9]"), plain).otherwise(word)
+    def plain(n):
+        rest = F.ltrim(F.substring(low, F.length(n) + 1, 1 << 30))
+        return F.when(rest.startswith("%"), bind(F.regexp_extract(rest, f"{_NUM}", 0), lambda base: _number(base) * _scale(F.regexp_extract(
+            rest, "([a-z]*)$", 1)) * _number(n) / 100)).otherwise(_number(n) * _scale(F.regexp_replace(rest, "(?U)^\\s+", "")))
+
+    word = F.regexp_extract(low, f"^({'|'.join(NUMBER_WORDS)})", 1)
+    worded = _lookup([(w, float(i + 1)) for i, w in enumerate(NUMBER_WORDS)], word) * _scale(F.regexp_extract(low, f"({_UNIT_WORDS})$", 1))
+    return bind(number, lambda n: F.when(n != "", plain(n)).otherwise(worded))
+
+
+def _digits(text) -> Column:
+    return F.translate(_c(text), "٠١٢٣٤٥٦٧٨٩", "0123456789")
 
 
 def money_spans(text) -> Column:
@@ -84,45 +92,62 @@ def money_spans(text) -> Column:
     (``amount`` null) of a text, in text order, with their character positions.
 
     Percent phrases (``5% of 2 million``), number words (``two million``) and
-    numbers with an optional unit, with any number of decimals. Positions come
-    from the lengths of the pieces between the matches and of the matches.
+    numbers with an optional unit, with any number of decimals. Positions are
+    running totals of the lengths of the matches and of the text between them.
     """
-    digits = F.translate(_c(text), "٠١٢٣٤٥٦٧٨٩", "0123456789")
     codes = [(w.lower(), code) for w, code in CURRENCY_WORDS]
 
-    def spans(t):
-        tokens, between = F.regexp_extract_all(t, F.lit(_ANY), 0), F.split(t, _ANY)
-        none = F.array().cast("array<struct<pos:int,tok:string>>")
-
-        def step(acc, z):
-            pos = acc["end"] + F.length(z["gap"])
-            return F.struct((pos + F.length(z["tok"])).alias("end"),
-                            F.array_append(acc["out"], F.struct(pos.alias("pos"), z["tok"].alias("tok"))).alias("out"))
+    def spans(tokens, between):
+        ends = running_total(F.zip_with(F.slice(between, F.lit(1), F.size(tokens)), tokens, lambda g, t: F.length(g) + F.length(t)))
+        return F.zip_with(tokens, ends, lambda t, end: bind(_lookup(codes, F.lower(t)), lambda code: F.struct(
+            (end - F.length(t)).alias("pos"), F.when(code.isNull(), _amount(t)).alias("amount"), code.alias("code"))))
 
-        pairs = F.slice(F.arrays_zip(between.alias("gap"), tokens.alias("tok")), 1, F.size(tokens))
-        placed = F.aggregate(pairs, F.struct(F.lit(0).alias("end"), none.alias("out")), step, lambda acc: acc["out"])
-        return F.transform(placed, lambda x: bind(_lookup(codes, F.lower(x["tok"])), lambda code: F.struct(
-            x["pos"].alias("pos"), F.when(code.isNull(), _amount(x["tok"])).alias("amount"), code.alias("code"))))
+    return bind(_digits(text), lambda t: bind(F.regexp_extract_all(t, F.lit(_ANY), 0), lambda tokens: F.when(
+        F.size(tokens) > 0, spans(tokens, split_at(t, _ANY))).otherwise(F.array().cast("array<struct<pos:int,amount:double,code:string>>"))))
 
-    return bind(digits, spans)
 
-
-def usd_from_text(text) -> Column:
-    """M5 + J9 + A7: largest money amount in free text, in USD (null if none).
+def amounts_in_usd(text) -> Column:
+    """M5 + J9: every amount of a text in USD, in text order.
 
     An amount is in the currency whose mention starts nearest to it (the first
-    of two equally near), USD without any mention.
+    of two equally near), USD without any mention. Amounts and mentions stand
+    in text order, so the running number of mentions says which mention is the
+    last before an amount and which is the next after it; no other can be
+    nearer, and the work grows with the number of both, not with their product.
+    Where a text has one mention or none, no positions are needed.
     """
+    codes = [(w.lower(), code) for w, code in CURRENCY_WORDS]
     rates = [(code, float(rate)) for code, rate in USD_RATES.items()]
 
-    def largest(spans):
+    def swept(spans):
         mentions = F.filter(spans, lambda x: x["code"].isNotNull())
+        passed = running_total(F.transform(spans, lambda x: F.when(x["code"].isNotNull(), 1).otherwise(0)))
+        placed = F.filter(F.zip_with(spans, passed, lambda x, n: F.struct(x["pos"].alias("pos"), x["amount"].alias("amount"), n.alias("n"))),
+                          lambda x: x["amount"].isNotNull())
 
-        def usd(x):
-            near = F.array_min(F.transform(mentions, lambda m, i: F.struct(
-                F.abs(x["pos"] - m["pos"]).alias("far"), i.alias("i"), m["code"].alias("code"))))
-            return x["amount"] * F.coalesce(_lookup(rates, near["code"]), F.lit(1.0))
+        def usd(x, known):
+            before, after = F.get(known, x["n"] - 1), F.get(known, x["n"])
+            later = before.isNull() | (after["pos"] - x["pos"] < x["pos"] - before["pos"])
+            code = F.when(after.isNotNull() & later, after["code"]).otherwise(before["code"])
+            return x["amount"] * F.coalesce(_lookup(rates, code), F.lit(1.0))
 
-        return F.array_max(F.transform(F.filter(spans, lambda x: x["amount"].isNotNull()), usd))
+        return bind(mentions, lambda known: F.transform(placed, lambda x: usd(x, known)))
 
-    return bind(money_spans(text), largest)
+    def code_of(token):
+        return _lookup(codes, F.lower(token))
+
+    def read(tokens):
+        one = F.filter(F.transform(tokens, code_of), lambda c: c.isNotNull())
+
+        def alike(known):
+            rate = F.coalesce(_lookup(rates, F.get(known, 0)), F.lit(1.0))
+            return bind(rate, lambda r: F.transform(F.filter(tokens, lambda t: code_of(t).isNull()), lambda t: _amount(t) * r))
+
+        return bind(one, lambda known: F.when(F.size(known) > 1, bind(money_spans(text), swept)).otherwise(alike(known)))
+
+    return bind(F.regexp_extract_all(_digits(text), F.lit(_ANY), 0), read)
+
+
+def usd_from_text(text) -> Column:
+    """M5 + J9 + A7: largest money amount in free text, in USD (null if none)."""
+    return F.array_max(amounts_in_usd(text))

@@ -65,6 +65,41 @@ def bind(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def split_at(text, pattern: str) -> Column:
+    """The text between the matches of a pattern, in order, one more than there are matches.
+
+    ``split`` compiles its pattern for every row, which costs more than the row where the pattern is long; a replacement
+    compiles it once. A control character marks the matches; the same character in the text is taken for its neighbour.
+    """
+    return F.split(F.regexp_replace(F.replace(_c(text), F.lit("\u0001"), F.lit("\u0002")), pattern, "\u0001"), "\u0001")
+
+
+def running_total(numbers: Column, part: int = 16, levels: int = 4) -> Column:
+    """Running totals of an array of integers.
+
+    A fold that appends to an array copies it each time, so it runs over parts of ``part`` numbers, and the totals of
+    the parts are added up in the same way, ``levels`` times: the work grows with the length, not with its square.
+    """
+    none = F.array().cast("array<int>")
+
+    def totals(xs):
+        start = F.struct(F.lit(0).alias("sum"), none.alias("all"))
+        return F.aggregate(xs, start, lambda acc, x: bind(acc["sum"] + x, lambda sum_: F.struct(
+            sum_.alias("sum"), F.array_append(acc["all"], sum_).alias("all"))), lambda acc: acc["all"])
+
+    def joined(parts):
+        before = F.concat(F.array(F.lit(0)), running_total(F.transform(parts, lambda xs: F.element_at(xs, -1)), part, levels - 1))
+        return F.flatten(F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda xs, base: F.transform(xs, lambda x: x + base)))
+
+    def cut(xs):
+        starts = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / part).cast("int"))
+        parted = bind(F.transform(starts, lambda c: totals(F.slice(xs, c * part + 1, part))), joined) if levels > 1 else totals(xs)
+        return F.when(F.size(xs) <= part, totals(xs)).otherwise(parted)
+
+    # a lambda argument is computed once; an expression used inside a lambda once per element
+    return bind(numbers, cut)
+
+
 def trim_to_words(text, max_words: int) -> Column:
     """Keep the first ``max_words`` words, only when the text is longer.
 

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (CONTEXT_WORD, GATE_LABELS, GAZETTEER_NAME_COLUMNS,
                                    PROXIMITY_CHARS, SPECIAL_TERMS, WORD_RE)
-from ..functions.text import bind, lower_in_place, tokens
-from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, row_bytes
+from ..functions.text import bind, lower_in_place, running_total, split_at, tokens
+from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, exploded, row_bytes
 
 DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token", "entry"]
 
@@ -158,27 +158,6 @@ def index_terms(dictionary: DataFrame, docs: DataFrame | None = None, text_col:
 
 
 # ------------------------------------------------------------------ J1 match
-def running_total(numbers: F.Column, part: int = 128) -> F.Column:
-    """Running totals of an array of integers.
-
-    A fold that appends to an array copies it each time, so it runs over parts of ``part`` numbers, and then over the
-    totals of the parts: the work grows with the length, not with its square.
-    """
-    def totals(xs):
-        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
-        return F.aggregate(xs, start, lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["all"], acc["sum"] + x).alias("all")),
-                           lambda acc: acc["all"])
-
-    def joined(parts):
-        ends = totals(F.transform(parts, lambda xs: F.element_at(xs, -1)))
-        return F.flatten(F.transform(parts, lambda xs, i: F.transform(
-            xs, lambda x: x + F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)))))
-
-    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / part).cast("int")),
-                      lambda c: totals(F.slice(numbers, c * part + 1, part)))
-    return F.when(F.size(numbers) == 0, F.array().cast("array<int>")).otherwise(bind(cut, joined))
-
-
 def token_spans(text: F.Column) -> F.Column:
     """Tokens with their character offsets in the text: array of (tok, at, to), end exclusive; the tokens of ``tokens``."""
     def spans(words, gaps):
@@ -186,7 +165,7 @@ def token_spans(text: F.Column) -> F.Column:
         steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda g, w: F.length(g) + F.length(w))
         return F.zip_with(words, running_total(steps), lambda w, to: F.struct(w.alias("tok"), (to - F.length(w)).alias("at"), to.alias("to")))
     return bind(lower_in_place(text), lambda low: bind(F.regexp_extract_all(low, F.lit(WORD_RE), 0),
-                                                       lambda words: spans(words, F.split(low, WORD_RE))))
+                                                       lambda words: spans(words, split_at(low, WORD_RE))))
 
 
 def probed(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, info: DictionaryInfo, spans: bool = False) -> DataFrame:
@@ -201,7 +180,7 @@ def probed(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, info:
         return F.concat(F.array_repeat(F.lit(None).cast(kind), -j), F.col("_t"))
 
     places = range(-info.before, info.after + 1)
-    rows = base.select("doc_id", F.posexplode(F.arrays_zip(*[shifted(j).alias(f"t{j + info.before}") for j in places])).alias("pos", "z"))
+    rows = exploded(base, ["doc_id"], F.arrays_zip(*[shifted(j).alias(f"t{j + info.before}") for j in places]), "pos", "z")
     here = F.col(f"z.t{info.before}")
     around = [F.col(f"z.t{j + info.before}") for j in places]
     rows = rows.select("doc_id", "pos", (here["tok"] if spans else here).alias("_here"), F.array(*around).alias("around")) \
@@ -293,6 +272,27 @@ def with_spelling(hits: DataFrame, docs: DataFrame, id_col: str = "doc_id", text
 
 
 # ------------------------------------------------------------------ T7
+def _char_span(text: F.Column, start: F.Column, end: F.Column):
+    """Character offsets (0-based, end exclusive) of tokens ``start..end-1`` of one hit, without offsets of all tokens:
+    the text before a token is so many gaps and so many tokens, each cut from a text that holds only those."""
+    mark = "\u0001"
+    low = F.replace(lower_in_place(text), F.lit(mark), F.lit("\u0002"))
+    gaps, words = F.regexp_replace(low, WORD_RE, mark), F.array_join(F.regexp_extract_all(low, F.lit(WORD_RE), 0), mark)
+
+    def first(text, n):
+        return F.call_function("substring_index", text, F.lit(mark), n)
+
+    def spans(gaps, words):
+        def offset(i):
+            before = F.length(first(gaps, i + 1)) - i
+            return before + F.when(i > 0, F.length(first(words, i)) - (i - 1)).otherwise(0)
+
+        last = first(first(words, end), F.lit(-1))
+        return F.struct(offset(start).alias("at"), (offset(end - 1) + F.length(last)).alias("to"))
+
+    return bind(gaps, lambda g: bind(words, lambda w: spans(g, w)))
+
+
 def per_term(hits: DataFrame, names: DataFrame | None = None, topic_dict: str = "topic") -> DataFrame:
     """Hits folded to one row per (document, dictionary, key, term).
 
@@ -325,9 +325,9 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     the document goes. ``compat=True`` keeps the original test, which
     compares an upper-case word to lower-cased text and so always removes
     them, without a look at the text. Only documents with a special hit are
-    joined to their text (a small, counted, broadcast set), of which one
-    substring is read: the hits carry their characters (``spans``).
-    ``terms`` should be materialised as it is read twice.
+    joined to their text (a small, counted, broadcast set); the characters
+    of the first hit come from the hits when they carry them (``spans``),
+    else from the text. ``terms`` should be materialised as it is read twice.
     """
     if compat and context != context.lower():
         return terms.filter(~((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms))))
@@ -337,6 +337,9 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     first_b = checked_broadcast(first)
     small = first_b is not first          # the drop list below is a subset: same decision
     j = text.join(first_b, "doc_id")
+    if "from_char" not in terms.schema["first"].dataType.names:
+        j = j.withColumn("s", _char_span(F.col("_text"), F.col("s.start"), F.col("s.end"))).withColumn(
+            "s", F.struct(F.col("s.at").alias("from_char"), F.col("s.to").alias("to_char")))
     c0, c1 = F.col("s.from_char"), F.col("s.to_char")
     lo = F.greatest(c0 - window, F.lit(0))
     hi = F.least(c1 + window, F.length("_text"))

@@ -40,3 +40,12 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "left",
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a fact table to a dimension, broadcasting the dimension if small."""
     return facts.join(checked_broadcast(dim, max_rows), on=on, how=how)
+
+
+def exploded(df: DataFrame, columns, array, position: str = "pos", name: str = "item") -> DataFrame:
+    """``columns`` of ``df`` with a row per element of ``array``, its position (from 0) and the element.
+
+    An inner ``explode`` makes the optimizer test the array for being null or empty before, which computes a costly
+    array three times; the outer form does not, and its rows without an element are dropped after.
+    """
+    return df.select(*columns, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())

@@ -9,6 +9,7 @@ from ..functions import evidence as ev
 from ..functions.constants import PROJECT_FIELDS
 from ..functions.extract import field_values, parsed_dicts, with_fallback
 from ..functions.text import normalize, term_present, tokens
+from .joins import exploded
 
 
 def extract_fields(df: DataFrame, response_col: str = "summaries", fields=PROJECT_FIELDS) -> DataFrame:
@@ -24,7 +25,7 @@ def zip_explode(df: DataFrame, list_cols, retain_cols) -> DataFrame:
     """
     safe = [F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c) for c in list_cols]
     z = F.arrays_zip(*safe)
-    return (df.select(*retain_cols, F.posexplode(z).alias("ordinal", "_z"))
+    return (exploded(df, retain_cols, z, "ordinal", "_z")
             .select(*retain_cols, "ordinal", *[F.col(f"_z.{c}").alias(c) for c in list_cols]))
 
 
@@ -37,7 +38,7 @@ def explode_projects(df: DataFrame, response_col: str, retain_cols) -> DataFrame
     keep = [c for c in retain_cols if c != response_col]
     parsed = df.select(*keep, F.col(response_col), parsed_dicts(F.col(response_col)).alias("_d"))
     full = parsed.select(*keep, F.col(response_col), with_fallback(F.col(response_col), F.col("_d")).alias("_all"))
-    out = full.select(*keep, F.col(response_col), F.posexplode("_all").alias("ordinal", "_p"))
+    out = exploded(full, [*keep, response_col], F.col("_all"), "ordinal", "_p")
     return out.select(*retain_cols, "ordinal", "_p.*")
 
 
@@ -69,7 +70,7 @@ def projects_with_evidence(df: DataFrame, id_col: str, text_col: str = "content"
                         term_present(p["what_built"], F.col("_norm")).alias("what_built_terms_present"),
                         loc.alias("_loc"), obj.alias("_obj"))
 
-    rows = once.select(id_col, F.posexplode(F.transform("_projects", tested)).alias("ordinal", "_p")).select(id_col, "ordinal", "_p.*")
+    rows = exploded(once, [id_col], F.transform("_projects", tested), "ordinal", "_p").select(id_col, "ordinal", "_p.*")
     return rows.select(id_col, "ordinal", *names, "location_terms_present", "what_built_terms_present",
                        F.col("_loc.match").alias("location_match"), F.col("_loc.ratio").alias("location_ratio"),
                        F.col("_obj.match").alias("what_built_match"), F.col("_obj.ratio").alias("what_built_ratio"))

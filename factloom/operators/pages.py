@@ -13,6 +13,7 @@ from ..functions.html import (
     absolute_url, attribute, drop_noise, element_html, element_text, first_element_text, paragraphs_text,
 )
 from ..session import cut_lineage
+from .joins import exploded
 
 MAIN_SELECTORS = [("article", None), ("main", None), ("section", "entry")]
 FULL_REPORT_TEXT = "Click here to read the full report."
@@ -24,11 +25,11 @@ def listing_cards(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     Output ``(listing_url, link, title, published_wall, published_utc)``;
     cards missing either the link or the date are skipped.
     """
-    cards = pages.select(F.col(url_col).alias("listing_url"),
-                         F.explode(F.regexp_extract_all(drop_noise(F.col(html_col)),
-                                                        F.lit(r"(?is)<article\b.*?</article\s*>"), 0)).alias("card"))
-    a_tag = F.regexp_extract("card", r"""(?is)(<a\s[^>]*\brel\s*=\s*["']bookmark["'][^>]*>)""", 1)
-    abbr = F.regexp_extract("card", r"""(?is)(<abbr\s[^>]*\bclass\s*=\s*["']date time published updated["'][^>]*>)""", 1)
+    found = F.regexp_extract_all(drop_noise(F.col(html_col)), F.lit(r"(?is)<article\b.*?</article\s*>"), 0)
+    cards = exploded(pages, [F.col(url_col).alias("listing_url")], found, "_n", "card")
+    # rel and class are lists of words: the words looked for may stand among others
+    a_tag = F.regexp_extract("card", r"""(?is)(<a\s(?:[^>]*[\s"'])?rel\s*=\s*(?:"(?:[^">]*\s)?bookmark(?:\s[^">]*)?"|'(?:[^'>]*\s)?bookmark(?:\s[^'>]*)?'|bookmark(?=[\s>]))[^>]*>)""", 1)
+    abbr = F.regexp_extract("card", r"""(?is)(<abbr\s(?=[^>]*\bclass\s*=\s*["'][^"'>]*\bpublished\b)(?=[^>]*\bclass\s*=\s*["'][^"'>]*\bdate\b)[^>]*>)""", 1)
     href, title, when = attribute(a_tag, "href"), attribute(a_tag, "title"), attribute(abbr, "title")
     out = cards.select("listing_url", F.nullif(href, F.lit("")).alias("href"),
                        F.nullif(title, F.lit("")).alias("title"), F.nullif(when, F.lit("")).alias("date_text"))

@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import NUMBER_WORDS
-from ..functions.money import usd_from_text
+from ..functions.money import amounts_in_usd
 from ..operators import enrich as E
 from ..operators.grids import month_ranges, month_starts, query_grid, window_starts
 from ..operators.pages import followed_text, replace_with_full_text
@@ -102,36 +101,51 @@ def geocode_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M2-M5, J9, A7
-_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in NUMBER_WORDS) + "]"
+_RATE_SQL = "CASE {0} WHEN 'EUR' THEN 1.07 WHEN 'GBP' THEN 1.25 WHEN 'dinars' THEN 0.00077 ELSE 1.0 END"
+
+# Texts with several amounts and mentions: pieces in order, each with its value (null: no amount) and currency (null: no
+# mention). Which mention is nearest is worked out from the places of the pieces.
+_MONEY_CASES_SQL = f"""
+SELECT o_orderkey, CASE o_orderkey % 6
+  WHEN 0 THEN [{{'t': 'EUR', 'v': NULL, 'c': 'EUR'}}, {{'t': ' ', 'v': NULL, 'c': NULL}}, {{'t': p, 'v': p::DOUBLE, 'c': NULL}}, {{'t': ' ', 'v': NULL, 'c': NULL}},
+               {{'t': 'GBP', 'v': NULL, 'c': 'GBP'}}, {{'t': ' then ', 'v': NULL, 'c': NULL}}, {{'t': 'two million', 'v': 2e6, 'c': NULL}},
+               {{'t': ' Iraqi ', 'v': NULL, 'c': NULL}}, {{'t': 'dinars', 'v': NULL, 'c': 'dinars'}}]
+  WHEN 1 THEN [{{'t': p, 'v': p::DOUBLE, 'c': NULL}}, {{'t': ' ', 'v': NULL, 'c': NULL}}, {{'t': 'USD', 'v': NULL, 'c': 'USD'}}, {{'t': ', then ', 'v': NULL, 'c': NULL}},
+               {{'t': '5% of ' || p || ' million', 'v': p::DOUBLE * 1e6 * 5 / 100, 'c': NULL}}, {{'t': ' ', 'v': NULL, 'c': NULL}}, {{'t': 'dinars', 'v': NULL, 'c': 'dinars'}}]
+  WHEN 2 THEN [{{'t': 'GBP', 'v': NULL, 'c': 'GBP'}}, {{'t': repeat(' and', CAST(o_orderkey % 9 AS INTEGER)) || ' ', 'v': NULL, 'c': NULL}}, {{'t': p, 'v': p::DOUBLE, 'c': NULL}},
+               {{'t': repeat(' or', CAST(o_orderkey % 7 AS INTEGER)) || ' ', 'v': NULL, 'c': NULL}}, {{'t': 'dinars', 'v': NULL, 'c': 'dinars'}}]
+  WHEN 3 THEN [{{'t': 'about ', 'v': NULL, 'c': NULL}}, {{'t': p || 'k', 'v': p::DOUBLE * 1e3, 'c': NULL}}, {{'t': ' or ', 'v': NULL, 'c': NULL}}, {{'t': '3 billion', 'v': 3e9, 'c': NULL}}]
+  WHEN 4 THEN [{{'t': 'EUR', 'v': NULL, 'c': 'EUR'}}, {{'t': ' at ', 'v': NULL, 'c': NULL}}, {{'t': '12345', 'v': 12345::DOUBLE, 'c': NULL}}, {{'t': ' ', 'v': NULL, 'c': NULL}},
+               {{'t': 'GBP', 'v': NULL, 'c': 'GBP'}}, {{'t': ' ', 'v': NULL, 'c': NULL}}, {{'t': '700', 'v': 700::DOUBLE, 'c': NULL}}]
+  ELSE [{{'t': 'no sum in ', 'v': NULL, 'c': NULL}}, {{'t': 'EUR', 'v': NULL, 'c': 'EUR'}}] END AS s
+FROM (SELECT *, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS p FROM orders)"""
 
 
 @register("usd_from_text", f"""
-SELECT o_orderkey,
-  CASE o_orderkey % 4
-    WHEN 0 THEN '$' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || ' USD'
-    WHEN 1 THEN {_WORDS_SQL}[o_orderkey % 10 + 1] || ' billion Iraqi dinars'
-    WHEN 2 THEN CAST(o_orderkey % 90 + 5 AS VARCHAR) || '% of ' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || ' million GBP'
-    ELSE 'about ' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || 'k EUR' END AS amount_text,
-  CASE o_orderkey % 4
-    WHEN 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS DOUBLE) * 1.0
-    WHEN 1 THEN CAST(o_orderkey % 10 + 1 AS BIGINT) * 1e9 * 0.00077
-    WHEN 2 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS DOUBLE) * 1e6 * CAST(o_orderkey % 90 + 5 AS DOUBLE) / 100 * 1.25
-    ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS DOUBLE) * 1e3 * 1.07 END AS usd
-FROM orders""")
+WITH o AS ({_MONEY_CASES_SQL}),
+x AS (SELECT o_orderkey, unnest(s) AS piece, unnest(range(len(s))) AS i FROM o),
+y AS (SELECT o_orderkey, i, piece.t AS t, piece.v AS v, piece.c AS c,
+             sum(length(piece.t)) OVER (PARTITION BY o_orderkey ORDER BY i) - length(piece.t) AS pos FROM x),
+n AS (SELECT a.o_orderkey, a.i, a.v, m.c, row_number() OVER (PARTITION BY a.o_orderkey, a.i ORDER BY abs(a.pos - m.pos), m.pos) AS k
+      FROM y a LEFT JOIN y m ON m.o_orderkey = a.o_orderkey AND m.c IS NOT NULL WHERE a.v IS NOT NULL),
+u AS (SELECT o_orderkey, max(v * {_RATE_SQL.format('c')}) AS usd, count(*) AS n_amounts FROM n WHERE k = 1 GROUP BY o_orderkey)
+SELECT y.o_orderkey, string_agg(t, '' ORDER BY i) AS amount_text, any_value(u.usd) AS usd, CAST(coalesce(any_value(u.n_amounts), 0) AS INTEGER) AS n_amounts
+FROM y LEFT JOIN u ON u.o_orderkey = y.o_orderkey GROUP BY y.o_orderkey""")
 def usd_from_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2-M5 + J9 + A7: largest amount in the text, converted by its nearest currency."""
+    """M2-M5 + J9 + A7: the largest of several amounts, each converted by its nearest currency (ties: the earlier one)."""
     o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey") % 4
+    k = F.col("o_orderkey") % 6
     price = F.floor("o_totalprice").cast("bigint").cast("string")
-    words = F.array(*[F.lit(w) for w in NUMBER_WORDS])
-    text = (F.when(k == 0, F.concat(F.lit("$"), price, F.lit(" USD")))
-            .when(k == 1, F.concat(F.element_at(words, (F.col("o_orderkey") % 10 + 1).cast("int")),
-                                   F.lit(" billion Iraqi dinars")))
-            .when(k == 2, F.concat((F.col("o_orderkey") % 90 + 5).cast("string"), F.lit("% of "), price,
-                                   F.lit(" million GBP")))
-            .otherwise(F.concat(F.lit("about "), price, F.lit("k EUR"))))
+    gap = (lambda word, n: F.concat(F.repeat(F.lit(word), (F.col("o_orderkey") % n).cast("int")), F.lit(" ")))
+    text = (F.when(k == 0, F.concat(F.lit("EUR "), price, F.lit(" GBP then two million Iraqi dinars")))
+            .when(k == 1, F.concat(price, F.lit(" USD, then 5% of "), price, F.lit(" million dinars")))
+            .when(k == 2, F.concat(F.lit("GBP"), gap(" and", 9), price, gap(" or", 7), F.lit("dinars")))
+            .when(k == 3, F.concat(F.lit("about "), price, F.lit("k or 3 billion")))
+            .when(k == 4, F.lit("EUR at 12345 GBP 700"))
+            .otherwise(F.lit("no sum in EUR")))
     a = o.select("o_orderkey", text.alias("amount_text"))
-    return a.select("o_orderkey", "amount_text", usd_from_text(F.col("amount_text")).alias("usd"))
+    return (a.select("o_orderkey", "amount_text", amounts_in_usd(F.col("amount_text")).alias("each"))
+            .select("o_orderkey", "amount_text", F.array_max("each").alias("usd"), F.size("each").alias("n_amounts")))
 
 
 # ------------------------------------------------------------------ H6, J10

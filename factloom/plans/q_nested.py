@@ -12,11 +12,16 @@ from .registry import register, table
 FIELDS = [name for name, _ in PROJECT_FIELDS]
 
 
+# p_partkey % 7, the value as written in the response, and as read
+_LITERALS = [(1, "'see }} here {i}'", "see } here {i}"), (2, "{{'Note': 'x{i}', 'n': [1, 2]}}", '{{"Note":"x{i}","n":[1,2]}}'),
+             (3, "['a {i}', 'b', 3]", "a {i}, b, 3"), (4, "('c' ' {i}', None)", "c {i}, None"), (5, "'two ' \"words' {i}\"", "two words' {i}")]
+
+
 def _s(c) -> F.Column:
     return F.col(c).cast("string")
 
 
-def _response_column(quirks: bool) -> F.Column:
+def _response_column(quirks: bool, literals: bool = False) -> F.Column:
     """Compose a stored response per ``part`` row: ``p_partkey % 4`` dicts.
 
     Dict 1 lacks the funder when ``p_partkey % 5 = 0``; dict 0 uses the
@@ -24,6 +29,8 @@ def _response_column(quirks: bool) -> F.Column:
     ``quirks``: a value with an apostrophe (double-quoted, as Python prints
     it) when ``p_partkey % 6 = 0``, a bare ``None`` when ``p_partkey % 7 =
     0``, and a ``key - value`` text instead of dicts when there are none.
+    With ``literals`` the last value may hold a brace, be a dict, a list or a
+    tuple, or be written as two strings.
     """
     k = F.col("p_partkey") % 4
     pk = F.col("p_partkey")
@@ -37,6 +44,9 @@ def _response_column(quirks: bool) -> F.Column:
         additional = F.lit(f"'Additional': 'note {i}'")
         if quirks:
             additional = F.when(pk % 7 == 0, F.lit("'Additional': None")).otherwise(additional)
+        if literals:
+            for rest, written, _ in _LITERALS:
+                additional = F.when(pk % 7 == rest, F.lit(f"'Additional': {written.format(i=i)}")).otherwise(additional)
         parts = [
             F.concat(F.lit("'"), loc_key, F.lit(f"': 'Town{i} "), _s("p_size"), F.lit("'")),
             what,
@@ -118,7 +128,12 @@ def zip_explode_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L4-L6
-_PARSE_SQL = """
+def _literal_sql(read: str) -> str:
+    return "replace('" + read.replace("'", "''").replace("{{", "{").replace("}}", "}").replace("{i}", "@") + "', '@', CAST(i AS VARCHAR))"
+
+
+_LITERALS_SQL = "\n       ".join(f"WHEN {rest} THEN {_literal_sql(read)}" for rest, _, read in _LITERALS)
+_PARSE_SQL = f"""
 WITH p AS (SELECT p_partkey, p_partkey % 4 AS k, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS sz FROM part)
 SELECT p_partkey, CAST(i AS INTEGER) AS ordinal,
   'Town' || CAST(i AS VARCHAR) || ' ' || sz AS location,
@@ -128,7 +143,8 @@ SELECT p_partkey, CAST(i AS INTEGER) AS ordinal,
   '$' || sz || ' million' AS amount_text,
   p_type AS category_text,
   '202' || CAST(i AS VARCHAR) AS expected_completion,
-  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 'note ' || CAST(i AS VARCHAR) END AS additional
+  CASE p_partkey % 7 WHEN 0 THEN NULL
+       {_LITERALS_SQL} ELSE 'note ' || CAST(i AS VARCHAR) END AS additional
 FROM (SELECT *, unnest(range(k)) AS i FROM p WHERE k > 0)
 UNION ALL
 SELECT p_partkey, 0, 'Town ' || sz, 'new', NULL, NULL, NULL, NULL, NULL FROM p WHERE k = 0"""
@@ -136,6 +152,6 @@ SELECT p_partkey, 0, 'Town ' || sz, 'new', NULL, NULL, NULL, NULL, NULL FROM p W
 
 @register("parse_projects", _PARSE_SQL)
 def parse_projects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L4 + L5 + L6: each dict parsed as one project; text fallback."""
-    p = table(spark, sf_dir, "part").select("p_partkey", _response_column(True).alias("summaries"))
+    """L4 + L5 + L6: each dict parsed as one project, with braces in quotes, dicts, lists and tuples as values; text fallback."""
+    p = table(spark, sf_dir, "part").select("p_partkey", _response_column(True, True).alias("summaries"))
     return explode_projects(p, "summaries", ["p_partkey"])

@@ -194,3 +194,64 @@ def test_projects_with_nested_dicts_and_escapes(spark):
     assert [(p["location"], p["what_built"]) for p in got] == [("Basra\xa0city", None)]
     got = one(spark, X.parse_projects, "{'Location of project': 'said: None, then', 'What is being built': 'a \\'b\\''}")
     assert [(p["location"], p["what_built"]) for p in got] == [("said: None, then", "a 'b'")]
+
+
+def test_near_by_position_agrees_with_the_pattern(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for _ in range(300):
+        text = " ".join(rnd.choice(["a", "b", "c", "d", "E,", "f"]) for _ in range(rnd.randint(0, 14)))
+        terms = [rnd.choice(["a", "B", "c", "e"]) for _ in range(rnd.randint(2, 4))]
+        rows.append((text, terms[0] + "".join(f" NEAR/{rnd.choice(['', '0 ', '1 ', '3 '])}{t}" for t in terms[1:])))
+    rows += [(None, "a NEAR/1 b"), ("a b", None), ("a b", "a-x NEAR/1 b"), ("a b", "a b"), ("a b", "a NEAR/b c")]
+    df = spark.createDataFrame(rows, "t string, s string")
+    got = df.select(F.coalesce(F.regexp_like("t", ev.near_regex(F.col("s"))), F.lit(False)).alias("want"), ev.near_evidence(F.col("t"), F.col("s")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got] and 20 < sum(r.got for r in got) < 250
+
+
+def test_near_of_repeated_words_is_linear(spark):
+    import time
+    df = spark.createDataFrame([("a b " * 20_000 + "c",)], "t string")
+    t0 = time.perf_counter()
+    spec = F.lit("a NEAR/9 b NEAR/9 a NEAR/9 b NEAR/9 a NEAR/0 c")
+    assert df.select(ev.near_evidence(F.col("t"), spec)).first()[0] is False and time.perf_counter() - t0 < 20
+
+
+def test_nearest_currency_among_many(spark):
+    import random
+    rnd = random.Random(5)
+    rates = {"USD": 1.0, "EUR": 1.07, "GBP": 1.25}
+    rows = []
+    for _ in range(200):
+        parts = [rnd.choice(["USD", "EUR", "GBP", str(rnd.randint(1, 10 ** rnd.randint(1, 6))), "word", "of"]) for _ in range(rnd.randint(0, 12))]
+        at, amounts, mentions = 0, [], []
+        for x in parts:
+            if x.isdigit():
+                amounts.append((at, float(x)))
+            elif x in rates:
+                mentions.append((at, x))
+            at += len(x) + 1
+        usd = [v * rates[min(mentions, key=lambda m: (abs(m[0] - p), m[0]))[1]] if mentions else v for p, v in amounts]
+        rows.append((" ".join(parts), usd))
+    got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(M.amounts_in_usd(F.col("t")).alias("u")).collect()
+    assert [r.u for r in got] == [pytest.approx(u) for _, u in rows]
+
+
+@pytest.mark.parametrize("response,want", [
+    ("[{'Location of project': 'a } b', 'Additional': 'x'}]", [("a } b", "x")]),
+    ("Here's it: {'Location of project': 'a {', 'Additional': \"it's } {\"} and {'Location of project': 'It's'}, {'Location of project': 'c'}",
+     [("a {", "it's } {"), ("c", None)]),
+    ("{'Location of project': ['A', 'B', 3], 'Additional': ('x',)}", [("A, B, 3", "x")]),
+    ("{'Location of project': 'A' \"B\" 'C', 'Additional': []}", [("ABC", "")]),
+    ("{'Location of project': 'A', 'Additional': {'n': {'m': 'q'}, 'k': [1, None]}}", [("A", '{"n":{"m":"q"},"k":[1,null]}')]),
+    ("{'x': {'Location of project': 'in', 'Additional': 'y'}, 'Location of project': 'out'}", [("in", "y"), ("out", None)]),
+    ("{'Location of project': '[TBD]', 'Additional': \"say \\\"hi\\\" 'now'\"}", [("[TBD]", "say \"hi\" 'now'")]),
+    ("{{'Location of project': 'A'}", [("A", None)]),
+    ("{'Location of project': 'caf\\xe9 None', 'Additional': True,}", [("café None", "true")]),
+    ("{'Location of project': '" + "z" * 50_000 + "', 'Additional': 'a\\\\'}", [("z" * 50_000, "a\\")]),
+])
+def test_literal_values(spark, response, want):
+    from factloom.functions.extract import parsed_dicts
+    got = one(spark, parsed_dicts, response)
+    assert [(p["location"], p["additional"]) for p in got] == want

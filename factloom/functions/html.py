@@ -11,7 +11,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bind
+from .text import bind, literal_map
 
 # ---------------------------------------------------------------- fixed values
 # Closing tags that end an unclosed paragraph.
@@ -36,7 +36,7 @@ def unescape(text) -> Column:
     """Decode character references, each once: ``&name;`` of HTML 4 (and ``&apos;``),
     ``&#n;`` and ``&#xh;``. Anything else stays as written."""
     named = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
-    table = F.create_map(*[F.lit(x) for kv in sorted(named.items()) for x in kv])
+    table = literal_map(dict(sorted(named.items())))
 
     def decoded(piece, i):
         name = F.regexp_extract(piece, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)

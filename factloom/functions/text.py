@@ -23,6 +23,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_array(words) -> Column:
+    """A constant array of texts, as one expression: a call per word costs more than many queries."""
+    return F.expr(f"array({', '.join(map(_sql_text, words))})")
+
+
+def literal_map(pairs: dict[str, str]) -> Column:
+    """A constant map of texts, as one expression."""
+    return F.expr(f"map({', '.join(_sql_text(x) for kv in pairs.items() for x in kv)})")
+
+
 def normalize(text) -> Column:
     """Drop everything but word characters and white space, lower-case."""
     return F.lower(F.regexp_replace(_c(text), NOT_WORD_OR_SPACE, ""))
@@ -124,7 +138,7 @@ def tokens(text) -> Column:
 
 def drop_stop_words(words) -> Column:
     """Remove English stop words (compared in lower case)."""
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    stop = literal_array(STOP_WORDS)
     return F.filter(_c(words), lambda w: ~F.array_contains(stop, F.lower(w)))
 
 

@@ -135,4 +135,4 @@ def match_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dm.with_spelling(hits, docs)
 
 
-from . import q_text, q_nested, q_merge, q_pages, q_more, q_flows  # noqa: E402,F401  (register on import)
+from . import q_text, q_nested, q_merge, q_pages, q_more, q_flows, q_sources  # noqa: E402,F401  (register on import)

@@ -231,18 +231,16 @@ def order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("query_grid", """
-WITH t AS (SELECT DISTINCT regexp_extract(text, '^[\\p{L}\\p{N}_]+') AS term FROM documents
-           WHERE regexp_extract(text, '^[\\p{L}\\p{N}_]+') <> ''),
+WITH t AS (SELECT DISTINCT p_name AS term FROM part),
 q AS (SELECT unnest(['Iraq NEAR ' || term, term || ' NEAR Iraq', 'Iraq AND ' || term, term || ' AND Iraq']) AS query FROM t
       UNION ALL SELECT r_name FROM region)
 SELECT query, strftime(DATE '2024-01-01' + CAST(2 * i AS INTEGER), '%Y-%m-%d') AS win_start,
        strftime(DATE '2024-01-01' + CAST(2 * i + 2 AS INTEGER), '%Y-%m-%d') AS win_end
 FROM q, (SELECT unnest(range(4)) AS i)""")
 def query_grid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct terms (the first word of each document) x 4 templates, plus region
-    names as fixed queries, x 2-day windows."""
-    first = F.regexp_extract("text", r"^[\p{L}\p{N}_]+", 0)
-    terms = table(spark, sf_dir, "documents").select(first.alias("term")).filter(F.col("term") != "")
+    """Distinct terms (the names of all parts) x 4 templates, plus region names as
+    fixed queries, x 2-day windows."""
+    terms = table(spark, sf_dir, "part").select(F.col("p_name").alias("term"))
     fixed = table(spark, sf_dir, "region").select("r_name")
     g = query_grid(terms, F.lit("2024-01-01").cast("date"), F.lit("2024-01-07").cast("date"), 2, fixed)
     return g.select("query", F.date_format("win_start", "yyyy-MM-dd").alias("win_start"),
@@ -472,7 +470,7 @@ def evidence_checks_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ news load composite
 _NEWS_INPUT_SQL = """
 SELECT d.doc_id, d.lang || ' NEAR ' || d.source AS query, strftime(DATE '2024-01-01' + CAST(2 * (d.doc_id // 400) AS INTEGER), '%Y-%m-%d') AS win_start,
-       p.url, regexp_extract(d.text, '^[\\p{L}\\p{N}_]*') AS title, d.text AS feed_text,
+       p.url, split_part(d.text, '.', 1) AS title, d.text AS feed_text,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((d.doc_id * 7) % 1000 AS BIGINT)), '%Y%m%dT%H%M%SZ') AS seendate,
        p.html
 FROM documents d JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages)"""
@@ -498,7 +496,7 @@ FROM ft WHERE tk = 1"""
 def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News load (S1, O3, A4, D1, H7, P15, U2): one stored response per document, a query per
     language and source and windows of two days, newest 250 per (query, window), one article per title,
-    page text as content."""
+    page text as content; a title is the text up to its first full stop."""
     from .composites import news_articles
     d = table(spark, sf_dir, "documents")
     p = table(spark, sf_dir, "pages")
@@ -506,7 +504,7 @@ def news_articles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = d.withColumn("page_id", F.col("doc_id") % F.lit(npages)).join(p.select("page_id", "url"), "page_id")
     seendate = F.date_format(F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, "
                                     "CAST((doc_id * 7) % 1000 AS INT), 0)"), "yyyyMMdd'T'HHmmss'Z'")
-    item = F.struct(F.col("url"), F.regexp_extract("text", r"^[\p{L}\p{N}_]*", 0).alias("title"),
+    item = F.struct(F.col("url"), F.split_part(F.col("text"), F.lit("."), F.lit(1)).alias("title"),
                     seendate.alias("seendate"), F.col("text").alias("content"))
     window = F.expr("date_add(DATE '2024-01-01', CAST(2 * (doc_id div 400) AS INT))")
     responses = j.select(F.concat(F.col("lang"), F.lit(" NEAR "), F.col("source")).alias("query"),

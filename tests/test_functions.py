@@ -38,7 +38,7 @@ def test_amount_to_usd(spark, value, want):
     assert one(spark, M.amount_to_usd, value) == want
 
 
-@pytest.mark.parametrize("value,want", [
+AMOUNTS = [
     ("5% of 2 million dollars", 100000.0),
     ("two billion Iraqi dinars", 2e9 * 0.00077),
     ("1,500,000 GBP", 1.5e6 * 1.25),
@@ -51,10 +51,13 @@ def test_amount_to_usd(spark, value, want):
     ("GBP 5 then 6 ID", 6.25),
     ("v2.5 x3 in 2024 for 10 dinars", 2024 * 0.00077),
     ("٥ million USD", 5e6),
-])
-def test_usd_from_text(spark, value, want):
-    got = one(spark, M.usd_from_text, value)
-    assert (got is None and want is None) or got == pytest.approx(want)
+]
+
+
+def test_usd_from_text(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(AMOUNTS)], "i int, t string")
+    got = {x.i: x.u for x in df.select("i", M.usd_from_text(F.col("t")).alias("u")).collect()}
+    assert [got[i] for i in range(len(AMOUNTS))] == [want if want is None else pytest.approx(want) for _, want in AMOUNTS]
 
 
 def test_money_spans_have_positions(spark):
@@ -238,7 +241,7 @@ def test_nearest_currency_among_many(spark):
     assert [r.u for r in got] == [pytest.approx(u) for _, u in rows]
 
 
-@pytest.mark.parametrize("response,want", [
+LITERALS = [
     ("[{'Location of project': 'a } b', 'Additional': 'x'}]", [("a } b", "x")]),
     ("Here's it: {'Location of project': 'a {', 'Additional': \"it's } {\"} and {'Location of project': 'It's'}, {'Location of project': 'c'}",
      [("a {", "it's } {"), ("c", None)]),
@@ -250,8 +253,11 @@ def test_nearest_currency_among_many(spark):
     ("{{'Location of project': 'A'}", [("A", None)]),
     ("{'Location of project': 'caf\\xe9 None', 'Additional': True,}", [("café None", "true")]),
     ("{'Location of project': '" + "z" * 50_000 + "', 'Additional': 'a\\\\'}", [("z" * 50_000, "a\\")]),
-])
-def test_literal_values(spark, response, want):
+]
+
+
+def test_literal_values(spark):
     from factloom.functions.extract import parsed_dicts
-    got = one(spark, parsed_dicts, response)
-    assert [(p["location"], p["additional"]) for p in got] == want
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(LITERALS)], "i int, r string")
+    got = {x.i: [(p["location"], p["additional"]) for p in x.p] for x in df.select("i", parsed_dicts(F.col("r")).alias("p")).collect()}
+    assert [got[i] for i in range(len(LITERALS))] == [want for _, want in LITERALS]

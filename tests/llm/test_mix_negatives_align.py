@@ -40,9 +40,14 @@ def _targets(sizes):
         left -= above
 
 
-def test_mix_targets_totals_and_bounds(spark):
+@pytest.fixture(scope="module")
+def mix(spark):
     docs = _mix_docs(spark)
-    got = MX.op11_rows(docs).collect()
+    return docs, MX.op11_rows(docs).collect()
+
+
+def test_mix_targets_totals_and_bounds(mix):
+    docs, got = mix
     by_id = {r.doc_id: r for r in got}
     source = {r.doc_id: r.source for r in docs.collect()}
     sizes, taken = Counter(), Counter()
@@ -57,19 +62,12 @@ def test_mix_targets_totals_and_bounds(spark):
         assert abs(taken[s] - w) <= max(0.01 * w, 20), s
 
 
-def test_mix_is_the_same_however_rows_are_dealt(spark):
-    docs = _mix_docs(spark)
-    one = {r.doc_id: r.taken for r in MX.op11_rows(docs).collect()}
-    two = {r.doc_id: r.taken for r in MX.op11_rows(docs.repartition(7).orderBy(F.desc("doc_id"))).collect()}
-    assert one == two
-
-
-def test_mix_cut_found_in_narrow_ranges_is_that_of_a_sort(spark, monkeypatch):
-    docs = _mix_docs(spark, 400, 5)
-    whole = {r.doc_id: r.taken for r in MX.op11_rows(docs).collect()}
+def test_mix_is_the_same_however_rows_are_dealt_and_ranges_narrowed(mix, monkeypatch):
+    docs, got = mix
     monkeypatch.setattr(MX, "RANGES", 2)
     monkeypatch.setattr(MX, "LISTED", 3)
-    assert {r.doc_id: r.taken for r in MX.op11_rows(docs).collect()} == whole
+    again = MX.op11_rows(docs.repartition(7).orderBy(F.desc("doc_id"))).collect()
+    assert {r.doc_id: r.taken for r in again} == {r.doc_id: r.taken for r in got}
 
 
 def test_longer_documents_are_likelier_and_never_above_the_bound(spark):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .constants import PROJECT_FIELDS
-from .text import WS, bind, split_at
+from .text import WS, bind, literal_array, split_at
 
 PROJECT_STRUCT = T.StructType([T.StructField(name, T.StringType()) for name, _ in PROJECT_FIELDS])
 
@@ -233,22 +233,19 @@ def parsed_dicts(response) -> Column:
 
     A dict inside another one that has none of the project fields is no project.
     """
-    names = F.array(*[F.lit(a) for _, alts in PROJECT_FIELDS for a in alts])
-    parse = (lambda blocks: F.transform(blocks, parse_literal_dict))
+    names = literal_array([a for _, alts in PROJECT_FIELDS for a in alts])
 
-    def nested(r):
-        maps = F.transform(literal_blocks(r), lambda b: F.struct(parse_literal_dict(b["block"]).alias("m"), b["inner"].alias("inner")))
-        kept = F.filter(maps, lambda x: x["m"].isNotNull() & (~x["inner"] | F.arrays_overlap(F.map_keys(x["m"]), names)))
-        return F.transform(kept, lambda x: x["m"])
-
-    def read(r):
+    def blocks(r):
         flat = F.regexp_extract_all(r, F.lit(r"\{[^{}]*+\}"), 0)
         braces = F.length(r) - F.length(F.translate(r, "{}", ""))
-        # flat blocks account for every brace and all of them parse: nothing nests, nothing is quoted
-        return bind(flat, lambda blocks: F.when(braces == 2 * F.size(blocks), bind(parse(blocks), lambda maps: F.when(
-            F.exists(maps, lambda m: m.isNull()), nested(r)).otherwise(maps))).otherwise(nested(r)))
-
-    return F.transform(bind(_c(response), read), map_to_project)
+        # literals that account for every brace: nothing nests, nothing is quoted
+        return bind(flat, lambda found: F.when(
+            (braces == 2 * F.size(found)) & F.forall(found, lambda b: b.rlike(rf"\A{_dict_pattern(1)}\z")),
+            F.transform(found, lambda b: F.struct(b.alias("block"), F.lit(False).alias("inner")))).otherwise(literal_blocks(r)))
+
+    maps = F.transform(bind(_c(response), blocks), lambda b: F.struct(parse_literal_dict(b["block"]).alias("m"), b["inner"].alias("inner")))
+    kept = F.filter(maps, lambda x: x["m"].isNotNull() & (~x["inner"] | F.arrays_overlap(F.map_keys(x["m"]), names)))
+    return F.transform(kept, lambda x: map_to_project(x["m"]))
 
 
 def with_fallback(response, projects) -> Column:

@@ -27,9 +27,11 @@ def _c(c) -> Column:
 
 def _code_point(number: Column) -> Column:
     """The character with a code point, U+FFFD for numbers that are none."""
-    bad = number.isNull() | (number <= 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-    n = F.when(bad, F.lit(0xFFFD)).otherwise(number).cast("int")
-    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    def char(n):
+        bad = n.isNull() | (n <= 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(n).cast("int")), 8, "0")), "UTF-32")
+
+    return bind(number, char)
 
 
 def unescape(text) -> Column:
@@ -42,13 +44,14 @@ def unescape(text) -> Column:
         name = F.regexp_extract(piece, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)
         return F.when(i == 0, piece).otherwise(bind(name, lambda n: spelled(piece, n)))
 
-    def spelled(piece, name):
+    def number(name):
         # leading zeros say nothing; more digits than a code point has are no code point
-        digits = F.regexp_replace(name, "^#[xX]?0*", "")
-        hexed = F.when(F.length(digits) <= 6, F.conv(F.concat(F.lit("0"), digits), 16, 10).try_cast("bigint"))
-        char = (F.when(name.rlike("^#[xX]"), _code_point(hexed))
-                .when(name.startswith("#"), _code_point(F.when(F.length(digits) <= 7, F.concat(F.lit("0"), digits).try_cast("bigint"))))
-                .when(name != "", F.try_element_at(table, name)))
+        return bind(F.regexp_replace(name, "^#[xX]?0*", ""), lambda digits: F.when(
+            name.rlike("^#[xX]"), F.when(F.length(digits) <= 6, F.conv(F.concat(F.lit("0"), digits), 16, 10).try_cast("bigint"))).otherwise(
+            F.when(F.length(digits) <= 7, F.concat(F.lit("0"), digits).try_cast("bigint"))))
+
+    def spelled(piece, name):
+        char = F.when(name.startswith("#"), _code_point(number(name))).when(name != "", F.try_element_at(table, name))
         rest = F.substring(piece, F.length(name) + 2, 1 << 30)
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
 

@@ -243,6 +243,11 @@ class Trees:
     def __init__(self, words, word_tree, byte_tree, counts):
         self.words, self.word_tree, self.byte_tree, self.counts = words, word_tree, byte_tree, counts
 
+    def sent(self, spark: SparkSession):
+        """A broadcast of lists and arrays only: an instance would be looked up by its class's name in a
+        worker, which need not have this package."""
+        return spark.sparkContext.broadcast((self.words, self.word_tree, self.byte_tree, self.counts))
+
 
 def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
     top = (counts.where((F.col("n") >= 2) & (F.col("token") != F.lit(b""))).orderBy(F.desc("n"), "token").limit(VOCABULARY).toArrow())
@@ -256,12 +261,12 @@ def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
 _coders: dict = {}
 
 
-def _coder(trees_broadcast) -> tuple[Trees, Coder]:
-    """One coder per Python worker and model."""
+def _coder(trees_broadcast) -> tuple[np.ndarray, Coder]:
+    """The counts of the coded words and one coder per task and model."""
     trees = trees_broadcast.value
     if _coders.get("trees") is not trees:
-        _coders["trees"], _coders["coder"] = trees, Coder(trees.words, trees.word_tree, trees.byte_tree)
-    return trees, _coders["coder"]
+        _coders["trees"], _coders["coder"] = trees, Coder(*trees[:3])
+    return trees[3], _coders["coder"]
 
 
 _PART = 1 << 16
@@ -384,7 +389,7 @@ def learn_start(train: DataFrame) -> dict[str, np.ndarray]:
     counts = count_tokens(known)
     size = totals(counts)
     learned = learn_trees(counts, int(size["n"]), int(size["ends"]))
-    trees = spark.sparkContext.broadcast(learned)
+    trees = learned.sent(spark)
     tables = spark.sparkContext.broadcast(learn_tables(known, trees, len(learned.words)))
 
     def run(batches):
@@ -563,16 +568,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_train, denominator = int(size["n"]), float(size["n"] + 0.5 * (size["v"] + 1))
     learned = learn_trees(counts, n_train, int(size["ends"]))
     listed = n_train - int(size["ends"]) - int(learned.counts.sum())
-    trees = spark.sparkContext.broadcast(learned)
+    trees = learned.sent(spark)
     n_words = len(learned.words)
     start = learn_start(train)
     tables = spark.sparkContext.broadcast((*learn_tables(train, trees, n_words), start))
     end_log, end_known = float(np.log10((size["ends"] + 0.5) / denominator)), int(size["ends"] > 0)
 
     def run(batches):
-        trees_here, coder = _coder(trees)
+        word_counts, coder = _coder(trees)
         mixer = Mixer(coder, *tables.value)
-        logs = np.log10((trees_here.counts + 0.5) / denominator)
+        logs = np.log10((word_counts + 0.5) / denominator)
         logs = np.concatenate([logs, [end_log, 0.0]])
         for b in batches:
             for at in range(0, b.num_rows, 1000):

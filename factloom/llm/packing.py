@@ -4,12 +4,13 @@ Documents are tokenised and cut into pieces of at most ``capacity`` tokens. The
 partitions; each partition is packed best-fit decreasing and compared with a lower bound on its number of
 sequences from dual feasible functions. A partition whose count equals its bound is certified optimal and
 done. The others keep their full enough sequences, give up the documents of the loose ones, meet other
-open partitions, and are packed again, until everything is certified or a single group is left.
+open partitions, and are packed again, until everything is certified or a single group is left. That one has
+no partition to meet: its loose sequences are rerun among themselves, with more and more of the others,
+until its count is certified or a rerun of all of them gains nothing (``certified`` is false then).
 """
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -28,7 +29,11 @@ END_ID = 1
 # Pieces that one partition packs at a time, and open partitions that meet in a round.
 PIECES_PER_PARTITION = 100_000
 FAN_IN = 8
-# Words whose ids a worker remembers, before the memory turns over.
+# Orders in which the open sequences of the last group are packed again before more of them join.
+TRIES = 6
+# Items up to which the open sequences are searched exactly as well.
+EXACT_ITEMS = 12
+# Words whose ids a task remembers, before the memory turns over.
 CACHE_WORDS = 300_000
 
 # Texts of these characters only can be cut at white space before tokenising: lower case, white space and
@@ -97,10 +102,6 @@ class TokenIds:
             marks = dict(zip(".,", self._encode([".", ","])))
             known.update((w, known[w[:-1]] + marks[w[-1]]) for w in joined)
 
-    def rest(self) -> None:
-        """Called between tasks: the worker may serve another operator next."""
-        self._before = {}
-
     def batch(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > CACHE_WORDS:
             self._before, self._known = self._known, {}
@@ -117,12 +118,6 @@ class TokenIds:
         return out
 
 
-@functools.cache
-def encoder(path: str) -> TokenIds:
-    """One per Python worker, so that what it remembers serves all tasks of the worker."""
-    return TokenIds(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(doc_id, key, piece, start, length, ids_crc32): token pieces of every row.
@@ -133,8 +128,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     end = np.asarray([END_ID], dtype="<u4").tobytes()
 
     def cut(batches):
-        remembered = encoder(tokenizer_path)
-        ids_of = remembered.batch
+        # of the task alone: a worker that serves other operators later keeps nothing
+        ids_of = TokenIds(tokenizer_path).batch
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
@@ -150,7 +145,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
                      pa.array(p, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                      pa.array(crc, pa.int64())],
                     names=["doc_id", "key", "piece", "start", "length", "ids_crc32"])
-        remembered.rest()
 
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), row_key(docs, id_col, text_col).alias("key"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
@@ -209,6 +203,112 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
     return bins, offsets
 
 
+def fullest_fit(lengths: np.ndarray, capacity: int, rng: np.random.Generator | None = None) -> np.ndarray:
+    """Bin of each item. Each bin takes the longest item left and, of the others, those that fill it best
+    (sums that can be reached are bits of one number); of equal fills the one of longer items, or with
+    ``rng`` one of any lengths."""
+    bins = np.empty(len(lengths), dtype=np.int64)
+    left: dict[int, list[int]] = {}
+    for i in np.argsort(-lengths, kind="stable")[::-1].tolist():
+        left.setdefault(int(lengths[i]), []).append(i)
+    sizes = sorted(left, reverse=True)
+    n_bins = 0
+    while sizes:
+        first = sizes[0]
+        bins[left[first].pop()] = n_bins
+        room = capacity - first
+        mask, reach, steps = (1 << (room + 1)) - 1, 1, []
+        tried = [x for x in sizes if x <= room and left[x]]
+        if rng is not None:
+            tried = [tried[i] for i in rng.permutation(len(tried))]
+        for size in tried:
+            copies, chunk = min(len(left[size]), room // size), 1
+            while copies:
+                chunk = min(chunk, copies)
+                steps.append((size, chunk, reach))
+                reach |= (reach << (size * chunk)) & mask
+                copies -= chunk
+                chunk *= 2
+            if reach >> room:
+                break
+        target = reach.bit_length() - 1
+        for size, chunk, before in reversed(steps):
+            if not before >> target & 1:
+                target -= size * chunk
+                for _ in range(chunk):
+                    bins[left[size].pop()] = n_bins
+        n_bins += 1
+        sizes = [x for x in sizes if left[x]]
+    return bins
+
+
+def exact_fit(lengths: np.ndarray, capacity: int, n_bins: int) -> np.ndarray | None:
+    """Bin of each item in ``n_bins`` bins, or None if there is no such packing; for a few items."""
+    order = np.argsort(-lengths, kind="stable").tolist()
+    free, bins = [capacity] * n_bins, np.empty(len(lengths), dtype=np.int64)
+
+    def place(at: int) -> bool:
+        if at == len(order):
+            return True
+        size, tried = int(lengths[order[at]]), set()
+        for b in range(n_bins):
+            if free[b] >= size and free[b] not in tried:
+                tried.add(free[b])
+                free[b] -= size
+                bins[order[at]] = b
+                if place(at + 1):
+                    return True
+                free[b] += size
+        return False
+
+    return bins if place(0) else None
+
+
+def offsets_of(lengths: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """Gapless places of items in their bins."""
+    order = np.argsort(bins, kind="stable")
+    ends = np.cumsum(lengths[order])
+    starts = ends - lengths[order]
+    first = np.searchsorted(bins[order], bins[order])
+    out = np.empty(len(lengths), dtype=np.int64)
+    out[order] = starts - starts[first]
+    return out
+
+
+def rerun(lengths: np.ndarray, bins: np.ndarray, capacity: int, bound: int) -> np.ndarray:
+    """Bins of a packing that needs more than ``bound``, with fewer of them where that is found.
+
+    The emptiest bins, enough of them to hold the space to be saved, give up their items, which are packed
+    again in ``TRIES`` orders, and by exact search if they are few; without a gain more bins join them, at
+    last all. It ends when the count is certified or a rerun of all bins gains nothing.
+    """
+    rng = np.random.default_rng(7)
+    bins = bins.copy()
+    n_bins = int(bins.max()) + 1
+    widened = 0
+    while n_bins > bound:
+        fill = np.bincount(bins, weights=lengths, minlength=n_bins)
+        emptiest = np.argsort(fill, kind="stable")
+        space = np.cumsum(capacity - fill[emptiest])
+        n_open = min(n_bins, (int(np.searchsorted(space, capacity)) + 3) << (2 * widened))
+        items = np.flatnonzero(np.isin(bins, emptiest[:n_open]))
+        for attempt in range(TRIES + 1):
+            if attempt < TRIES:
+                again = fullest_fit(lengths[items], capacity, rng if attempt else None)
+            else:
+                again = exact_fit(lengths[items], capacity, n_open - 1) if len(items) <= EXACT_ITEMS else None
+            if again is not None and again.max() + 1 < n_open:
+                bins[items] = n_bins + again
+                bins = np.unique(bins, return_inverse=True)[1]
+                n_bins, widened = int(bins.max()) + 1, 0
+                break
+        else:
+            if n_open == n_bins:
+                break
+            widened += 1
+    return bins
+
+
 def _pack_groups(capacity: int, last: bool):
     """Packs each group of a sorted partition; marks the pieces of loose sequences of open groups."""
     def run(batches):
@@ -222,7 +322,11 @@ def _pack_groups(capacity: int, last: bool):
             bins, offsets = best_fit_decreasing(lengths, capacity)
             n_bins, bound = int(bins.max()) + 1, lower_bound(lengths, capacity)
             loose = np.zeros(len(bins), dtype=bool)
-            if n_bins > bound and not last:
+            if n_bins > bound and last:
+                # no other group to meet
+                bins = rerun(lengths, bins, capacity, bound)
+                n_bins, offsets = int(bins.max()) + 1, offsets_of(lengths, bins)
+            elif n_bins > bound:
                 # give up the emptiest sequences: enough of them to hold the space that is to be saved
                 fill = np.bincount(bins, weights=lengths, minlength=n_bins)
                 emptiest = np.argsort(fill, kind="stable")
@@ -256,11 +360,12 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES
     Sequences are gapless from offset 0 and hold at most ``capacity`` tokens. A group never holds much
     more than ``per_partition`` pieces, whatever the sizes of documents: it is a count of rows, and a
     row is a few numbers. ``certified`` says that the group it was packed in needs that many sequences.
+    Sequences are numbered by round, group and bin, full ones by negative numbers.
     """
     columns = ["doc_id", "key", "piece", "start", "length", "ids_crc32"]
     out_cols = [*columns, "sequence_id", "offset", "certified"]
     full = parts.where(F.col("length") == capacity).select(
-        *columns, F.concat_ws("-", F.lit("full"), "key", "piece", F.monotonically_increasing_id()).alias("seq_name"),
+        *columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified"))
     rest = parts.where(F.col("length") < capacity)
     n = rest.count()
@@ -276,7 +381,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES
         packed = staged(open_rows.select(*columns, "copy", "grp").repartition(n_groups, "grp").sortWithinPartitions("grp")
                         .mapInArrow(_pack_groups(capacity, last), schema), "packed")
         done.append(packed.where("not loose").select(
-            *columns, F.concat_ws("-", F.lit(f"round{level}"), "grp", "bin").alias("seq_name"), "offset", "certified"))
+            *columns, (F.lit(level << 57) + F.shiftleft("grp", 32) + F.col("bin")).alias("sequence_id"), "offset", "certified"))
         if last:
             break
         loose = packed.where("loose")
@@ -289,7 +394,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES
     every = full
     for d in done:
         every = every.unionByName(d)
-    return every.withColumn("sequence_id", F.xxhash64("seq_name")).select(*out_cols)
+    return every.select(*out_cols)
 
 
 def op7_rows(docs: DataFrame, tokenizer_path: str) -> DataFrame:

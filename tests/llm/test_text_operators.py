@@ -2,9 +2,14 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -308,6 +313,71 @@ def test_packing_of_documents(docs, odd, empty):
     assert packing.op7_rows(empty, packing.default_tokenizer()).count() == 0
 
 
+def optimum(sizes, capacity):
+    """Fewest bins, by trying every placement."""
+    items, best = sorted(sizes, reverse=True), len(sizes)
+
+    def place(at, filled):
+        nonlocal best
+        if len(filled) >= best:
+            return
+        if at == len(items):
+            best = len(filled)
+            return
+        for level in sorted(set(filled)):
+            if level + items[at] <= capacity:
+                rest = list(filled)
+                rest.remove(level)
+                place(at + 1, [*rest, level + items[at]])
+        place(at + 1, [*filled, items[at]])
+
+    place(0, [])
+    return best
+
+
+def rerun_of(sizes, capacity):
+    bins, _ = packing.best_fit_decreasing(sizes, capacity)
+    bins = packing.rerun(sizes, bins, capacity, packing.lower_bound(sizes, capacity))
+    rows = [SimpleNamespace(sequence_id=b, offset=o, length=int(n))
+            for b, o, n in zip(bins.tolist(), packing.offsets_of(sizes, bins).tolist(), sizes)]
+    return check_packing(rows, capacity)
+
+
+def test_last_group_is_packed_again_until_nothing_is_gained():
+    # best-fit decreasing takes 4 sequences for both
+    assert rerun_of(np.array([5, 5, 4, 4, 3, 3, 3, 3]), 10) == 3
+    assert rerun_of(np.array([44, 24, 24, 22, 21, 17, 8, 8, 6, 6]), 61) == 3
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        capacity = int(rng.integers(10, 100))
+        sizes = rng.integers(1, capacity // 2 + 2, size=rng.integers(6, 11))
+        assert rerun_of(sizes, capacity) == optimum(sizes.tolist(), capacity)
+    sizes = rng.integers(600, 1500, size=3000)
+    first = int(packing.best_fit_decreasing(sizes, 4096)[0].max()) + 1
+    assert packing.lower_bound(sizes, 4096) <= rerun_of(sizes, 4096) < first
+
+
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", sys.argv[2]).getOrCreate())
+found = spark.range(1).mapInPandas(lambda parts: (p.assign(id=int(bool(__import__("importlib.util").util.find_spec("factloom")))) for p in parts), "id long")
+assert found.first()["id"] == 0
+from factloom.llm import lm_score, packing
+docs = spark.createDataFrame([(i, f"alpha beta gamma {i % 5} delta") for i in range(40)], "doc_id long, text string")
+print("rows", packing.op7_rows(docs, packing.default_tokenizer()).count(), lm_score.score_texts(docs).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", WITHOUT_PACKAGE, str(Path(__file__).parents[2]), str(tmp_path / "shared")],
+                         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 40 40" in got.stdout, got.stderr[-2000:]
+
+
 def test_packing_rounds_bounds_and_optimum(spark):
     rng = np.random.default_rng(3)
     sizes = rng.integers(1, 60, size=900)

@@ -166,18 +166,28 @@ def sharing_rare(sets: DataFrame, threshold: float) -> DataFrame:
     ranked = rows.join(held, "e").groupBy("tkey", "root", "size").agg(
         F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("by_texts"))
     first = F.slice("by_texts", F.lit(1), (F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).cast("int"))
-    prefix = staged(ranked.select("tkey", "root", "size", F.posexplode(first).alias("at", "x")).where("x.texts > 1")
+    firsts = staged(ranked.select("tkey", "root", "size", F.posexplode(first).alias("at", "x")).where("x.texts > 1")
                     .select("tkey", "root", "size", "at", "x.e"), "rare-shingles")
+    # a shingle of one root only gives no pair; elsewhere the root with most texts is never met with itself
+    most_texts = (firsts.groupBy("e", "root").agg(F.count(F.lit(1)).alias("n"))
+                  .groupBy("e").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+                  .where("roots > 1").select("e", "main"))
+    prefix = staged(firsts.join(most_texts, "e").withColumn("is_main", F.col("root") == F.col("main")).drop("main"), "rare-apart")
     # of two sets that are similar enough, the smaller one shares one of its first n - ceil(2t / (1 + t) n) + 1
     short = F.col("size") - F.ceil(F.col("size") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
-    x, y = prefix.where(F.col("at") < short).alias("x"), prefix.alias("y")
-    smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.tkey") < F.col("y.tkey")))
+    near = prefix.where(F.col("at") < short)
+    x, y = F.col("x.size"), F.col("y.size")
+    smaller = (x < y) | ((x == y) & (F.col("x.tkey") < F.col("y.tkey")))
     # at the first shingle that two sets share, all others they share come later in both
-    most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
-    like = ((F.col("x.e") == F.col("y.e")) & smaller & (F.col("x.root") != F.col("y.root"))
-            & (F.col("x.size") >= threshold * F.col("y.size") - 1e-9)
-            & (most >= threshold / (1 + threshold) * (F.col("x.size") + F.col("y.size")) - 1e-9))
-    return x.join(y, like).select(F.least("x.tkey", "y.tkey").alias("a"), F.greatest("x.tkey", "y.tkey").alias("b"))
+    most = F.least(x - F.col("x.at"), y - F.col("y.at"))
+    like = ((F.col("x.e") == F.col("y.e")) & smaller & (F.col("x.root") != F.col("y.root")) & (x >= threshold * y - 1e-9)
+            & (most >= threshold / (1 + threshold) * (x + y) - 1e-9))
+
+    def met(left, right):
+        return left.alias("x").join(right.alias("y"), like).select(
+            F.least("x.tkey", "y.tkey").alias("a"), F.greatest("x.tkey", "y.tkey").alias("b"))
+
+    return met(near.where("not is_main"), prefix).unionByName(met(near.where("is_main"), prefix.where("not is_main")))
 
 
 def near_dup_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -266,7 +276,11 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays, with all its columns."""
-    stays = only(docs, near_dup_classes(docs).where("kept"), kept=True)
-    # rows that repeat id and text were kept together; one of them stays
+    rows = staged(near_dup_classes(docs), "near-dup-classes")
+    stays = only(docs, rows.where("not kept"), kept=False)
+    # rows that repeat id and text were kept together; one of them stays, and only they are shuffled
+    repeated = rows.where("kept").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     name = fresh(docs, "_key")
-    return stays.withColumn(name, row_key(stays)).dropDuplicates([name]).select(*docs.columns)
+    again = only(stays, repeated, kept=True)
+    once = again.withColumn(name, row_key(again)).dropDuplicates([name]).select(*docs.columns)
+    return only(stays, repeated, kept=False).unionByName(once)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factloom.operators.joins import checked_broadcast
 from factloom.session import checkpoint_dir
 
 QUERIES: dict = {}
@@ -27,15 +29,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Rows of one Arrow batch: rows are whole texts, and the default of 10,000 can be hundreds of MB of them.
-ARROW_ROWS = "1000"
+# Rows and bytes of one Arrow batch: rows are whole texts, of which the default of 10,000 rows and 64 MB is held
+# in several copies at once by the JVM and the worker.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": (10_000, 1_000),
+               "spark.sql.execution.arrow.maxBytesPerBatch": (64 << 20, 8 << 20)}
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches small, unless the session names a size of its own."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name, "10000") == "10000":
-        spark.conf.set(name, ARROW_ROWS)
+@contextmanager
+def bounded_batches(spark: SparkSession):
+    """Holds Arrow batches small inside the block; sizes that the session names itself stay."""
+    def size(x):
+        return int(str(x).removesuffix("b"))
+
+    changed = {}
+    for name, (default, small) in ARROW_BATCH.items():
+        before = spark.conf.get(name, str(default))
+        if size(before) == default:
+            changed[name] = before
+            spark.conf.set(name, str(small))
+    try:
+        yield
+    finally:
+        for name, before in changed.items():
+            spark.conf.set(name, before)
 
 
 def staged(df: DataFrame, what: str) -> DataFrame:
@@ -44,9 +60,9 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     Compressed and columnar, so a stage that is read several times costs little disk and later reads
     fetch only their columns; an executor lost afterwards takes nothing with it.
     """
-    bounded_batches(df.sparkSession)
     path = f"{checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with bounded_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,8 +91,11 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def only(docs: DataFrame, keys: DataFrame, kept: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, whose row key is in ``keys`` (column key), or is not."""
+    """The rows of ``docs``, with all columns, whose row key is in ``keys`` (column key), or is not.
+
+    The keys are broadcast if they are proven small, so that texts stay in place; else both sides are shuffled.
+    """
     name = fresh(docs, "_key")
     keyed = docs.withColumn(name, row_key(docs, id_col, text_col))
-    wanted = keys.select(F.col("key").alias(name)).distinct()
+    wanted = checked_broadcast(staged(keys.select(F.col("key").alias(name)).distinct(), "keys"))
     return keyed.join(wanted, name, "left_semi" if kept else "left_anti").select(*docs.columns)

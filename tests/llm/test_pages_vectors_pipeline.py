@@ -64,6 +64,20 @@ def test_copies_of_an_article_are_no_template(spark):
     assert {r.page_id: r.text for r in out} == {i: f"Another story, number {i}" if i in (118, 119) else copied for i, _, _ in own}
 
 
+def test_article_text_is_kept_whole(spark):
+    article = "".join(f"<p>Paragraph {i} of the one article of this host.</p>" for i in range(6))
+    rows = [(i, f"http://same.example/{i}", f"<html><body><nav>Home</nav><article>{article}<p>viewed {i} times</p></article></body></html>")
+            for i in range(12)]
+    got = html_main.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    whole = [f"Paragraph {i} of the one article of this host." for i in range(6)]
+    assert {r.page_id: r.text.split("\n") for r in got} == {i: [*whole, f"viewed {i} times"] for i in range(12)}
+    named = ('<article><div class="related-work">One.</div><p class="notice-of-award">Two.</p><section class="comments-on-theory">Three.'
+             '</section><div class="related-posts">x</div><div class="comment-list">y</div><p class="advert">z</p></article>')
+    assert html_main.main_text(named) == "One.\nTwo.\nThree."
+    teaser = f'<body><article>Read this too.</article><div id="story">{article}</div></body>'
+    assert html_main.main_text(teaser).split("\n") == whole
+
+
 def test_pages_odd_rows(spark):
     schema = "page_id long, url string, html string, host string, token string, text string"
     rows = [(1, None, None, "h", "t", "x"), (None, "u", "<p>a", None, None, None), (2, "http://x/", "", "h", "t", "x"),
@@ -164,7 +178,7 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, empty, odd_dir):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dups", "decontamination", "packing"]
 
 

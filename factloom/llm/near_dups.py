@@ -19,6 +19,8 @@ pairs.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -154,12 +156,23 @@ def _similarities(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sim, pa.float64())], names=["a", "b", "sim"])
 
 
+def parity_bits(elements: str) -> F.Column:
+    """512 bits as 8 longs: each element flips one. Sets differ in at least as many elements as bits."""
+    def word(w):
+        mine = F.filter(elements, lambda e: F.shiftright(e, 6).bitwiseAND(F.lit(7)) == w)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda a, e: a.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return F.array(*[word(w) for w in range(8)])
+
+
 def sharing_rare(sets: DataFrame, threshold: float) -> DataFrame:
     """(a, b): pairs of texts of different roots that can be similar enough. ``sets`` has (tkey, root, elements).
 
     Of n elements, two sets of similarity t share at least one of their n - ceil(t n) + 1 rarest, by one order
-    of all elements (how many texts hold them), their sizes differ by no more than t, and enough elements come
-    after the first one they share. No such pair is lost.
+    of all elements (how many texts hold them), their sizes differ by no more than t, enough elements come
+    after the first one they share, and their parity bits differ in no more places than they may differ in
+    elements. No such pair is lost.
     """
     rows = sets.select("tkey", "root", F.size("elements").alias("size"), F.explode("elements").alias("e"))
     held = rows.groupBy("e").agg(F.count(F.lit(1)).alias("texts"))
@@ -172,7 +185,9 @@ def sharing_rare(sets: DataFrame, threshold: float) -> DataFrame:
     most_texts = (firsts.groupBy("e", "root").agg(F.count(F.lit(1)).alias("n"))
                   .groupBy("e").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
                   .where("roots > 1").select("e", "main"))
-    prefix = staged(firsts.join(most_texts, "e").withColumn("is_main", F.col("root") == F.col("main")).drop("main"), "rare-apart")
+    bits = checked_broadcast(staged(sets.select("tkey", parity_bits("elements").alias("bits")), "parity-bits"))
+    prefix = staged(firsts.join(most_texts, "e").withColumn("is_main", F.col("root") == F.col("main")).drop("main")
+                    .join(bits, "tkey"), "rare-apart")
     # of two sets that are similar enough, the smaller one shares one of its first n - ceil(2t / (1 + t) n) + 1
     short = F.col("size") - F.ceil(F.col("size") * (2 * threshold / (1 + threshold)) - 1e-9) + 1
     near = prefix.where(F.col("at") < short)
@@ -180,8 +195,10 @@ def sharing_rare(sets: DataFrame, threshold: float) -> DataFrame:
     smaller = (x < y) | ((x == y) & (F.col("x.tkey") < F.col("y.tkey")))
     # at the first shingle that two sets share, all others they share come later in both
     most = F.least(x - F.col("x.at"), y - F.col("y.at"))
+    apart = reduce(add, [F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(8)])
     like = ((F.col("x.e") == F.col("y.e")) & smaller & (F.col("x.root") != F.col("y.root")) & (x >= threshold * y - 1e-9)
-            & (most >= threshold / (1 + threshold) * (x + y) - 1e-9))
+            & (most >= threshold / (1 + threshold) * (x + y) - 1e-9)
+            & (apart <= (1 - threshold) / (1 + threshold) * (x + y) + 1e-9))
 
     def met(left, right):
         return left.alias("x").join(right.alias("y"), like).select(

@@ -125,6 +125,21 @@ def test_near_dups_of_texts_that_share_a_passage(make):
     assert {d: c for d, (c,) in got.items()} == dict(enumerate(low)) and 1 < len(set(low)) < 150
 
 
+def test_rare_shingles_find_all_similar_pairs_of_different_roots(spark):
+    rng = random.Random(5)
+    rows, n_rows = [], 120
+    for i in range(n_rows):
+        core = [(i % 3) * 10_000 + j for j in range(60)]
+        mine = set(core[:rng.randint(50, 60)]) | {50_000 + rng.randrange(40) for _ in range(rng.randint(0, 8))}
+        rows.append((i, i % 5, sorted((x * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) - (1 << 63) for x in mine)))
+    sets = spark.createDataFrame(rows, "tkey long, root long, elements array<long>")
+    found = [(r.a, r.b) for r in near_dups.sharing_rare(sets, 0.8).distinct().collect()]
+    assert all(rows[a][1] != rows[b][1] for a, b in found)
+    like = {(a, b) for a in range(n_rows) for b in range(a + 1, n_rows) if rows[a][1] != rows[b][1]
+            and near_dups.jaccard(np.array(rows[a][2]), np.array(rows[b][2])) >= 0.8}
+    assert like and like <= set(found) and len(found) < n_rows * n_rows // 4
+
+
 def test_near_dups_odd_rows(spark, odd, empty):
     out = near_dups.near_dup_classes(odd)
     assert out.count() == odd.count() and near_dups.near_dup_classes(empty).count() == 0

@@ -277,7 +277,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     counts = pair_counts(aligned, size_b)
     links = aligned.select("row", F.explode("pairs").alias("x")).select(
         "row", F.shiftright("x", 32).alias("pair"), F.col("x").bitwiseAND((1 << 32) - 1).alias("times"))
-    sums = links.join(checked_broadcast(counts), "pair").groupBy("row").agg(
+    # pair counts are bounded by the vocabularies: beyond the usual bound still cheaper than every link shuffled
+    sums = links.join(checked_broadcast(counts, max_bytes=256 << 20), "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     zero = F.lit(0).cast("long")
     return aligned.join(sums, "row", "left").select(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import (CONTEXT_WORD, GATE_LABELS, GAZETTEER_NAME_COLUMNS,
                                    PROXIMITY_CHARS, SPECIAL_TERMS, WORD_RE)
 from ..functions.text import bind, lower_in_place, running_total, split_at, tokens
-from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, exploded, row_bytes
+from .joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, checked_broadcast, exploded, is_small, row_bytes
 
 DICT_COLUMNS = ["dict", "key", "term", "term_norm", "n_tokens", "first_token", "entry"]
 
@@ -334,9 +334,8 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     sp = terms.filter((F.col("dict") == dict_name) & F.col("term").isin(list(special_terms)))
     first = sp.select("doc_id", "term", F.col("first").alias("s"))
     text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    first_b = checked_broadcast(first)
-    small = first_b is not first          # the drop list below is a subset: same decision
-    j = text.join(first_b, "doc_id")
+    small = is_small(first)               # the drop list below is a subset: same decision
+    j = text.join(F.broadcast(first) if small else first.hint("merge"), "doc_id")
     if "from_char" not in terms.schema["first"].dataType.names:
         j = j.withColumn("s", _char_span(F.col("_text"), F.col("s.start"), F.col("s.end"))).withColumn(
             "s", F.struct(F.col("s.at").alias("from_char"), F.col("s.to").alias("to_char")))
@@ -346,7 +345,7 @@ def suppress_ambiguous(terms: DataFrame, docs: DataFrame, id_col: str = "doc_id"
     around = F.lower(F.substring("_text", lo + 1, hi - lo))
     needle = F.lit(context) if compat else F.lit(context.lower())
     drop = j.filter(~F.contains(around, needle)).select("doc_id", "term", F.lit(dict_name).alias("dict"))
-    return terms.join(F.broadcast(drop) if small else drop, ["doc_id", "dict", "term"], "left_anti")
+    return terms.join(F.broadcast(drop) if small else drop.hint("merge"), ["doc_id", "dict", "term"], "left_anti")
 
 
 def summarize(terms: DataFrame, place_dict: str = "place", topic_dict: str = "topic",

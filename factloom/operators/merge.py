@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import DEDUPE_KEY, MASTER_COLUMNS
-from .joins import checked_broadcast
+from .joins import checked_broadcast, is_small
 
 
 def key_hash(cols) -> F.Column:
@@ -92,9 +92,7 @@ def merge_master(new: DataFrame, master: DataFrame, key_cols=DEDUPE_KEY,
     keys_b = None
     if split_untouched:
         keys = n.select("_h").distinct()
-        keys_b = checked_broadcast(keys)
-        if keys_b is keys:
-            keys_b = None
+        keys_b = F.broadcast(keys) if is_small(keys) else None
     if keys_b is None:          # one shuffle of everything
         return keep_first(n.unionByName(m), key_cols, order, hashed_key="_h").select(*out)
     touched = m.join(keys_b, "_h", "left_semi")

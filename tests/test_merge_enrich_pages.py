@@ -142,6 +142,15 @@ def test_checked_broadcast_switches_on_rows_and_bytes(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_checked_broadcast_beyond_its_bounds_is_not_broadcast_by_an_estimate(spark):
+    from factloom.operators.joins import checked_broadcast
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.lit("x" * 100))
+    joined = facts.join(checked_broadcast(dim, max_rows=5), "k")     # Spark estimates both sides as small
+    assert joined.count() == 10
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_usd_by_model_and_relevance(spark):
     rows = spark.createDataFrame([(1, "2 billion dinars", "about Iraq"), (2, "n/a", "weather")],
                                  "id long, amount_text string, content string")

@@ -139,7 +139,11 @@ def replace_with_full_text(df: DataFrame, pages: DataFrame, url_col: str = "url"
     Pages are joined first and parsed after, so only the pages of these rows are parsed.
     """
     stored = one_per_url(pages).select(F.col("url").alias("_u"), F.col("html").alias("_html"))
-    j = (df.join(stored, df[url_col] == stored["_u"], "left").drop("_u")
+    # rows without a URL have no page: they meet none whatever their key is, so theirs spreads them over all tasks
+    lone = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind]).cast("string"))
+    keyed = df.withColumn("_key", F.coalesce(F.col(url_col), lone))
+    j = (keyed.join(stored, keyed["_key"] == stored["_u"], "left").drop("_u", "_key")
+         .withColumn("_html", F.when(F.col(url_col).isNotNull(), F.col("_html")))
          .withColumn("full_content", paragraphs_text(F.col("_html"))).drop("_html"))
     relevant = F.coalesce(F.lower(F.col(check_col)).contains("yes"), F.lit(False))
     use = relevant & F.coalesce(F.col("full_content") != "", F.lit(False))

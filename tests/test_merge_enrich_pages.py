@@ -151,6 +151,25 @@ def test_checked_broadcast_beyond_its_bounds_is_not_broadcast_by_an_estimate(spa
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_without_url_are_spread_over_the_tasks(spark):
+    from factloom.operators.pages import replace_with_full_text
+    pages = spark.createDataFrame([("https://a.example", "<p>page</p>"), ("\u0000x", "<p>odd</p>")], "url string, html string")
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 7, "https://a.example").alias("url"),
+                                   F.concat(F.lit("text "), F.col("id").cast("string")).alias("content"), F.lit("yes").alias("content_check"))
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "-1")
+        spark.conf.set(names[1], "false")
+        out = replace_with_full_text(rows, pages)
+        assert {r.doc_id: r.content for r in out.collect()} == {i: "page" if i == 7 else f"text {i}" for i in range(400)}
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    assert max(sizes) < 200
+
+
 def test_usd_by_model_and_relevance(spark):
     rows = spark.createDataFrame([(1, "2 billion dinars", "about Iraq"), (2, "n/a", "weather")],
                                  "id long, amount_text string, content string")

@@ -16,6 +16,8 @@ import os
 import re
 import unicodedata
 import zlib
+from bisect import bisect_left
+from operator import neg
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,9 @@ CACHE_WORDS = 300_000
 _UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ž]*")
 
+# Runs of these at the end of a word are one unit of the tokenizer (an apostrophe may begin another).
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 
 class TokenIds:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
@@ -86,11 +91,11 @@ class TokenIds:
                 known[w] = before[w]
             elif w.isalpha():
                 letters.add(w)
-            elif w[-1] in ".," and w[:-1].isalpha():
-                # a letter run before a full stop or comma: the ids of both parts
-                joined.append(w)
-                if w[:-1] not in known:
-                    letters.add(w[:-1])
+            elif (head := w.rstrip(_MARKS)).isalpha():
+                # a letter run before a run of marks: the ids of both parts
+                joined.append((w, head))
+                if head not in known:
+                    letters.add(head)
             else:
                 other.append(w)
         letters = list(letters)
@@ -99,8 +104,9 @@ class TokenIds:
             known.update(zip(part, self._encode_letters(part)))
         known.update(zip(other, self._encode(other)))
         if joined:
-            marks = dict(zip(".,", self._encode([".", ","])))
-            known.update((w, known[w[:-1]] + marks[w[-1]]) for w in joined)
+            tails = list({w[len(head):] for w, head in joined})
+            marks = dict(zip(tails, self._encode(tails)))
+            known.update((w, known[head] + marks[w[len(head):]]) for w, head in joined)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > CACHE_WORDS:
@@ -213,15 +219,23 @@ def fullest_fit(lengths: np.ndarray, capacity: int, rng: np.random.Generator | N
         left.setdefault(int(lengths[i]), []).append(i)
     sizes = sorted(left, reverse=True)
     n_bins = 0
+
+    def take(size: int) -> int:
+        at = left[size].pop()
+        if not left[size]:
+            del sizes[bisect_left(sizes, -size, key=neg)]
+        return at
+
     while sizes:
         first = sizes[0]
-        bins[left[first].pop()] = n_bins
+        bins[take(first)] = n_bins
         room = capacity - first
         mask, reach, steps = (1 << (room + 1)) - 1, 1, []
-        tried = [x for x in sizes if x <= room and left[x]]
-        if rng is not None:
-            tried = [tried[i] for i in rng.permutation(len(tried))]
-        for size in tried:
+        # the lengths that fit, one by one: a bin is mostly full after a few of them
+        begin = bisect_left(sizes, -room, key=neg)
+        tried = range(begin, len(sizes)) if rng is None else begin + rng.permutation(len(sizes) - begin)
+        for i in tried:
+            size = sizes[i]
             copies, chunk = min(len(left[size]), room // size), 1
             while copies:
                 chunk = min(chunk, copies)
@@ -236,9 +250,8 @@ def fullest_fit(lengths: np.ndarray, capacity: int, rng: np.random.Generator | N
             if not before >> target & 1:
                 target -= size * chunk
                 for _ in range(chunk):
-                    bins[left[size].pop()] = n_bins
+                    bins[take(size)] = n_bins
         n_bins += 1
-        sizes = [x for x in sizes if left[x]]
     return bins
 
 

@@ -297,6 +297,17 @@ def test_token_ids_equal_the_tokenizer(docs):
     assert got == [np.asarray(x.ids, dtype="<u4").tobytes() for x in tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_before_marks_are_learned_by_their_parts():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["this.### that### (this) that's' été!? this--that a...", "'s### ###'s x###'s y'### z`~|{}"]
+    ids, whole = packing.TokenIds(packing.default_tokenizer()), []
+    encode = ids._encode
+    ids._encode = lambda parts: whole.extend(parts) or encode(parts)
+    assert ids.batch(texts) == [np.asarray(x.ids, dtype="<u4").tobytes() for x in tok.encode_batch(texts, add_special_tokens=False)]
+    assert not {"this.###", "that###", "été!?", "a...", "z`~|{}"} & set(whole)
+
+
 def check_packing(rows, capacity):
     bins = defaultdict(list)
     for r in rows:

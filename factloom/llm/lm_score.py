@@ -20,11 +20,11 @@ was scored. The sum of the decisions' log probabilities is the text's score.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +48,8 @@ _BUCKETS = 25
 # Steps that log odds are counted in to fit the start weights, from -_REACH to _REACH; they are even on the root
 # of the log odds, as the plain counts of a Huffman tree are near 0.
 _STEPS, _REACH = 41, 12.0
+# All 16-bit floats, by their bits.
+_HALVES = np.arange(1 << 16, dtype=np.uint16).view(np.float16).astype(np.float32)
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
@@ -108,7 +110,7 @@ class Code:
         first = np.cumsum(size, dtype=np.int64) - size
         at = np.repeat(self.start[symbols] - first, size)
         at += np.arange(len(at))
-        steps = self.steps[at]
+        steps = self.steps.take(at)
         return size, steps >> np.uint32(1), (steps & np.uint32(1)).astype(np.uint8)
 
 
@@ -135,20 +137,31 @@ class Coder:
         self.end, self.escape = self.n_words, self.n_words + 1
         self.word_code, self.byte_code = Code(*word_tree), Code(*byte_tree)
 
-    def symbols(self, docs: list[list[bytes]]):
-        """(symbols, document, place in it, words that are not coded, their symbol's index)."""
-        flat = list(chain.from_iterable(docs))
-        ids = np.fromiter(map(self.number.get, flat, repeat(self.escape)), dtype=np.int64, count=len(flat))
-        lengths = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs)) + 1
+    def read(self, tokens: pa.ListArray) -> list[tuple[np.ndarray, list[bytes]]]:
+        """Of each document, the numbers of its words and those words that are not coded. Each distinct word of
+        ``tokens`` is looked up once."""
+        flat = tokens.flatten().dictionary_encode()
+        words, word = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), flat.indices.to_numpy()
+        numbers = np.fromiter(map(self.number.get, words, repeat(self.escape)), dtype=np.int64, count=len(words))
+        ids = numbers.take(word)
+        at = np.flatnonzero(ids == self.escape)
+        other = [words[i] for i in word[at].tolist()]
+        ends = np.cumsum(pc.list_value_length(tokens).to_numpy(), dtype=np.int64)
+        cuts, rare = [0, *ends.tolist()], [0, *np.searchsorted(at, ends).tolist()]
+        return [(ids[cuts[i]:cuts[i + 1]], other[rare[i]:rare[i + 1]]) for i in range(len(ends))]
+
+    def symbols(self, docs: list[tuple[np.ndarray, list[bytes]]]):
+        """(symbols, document, place in it, words that are not coded, their symbol's index) of ``docs`` as read."""
+        ids = np.concatenate([numbers for numbers, _ in docs])
+        lengths = np.fromiter((len(numbers) for numbers, _ in docs), dtype=np.int64, count=len(docs)) + 1
         ends = np.cumsum(lengths) - 1
         doc = np.repeat(np.arange(len(docs), dtype=np.int32), lengths)
         symbols = np.full(len(doc), self.end, dtype=np.int64)
         inside = np.ones(len(doc), dtype=bool)
         inside[ends] = False
         symbols[inside] = ids
-        other = np.flatnonzero(ids == self.escape)
         place = np.arange(len(doc)) - np.repeat(ends + 1 - lengths, lengths)
-        return symbols, doc, place, [flat[i] for i in other.tolist()], np.flatnonzero(inside)[other]
+        return symbols, doc, place, list(chain.from_iterable(other for _, other in docs)), np.flatnonzero(symbols == self.escape)
 
     def word_contexts(self, symbols: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
         """Hashes of the last very frequent word and of the previous token, within the document."""
@@ -192,9 +205,14 @@ class Coder:
         return node + (np.uint32(self.n_words + 1) + np.uint32(256) * before)
 
 
-def tokens_of(raw: bytes) -> list[bytes]:
-    """Runs of bytes other than ASCII white space, A-Z lower-cased."""
-    return raw.lower().split()
+def tokens_of(raw: pa.Array) -> pa.ListArray:
+    """Runs of bytes other than ASCII white space, A-Z lower-cased, of each text."""
+    text = pc.cast(raw, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+    # white space at either end would make empty tokens there
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(text))
+    tokens = pc.ascii_split_whitespace(text)
+    empty = pc.equal(pc.binary_length(text), 0)
+    return pc.if_else(empty, pa.scalar([], tokens.type), tokens).cast(pa.list_(pa.binary()))
 
 
 def tenth(id_col: Column) -> Column:
@@ -204,16 +222,25 @@ def tenth(id_col: Column) -> Column:
 
 def count_tokens(train: DataFrame) -> DataFrame:
     """(token, n) of the training texts (column raw); the end is the token of no bytes."""
+    def counted(parts, ends):
+        got = pa.chunked_array(parts).value_counts()
+        token, n = got.flatten()
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([token, pa.array([b""], pa.binary())]), pa.concat_arrays([n, pa.array([ends], pa.int64())])],
+                                          names=["token", "n"])
+
     def run(batches):
+        parts, ends, tokens = [], 0, 0
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                c: Counter = Counter()
-                for raw in part.column("raw"):
-                    c.update(tokens_of(raw.as_py()))
-                c[b""] = part.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
-                                                 names=["token", "n"])
+            for at in range(0, b.num_rows, _READ):
+                part = b.slice(at, _READ)
+                parts.append(tokens_of(part.column("raw")).flatten())
+                ends += part.num_rows
+                tokens += len(parts[-1])
+                if tokens >= _COUNTED_TOKENS:
+                    yield counted(parts, ends)
+                    parts, ends, tokens = [], 0, 0
+        if parts:
+            yield counted(parts, ends)
 
     return staged(train.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
 
@@ -244,9 +271,9 @@ class Trees:
         self.words, self.word_tree, self.byte_tree, self.counts = words, word_tree, byte_tree, counts
 
     def sent(self, spark: SparkSession):
-        """A broadcast of lists and arrays only: an instance would be looked up by its class's name in a
+        """A broadcast of a dict of lists and arrays only: an instance would be looked up by its class's name in a
         worker, which need not have this package."""
-        return spark.sparkContext.broadcast((self.words, self.word_tree, self.byte_tree, self.counts))
+        return spark.sparkContext.broadcast({"words": self.words, "word_tree": self.word_tree, "byte_tree": self.byte_tree, "counts": self.counts})
 
 
 def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
@@ -258,26 +285,32 @@ def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
     return Trees(words, word_tree, huffman(count_bytes(counts) + 1), n)
 
 
-_coders: dict = {}
-
-
 def _coder(trees_broadcast) -> tuple[np.ndarray, Coder]:
-    """The counts of the coded words and one coder per task and model."""
+    """The counts of the coded words and the model's coder, which a worker keeps beside the trees for its next
+    tasks."""
     trees = trees_broadcast.value
-    if _coders.get("trees") is not trees:
-        _coders["trees"], _coders["coder"] = trees, Coder(*trees[:3])
-    return trees[3], _coders["coder"]
+    if "coder" not in trees:
+        trees["coder"] = Coder(trees["words"], trees["word_tree"], trees["byte_tree"])
+    return trees["counts"], trees["coder"]
+
+
+def fewer_tasks(df: DataFrame, part: int) -> DataFrame:
+    """``df``, a ``part``-th of its texts, in so many fewer tasks, as each task holds tables of its own."""
+    tasks = max(df.rdd.getNumPartitions() // part, df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(tasks)
 
 
 _PART = 1 << 16
-# Symbols walked at a time, documents counted and fitted to at a time, and tokens scored at a time.
-_WALKS = 1 << 16
-_COUNTED = 500
+# Texts read at a time, symbols walked at a time, tokens counted at a time, documents fitted to and tokens scored
+# at a time.
+_READ = 1000
+_WALKS = 1 << 14
+_COUNTED_TOKENS = 1 << 20
 _FITTED = 100
-_SCORED_TOKENS = 1 << 17
+_SCORED_TOKENS = 1 << 14
 
 
-def add_counts(sums: list[np.ndarray], coder: Coder, docs: list[list[bytes]]) -> None:
+def add_counts(sums: list[np.ndarray], coder: Coder, docs: list[tuple[np.ndarray, list[bytes]]]) -> None:
     """Adds the decisions of ``docs`` to the counts of both outcomes of every slot (outcome 1 in odd places).
     A symbol in a context is walked once, however often it occurs."""
     symbols, _, place, other, _ = coder.symbols(docs)
@@ -320,11 +353,18 @@ def count_decisions(train: DataFrame, trees) -> DataFrame:
     def gather(batches):
         _, coder = _coder(trees)
         sums = [np.zeros(2 * n, dtype=np.uint32) for n in (first_table(coder.n_words), 1 << SLOT_BITS, 1 << SLOT_BITS)]
-        any_row = False
+        any_row, docs, tokens = False, [], 0
         for b in batches:
-            for at in range(0, b.num_rows, _COUNTED):
+            for at in range(0, b.num_rows, _READ):
                 any_row = True
-                add_counts(sums, coder, [tokens_of(r.as_py()) for r in b.column("raw").slice(at, _COUNTED)])
+                more = coder.read(tokens_of(b.column("raw").slice(at, _READ)))
+                docs += more
+                tokens += sum(len(numbers) + 1 for numbers, _ in more)
+                if tokens >= _COUNTED_TOKENS:
+                    add_counts(sums, coder, docs)
+                    docs, tokens = [], 0
+        if docs:
+            add_counts(sums, coder, docs)
         if any_row:
             whole = np.concatenate(sums)
             for n, lo in enumerate(range(0, len(whole), _PART)):
@@ -385,7 +425,7 @@ def learn_start(train: DataFrame) -> dict[str, np.ndarray]:
     """The start weights of each kind and gate, from ``train`` (raw, tenth): those that predict tenth 0 best from
     a model of tenths 1 to 3, which has not seen it, not even for its trees. Decisions are counted by gate, steps
     of the predictors' log odds and outcome, and logistic regressions are fitted to these counts."""
-    spark, known = train.sparkSession, train.where("tenth between 1 and 3").select("raw")
+    spark, known = train.sparkSession, fewer_tasks(train.where("tenth between 1 and 3").select("raw"), 3)
     counts = count_tokens(known)
     size = totals(counts)
     learned = learn_trees(counts, int(size["n"]), int(size["ends"]))
@@ -397,14 +437,15 @@ def learn_start(train: DataFrame) -> dict[str, np.ndarray]:
         mixer = Mixer(coder, *tables.value, None)
         total = np.zeros(len(_KINDS) * _GATES * _STEPS ** _PREDICTORS * 2, dtype=np.int64)
         for b in batches:
-            for at in range(0, b.num_rows, _FITTED):
-                for cells in mixer.cells([tokens_of(r.as_py()) for r in b.column("raw").slice(at, _FITTED)]):
-                    got, n = np.unique(cells, return_counts=True)
-                    total[got] += n
+            for at in range(0, b.num_rows, _READ):
+                docs = coder.read(tokens_of(b.column("raw").slice(at, _READ)))
+                for lo in range(0, len(docs), _FITTED):
+                    for cells in mixer.cells(docs[lo:lo + _FITTED]):
+                        np.add.at(total, cells.astype(np.int64), 1)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], names=["cell", "n"])
 
-    got = train.where("tenth = 0").select("raw").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
+    got = fewer_tasks(train.where("tenth = 0").select("raw"), 10).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
     tables.unpersist()
     trees.unpersist()
     cell, n = (got.column(c).to_numpy().astype(np.int64) for c in ("cell", "n"))
@@ -439,17 +480,33 @@ def fit_weights(x: np.ndarray, outcome: np.ndarray, n: np.ndarray) -> np.ndarray
     return w
 
 
+def log_chances(against: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Natural log probability of each symbol, of the odds against its decisions, which begin at ``first``: one
+    logarithm of the product of all chances."""
+    if not len(first):
+        return np.zeros(0)
+    inverse = against + 1
+    with np.errstate(over="ignore"):
+        product = np.multiply.reduceat(inverse, first)
+    if np.isinf(product).any():
+        # only beyond 50 decisions, all of them missed
+        return -np.add.reduceat(np.log(inverse), first)
+    return -np.log(product)
+
+
 class Mixer:
     """Scores documents with a trained model. ``start`` are the weights of each kind, by gate and predictor."""
 
     def __init__(self, coder: Coder, odds: np.ndarray, evidence: np.ndarray, start):
         first, size = first_table(coder.n_words), 1 << SLOT_BITS
+        # 16-bit floats as their bits
+        odds = odds.view(np.uint16)
         self.odds = [odds[:first], odds[first:first + size], odds[first + size:]]
         self.evidence = evidence[first + size:]
         self.coder = coder
         self.start = start
 
-    def cells(self, docs: list[list[bytes]]):
+    def cells(self, docs: list[tuple[np.ndarray, list[bytes]]]):
         """For words and then bytes, the cell of each decision of ``docs``: kind, gate, steps of odds, outcome."""
         coder = self.coder
         symbols, _, place, other, _ = coder.symbols(docs)
@@ -460,12 +517,17 @@ class Mixer:
             decided, node, bit = coder.byte_code.walk(raw.astype(np.int64))
             yield self._cells(1, decided, coder.byte_nodes(node, np.repeat(before, decided)), bit, contexts[:2])
 
+    @staticmethod
+    def slots(decided, node, contexts) -> list[np.ndarray]:
+        """Places of each decision in the tables, as the integers that numpy looks up by without a copy."""
+        return [node.astype(np.int64), *(slots_of(node, np.repeat(c, decided)).astype(np.int64) for c in contexts)]
+
     def _cells(self, kind: int, decided, node, bit, contexts) -> np.ndarray:
-        slots = [node, *(slots_of(node, np.repeat(c, decided)) for c in contexts)]
-        cell = self.evidence[slots[2]].astype(np.int32) + np.int32(kind * _GATES)
+        slots = self.slots(decided, node, contexts)
+        cell = self.evidence.take(slots[2]).astype(np.int32) + np.int32(kind * _GATES)
         for t, s in zip(self.odds, slots):
             cell *= np.int32(_STEPS)
-            x = t[s].astype(np.float32)
+            x = _HALVES.take(t.take(s))
             root = np.copysign(np.sqrt(np.minimum(np.abs(x), np.float32(_REACH)) / np.float32(_REACH)), x)
             cell += np.rint((root + 1) * np.float32((_STEPS - 1) / 2)).astype(np.int32)
         return cell * np.int32(2) + bit
@@ -473,33 +535,33 @@ class Mixer:
     def _online(self, kind: str, n: int, doc, block, decided, node, bit, contexts) -> np.ndarray:
         """Natural log probability of each symbol; symbols come in the order of their blocks. ``decided`` is
         the number of decisions of each, ``doc`` and ``block`` are theirs."""
-        slots = [node, *(slots_of(node, np.repeat(c, decided)) for c in contexts)]
-        x = [t[s].astype(np.float32) for t, s in zip(self.odds, slots)]
-        who = np.repeat(doc, decided)
-        own_gate = who * np.int32(_GATES)
-        own_gate += self.evidence[slots[2]]
-        first_bucket = who * np.int32(_BUCKETS)
+        slots = self.slots(decided, node, contexts)
+        x = [_HALVES.take(t.take(s)) for t, s in zip(self.odds, slots)]
+        who = np.repeat(doc.astype(np.int64), decided)
+        own_gate = who * _GATES
+        own_gate += self.evidence.take(slots[2])
+        first_bucket = who * _BUCKETS
         ends = np.cumsum(decided)
         cuts = ends[np.flatnonzero(np.concatenate([np.diff(block) != 0, [True]]))].tolist()
         weights = [np.tile(self.start[kind][:, i], n) for i in range(_PREDICTORS)]
         shift = np.zeros(n * _BUCKETS, dtype=np.float32)
-        logs = np.empty(len(node), dtype=np.float32)
-        sign = np.where(bit, np.float32(-1), np.float32(1))
+        against = np.empty(len(node))
+        sign = np.float32(1) - np.float32(2) * bit
         lo = 0
         for hi in cuts:
             own, part = own_gate[lo:hi], [v[lo:hi] for v in x]
-            z = weights[0][own] * part[0]
-            z += weights[1][own] * part[1]
-            z += weights[2][own] * part[2]
+            z = weights[0].take(own) * part[0]
+            z += weights[1].take(own) * part[1]
+            z += weights[2].take(own) * part[2]
             np.clip(z, -11.9, 11.9, out=z)
             # the map holds corrections of the log odds, none at first
             bucket = first_bucket[lo:hi] + np.rint((z + np.float32(12)) * np.float32((_BUCKETS - 1) / 24)).astype(np.int32)
-            z += shift[bucket]
+            z += shift.take(bucket)
             np.clip(z, -14, 14, out=z)
             s = sign[lo:hi]
             # chance of the other outcome: what was missed
             odds_against = np.exp(z * s)
-            logs[lo:hi] = -np.log1p(odds_against)
+            against[lo:hi] = odds_against
             miss = -s * odds_against / (1 + odds_against)
             seen = np.maximum(np.bincount(own, minlength=n * _GATES), 1)
             rate = (RATE / np.sqrt(seen)).astype(np.float32)
@@ -508,19 +570,19 @@ class Mixer:
             seen = np.maximum(np.bincount(bucket, minlength=n * _BUCKETS), 1)
             shift += (MAP_RATE * np.bincount(bucket, weights=miss, minlength=n * _BUCKETS) / np.sqrt(seen)).astype(np.float32)
             lo = hi
-        return np.add.reduceat(logs, ends - decided, dtype=np.float64) if len(logs) else np.zeros(0)
+        return log_chances(against, ends - decided)
 
-    def score_all(self, docs: list[list[bytes]], base_logs: np.ndarray):
-        """Like ``score``, for any number of documents: those of like length are scored together, so that the
-        arrays stay small and long documents do not hold up short ones."""
+    def score_all(self, docs: list[tuple[np.ndarray, list[bytes]]], base_logs: np.ndarray):
+        """Like ``score``, for any number of documents as the coder reads them: those of like length are scored
+        together, so that the arrays stay small and long documents do not hold up short ones."""
         total, base, of, other, spelled = np.zeros(len(docs)), np.zeros(len(docs)), [], [], []
         part, tokens = [], 0
-        order = sorted(range(len(docs)), key=lambda i: len(docs[i]))
+        order = sorted(range(len(docs)), key=lambda i: len(docs[i][0]))
         for rank, i in enumerate(order):
             part.append(i)
-            tokens += len(docs[i]) + 1
+            tokens += len(docs[i][0]) + 1
             if tokens >= _SCORED_TOKENS or rank == len(order) - 1:
-                total[part], base[part], where, words, spellings = self.score([docs[j] for j in part], base_logs)
+                total[part], base[part], where, words, spellings = self._score([docs[j] for j in part], base_logs)
                 of.append(np.array(part, dtype=np.int32)[where])
                 other.extend(words)
                 spelled.append(spellings)
@@ -530,6 +592,9 @@ class Mixer:
     def score(self, docs: list[list[bytes]], base_logs: np.ndarray):
         """(log10 probability of each document's word decisions, sum of the ``base_logs`` of its symbols, documents of the words without a code, these
         words, log10 probability of the spelling of each)."""
+        return self._score(self.coder.read(pa.array(docs, pa.list_(pa.binary()))), base_logs)
+
+    def _score(self, docs: list[tuple[np.ndarray, list[bytes]]], base_logs: np.ndarray):
         coder, n = self.coder, len(docs)
         symbols, doc, place, other, other_at = coder.symbols(docs)
         order = np.argsort((place // BLOCK).astype(np.uint16 if place.max(initial=0) < BLOCK << 16 else np.int64), kind="stable")
@@ -580,21 +645,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         logs = np.log10((word_counts + 0.5) / denominator)
         logs = np.concatenate([logs, [end_log, 0.0]])
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                raws = part.column("raw").to_pylist()
-                docs_here = [tokens_of(r) for r in raws]
+            for at in range(0, b.num_rows, _READ):
+                part = b.slice(at, _READ)
+                docs_here = coder.read(tokens_of(part.column("raw")))
                 score, base, of, other, spelled = mixer.score_all(docs_here, logs)
                 n = len(docs_here)
                 rare_n = np.bincount(of, minlength=n)
-                n_tokens = np.fromiter(map(len, docs_here), dtype=np.int64, count=n) + 1
+                n_tokens = np.fromiter((len(numbers) for numbers, _ in docs_here), dtype=np.int64, count=n) + 1
                 order = np.argsort(of, kind="stable")
                 rare = pa.StructArray.from_arrays([pa.array([other[i] for i in order.tolist()], pa.binary()), pa.array(spelled[order], pa.float64())],
                                                   names=["token", "spelled"])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(rare_n)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(n_tokens, pa.int64()),
-                     pa.array([len(r) for r in raws], pa.int64()), pa.array(n_tokens - rare_n - (1 - end_known), pa.int64()),
+                     pc.binary_length(part.column("raw")).cast(pa.int64()), pa.array(n_tokens - rare_n - (1 - end_known), pa.int64()),
                      pa.array(base, pa.float64()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(offsets, rare)],
                     names=["doc_id", "held_out", "n_tokens", "n_bytes", "known", "base", "mixed", "rare"])
 

@@ -271,9 +271,9 @@ class Trees:
         self.words, self.word_tree, self.byte_tree, self.counts = words, word_tree, byte_tree, counts
 
     def sent(self, spark: SparkSession):
-        """A broadcast of a dict of lists and arrays only: an instance would be looked up by its class's name in a
+        """A broadcast of lists and arrays only: an instance would be looked up by its class's name in a
         worker, which need not have this package."""
-        return spark.sparkContext.broadcast({"words": self.words, "word_tree": self.word_tree, "byte_tree": self.byte_tree, "counts": self.counts})
+        return spark.sparkContext.broadcast((self.words, self.word_tree, self.byte_tree, self.counts))
 
 
 def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
@@ -285,27 +285,23 @@ def learn_trees(counts: DataFrame, n_train: int, ends: int) -> Trees:
     return Trees(words, word_tree, huffman(count_bytes(counts) + 1), n)
 
 
-def _coder(trees_broadcast) -> tuple[np.ndarray, Coder]:
-    """The counts of the coded words and the model's coder, which a worker keeps beside the trees for its next
-    tasks."""
-    trees = trees_broadcast.value
-    if "coder" not in trees:
-        trees["coder"] = Coder(trees["words"], trees["word_tree"], trees["byte_tree"])
-    return trees["counts"], trees["coder"]
+_coders: dict = {}
 
 
-def fewer_tasks(df: DataFrame, part: int) -> DataFrame:
-    """``df``, a ``part``-th of its texts, in so many fewer tasks, as each task holds tables of its own."""
-    tasks = max(df.rdd.getNumPartitions() // part, df.sparkSession.sparkContext.defaultParallelism)
-    return df.coalesce(tasks)
+def _coder(trees_broadcast) -> tuple[np.ndarray, Coder]:
+    """The counts of the coded words and one coder per task and model."""
+    trees = trees_broadcast.value
+    if _coders.get("trees") is not trees:
+        _coders["trees"], _coders["coder"] = trees, Coder(*trees[:3])
+    return trees[3], _coders["coder"]
 
 
 _PART = 1 << 16
-# Texts read at a time, symbols walked at a time, tokens counted at a time, documents fitted to and tokens scored
-# at a time.
+# Texts read at a time, symbols walked at a time, tokens counted and their decisions counted at a time, documents
+# fitted to and tokens scored at a time.
 _READ = 1000
 _WALKS = 1 << 14
-_COUNTED_TOKENS = 1 << 20
+_COUNTED_TOKENS, _DECIDED_TOKENS = 1 << 20, 1 << 19
 _FITTED = 100
 _SCORED_TOKENS = 1 << 14
 
@@ -360,7 +356,7 @@ def count_decisions(train: DataFrame, trees) -> DataFrame:
                 more = coder.read(tokens_of(b.column("raw").slice(at, _READ)))
                 docs += more
                 tokens += sum(len(numbers) + 1 for numbers, _ in more)
-                if tokens >= _COUNTED_TOKENS:
+                if tokens >= _DECIDED_TOKENS:
                     add_counts(sums, coder, docs)
                     docs, tokens = [], 0
         if docs:
@@ -370,14 +366,16 @@ def count_decisions(train: DataFrame, trees) -> DataFrame:
             for n, lo in enumerate(range(0, len(whole), _PART)):
                 piece = whole[lo:lo + _PART]
                 if piece.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())],
-                                                     names=["piece", "data"])
+                    # in the least whole numbers that hold the counts
+                    piece = piece.astype(np.min_scalar_type(piece.max()))
+                    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([piece.itemsize], pa.int32()),
+                                                      pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], names=["piece", "width", "data"])
 
     def add(batches):
         current, total = None, None
         for b in batches:
-            for n, data in zip(b.column("piece").to_pylist(), b.column("data").to_pylist()):
-                counts = np.frombuffer(zlib.decompress(data), dtype=np.uint32).astype(np.int64)
+            for n, width, data in zip(*(b.column(c).to_pylist() for c in ("piece", "width", "data"))):
+                counts = np.frombuffer(zlib.decompress(data), dtype=f"u{width}").astype(np.int64)
                 if n == current:
                     total += counts
                     continue
@@ -387,7 +385,7 @@ def count_decisions(train: DataFrame, trees) -> DataFrame:
         if current is not None:
             yield _odds(current, total)
 
-    parts = train.mapInArrow(gather, "piece int, data binary")
+    parts = train.mapInArrow(gather, "piece int, width int, data binary")
     n_parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return parts.repartition(n_parts, "piece").sortWithinPartitions("piece").mapInArrow(
         add, "piece int, odds binary, evidence binary")
@@ -425,7 +423,7 @@ def learn_start(train: DataFrame) -> dict[str, np.ndarray]:
     """The start weights of each kind and gate, from ``train`` (raw, tenth): those that predict tenth 0 best from
     a model of tenths 1 to 3, which has not seen it, not even for its trees. Decisions are counted by gate, steps
     of the predictors' log odds and outcome, and logistic regressions are fitted to these counts."""
-    spark, known = train.sparkSession, fewer_tasks(train.where("tenth between 1 and 3").select("raw"), 3)
+    spark, known = train.sparkSession, train.where("tenth between 1 and 3").select("raw")
     counts = count_tokens(known)
     size = totals(counts)
     learned = learn_trees(counts, int(size["n"]), int(size["ends"]))
@@ -445,7 +443,7 @@ def learn_start(train: DataFrame) -> dict[str, np.ndarray]:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], names=["cell", "n"])
 
-    got = fewer_tasks(train.where("tenth = 0").select("raw"), 10).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
+    got = train.where("tenth = 0").select("raw").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
     tables.unpersist()
     trees.unpersist()
     cell, n = (got.column(c).to_numpy().astype(np.int64) for c in ("cell", "n"))

@@ -250,6 +250,24 @@ def test_suffix_dedup_odd_rows(odd, empty):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+def test_suffix_spans_leave_a_task_together():
+    """Not a batch for each hash, of which there are as many as windows: its cost was far above that of the spans."""
+    rng = random.Random(5)
+    rows = []
+    for gram in range(600):
+        body = bytes(rng.choices(range(97, 123), k=suffix_dedup.SPAN + 9))
+        # equal ranges, and one that shares all windows but the first
+        rows += [(gram, 1, 0, body), (gram, 2, 7, body), (gram, 3, 5, b"." + body[1:])]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+        names=["gram", "tkey", "first", "raw"])
+    out = list(suffix_dedup._mark_sorted([batch.slice(0, 700), batch.slice(700)]))
+    assert len(out) == 1
+    found = Counter((r["tkey"], r["lo"], r["hi"]) for b in out for r in b.to_pylist())
+    whole, later = suffix_dedup.SPAN + 9, suffix_dedup.SPAN + 8
+    assert found[1, 0, whole] == found[2, 7, 7 + whole] == found[3, 6, 6 + later] == 600
+
+
 # ------------------------------------------------------------------ 6: lines
 def brute_lines(rows, least):
     rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))

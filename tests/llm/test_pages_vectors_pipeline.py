@@ -1,6 +1,8 @@
 """Pages, vectors, the pipeline and the registered queries."""
 
 import html
+import itertools
+import random
 import re
 
 import numpy as np
@@ -24,6 +26,83 @@ def test_pages_give_their_article(spark, sf):
         assert got[r.page_id] == (want, len(want))
 
 
+def _host(n, body):
+    """Pages of a host without article elements: ``body`` gives the middle of page i."""
+    return [(i, "https://plain.example/x", f"<html><body><div>Daily paper</div><p>All about us</p>{body(i)}"
+             f"<div id=story>{''.join(f'<p>Story {i} says {j} of it.</p>' for j in range(3))}</div><b>Printed here</b></body></html>")
+            for i in range(n)]
+
+
+def _main_texts(spark, rows):
+    found = html_main.templates(spark.createDataFrame(rows, "page_id long, host string, html string"))
+    got = found.collect()
+    assert len(got) == 1
+    return set(got[0].template_text)
+
+
+def _held(parts, template):
+    """Those of the texts of ``parts`` (text, path of its element) that the template holds."""
+    class At:
+        def __init__(self, path):
+            self.path = path
+    return {t for t, path in parts if html_main.run_token(At(path), t) in template}
+
+
+def test_places_on_every_longest_run():
+    rng = random.Random(6)
+    for _ in range(300):
+        keys = [rng.randrange(9) for _ in range(rng.randrange(8))]
+        runs = [c for n in range(len(keys) + 1) for c in itertools.combinations(range(len(keys)), n)
+                if all(keys[a] < keys[b] for a, b in zip(c, c[1:]))]
+        best = [set(c) for c in runs if len(c) == max(map(len, runs))]
+        assert html_main.in_order(keys) == set.intersection(*best)
+
+
+def test_template_keeps_order(spark):
+    """Texts that are on every page, but not in one order, are no part of the template; the others stay one."""
+    says = ["One of them.", "Two of them.", "Three of them."]
+    orders = list(itertools.permutations(says))
+    rows = _host(12, lambda i: "".join(f"<i>{x}</i>" for x in orders[i % 6]))
+    fixed = [("Daily paper", "/html/body/div"), ("All about us", "/html/body/p"), ("Printed here", "/html/body/b")]
+    template = _main_texts(spark, rows)
+    assert _held(fixed, template) == {t for t, _ in fixed}
+    assert _held([(s, "/html/body/i") for s in says], template) == set()
+
+
+def test_template_classes_nest(spark):
+    """Of two classes whose tokens alternate the larger stays; one that stands here and there is in no slot."""
+    large, small = [f"L{j}" for j in range(4)], [f"S{j}" for j in range(3)]
+
+    def crossing(i):
+        a, b = (large if i else []), (small if i != 1 else [])
+        return "".join(f"<i>{x}</i>" for x in ([y for p in itertools.zip_longest(a, b) for y in p if y]))
+
+    template = _main_texts(spark, _host(20, crossing))
+    assert _held([(x, "/html/body/i") for x in large + small], template) == set(large)
+
+    apart = "".join(f"<i>{x}</i>" for x in small)
+    rows = _host(20, lambda i: apart if 0 < i < 10 else "<u>menu</u>")
+    rows = [(i, h, x if i < 10 else x.replace("<p>All", apart + "<p>All")) for i, h, x in rows]
+    template = _main_texts(spark, rows)
+    assert _held([(x, "/html/body/i") for x in small], template) == set()
+    assert _held([("All about us", "/html/body/p")], template) == {"All about us"}
+
+
+def test_facts_of_a_page():
+    place = {(1, False): (7, 0), (2, True): (7, 1), (3, True): (7, 2), (4, True): (8, 0), (5, True): (8, 1), (6, True): (8, 2)}
+    size = {7: 3, 8: 3}
+
+    def facts(*tokens):
+        return html_main.page_facts([next(k for k in place if k[0] == t) if t < 9 else (t, True) for t in tokens], place, size)
+
+    slot, disorder, crossing = html_main.SLOT, html_main.DISORDER, html_main.CROSSING
+    assert facts(1, 9, 4, 5, 6, 4, 5, 6, 2, 3) == {(slot, 7, 0, 0), (slot, 8, 7, 1)}
+    assert facts(4, 5, 6, 1, 2, 4, 5, 6, 3) == {(slot, 7, 0, 0), (slot, 8, 0, 0), (slot, 8, 7, 2)}
+    assert facts(1, 4, 2, 5, 3, 6) == {(slot, 7, 0, 0), (slot, 8, 7, 1), (crossing, 7, 8, 0)}
+    assert facts(1, 2, 3, 1, 3, 2) == {(disorder, 7, 2, 1), (disorder, 7, 3, 1)}
+    assert facts(9) == set()
+
+
 PAGE = """<html><head><title>T</title></head><body><header class="site-header"><a href=/>Home</a></header>
 <div id=cookie-notice>We use cookies</div><div class="content no-sidebar"><h1>Head &amp; line</h1>
 <p>One  two<br>three &lt;b&gt; 5 < 6 <i>x</i>y<p>Second<ul><li>a<li>b</ul><aside>side</aside>
